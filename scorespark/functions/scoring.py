@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from scorespark.functions.intervals import double_literal, quoted
+
 
 @dataclass(frozen=True)
 class ScoreScale:
@@ -53,8 +54,8 @@ def build_score(pd: Column, base_score: float = 600, pdo: float = 50, base_odds:
 
 def linear_form(coefficients: Mapping[str, float], intercept: float) -> Column:
     """``intercept + sum(coef * column)`` in the mapping's order."""
-    terms = [F.lit(float(w)) * F.col(name) for name, w in coefficients.items()]
-    return reduce(lambda acc, term: acc + term, terms, F.lit(float(intercept)))
+    terms = [f"{double_literal(w)} * {quoted(name)}" for name, w in coefficients.items()]
+    return F.expr(" + ".join([double_literal(intercept), *terms]))
 
 
 def margin_to_points(margin: Column, scale: ScoreScale = POINTS_SCALE) -> Column:

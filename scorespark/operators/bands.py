@@ -74,7 +74,7 @@ def fit_equal_width_bins(
 def bin_columns(df: DataFrame, edges: BinEdges, keep: Sequence[str] = ()) -> DataFrame:
     """The kept columns, and every binned column replaced by its bin number."""
     return df.select(
-        *keep, *[right_closed_bin(F.col(c), e).alias(c) for c, e in edges.edges.items()]
+        *keep, *[right_closed_bin(c, e).alias(c) for c, e in edges.edges.items()]
     )
 
 
@@ -145,7 +145,7 @@ class ScoreBands:
 
     def apply(self, df: DataFrame, score: str = "score", column: str = "band") -> DataFrame:
         top = max(1, len(self.edges) - 1)
-        number = right_closed_bin(F.col(score), self.edges)
+        number = right_closed_bin(score, self.edges)
         label = F.when(F.col(score).isNull(), F.lit(None).cast("string"))
         for i in range(1, top + 1):
             label = label.when(number == i, BANDS[top - i])

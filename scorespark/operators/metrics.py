@@ -137,7 +137,7 @@ def reliability_table(
     step = 1.0 / bins
     edges = [i * step for i in range(bins)] + [1.0]
     return (
-        df.withColumn("bin", right_closed_bin(F.col(pd), edges))
+        df.withColumn("bin", right_closed_bin(pd, edges))
         .groupBy(*keys, "bin")
         .agg(
             F.count("*").alias("n"),

@@ -73,7 +73,7 @@ def psi_from_period_counts(counts: DataFrame, edges: BinEdges, column: str, base
 
 def period_bin_counts(df: DataFrame, column: str, edges: BinEdges, period: Column) -> DataFrame:
     """Rows per period and bin of ``column``."""
-    number = right_closed_bin(F.col(column), edges.edges[column])
+    number = right_closed_bin(column, edges.edges[column])
     return (
         df.where(F.col(column).isNotNull())
         .groupBy(period.alias("period"), number.alias("bin"))

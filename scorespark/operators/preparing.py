@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from scorespark.functions.intervals import double_literal, quoted
 from scorespark.operators.quantiles import exact_medians
 from scorespark.spec import DEFAULT_SPEC, FeatureSpec
 
@@ -31,7 +32,7 @@ class Imputer:
 
     def apply(self, df: DataFrame) -> DataFrame:
         filled = {
-            c: F.coalesce(F.col(c), F.lit(float(m)))
+            c: F.expr(f"coalesce({quoted(c)}, {double_literal(m)})")
             for c, m in self.medians.items()
             if m is not None and c in df.columns
         }
@@ -103,7 +104,9 @@ class Scaler:
     def apply(self, df: DataFrame) -> DataFrame:
         return df.withColumns(
             {
-                c: (F.col(c) - F.lit(self.means[c])) / F.lit(self.deviations[c])
+                c: F.expr(
+                    f"({quoted(c)} - {double_literal(self.means[c])}) / {double_literal(self.deviations[c])}"
+                )
                 for c in self.means
                 if c in df.columns
             }

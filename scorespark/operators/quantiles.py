@@ -1,9 +1,9 @@
 """Exact linear-interpolation quantiles without a per-column value map in one task.
 
 Spark's ``percentile`` keeps every distinct value of a group in one reducer.
-Here a quantile sketch brackets each wanted order statistic, one wide count
-proves where it lies, and only the few values strictly inside a bracket are
-ranked. If a bracket still holds more than ``limit`` rows it is sketched again,
+Columns with few distinct values are answered from their value counts. For the
+others a quantile sketch brackets each wanted order statistic, one count proves
+where it lies, and only the few values strictly inside a bracket are ranked. If a bracket still holds more than ``limit`` rows it is sketched again,
 each time shrinking by a factor of thousands. The result equals the exact
 quantile for any data, and no task ever ranks more than ``limit`` values.
 """
@@ -11,16 +11,17 @@ quantile for any data, and no task ever ranks more than ``limit`` values.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from scorespark.functions.intervals import double_literal, place_among, quoted
 from scorespark.operators.running import running_totals
 
 ACCURACY = 10_000
+FEW_VALUES = 2_000
 RANK_LIMIT = 1_000_000
 
 
@@ -42,34 +43,33 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Quantiles of several columns at once, NULLs ignored; an empty column gives None.
 
-    ``df`` is scanned two or three times, so stage it first if it is costly.
+    ``df`` is scanned a few times, so stage it first if it is costly.
     """
     columns = list(probabilities)
     df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    sizes, spans, sketches = _sketch(df, probabilities, accuracy)
-
-    wanted: dict[tuple[str, float], tuple[int, int, float]] = {}
-    open_brackets = []
+    sizes, few = _sizes(df, columns)
+    wanted: dict[str, dict[float, tuple[int, int, float]]] = {c: {} for c in columns}
     for c in columns:
-        if sizes[c] == 0:
-            continue
-        for p, (low, high) in zip(probabilities[c], sketches[c]):
+        for p in probabilities[c] if sizes[c] else ():
             position = p * (sizes[c] - 1)
             k = math.floor(position)
-            share = position - k
-            last = k + 1 if share > 0 else k
-            wanted[(c, p)] = (k, last, share)
-            open_brackets.append(_Bracket(c, tuple(sorted({k, last})), low, high))
+            wanted[c][p] = (k, k + 1 if position > k else k, position - k)
+
+    ranks = {c: sorted({r for k, last, _ in w.values() for r in (k, last)}) for c, w in wanted.items()}
+    values = _from_value_counts(df, {c: r for c, r in ranks.items() if c in few and r})
+    many = {c: w for c, w in wanted.items() if c not in few and w}
+    if many:
+        spans, brackets = _sketch(df.select(*many), many, accuracy)
+        values.update(_order_statistics(df.select(*many), brackets, spans, accuracy, limit))
 
-    values = _order_statistics(df, open_brackets, spans, accuracy, limit)
     result: dict[str, list[float | None]] = {}
     for c in columns:
         result[c] = []
         for p in probabilities[c]:
-            if (c, p) not in wanted:
+            if p not in wanted[c]:
                 result[c].append(None)
                 continue
-            k, last, share = wanted[(c, p)]
+            k, last, share = wanted[c][p]
             low, high = values[(c, k)], values[(c, last)]
             result[c].append(low + (high - low) * share)
     return result
@@ -80,33 +80,65 @@ def exact_medians(df: DataFrame, columns: Sequence[str], **options) -> dict[str,
     return {c: v[0] for c, v in found.items()}
 
 
-def _sketch(df, probabilities, accuracy):
-    """Row counts, (min, max) and a bracket for every wanted quantile, in one pass."""
+def _sizes(df, columns):
+    """Non-NULL rows per column, and the columns with few distinct values."""
+    aggregates = []
+    for c in columns:
+        aggregates += [f"count({quoted(c)})", f"approx_count_distinct({quoted(c)})"]
+    row = df.agg(*[F.expr(a) for a in aggregates]).first()
+    sizes = {c: row[2 * i] for i, c in enumerate(columns)}
+    return sizes, {c for i, c in enumerate(columns) if row[2 * i + 1] <= FEW_VALUES}
+
+
+def _from_value_counts(df, ranks):
+    """Order statistics of columns with few distinct values, from their value counts."""
+    if not ranks:
+        return {}
+    counted = (
+        df.select(*ranks)
+        .unpivot([], list(ranks), "column", "value")
+        .where("value IS NOT NULL")
+        .groupBy("column", "value")
+        .count()
+        .collect()
+    )
+    by_column: dict[str, list] = {}
+    for r in sorted(counted, key=lambda r: (r["column"], r["value"])):
+        by_column.setdefault(r["column"], []).append((r["value"], r["count"]))
+    values = {}
+    for c, wanted in ranks.items():
+        open_ranks, seen = list(wanted), 0
+        for value, n in by_column[c]:
+            seen += n
+            while open_ranks and open_ranks[0] < seen:
+                values[(c, open_ranks.pop(0))] = value
+    return values
+
+
+def _sketch(df, wanted, accuracy):
+    """(min, max) per column and a bracket for every wanted quantile, in one pass."""
     margin = 2.0 / accuracy
     aggregates = []
-    for c, ps in probabilities.items():
+    for c, targets in wanted.items():
         marks = []
-        for p in ps:
+        for p in targets:
             marks += [max(0.0, p - margin), min(1.0, p + margin)]
+        listed = ", ".join(double_literal(m) for m in marks)
         aggregates += [
-            F.count(c).alias(f"n:{c}"),
-            F.min(c).alias(f"lo:{c}"),
-            F.max(c).alias(f"hi:{c}"),
-            F.percentile_approx(c, marks, accuracy).alias(f"q:{c}"),
+            f"min({quoted(c)})",
+            f"max({quoted(c)})",
+            f"percentile_approx({quoted(c)}, array({listed}), {accuracy})",
         ]
-    row = df.agg(*aggregates).first().asDict()
-    sizes = {c: row[f"n:{c}"] for c in probabilities}
-    spans = {c: (row[f"lo:{c}"], row[f"hi:{c}"]) for c in probabilities}
-    sketches = {}
-    for c, ps in probabilities.items():
-        marks = row[f"q:{c}"] or []
-        pairs = []
-        for i, p in enumerate(ps[: len(marks) // 2]):
-            low = spans[c][0] if p <= margin else marks[2 * i]
-            high = spans[c][1] if p >= 1 - margin else marks[2 * i + 1]
-            pairs.append((low, high))
-        sketches[c] = pairs
-    return sizes, spans, sketches
+    row = df.agg(*[F.expr(a) for a in aggregates]).first()
+    spans, brackets = {}, []
+    for i, (c, targets) in enumerate(wanted.items()):
+        low_end, high_end, marks = row[3 * i : 3 * i + 3]
+        spans[c] = (low_end, high_end)
+        for j, (p, (k, last, _)) in enumerate(targets.items()):
+            low = low_end if p <= margin else marks[2 * j]
+            high = high_end if p >= 1 - margin else marks[2 * j + 1]
+            brackets.append(_Bracket(c, tuple(sorted({k, last})), low, high))
+    return spans, brackets
 
 
 def _order_statistics(df, brackets, spans, accuracy, limit):
@@ -145,50 +177,52 @@ def _order_statistics(df, brackets, spans, accuracy, limit):
 
 
 def _counts_at(df, edges):
-    """Rows below, and rows at or below, each ``(column, value)``."""
-    edges = sorted(edges)
-    aggregates = []
-    for i, (c, v) in enumerate(edges):
-        aggregates += [
-            F.count_if(F.col(c) < F.lit(v)).alias(f"lt{i}"),
-            F.count_if(F.col(c) <= F.lit(v)).alias(f"le{i}"),
-        ]
-    row = df.agg(*aggregates).first()
-    below = {e: row[f"lt{i}"] for i, e in enumerate(edges)}
-    upto = {e: row[f"le{i}"] for i, e in enumerate(edges)}
-    return below, upto
-
+    """Rows below, and rows at or below, each ``(column, value)``.
 
-def _interior(b: _Bracket) -> Column:
-    return (F.col(b.column) > F.lit(b.low)) & (F.col(b.column) < F.lit(b.high))
+    Every value is replaced by its place among the column's edges; the places of
+    all columns are then counted together, with partial counts before the shuffle.
+    """
+    marks: dict[str, list[float]] = {}
+    for c, v in sorted(edges):
+        marks.setdefault(c, []).append(v)
+    places = df.select(*[place_among(c, v).alias(c) for c, v in marks.items()])
+    counted = places.unpivot([], list(marks), "column", "place").groupBy("column", "place").count()
+    found = {(r["column"], r["place"]): r["count"] for r in counted.collect()}
+    below, upto = {}, {}
+    for c, values in marks.items():
+        seen = 0
+        for i, v in enumerate(values):
+            seen += found.get((c, 2 * i), 0)
+            below[(c, v)] = seen
+            seen += found.get((c, 2 * i + 1), 0)
+            upto[(c, v)] = seen
+    return below, upto
 
 
-def _any(conditions: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def _interior(b: _Bracket) -> str:
+    name = quoted(b.column)
+    return f"({name} > {double_literal(b.low)} AND {name} < {double_literal(b.high)})"
 
 
 def _rank_inside(df, held):
     """Rank the values strictly inside brackets that hold at most ``limit`` rows each."""
     if not held:
         return {}
-    tagged = [
-        F.when(
-            _interior(b),
-            F.struct(F.lit(i).alias("id"), F.col(b.column).alias("value")),
-        )
+    hits = ", ".join(
+        f"CASE WHEN {_interior(b)} THEN named_struct('id', {i}, 'value', {quoted(b.column)}) END"
         for i, (b, _, _) in enumerate(held)
-    ]
+    )
     counts = (
-        df.where(_any(_interior(b) for b, _, _ in held))
-        .select(F.explode(F.array_compact(F.array(*tagged))).alias("hit"))
-        .groupBy("hit.id", "hit.value")
+        df.where(" OR ".join(_interior(b) for b, _, _ in held))
+        .selectExpr(f"inline(array_compact(array({hits})))")
+        .groupBy("id", "value")
         .count()
     )
     upto = F.sum("count").over(
         Window.partitionBy("id").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     )
-    picks = _any(
-        (F.col("id") == i) & (F.col("upto") > r - before) & (F.col("upto") - F.col("count") <= r - before)
+    picks = " OR ".join(
+        f"(id = {i} AND upto > {r - before} AND upto - count <= {r - before})"
         for i, (b, before, _) in enumerate(held)
         for r in b.ranks
     )
@@ -207,22 +241,19 @@ def _narrow(df, held, accuracy):
         return []
     margin = 2.0 / accuracy
     aggregates = []
-    for i, (b, before, room) in enumerate(held):
+    for b, before, room in held:
         marks = []
         for r in b.ranks:
             share = (r - before + 1) / room
             marks += [max(0.0, share - margin), min(1.0, share + margin)]
-        inside = F.when(_interior(b), F.col(b.column))
-        aggregates += [
-            F.percentile_approx(inside, marks, accuracy).alias(f"q{i}"),
-            F.min(inside).alias(f"lo{i}"),
-            F.max(inside).alias(f"hi{i}"),
-        ]
-    row = df.where(_any(_interior(b) for b, _, _ in held)).agg(*aggregates).first()
+        listed = ", ".join(double_literal(m) for m in marks)
+        inside = f"CASE WHEN {_interior(b)} THEN {quoted(b.column)} END"
+        aggregates.append(F.expr(f"percentile_approx({inside}, array({listed}), {accuracy})"))
+    row = df.where(" OR ".join(_interior(b) for b, _, _ in held)).agg(*aggregates).first()
     narrowed = []
     for i, (b, _, _) in enumerate(held):
         for j, r in enumerate(b.ranks):
-            low, high = row[f"q{i}"][2 * j], row[f"q{i}"][2 * j + 1]
+            low, high = row[i][2 * j], row[i][2 * j + 1]
             narrowed.append(_Bracket(b.column, (r,), low, high))
     return narrowed
 

@@ -293,13 +293,13 @@ def score_integer(spark, d):
 
 WOE_COLUMNS = NUMERIC
 _TRAIN_IMPUTED = f"""WITH {split_cte('shares')}, {imputed_cte('s', WOE_COLUMNS, "split = 'train'")},
-t AS (SELECT * FROM i WHERE split = 'train')"""
+tr AS (SELECT * FROM i WHERE split = 'train')"""
 
 
 def _woe_sql(edges_of) -> str:
     edges = ", ".join(f"{edges_of(c)} AS {c}" for c in WOE_COLUMNS)
     rows = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, CAST({bin_of('t.' + c, 'ed.' + c)} AS INTEGER) AS bin, bad FROM t CROSS JOIN ed"
+        f"SELECT '{c}' AS feature, CAST({bin_of('tr.' + c, 'ed.' + c)} AS INTEGER) AS bin, bad FROM tr CROSS JOIN ed"
         for c in WOE_COLUMNS
     )
     every = " UNION ALL ".join(
@@ -317,14 +317,14 @@ woe AS (SELECT feature, bin, lo, hi, total, bads, goods, ROUND(dg, 6) AS dist_go
   ROUND(iv, 6) AS iv_bin, ROUND(SUM(iv) OVER (PARTITION BY feature), 6) AS iv_total, iv FROM c4)"""
 
 
-_QUANTILE_WOE = _TRAIN_IMPUTED + _woe_sql(lambda c: quantile_edges(c, "t", 10))
+_QUANTILE_WOE = _TRAIN_IMPUTED + _woe_sql(lambda c: quantile_edges(c, "tr", 10))
 
 
 def _width_edges(c: str) -> str:
     k = f"LEAST(10, COUNT(DISTINCT {c}))"
     return (
         f"(SELECT CASE WHEN MIN({c}) = MAX({c}) THEN [MIN({c})] ELSE LIST_APPEND(LIST_TRANSFORM(RANGE(0, {k}), "
-        f"lambda i: MIN({c}) + i * ((MAX({c}) - MIN({c})) / {k})), MAX({c})) END FROM t)"
+        f"lambda i: MIN({c}) + i * ((MAX({c}) - MIN({c})) / {k})), MAX({c})) END FROM tr)"
     )
 
 

@@ -9,7 +9,8 @@ from scorespark.sources.readers import table
 
 
 def _percent(c: str) -> Column:
-    return F.round(F.col(c) * 100).cast("int")
+    """Whole percent of a non-negative rate (``round`` would go through decimals)."""
+    return F.floor(F.col(c) * 100 + 0.5).cast("int")
 
 
 def _flagged(flag: str) -> Column:
