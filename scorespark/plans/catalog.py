@@ -1,6 +1,6 @@
 """All registered queries; importing this module fills the registry."""
 
-from scorespark.plans import prep_queries, score_queries  # noqa: F401
+from scorespark.plans import model_queries, prep_queries, score_queries  # noqa: F401
 from scorespark.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
