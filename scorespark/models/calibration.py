@@ -32,25 +32,18 @@ class Sigmoid:
 def fit_sigmoid(df: DataFrame, margin: str = "margin", label: str = "bad") -> Sigmoid:
     """Platt's fit: logistic regression of smoothed targets on the margin.
 
-    Each row stands for a weighted positive and a weighted negative. Equal
-    margins are counted together first, so the fit iterates over distinct
-    margins only.
+    Each row stands for a weighted positive and a weighted negative; emitting the
+    two is a narrow step, so the fit needs no shuffle.
     """
-    counted = (
-        df.groupBy(F.col(margin).cast("double").alias("margin"))
-        .agg(F.sum(label).alias("bads"), F.sum(1 - F.col(label)).alias("goods"))
-    )
-    totals = df.agg(F.sum(label), F.sum(1 - F.col(label))).first()
-    n_bad, n_good = totals[0], totals[1]
+    n_bad, n_good = df.agg(F.sum(label), F.sum(1 - F.col(label))).first()
     high, low = (n_bad + 1.0) / (n_bad + 2.0), 1.0 / (n_good + 2.0)
-    positive = F.col("bads") * high + F.col("goods") * low
-    negative = F.col("bads") * (1 - high) + F.col("goods") * (1 - low)
-    weighted = counted.select(
-        "margin",
+    target = F.when(F.col(label) == 1, high).otherwise(low)
+    weighted = df.select(
+        F.col(margin).cast("double").alias("margin"),
         F.inline(
             F.array(
-                F.struct(F.lit(1.0).alias("y"), positive.alias("weight")),
-                F.struct(F.lit(0.0).alias("y"), negative.alias("weight")),
+                F.struct(F.lit(1.0).alias("y"), target.alias("weight")),
+                F.struct(F.lit(0.0).alias("y"), (1 - target).alias("weight")),
             )
         ),
     )

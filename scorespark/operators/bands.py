@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scorespark.functions.intervals import even_edges, right_closed_bin
 from scorespark.operators.preparing import fit_rows
 from scorespark.operators.quantiles import exact_quantiles
+from scorespark.session import values_table
 from scorespark.spec import DEFAULT_SPEC, FeatureSpec
 
 BANDS = ("A", "B", "C", "D", "E")  # safest first
@@ -33,7 +34,7 @@ class BinEdges:
         for c, e in self.edges.items():
             for i in range(self.count(c)):
                 rows.append((c, i + 1, float(e[i]), float(e[min(i + 1, len(e) - 1)])))
-        return spark.createDataFrame(rows, "feature string, bin int, lo double, hi double")
+        return values_table(spark, rows, "feature string, bin int, lo double, hi double")
 
 
 def fit_quantile_bins(
@@ -168,7 +169,7 @@ def band_summary(
         F.avg(pd).alias("avg_pd"),
         F.avg(label).alias("bad_rate"),
     )
-    every = df.sparkSession.createDataFrame(
+    every = values_table(df.sparkSession, 
         [(name, i + 1) for i, name in enumerate(BANDS)], f"{band} string, band_rank int"
     )
     return every.join(found, band, "left").withColumn("n", F.coalesce("n", F.lit(0)))

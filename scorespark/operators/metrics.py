@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scorespark.functions.intervals import left_closed_bin, right_closed_bin
 from scorespark.operators.running import running_totals
+from scorespark.session import values_table
 from scorespark.spec import DEFAULT_SPEC, FeatureSpec
 
 AUC_HIGH, AUC_LOW, AUC_SUSPICIOUS = 0.90, 0.10, 0.85
@@ -165,7 +166,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, by: str | None = None)
     spans = rows.groupBy(by).agg(F.min(column).alias("_low"), F.max(column).alias("_high"))
     few = spans.take(MAX_SERIES + 1)
     if len(few) <= MAX_SERIES:
-        spans = F.broadcast(df.sparkSession.createDataFrame(few, spans.schema))
+        spans = F.broadcast(values_table(df.sparkSession, few, spans.schema))
     position = F.floor(
         F.try_divide(F.col(column) - F.col("_low"), F.col("_high") - F.col("_low")) * bins
     ).cast("int")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scorespark.functions.intervals import right_closed_bin
 from scorespark.operators.bands import BANDS, BinEdges, bin_columns
+from scorespark.session import values_table
 
 
 def psi_term(expected: Column, actual: Column) -> Column:
@@ -100,7 +101,7 @@ def validation_gate(
     bands = monotone.select("monotone").first()
     worst = psi.agg(F.max("psi").alias("psi")).first()
     spark = metrics.sparkSession
-    row = spark.createDataFrame(
+    row = values_table(spark, 
         [(numbers["auc"], numbers["ks"], worst["psi"], bands["monotone"])],
         "auc double, ks double, max_psi double, bands_monotone boolean",
     )

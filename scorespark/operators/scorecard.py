@@ -18,6 +18,7 @@ from scorespark.functions.scoring import (
     pd_to_score,
     sigmoid,
 )
+from scorespark.session import values_table
 
 
 @dataclass(frozen=True)
@@ -41,7 +42,7 @@ class LinearModel:
 
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [(c, float(w)) for c, w in self.coefficients.items()]
-        return spark.createDataFrame(rows, "feature string, coefficient double")
+        return values_table(spark, rows, "feature string, coefficient double")
 
 
 # fixed values: the frozen scorecard (features after median imputation)

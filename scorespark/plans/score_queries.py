@@ -34,7 +34,7 @@ from scorespark.plans.sql import (
 )
 from scorespark.plans.sql import r6 as sql_r6
 from scorespark.functions.scoring import POINTS_SCALE, build_score
-from scorespark.session import scratch_path, stage
+from scorespark.session import scratch_path, stage, values_table
 from scorespark.sources import sinks
 
 TEST = "split = 'test'"
@@ -167,7 +167,7 @@ def column_quantiles(spark, d):
     marks = [0.01, 0.05, 0.5, 0.95, 0.99]
     found = exact_quantiles(base(spark, d, NUMERIC), {c: marks for c in NUMERIC})
     rows = [(c, round(p * 100), v) for c in NUMERIC for p, v in zip(marks, found[c])]
-    return spark.createDataFrame(rows, "feature string, percent int, value double")
+    return values_table(spark, rows, "feature string, percent int, value double")
 
 
 @query(

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
@@ -17,6 +21,7 @@ def spark_session(app: str = "scorespark", master: str | None = None, **conf) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
@@ -45,6 +50,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId].name
 
 
+def values_table(
+    spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType
+) -> DataFrame:
+    """A small table of fitted values that the optimiser sees as a local relation of known size."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) or [()] * len(fields)
+    arrow = pa.table(
+        [pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(columns, fields)], names=fields.names
+    )
+    return spark.createDataFrame(arrow, fields)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under :func:`shared_dir`; nothing is created yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

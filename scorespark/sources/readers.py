@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorespark.operators.schema import clean_column_names, nan_to_null
+from scorespark.session import values_table
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -86,6 +87,6 @@ def contract_violations(
         out = out.unionByName(repeated)
     if broken:
         out = out.unionByName(
-            spark.createDataFrame(broken, "rule string, subject string, found bigint")
+            values_table(spark, broken, "rule string, subject string, found bigint")
         )
     return out.where(F.col("found") > 0)

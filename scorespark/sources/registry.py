@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from scorespark.session import values_table
+
 VERSIONS = (
     "version int, trained_at timestamp, code_revision string, data_hash string, auc double, ks double"
 )
@@ -22,7 +24,7 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return values_table(spark, [], schema)
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorespark.functions.hashing import canonical_text, digest60
+from scorespark.session import values_table
 
 FORMATS = ("parquet", "orc", "json", "csv")
 
@@ -63,7 +64,7 @@ def save_parameters(params: Mapping[str, Mapping[str, float]], spark, path: str,
         for kind, values in params.items()
         for name, value in values.items()
     ]
-    spark.createDataFrame(rows, "kind string, name string, value double").write.mode(mode).parquet(path)
+    values_table(spark, rows, "kind string, name string, value double").write.mode(mode).parquet(path)
 
 
 def load_parameters(spark, path: str) -> dict[str, dict[str, float]]:
