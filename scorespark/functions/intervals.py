@@ -6,7 +6,7 @@ call to the JVM instead of one per comparison.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,29 +20,30 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def place_among(column: str, edges: Sequence[float]) -> Column:
-    """Place of a value among sorted distinct edges: 0 below the first, 1 at it, 2 above it, ...
+def place_text(column: str, edges: Sequence[float], leaf: Callable[[int], str]) -> str:
+    """SQL for ``leaf(place)`` of a value among sorted distinct edges.
 
-    Nested two-way tests, so a row takes about log2(edges) comparisons. NULL stays NULL.
+    Place 0 is below the first edge, 1 at it, 2 above it, and so on. The tests are
+    nested two ways, so a row takes about log2(edges) comparisons. NULL stays NULL.
     """
     name = quoted(column)
 
     def between(low: int, high: int) -> str:
         # the value is known to lie above edge low - 1 and below edge high
         if low == high:
-            return str(2 * low)
+            return leaf(2 * low)
         middle = (low + high) // 2
         edge = double_literal(edges[middle])
         return (
             f"CASE WHEN {name} < {edge} THEN {between(low, middle)} "
-            f"WHEN {name} = {edge} THEN {2 * middle + 1} ELSE {between(middle + 1, high)} END"
+            f"WHEN {name} = {edge} THEN {leaf(2 * middle + 1)} ELSE {between(middle + 1, high)} END"
         )
 
-    return F.expr(f"CASE WHEN {name} IS NOT NULL THEN {between(0, len(edges))} END")
+    return f"CASE WHEN {name} IS NOT NULL THEN {between(0, len(edges))} END"
 
 
-def right_closed_bin(column: str, edges: Sequence[float]) -> Column:
-    """1-based bin of a value in the intervals ``(edge[i], edge[i+1]]``.
+def bin_text(column: str, edges: Sequence[float], leaf: Callable[[int], str]) -> str:
+    """SQL for ``leaf(bin)`` of a value in the intervals ``(edge[i], edge[i+1]]``, bins from 1.
 
     The lowest edge belongs to bin 1. Values outside the edges go to the first
     or last bin, so edges learned on one population can bin another one. Two
@@ -53,14 +54,19 @@ def right_closed_bin(column: str, edges: Sequence[float]) -> Column:
 
     def between(low: int, high: int) -> str:
         if low == high:
-            return str(low + 1)
+            return leaf(low + 1)
         middle = (low + high) // 2
         return (
             f"CASE WHEN {name} <= {double_literal(inner[middle])} "
             f"THEN {between(low, middle)} ELSE {between(middle + 1, high)} END"
         )
 
-    return F.expr(f"CASE WHEN {name} IS NOT NULL THEN {between(0, len(inner))} END")
+    return f"CASE WHEN {name} IS NOT NULL THEN {between(0, len(inner))} END"
+
+
+def right_closed_bin(column: str, edges: Sequence[float]) -> Column:
+    """1-based bin number, see :func:`bin_text`."""
+    return F.expr(bin_text(column, edges, str))
 
 
 def left_closed_bin(value: Column, low: float, high: float, bins: int) -> Column:

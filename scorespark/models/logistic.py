@@ -39,7 +39,7 @@ def fit_logistic(
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
-        tol=1e-9,
+        tol=1e-7,
     )
     fitted = estimator.fit(assemble(df, features, label))
     return LinearModel(

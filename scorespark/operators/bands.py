@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scorespark.functions.intervals import even_edges, right_closed_bin
+from scorespark.functions.intervals import bin_text, even_edges, right_closed_bin
 from scorespark.operators.preparing import fit_rows
 from scorespark.operators.quantiles import exact_quantiles
 from scorespark.session import values_table
@@ -146,11 +146,8 @@ class ScoreBands:
 
     def apply(self, df: DataFrame, score: str = "score", column: str = "band") -> DataFrame:
         top = max(1, len(self.edges) - 1)
-        number = right_closed_bin(score, self.edges)
-        label = F.when(F.col(score).isNull(), F.lit(None).cast("string"))
-        for i in range(1, top + 1):
-            label = label.when(number == i, BANDS[top - i])
-        return df.withColumn(column, label)
+        label = bin_text(score, self.edges, lambda number: f"'{BANDS[top - number]}'")
+        return df.withColumn(column, F.expr(label))
 
 
 def fit_bands(df: DataFrame, score: str = "score", fit_on: str = "all") -> ScoreBands:

@@ -1,69 +1,79 @@
 """Exact linear-interpolation quantiles without a per-column value map in one task.
 
 Spark's ``percentile`` keeps every distinct value of a group in one reducer.
-Columns with few distinct values are answered from their value counts. For the
-others a quantile sketch brackets each wanted order statistic, one count proves
-where it lies, and only the few values strictly inside a bracket are ranked. If a bracket still holds more than ``limit`` rows it is sketched again,
-each time shrinking by a factor of thousands. The result equals the exact
-quantile for any data, and no task ever ranks more than ``limit`` values.
+Here one pass sketches where each wanted order statistic lies, and a second pass
+counts the rows at and between the sketched values. The counts prove where the
+order statistic is; values in a short stretch are counted one by one. A stretch
+that is still too long is sketched again, each time shrinking by a factor of
+thousands. Columns with few distinct values are answered from their value
+counts. The sketch only proposes where to look, so the result is exact for any
+data, and what reaches the driver is bounded by ``limit`` values.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorespark.functions.intervals import double_literal, place_among, quoted
+from scorespark.functions.intervals import double_literal, place_text, quoted
 from scorespark.operators.running import running_totals
 
 ACCURACY = 10_000
 FEW_VALUES = 2_000
-RANK_LIMIT = 1_000_000
+LIMIT = 100_000
 
 
 @dataclass
-class _Bracket:
-    """Closed value range known, or hoped, to hold order statistics ``ranks``."""
+class _Search:
+    """One column: the ranks still wanted, sorted edges, and the stretches to list.
 
-    column: str
-    ranks: tuple[int, ...]
-    low: float
-    high: float
+    Stretch ``i`` lies strictly between edges ``i - 1`` and ``i``. Rows in a listed
+    stretch are counted per value, others only as a whole.
+    """
+
+    ranks: list[int]
+    edges: list[float]
+    listed: set[int] = field(default_factory=set)
 
 
 def exact_quantiles(
     df: DataFrame,
     probabilities: Mapping[str, Sequence[float]],
     accuracy: int = ACCURACY,
-    limit: int = RANK_LIMIT,
+    limit: int = LIMIT,
+    few_values: int = FEW_VALUES,
 ) -> dict[str, list[float | None]]:
     """Quantiles of several columns at once, NULLs ignored; an empty column gives None.
 
-    ``df`` is scanned a few times, so stage it first if it is costly.
+    ``df`` is scanned twice, or a few times more if it is very large, so stage it
+    first if it is costly.
     """
-    columns = list(probabilities)
+    columns = [c for c in probabilities if probabilities[c]]
     df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    sizes, few = _sizes(df, columns)
+    found = _sketch(df, {c: probabilities[c] for c in columns}, accuracy)
     wanted: dict[str, dict[float, tuple[int, int, float]]] = {c: {} for c in columns}
+    searches = {}
     for c in columns:
-        for p in probabilities[c] if sizes[c] else ():
-            position = p * (sizes[c] - 1)
+        rows, distinct, brackets = found[c]
+        for p in probabilities[c] if rows else ():
+            position = p * (rows - 1)
             k = math.floor(position)
             wanted[c][p] = (k, k + 1 if position > k else k, position - k)
-
-    ranks = {c: sorted({r for k, last, _ in w.values() for r in (k, last)}) for c, w in wanted.items()}
-    values = _from_value_counts(df, {c: r for c, r in ranks.items() if c in few and r})
-    many = {c: w for c, w in wanted.items() if c not in few and w}
-    if many:
-        spans, brackets = _sketch(df.select(*many), many, accuracy)
-        values.update(_order_statistics(df.select(*many), brackets, spans, accuracy, limit))
-
+        ranks = sorted({r for k, last, _ in wanted[c].values() for r in (k, last)})
+        if not ranks:
+            continue
+        if distinct <= few_values:
+            searches[c] = _Search(ranks, [], {0})
+        else:
+            searches[c] = _search(ranks, brackets, rows, accuracy, limit / len(columns))
+
+    values = _find(df, searches, accuracy, limit)
     result: dict[str, list[float | None]] = {}
-    for c in columns:
+    for c in probabilities:
         result[c] = []
         for p in probabilities[c]:
             if p not in wanted[c]:
@@ -80,182 +90,140 @@ def exact_medians(df: DataFrame, columns: Sequence[str], **options) -> dict[str,
     return {c: v[0] for c, v in found.items()}
 
 
-def _sizes(df, columns):
-    """Non-NULL rows per column, and the columns with few distinct values."""
-    aggregates = []
-    for c in columns:
-        aggregates += [f"count({quoted(c)})", f"approx_count_distinct({quoted(c)})"]
-    row = df.agg(*[F.expr(a) for a in aggregates]).first()
-    sizes = {c: row[2 * i] for i, c in enumerate(columns)}
-    return sizes, {c for i, c in enumerate(columns) if row[2 * i + 1] <= FEW_VALUES}
-
+def _shares(shares, accuracy):
+    """A SQL array of the wanted shares, each widened a little to both sides."""
+    margin = 2.0 / accuracy
+    wide = [x for p in shares for x in (max(0.0, p - margin), min(1.0, p + margin))]
+    return "array(" + ", ".join(double_literal(x) for x in wide) + ")"
 
-def _from_value_counts(df, ranks):
-    """Order statistics of columns with few distinct values, from their value counts."""
-    if not ranks:
-        return {}
-    counted = (
-        df.select(*ranks)
-        .unpivot([], list(ranks), "column", "value")
-        .where("value IS NOT NULL")
-        .groupBy("column", "value")
-        .count()
-        .collect()
-    )
-    by_column: dict[str, list] = {}
-    for r in sorted(counted, key=lambda r: (r["column"], r["value"])):
-        by_column.setdefault(r["column"], []).append((r["value"], r["count"]))
-    values = {}
-    for c, wanted in ranks.items():
-        open_ranks, seen = list(wanted), 0
-        for value, n in by_column[c]:
-            seen += n
-            while open_ranks and open_ranks[0] < seen:
-                values[(c, open_ranks.pop(0))] = value
-    return values
 
+def _sketch(df, probabilities, accuracy):
+    """Per column: rows, about how many distinct values, and a bracket per quantile.
 
-def _sketch(df, wanted, accuracy):
-    """(min, max) per column and a bracket for every wanted quantile, in one pass."""
-    margin = 2.0 / accuracy
+    The brackets at both ends reach to the extremes.
+    """
     aggregates = []
-    for c, targets in wanted.items():
-        marks = []
-        for p in targets:
-            marks += [max(0.0, p - margin), min(1.0, p + margin)]
-        listed = ", ".join(double_literal(m) for m in marks)
+    for c, ps in probabilities.items():
+        name = quoted(c)
         aggregates += [
-            f"min({quoted(c)})",
-            f"max({quoted(c)})",
-            f"percentile_approx({quoted(c)}, array({listed}), {accuracy})",
+            f"count({name})",
+            f"approx_count_distinct({name})",
+            f"min({name})",
+            f"max({name})",
+            f"percentile_approx({name}, {_shares(ps, accuracy)}, {accuracy})",
         ]
     row = df.agg(*[F.expr(a) for a in aggregates]).first()
-    spans, brackets = {}, []
-    for i, (c, targets) in enumerate(wanted.items()):
-        low_end, high_end, marks = row[3 * i : 3 * i + 3]
-        spans[c] = (low_end, high_end)
-        for j, (p, (k, last, _)) in enumerate(targets.items()):
-            low = low_end if p <= margin else marks[2 * j]
-            high = high_end if p >= 1 - margin else marks[2 * j + 1]
-            brackets.append(_Bracket(c, tuple(sorted({k, last})), low, high))
-    return spans, brackets
-
-
-def _order_statistics(df, brackets, spans, accuracy, limit):
-    """Value of every ``(column, rank)`` of the brackets."""
+    found = {}
+    for i, c in enumerate(probabilities):
+        rows, distinct, low, high, marks = row[5 * i : 5 * i + 5]
+        brackets = list(zip(marks[::2], marks[1::2])) if rows else []
+        found[c] = (rows, distinct, [(low, low), *brackets, (high, high)])
+    return found
+
+
+def _search(ranks, brackets, rows, accuracy, limit):
+    """Edges at the bracket ends; a bracket is listed if it must be short (a sketch is
+    off by at most 1 / accuracy of the rows, so a bracket spans at most 6 / accuracy)."""
+    edges = sorted({v for b in brackets for v in b})
+    listed = set()
+    if 6 * rows / accuracy * len(ranks) <= limit:
+        listed = {
+            i
+            for i in range(1, len(edges))
+            if any(low <= edges[i - 1] and edges[i] <= high for low, high in brackets)
+        }
+    return _Search(ranks, edges, listed)
+
+
+def _find(df, searches, accuracy, limit):
+    """Value of every wanted ``(column, rank)``."""
     values: dict[tuple[str, int], float] = {}
-    while brackets:
-        below, upto = _counts_at(df, {(b.column, v) for b in brackets for v in (b.low, b.high)})
-        retry, small, large = [], [], []
-        for b in brackets:
-            low, high = (b.column, b.low), (b.column, b.high)
-            inside = []
-            for r in b.ranks:
-                if below[low] <= r < upto[low]:
-                    values[(b.column, r)] = b.low
-                elif below[high] <= r < upto[high]:
-                    values[(b.column, r)] = b.high
-                elif upto[low] <= r < below[high]:
-                    inside.append(r)
-                else:
-                    missed_low = r < below[low]
-                    retry.append(
-                        _Bracket(
-                            b.column,
-                            (r,),
-                            spans[b.column][0] if missed_low else b.low,
-                            b.high if missed_low else spans[b.column][1],
-                        )
-                    )
-            if inside:
-                held = _Bracket(b.column, tuple(inside), b.low, b.high)
-                room = below[high] - upto[low]
-                (small if room <= limit else large).append((held, upto[low], room))
-        values.update(_rank_inside(df, small))
-        brackets = retry + _narrow(df, large, accuracy)
+    while searches:
+        counted = _count(df, searches)
+        stretches = []
+        for c, search in searches.items():
+            seen = 0
+            for place, value, rows in counted[c]:
+                hit = [r for r in search.ranks if seen <= r < seen + rows]
+                if hit and place % 2 == 0 and value is None:
+                    i = place // 2
+                    stretches.append((c, search.edges[i - 1], search.edges[i], seen, rows, hit))
+                elif hit:
+                    at = search.edges[place // 2] if place % 2 else value
+                    values.update({(c, r): at for r in hit})
+                seen += rows
+        searches = _narrow(df, stretches, accuracy, limit)
     return values
 
 
-def _counts_at(df, edges):
-    """Rows below, and rows at or below, each ``(column, value)``.
+def _count(df, searches):
+    """Rows at and between the edges of all columns, in one pass, in ascending order.
 
-    Every value is replaced by its place among the column's edges; the places of
-    all columns are then counted together, with partial counts before the shuffle.
+    Each row of a column becomes its place among the edges, with the value itself in
+    a listed stretch; these are counted before the shuffle.
     """
-    marks: dict[str, list[float]] = {}
-    for c, v in sorted(edges):
-        marks.setdefault(c, []).append(v)
-    places = df.select(*[place_among(c, v).alias(c) for c, v in marks.items()])
-    counted = places.unpivot([], list(marks), "column", "place").groupBy("column", "place").count()
-    found = {(r["column"], r["place"]): r["count"] for r in counted.collect()}
-    below, upto = {}, {}
-    for c, values in marks.items():
-        seen = 0
-        for i, v in enumerate(values):
-            seen += found.get((c, 2 * i), 0)
-            below[(c, v)] = seen
-            seen += found.get((c, 2 * i + 1), 0)
-            upto[(c, v)] = seen
-    return below, upto
-
-
-def _interior(b: _Bracket) -> str:
-    name = quoted(b.column)
-    return f"({name} > {double_literal(b.low)} AND {name} < {double_literal(b.high)})"
-
-
-def _rank_inside(df, held):
-    """Rank the values strictly inside brackets that hold at most ``limit`` rows each."""
-    if not held:
-        return {}
-    hits = ", ".join(
-        f"CASE WHEN {_interior(b)} THEN named_struct('id', {i}, 'value', {quoted(b.column)}) END"
-        for i, (b, _, _) in enumerate(held)
-    )
-    counts = (
-        df.where(" OR ".join(_interior(b) for b, _, _ in held))
-        .selectExpr(f"inline(array_compact(array({hits})))")
-        .groupBy("id", "value")
+    spots = []
+    for n, (c, search) in enumerate(searches.items()):
+        spot = f"named_struct('c', {n}, 'p', {{p}}, 'v', {{v}})"
+        spots.append(
+            place_text(
+                c,
+                search.edges,
+                lambda p, c=c, s=search, spot=spot: spot.format(
+                    p=p,
+                    v=quoted(c) if p % 2 == 0 and p // 2 in s.listed else "CAST(NULL AS DOUBLE)",
+                ),
+            )
+        )
+    rows = (
+        df.selectExpr(f"inline(array({', '.join(spots)}))")
+        .where("c IS NOT NULL")
+        .groupBy("c", "p", "v")
         .count()
+        .collect()
     )
-    upto = F.sum("count").over(
-        Window.partitionBy("id").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    picks = " OR ".join(
-        f"(id = {i} AND upto > {r - before} AND upto - count <= {r - before})"
-        for i, (b, before, _) in enumerate(held)
-        for r in b.ranks
-    )
-    found = {}
-    for row in counts.withColumn("upto", upto).where(picks).collect():
-        b, before, _ = held[row["id"]]
-        for r in b.ranks:
-            if row["upto"] > r - before >= row["upto"] - row["count"]:
-                found[(b.column, r)] = row["value"]
-    return found
+    names = list(searches)
+    counted: dict[str, list] = {c: [] for c in names}
+    for r in rows:
+        counted[names[r["c"]]].append((r["p"], r["v"], r["count"]))
+    return {c: sorted(found, key=lambda t: (t[0], t[1] or 0.0)) for c, found in counted.items()}
 
 
-def _narrow(df, held, accuracy):
-    """Sketch the interior of brackets that are still too full."""
-    if not held:
-        return []
-    margin = 2.0 / accuracy
-    aggregates = []
-    for b, before, room in held:
-        marks = []
-        for r in b.ranks:
-            share = (r - before + 1) / room
-            marks += [max(0.0, share - margin), min(1.0, share + margin)]
-        listed = ", ".join(double_literal(m) for m in marks)
-        inside = f"CASE WHEN {_interior(b)} THEN {quoted(b.column)} END"
-        aggregates.append(F.expr(f"percentile_approx({inside}, array({listed}), {accuracy})"))
-    row = df.where(" OR ".join(_interior(b) for b, _, _ in held)).agg(*aggregates).first()
-    narrowed = []
-    for i, (b, _, _) in enumerate(held):
-        for j, r in enumerate(b.ranks):
-            low, high = row[i][2 * j], row[i][2 * j + 1]
-            narrowed.append(_Bracket(b.column, (r,), low, high))
-    return narrowed
+def _narrow(df, stretches, accuracy, limit):
+    """Next searches: stretches that are short by count are listed, others sketched again."""
+    if not stretches:
+        return {}
+    room = limit / len(stretches)
+    brackets: dict[str, list] = {}
+    listed: dict[str, set] = {}
+    ranks: dict[str, list] = {}
+    long = []
+    for s in stretches:
+        c, low, high, _, rows, hit = s
+        ranks.setdefault(c, []).extend(hit)
+        brackets.setdefault(c, []).extend([(low, low), (high, high)])
+        if rows <= room:
+            listed.setdefault(c, set()).add((low, high))
+        else:
+            long.append(s)
+    if long:
+        aggregates = []
+        for c, low, high, before, rows, hit in long:
+            name = quoted(c)
+            inside = f"CASE WHEN {name} > {double_literal(low)} AND {name} < {double_literal(high)} THEN {name} END"
+            shares = _shares([(r - before + 1) / rows for r in hit], accuracy)
+            aggregates.append(F.expr(f"percentile_approx({inside}, {shares}, {accuracy})"))
+        marks = df.agg(*aggregates).first()
+        for (c, *_rest), found in zip(long, marks):
+            brackets[c] += list(zip(found[::2], found[1::2]))
+    searches = {}
+    for c, pairs in brackets.items():
+        edges = sorted({v for b in pairs for v in b})
+        short = {
+            i for i in range(1, len(edges)) if (edges[i - 1], edges[i]) in listed.get(c, set())
+        }
+        searches[c] = _Search(sorted(ranks[c]), edges, short)
+    return searches
 
 
 def grouped_quantiles(

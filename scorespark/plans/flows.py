@@ -23,7 +23,7 @@ from scorespark.operators import scorecard as sd
 from scorespark.operators.explain import importance_of
 from scorespark.operators.preparing import fit_imputer, fit_onehot, fit_scaler
 from scorespark.operators.splitting import fit_cuts, holdout_then_test, shares_of_all, two_way
-from scorespark.session import stage
+from scorespark.session import spread, stage
 from scorespark.sources import sinks
 from scorespark.spec import DEFAULT_SPEC, FeatureSpec
 
@@ -83,7 +83,7 @@ def scorecard_run(
     df = sc.remove_leakage(sc.clean_column_names(sc.nan_to_null(df)), spec)
     df = stage(fe.ratio_features(df), "raw")
     df = fit_cuts(df, two_way(), spec).apply(df)
-    df = stage(fit_imputer(df, spec, categorical=False).apply(df), "imputed")
+    df = stage(spread(fit_imputer(df, spec, categorical=False).apply(df)), "imputed")
     train, test = (df.where(F.col("split") == s) for s in ("train", "test"))
 
     chosen = spec.numeric(df)[:max_features]
@@ -142,7 +142,7 @@ def evaluation_run(
     names = spec.numeric(plain)
     # a ratio over a zero denominator is the only NULL engineering can leave
     plain = fit_imputer(plain, spec, categorical=False).apply(plain)
-    scaled = stage(fit_scaler(plain, spec, columns=names).apply(plain), "scaled")
+    scaled = stage(spread(fit_scaler(plain, spec, columns=names).apply(plain)), "scaled")
     train, val, test = (scaled.where(F.col("split") == s) for s in ("train", "val", "test"))
 
     logistic = fit_logistic(train, names, spec.target, max_iter=2000)

@@ -20,7 +20,7 @@ from scorespark.operators.scorecard import score_population
 from scorespark.operators.splitting import fit_cuts, shares_of_all, two_way
 from scorespark.plans.frozen import base
 from scorespark.plans.registry import query
-from scorespark.session import scratch_path, stage
+from scorespark.session import scratch_path, spread, stage
 from scorespark.sources import registry
 from scorespark.sources.sinks import dataset_hash
 from scorespark.spec import DEFAULT_SPEC
@@ -34,12 +34,13 @@ def prepared(spark, d, scheme=None, scaled=False, encoded=True, engineered=False
     df = fit_cuts(raw, scheme or two_way()).apply(raw).drop(*DEFAULT_SPEC.leakage)
     df = fit_imputer(df).apply(df)
     if engineered:
-        df = fit_imputer(engineered_df := engineer_features(df), categorical=False).apply(engineered_df)
+        df = engineer_features(df)
+        df = fit_imputer(df, categorical=False).apply(df)
     df = fit_onehot(df).apply(df) if encoded else df.drop("product_type")
     names = DEFAULT_SPEC.numeric(df)
     if scaled:
         df = fit_scaler(df).apply(df)
-    return stage(df.select(*KEEP, *names), "prepared"), names
+    return stage(spread(df.select(*KEEP, *names)), "prepared"), names
 
 
 def _parts(df, *names):
