@@ -313,7 +313,7 @@ c2 AS (SELECT *, total - bads AS goods, COUNT(*) OVER w AS k, SUM(total - bads)
   FROM c1 WINDOW w AS (PARTITION BY feature)),
 c3 AS (SELECT *, (goods + 0.5e0) / (tg + 0.5e0 * k) AS dg, (bads + 0.5e0) / (tb + 0.5e0 * k) AS db FROM c2),
 c4 AS (SELECT *, LN(dg / db) AS w, (dg - db) * LN(dg / db) AS iv FROM c3),
-woe AS (SELECT feature, bin, lo, hi, total, bads, goods, ROUND(dg, 6) AS dist_good, ROUND(db, 6) AS dist_bad, ROUND(w, 6) AS woe,
+woe AS (SELECT feature, bin, ROUND(lo, 6) AS lo, ROUND(hi, 6) AS hi, total, bads, goods, ROUND(dg, 6) AS dist_good, ROUND(db, 6) AS dist_bad, ROUND(w, 6) AS woe,
   ROUND(iv, 6) AS iv_bin, ROUND(SUM(iv) OVER (PARTITION BY feature), 6) AS iv_total, iv FROM c4)"""
 
 
@@ -328,7 +328,7 @@ def _width_edges(c: str) -> str:
     )
 
 
-_WOE_DOUBLES = ("dist_good", "dist_bad", "woe", "iv_bin", "iv_total")
+_WOE_DOUBLES = ("lo", "hi", "dist_good", "dist_bad", "woe", "iv_bin", "iv_total")
 
 
 @query(_QUANTILE_WOE + " SELECT * EXCLUDE (iv) FROM woe")
