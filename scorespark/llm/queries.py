@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorespark.llm import exact_dedup, quality
+from scorespark.llm import decontaminate, exact_dedup, mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +23,18 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality, op4_exact_dedup)}
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), with_text=False)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (op1_quality, op4_exact_dedup, op5_decontaminate, op8_mixing)
+}
 
 SQL: dict[str, str] = {
     "op4_exact_dedup": r"""
