@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorespark.llm import decontaminate, exact_dedup, mixing, quality
+from scorespark.llm import decontaminate, exact_dedup, mixing, near_dedup, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(_table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -33,7 +37,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality, op4_exact_dedup, op5_decontaminate, op8_mixing)
+    f.__name__: f for f in (op1_quality, op2_near_dedup, op4_exact_dedup, op5_decontaminate, op8_mixing)
 }
 
 SQL: dict[str, str] = {

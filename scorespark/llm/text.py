@@ -145,7 +145,7 @@ def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     owners = words.owners()
     total = np.zeros(n, dtype=np.uint64)
-    for k, factor in enumerate(factors):
+    for k, factor in enumerate(factors[:n]):
         total[: n - k] += mix(hashes[k:] + np.uint64(k)) * factor
     left = np.repeat(first[1:], counts) - np.arange(n)  # words from here to the end of the text
     full = left >= width
