@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorespark.llm import decontaminate, exact_dedup, mixing, near_dedup, quality
+from scorespark.llm import decontaminate, exact_dedup, html_main, mixing, near_dedup, quality, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op3_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -36,8 +40,21 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.suffix_sums(token_counts.length_histogram(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality, op2_near_dedup, op4_exact_dedup, op5_decontaminate, op8_mixing)
+    f.__name__: f
+    for f in (
+        op1_quality,
+        op2_near_dedup,
+        op3_html_main,
+        op4_exact_dedup,
+        op5_decontaminate,
+        op8_mixing,
+        op9_token_counts,
+    )
 }
 
 SQL: dict[str, str] = {
