@@ -2,16 +2,17 @@
 
 The text of a document is its tokens: words with A-Z lowered, then one end. A token
 is coded by yes-no decisions along a Huffman code: the ``VOCABULARY`` most frequent
-training words, the end and an escape share one tree; an escaped word is spelled in
+training words that occur ``LEAST_COUNT`` times or more, the end and an escape share one tree; an escaped word is spelled in
 bytes along a second tree and closed by a blank, so every text has a probability.
 
-* Every decision is predicted by three bit predictors. Each looks up, under a hash
+* Every decision is predicted by four bit predictors. Each looks up, under a hash
   of its context and the tree node, how often training texts went either way: for
-  words the contexts are none, the last word and the last two words, for bytes the
-  last two, the last four and the word so far. Counts are gathered from all
+  words the contexts are none, the last very frequent word (which tells the language),
+  the last word and the last two words, for bytes the last two, the last four, the
+  word so far and the word so far after that frequent word. Counts are gathered from all
   training documents and added up block by block.
 * Predictions (log odds) are combined by weights chosen by a gate: the tree and how
-  sure the two longer predictors are. Gate weights are fitted on
+  sure the two longest predictors are. Gate weights are fitted on
   ``CALIBRATION_DOCS`` training documents that the counts leave out (those of at most
   ``CALIBRATION_BYTES`` bytes with the smallest hash of doc_id).
 * While a document is scored its weights are refined online, after every block of
@@ -45,10 +46,13 @@ from scorespark.llm.text import Words, bounded_batches, buffers, documents_view,
 from scorespark.session import stage
 
 VOCABULARY = 1 << 16
+LEAST_COUNT = 3
+#: Words that serve as the context "last very frequent word".
+MARKERS = 64
 BASE_WORDS = 1 << 20
 SLOTS_LOG = 21
 TABLE_BLOCK = 1 << 12
-PREDICTORS = 3
+PREDICTORS = 4
 GATES = 32
 STEP = 256
 ONLINE_RATE = 0.6
@@ -97,6 +101,7 @@ class Code:
 
     words: np.ndarray  # sorted hashes
     symbols: np.ndarray  # symbol of each
+    markers: int  # symbols below this are the very frequent words
     escape: int
     end: int
     byte: int  # symbol of byte value 0
@@ -116,6 +121,7 @@ def make_code(hashes: np.ndarray, counts: list[int], escaped: int, ends: int) ->
     return Code(
         hashes[order],
         order.astype(np.int64),
+        min(MARKERS, k),
         k,
         k + 1,
         k + 2,
@@ -161,6 +167,12 @@ class Decisions:
         last2[1:] = last1[:-1]
         last2[first] = _BEGIN_HASH
 
+        # of each token, the last marker before it in its text
+        seen = np.where(symbol < code.markers, np.arange(n + docs), -1)
+        latest = np.maximum.accumulate(np.concatenate([[-1], seen[:-1]])) if n + docs else seen
+        begins = np.repeat(np.flatnonzero(first), words.counts + 1)
+        marker = np.where(latest >= begins, token[np.maximum(latest, 0)], _BEGIN_HASH)
+
         spelled = np.flatnonzero(symbol[place] == code.escape)
         size = np.ones(n + docs, dtype=np.int64)
         size[place[spelled]] += words.ends[spelled] - words.starts[spelled] + 1
@@ -170,8 +182,9 @@ class Decisions:
         context = np.empty((PREDICTORS, total), dtype=np.uint32)
         self.symbol[out] = symbol
         context[0, out] = 1
-        context[1, out] = last1 >> np.uint64(32)
-        context[2, out] = mix(last1 * np.uint64(3) + last2) >> np.uint64(32)
+        context[1, out] = marker >> np.uint64(32)
+        context[2, out] = last1 >> np.uint64(32)
+        context[3, out] = mix(last1 * np.uint64(3) + last2) >> np.uint64(32)
         if len(spelled):
             lengths = words.ends[spelled] - words.starts[spelled] + 1
             inside = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -188,7 +201,9 @@ class Decisions:
             two = before(1) | before(2) << np.uint32(8)
             context[0, to] = two + np.uint32(2)
             context[1, to] = (two | before(3) << np.uint32(16) | before(4) << np.uint32(24)) * np.uint32(0x85EBCA6B)
-            context[2, to] = words.spans(begin, at) >> np.uint64(32)
+            so_far = words.spans(begin, at) >> np.uint64(32)
+            context[2, to] = so_far
+            context[3, to] = so_far + np.repeat(marker[place[spelled]] >> np.uint64(33), lengths)
         self.context = context
         self.bits = code.length[self.symbol]
         ends_at = np.concatenate([[0], np.cumsum(self.bits)])
@@ -210,7 +225,7 @@ class Decisions:
 
 def gates(stretched: list[np.ndarray], spelling: np.ndarray) -> np.ndarray:
     out = spelling.astype(np.int64) * 16
-    for k, factor in ((1, 4), (2, 1)):
+    for k, factor in ((2, 4), (3, 1)):
         sure = np.abs(stretched[k])
         out += factor * ((sure > 0.05).astype(np.int8) + (sure > 1.5) + (sure > 3.5))
     return out
@@ -265,7 +280,7 @@ def score_batch(decisions: Decisions, model: Model) -> np.ndarray:
 
 
 def fit_gate_weights(decisions: Decisions, tables: np.ndarray, rounds: int = 12) -> np.ndarray:
-    """Logistic regression of outcomes on the three log odds for each gate, by Newton steps."""
+    """Logistic regression of outcomes on the log odds for each gate, by Newton steps."""
     weights = np.full((GATES, PREDICTORS), 0.4)
     if not len(decisions.node):
         return weights
@@ -483,6 +498,7 @@ def fit_model(docs: DataFrame, vocabulary: int = VOCABULARY, base_words: int = B
     data, offsets = buffers(table.column("word").combine_chunks() if table.num_rows else pa.array([], pa.binary()))
     hashes = Words(data, offsets, lower=False).spans(offsets[:-1], offsets[1:])
     n = np.asarray(table.column("n"), dtype=np.int64)
+    vocabulary = min(vocabulary, int((n >= LEAST_COUNT).sum()))
     coded = n[:vocabulary]
     code = make_code(hashes[:vocabulary], coded.tolist(), int(total - ends - coded.sum()), ends)
 
