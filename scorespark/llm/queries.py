@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorespark.llm import decontaminate, exact_dedup, html_main, lm_score, mixing, near_dedup, quality, token_counts
+from scorespark.llm import decontaminate, exact_dedup, html_main, lm_score, mixing, near_dedup, pii, quality, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.lm_scores(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Query] = {
         op3_html_main,
         op4_exact_dedup,
         op5_decontaminate,
+        op6_pii,
         op7_lm_score,
         op8_mixing,
         op9_token_counts,
