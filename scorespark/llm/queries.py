@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorespark.llm import decontaminate, exact_dedup, html_main, lm_score, mixing, near_dedup, pii, quality, token_counts
+from scorespark.llm import decontaminate, exact_dedup, html_main, lm_score, mixing, near_dedup, pii, quality, suffix_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.length_histogram(_table(spark, sf_dir, "documents")))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stretches = suffix_dedup.repeated_stretches(_table(spark, sf_dir, "documents"))
+    return stretches.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -64,6 +69,7 @@ QUERIES: dict[str, Query] = {
         op7_lm_score,
         op8_mixing,
         op9_token_counts,
+        op10_suffix_dedup,
     )
 }
 
