@@ -20,6 +20,10 @@ from scorespark.session import stage
 from scorespark.spec import DEFAULT_SPEC, FeatureSpec
 
 
+#: Probabilities are kept this far from 0 and 1 before their log odds are taken.
+CLIP = 1e-6
+
+
 @dataclass(frozen=True)
 class Sigmoid:
     slope: float
@@ -133,11 +137,10 @@ def calibrate_model(df: DataFrame, method: str = "isotonic", score: str = "pd",
         fitted = fit_isotonic(df, score, label)
         return lambda other: fitted.apply(other, score)
     if method == "sigmoid":
-        logit = F.ln(F.col(score) / (1 - F.col(score)))
-        clipped = df.where((F.col(score) > 0) & (F.col(score) < 1))
-        curve = fit_sigmoid(clipped.withColumn("margin", logit), "margin", label)
-        near = F.least(F.greatest(F.col(score), F.lit(1e-12)), F.lit(1 - 1e-12))
-        return lambda other: other.withColumn(
-            "pd_calibrated", curve.apply(F.ln(near / (1 - near)))
-        )
+        # on the log odds for every model; probabilities of exactly 0 or 1 are moved off the
+        # border, in the fit as in use, so no row is left out
+        near = F.least(F.greatest(F.col(score), F.lit(CLIP)), F.lit(1 - CLIP))
+        log_odds = F.ln(near / (1 - near))
+        curve = fit_sigmoid(df.select(label, log_odds.alias("margin")), "margin", label)
+        return lambda other: other.withColumn("pd_calibrated", curve.apply(log_odds))
     raise ValueError(f"unknown calibration method '{method}'")

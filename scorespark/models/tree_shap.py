@@ -1,16 +1,16 @@
 """Exact tree attributions for forests and boosted trees.
 
 A leaf depends on a row only through which of its path's features satisfy all
-their tests - at most 2**depth patterns. The attribution of every pattern is
-worked out once per leaf on the driver; executors then only compare values with
-thresholds and look the pattern up, batch by batch.
+their tests. For every such pattern that occurs in a batch the attributions come
+from one polynomial per feature, whose coefficients group the feature subsets by
+size; no table over all patterns is built, so any depth works. The driver only
+reads the fitted trees.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import combinations
 from math import factorial
 
 import numpy as np
@@ -18,107 +18,103 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_TABLE_BYTES = 256 * 1024 * 1024
+from scorespark.session import scratch_path
 
 
 @dataclass(frozen=True)
 class Leaf:
-    """Interval tests per path feature and the attribution of every pattern."""
+    """Interval tests per path feature, the share of rows that pass each, and the leaf's value."""
 
     features: np.ndarray  # m feature numbers
     low: np.ndarray  # value > low ...
     high: np.ndarray  # ... and value <= high
-    table: np.ndarray  # 2**m rows of m attributions
-
-
-def _leaf_table(value: float, cover: Sequence[float]) -> np.ndarray:
-    m = len(cover)
-    table = np.zeros((1 << m, max(m, 1)))
-    for pattern in range(1 << m):
-        one = [(pattern >> j) & 1 for j in range(m)]
-        for j in range(m):
-            others = [k for k in range(m) if k != j]
-            total = 0.0
-            for size in range(m):
-                weight = factorial(size) * factorial(m - size - 1) / factorial(m)
-                for chosen in combinations(others, size):
-                    term = 1.0
-                    for k in others:
-                        term *= one[k] if k in chosen else cover[k]
-                    total += weight * term
-            table[pattern, j] = value * (one[j] - cover[j]) * total
-    return table
-
-
-def _walk(node, path, weight, positive, leaves):
-    """Collect leaves below ``node``; ``path`` maps feature -> [low, high, cover ratio]."""
-    if node.subtreeDepth() == 0:
-        value = positive(node) * weight
-        names = sorted(path)
-        cover = [path[f][2] for f in names]
-        leaves.append(
-            (
-                Leaf(
-                    np.array(names, dtype=int),
-                    np.array([path[f][0] for f in names]),
-                    np.array([path[f][1] for f in names]),
-                    _leaf_table(value, cover),
-                ),
-                value * float(np.prod(cover)) if cover else value,
-            )
-        )
-        return
-    feature, threshold = node.split().featureIndex(), node.split().threshold()
-    size = node.impurityStats().count()
-    for child, is_left in ((node.leftChild(), True), (node.rightChild(), False)):
+    cover: np.ndarray
+    value: float
+
+
+def pattern_attributions(holds: np.ndarray, cover: np.ndarray, value: float) -> np.ndarray:
+    """Attribution of each path feature (columns) for rows of tests that hold or not.
+
+    The product of ``cover + holds * t`` over the other features has, as the
+    coefficient of ``t ** s``, the sum over all subsets of size s.
+    """
+    rows, m = holds.shape
+    out = np.empty((rows, m))
+    weights = np.array([factorial(s) * factorial(m - 1 - s) / factorial(m) for s in range(m)])
+    for j in range(m):
+        sums = np.zeros((rows, m))
+        sums[:, 0] = 1.0
+        for k in range(m):
+            if k != j:
+                sums[:, 1:] = sums[:, 1:] * cover[k] + sums[:, :-1] * holds[:, k, None]
+                sums[:, 0] *= cover[k]
+        out[:, j] = value * (holds[:, j] - cover[j]) * (sums @ weights)
+    return out
+
+
+def _leaves_of(nodes: dict, value_of, count_of, weight: float) -> Iterator[Leaf]:
+    """Leaves of one tree; a path maps feature -> (low, high, cover)."""
+    waiting: list[tuple[int, dict]] = [(0, {})]
+    while waiting:
+        number, path = waiting.pop()
+        node = nodes[number]
+        if node["leftChild"] < 0:
+            names = sorted(path)
+            low, high, cover = (np.array([path[f][i] for f in names]) for i in range(3))
+            yield Leaf(np.array(names, dtype=int), low, high, cover, value_of(node) * weight)
+            continue
+        feature, threshold = node["split"]["featureIndex"], node["split"]["leftCategoriesOrThreshold"][0]
         low, high, cover = path.get(feature, (-np.inf, np.inf, 1.0))
-        share = child.impurityStats().count() / size
-        bounds = (low, min(high, threshold)) if is_left else (max(low, threshold), high)
-        _walk(child, {**path, feature: (*bounds, cover * share)}, weight, positive, leaves)
+        for child, bounds in (
+            (node["leftChild"], (low, min(high, threshold))),
+            (node["rightChild"], (max(low, threshold), high)),
+        ):
+            share = count_of(nodes[child]) / count_of(node)
+            waiting.append((child, {**path, feature: (*bounds, cover * share)}))
 
 
-def explain_leaves(model) -> tuple[list[Leaf], float]:
+def explain_leaves(spark, model) -> tuple[list[Leaf], float]:
     """All leaves of the ensemble and the base value.
 
     A forest is explained on the class-1 probability, boosted trees on the raw
-    margin. The tables must stay below ``MAX_TABLE_BYTES``: they are sent to
-    every executor and their size depends on trees and depth, not on the data.
+    margin. The trees are read from the saved model, one row per node.
     """
+    path = scratch_path(spark, "trees")
+    model.write().save(path)
+    trees: dict[int, dict] = {}
+    for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData").toLocalIterator():
+        node = row["nodeData"].asDict(recursive=True)
+        trees.setdefault(row["treeID"], {})[node["id"]] = node
     weights = list(model.treeWeights)
-    boosted = type(model).__name__.startswith("GBT")
-    if boosted:
-        positive = lambda node: node.prediction()
+    if type(model).__name__.startswith("GBT"):
+        value_of, count_of = lambda n: n["prediction"], lambda n: n["impurityStats"][0]
     else:
         weights = [w / sum(weights) for w in weights]
-        positive = lambda node: node.impurityStats().stats()[1] / sum(node.impurityStats().stats())
-    found: list = []
-    for tree, weight in zip(model.trees, weights):
-        _walk(tree._call_java("rootNode"), {}, weight, positive, found)
-    leaves = [leaf for leaf, _ in found]
-    size = sum(leaf.table.nbytes for leaf in leaves)
-    if size > MAX_TABLE_BYTES:
-        raise ValueError(f"attribution tables need {size} bytes; use shallower or fewer trees")
-    return leaves, float(sum(base for _, base in found))
+        value_of, count_of = lambda n: n["impurityStats"][1] / sum(n["impurityStats"]), lambda n: sum(n["impurityStats"])
+    leaves = [leaf for k in sorted(trees) for leaf in _leaves_of(trees[k], value_of, count_of, weights[k])]
+    return leaves, float(sum(leaf.value * np.prod(leaf.cover) for leaf in leaves))
 
 
 def attributions(values: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
     """Attribution matrix of a batch of rows."""
     out = np.zeros(values.shape)
     for leaf in leaves:
-        m = len(leaf.features)
-        if m == 0:
+        if not len(leaf.features):
             continue
         x = values[:, leaf.features]
         holds = (x > leaf.low) & (x <= leaf.high)
-        pattern = holds @ (1 << np.arange(m))
-        out[:, leaf.features] += leaf.table[pattern]
+        code = np.packbits(holds, axis=1).astype(np.int64)
+        key = code @ (256 ** np.arange(code.shape[1]))
+        _, first, which = np.unique(key, return_index=True, return_inverse=True)
+        found = pattern_attributions(holds[first].astype(float), leaf.cover, leaf.value)
+        out[:, leaf.features] += found[which]
     return out
 
 
 def tree_shap(model, df: DataFrame, features: Sequence[str], key: str = "dummy_id") -> DataFrame:
     """Long attributions ``(key, feature, value, phi)`` and the base value as ``base``."""
     names = list(features)
-    leaves, base = explain_leaves(model)
+    leaves, base = explain_leaves(df.sparkSession, model)
     shared = df.sparkSession.sparkContext.broadcast(leaves)
     schema = f"`{key}` {df.schema[key].dataType.simpleString()}, value array<double>, phi array<double>"
 

@@ -81,9 +81,14 @@ def discrimination(
 
 
 def roc_points(
-    df: DataFrame, score: str = "pd", label: str = "bad", keys: Sequence[str] = ()
+    df: DataFrame, score: str = "pd", label: str = "bad", keys: Sequence[str] = (), places: int | None = None
 ) -> DataFrame:
-    """(threshold, fpr, tpr) for "score at or above threshold", plus the origin (NULL threshold)."""
+    """(threshold, fpr, tpr) for "score at or above threshold", plus the origin (NULL threshold).
+
+    With ``places``, scores equal to that many decimal places are one threshold.
+    """
+    if places is not None:
+        df = df.withColumn(score, F.round(score, places))
     curve = class_curve(df, score, label, keys)
     above = lambda c: F.try_divide(
         F.col(f"{c}_total") - F.col(f"{c}_upto") + F.col(c), F.col(f"{c}_total")

@@ -135,20 +135,31 @@ def value_ranges(df: DataFrame, columns: Sequence[str], period: Column) -> DataF
 def retraining_rows(
     audit: DataFrame, outcomes: DataFrame, window_days: int, key: str = "applicant_id"
 ) -> DataFrame:
-    """Scored applicants with the outcome observed in their performance window.
+    """Scored requests with the first outcome observed in their performance window.
 
-    ``audit`` and ``outcomes`` hold one row per applicant, so the join keeps the
-    number of rows; the time condition is checked on the joined row.
+    An applicant may have any number of requests and outcomes. Both are put on one
+    time line and every request looks ahead to the next outcome, so a request has
+    at most one row and rows are never multiplied. Of outcomes at the same time the
+    larger label counts.
     """
-    observed = F.col("observed_at")
-    scored = F.col("scored_at")
-    inside = (observed >= scored) & (observed < scored + F.make_dt_interval(F.lit(window_days)))
-    return audit.join(outcomes, key).where(inside)
+    columns = [c for c in audit.columns if c != key]
+    asked = audit.select(key, F.col("scored_at").alias("_at"), F.lit(0).alias("_later"), F.struct(*columns).alias("_asked"))
+    seen = outcomes.groupBy(key, "observed_at").agg(F.max("bad").alias("bad")).select(
+        key, F.col("observed_at").alias("_at"), F.lit(1).alias("_later"), F.struct("observed_at", "bad").alias("_seen")
+    )
+    line = asked.unionByName(seen, allowMissingColumns=True)
+    # backwards in time, so the next outcome is the last one passed
+    back = Window.partitionBy(key).orderBy(F.col("_at").desc(), F.col("_later").desc())
+    passed = back.rowsBetween(Window.unboundedPreceding, -1)
+    found = line.withColumn("_next", F.last("_seen", ignorenulls=True).over(passed)).where("_later = 0")
+    until = F.col("_at") + F.make_dt_interval(F.lit(window_days))
+    return found.where(F.col("_next.observed_at") < until).select(key, "_asked.*", "_next.observed_at", "_next.bad")
 
 
 def realised_vs_predicted(audit: DataFrame, outcomes: DataFrame, key: str = "applicant_id") -> DataFrame:
     """Mean PD and realised bad rate per band, with the applicants not yet observed."""
-    joined = audit.join(outcomes.select(key, "bad"), key, "left")
+    known = outcomes.groupBy(key).agg(F.max("bad").alias("bad"))  # bad once is bad
+    joined = audit.join(known, key, "left")
     return joined.groupBy("band").agg(
         F.count("*").alias("n_scored"),
         F.count("bad").alias("n_observed"),
@@ -160,7 +171,7 @@ def realised_vs_predicted(audit: DataFrame, outcomes: DataFrame, key: str = "app
 
 def pending_outcomes(audit: DataFrame, outcomes: DataFrame, key: str = "applicant_id") -> DataFrame:
     """Scored applicants without any outcome yet."""
-    return audit.join(outcomes.select(key), key, "left_anti")
+    return audit.join(outcomes.select(key).distinct(), key, "left_anti")
 
 
 def shadow_pairs(audit: DataFrame, champion: int, challenger: int, key: str = "request_id") -> DataFrame:

@@ -165,12 +165,25 @@ def grouped_scaling(df: DataFrame, group: str, columns: Sequence[str]) -> DataFr
             )
         ),
     )
+    # centred moments of the other groups are merged, never squares of means subtracted
     every = Window.partitionBy("feature")
-    n, mean, var = F.col("n"), F.col("mean"), F.col("var")
-    outside = lambda x: F.sum(x).over(every) - x
-    rest = outside(n)
-    rest_mean = outside(n * mean) / rest
-    variance = outside(n * (var + mean * mean)) / rest - rest_mean * rest_mean
+    others = long.withColumn("parts", F.collect_list(F.struct(group, "mean", "var", "n")).over(every)).withColumn(
+        "parts", F.filter("parts", lambda x: (x[group] != F.col(group)) & (x["n"] > 0))
+    )
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def merged(acc, x):
+        n = acc["n"] + x["n"]
+        step = x["mean"] - acc["mean"]
+        return F.struct(
+            n.alias("n"),
+            (acc["mean"] + step * x["n"] / n).alias("mean"),
+            (acc["m2"] + x["var"] * x["n"] + step * step * acc["n"] * x["n"] / n).alias("m2"),
+        )
+
+    long = others.withColumn("rest", F.aggregate("parts", zero, merged))
+    rest_mean = F.when(F.col("rest.n") > 0, F.col("rest.mean"))
+    variance = F.col("rest.m2") / F.col("rest.n")
     return long.select(
         group,
         "feature",

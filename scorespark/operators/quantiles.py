@@ -25,6 +25,8 @@ from scorespark.operators.running import running_totals
 ACCURACY = 10_000
 FEW_VALUES = 2_000
 LIMIT = 100_000
+#: Columns whose places are worked out by one piece of generated code.
+COLUMNS_AT_A_TIME = 6
 
 
 @dataclass
@@ -160,7 +162,9 @@ def _count(df, searches):
     """Rows at and between the edges of all columns, in one pass, in ascending order.
 
     Each row of a column becomes its place among the edges, with the value itself in
-    a listed stretch; these are counted before the shuffle.
+    a listed stretch; these are counted before the shuffle. A few columns at a time
+    make a branch of the plan with its own scan of just these columns, so generated
+    code does not grow with the width of the table.
     """
     spots = []
     for n, (c, search) in enumerate(searches.items()):
@@ -175,13 +179,12 @@ def _count(df, searches):
                 ),
             )
         )
-    rows = (
-        df.selectExpr(f"inline(array({', '.join(spots)}))")
-        .where("c IS NOT NULL")
-        .groupBy("c", "p", "v")
-        .count()
-        .collect()
-    )
+    long = None
+    for first in range(0, len(spots), COLUMNS_AT_A_TIME):
+        some = ", ".join(spots[first : first + COLUMNS_AT_A_TIME])
+        part = df.selectExpr(f"inline(array({some}))").where("c IS NOT NULL").groupBy("c", "p", "v").count()
+        long = part if long is None else long.unionAll(part)
+    rows = long.collect()
     names = list(searches)
     counted: dict[str, list] = {c: [] for c in names}
     for r in rows:
@@ -236,7 +239,14 @@ def grouped_quantiles(
     Columns are named ``<prefix><percent>``, e.g. ``p95``.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    ranked = running_totals(counts, keys, value, ["n"])
+    return counted_quantiles(counts, keys, value, "n", probabilities, prefix)
+
+
+def counted_quantiles(
+    counts: DataFrame, keys: Sequence[str], value: str, n: str, probabilities: Sequence[float], prefix: str = "p"
+) -> DataFrame:
+    """:func:`grouped_quantiles` from rows ``(keys, value, n)``: each distinct value of a group and its count."""
+    ranked = running_totals(counts.select(*keys, value, F.col(n).alias("n")), keys, value, ["n"])
     start = F.col("n_upto") - F.col("n")
     lows, highs, shares = {}, {}, {}
     for p in probabilities:

@@ -120,9 +120,20 @@ def fit_cuts(
     spec: FeatureSpec = DEFAULT_SPEC,
     seed: int = RANDOM_STATE,
     limit: int = BUCKET_LIMIT,
+    unlabelled: str = "raise",
 ) -> StratifiedCuts:
-    """Find the cut-off hashes of ``scheme`` on ``df`` (key and label are scanned)."""
+    """Find the cut-off hashes of ``scheme`` on ``df`` (key and label are scanned).
+
+    Rows without a label belong to no class and so to no part: they are an error,
+    unless ``unlabelled="leave"`` asks for the part NULL.
+    """
     names, ranks_of = scheme
+    if unlabelled not in ("raise", "leave"):
+        raise ValueError(f"unknown treatment of unlabelled rows '{unlabelled}'")
+    if unlabelled == "raise":
+        missing = df.where(F.col(spec.target).isNull()).count()
+        if missing:
+            raise ValueError(f"{missing} rows have no label '{spec.target}'; drop them or pass unlabelled='leave'")
     hashed = df.where(F.col(spec.target).isNotNull()).select(
         F.col(spec.target).alias("klass"), order_key(spec.key, seed).alias("h")
     )

@@ -40,18 +40,10 @@ def prepare_run(spark, d):
 
 @query()
 def scorecard_run(spark, d):
-    metrics, _ = flows.scorecard_run(
-        applicants(spark, d), scratch_path(spark, "scorecard-run"), forest={"trees": 30}
-    )
+    metrics, _ = flows.scorecard_run(applicants(spark, d), scratch_path(spark, "scorecard-run"))
     return metrics
 
 
 @query()
 def evaluation_run(spark, d):
-    done = flows.evaluation_run(
-        applicants(spark, d),
-        scratch_path(spark, "evaluation-run"),
-        forest={"trees": 10},
-        boosting={"trees": 5},
-    )
-    return done.metrics
+    return flows.evaluation_run(applicants(spark, d), scratch_path(spark, "evaluation-run")).metrics

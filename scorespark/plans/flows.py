@@ -43,7 +43,8 @@ def prepare_run(df: DataFrame, out: str, spec: FeatureSpec = DEFAULT_SPEC) -> Pr
 
     The splits are saved under ``out/processed``, the fitted numbers under ``out/parameters``.
     """
-    df = sc.remove_leakage(sc.clean_column_names(sc.nan_to_null(sc.ensure_target(df, spec))), spec)
+    df = sc.ensure_target(sc.nan_to_null(sc.clean_column_names(df)), spec)
+    df = sc.remove_leakage(df, spec)
     df = fe.ratio_features(df)
     if {"total_risk_score", "dim_emotional_understanding"} <= set(df.columns):
         df = fe.interactions(df, {"risk_x_dim_emo": fe.PRODUCTS["risk_x_dim_emo"]})
@@ -80,10 +81,10 @@ def scorecard_run(
     ``max_features=None, scale=True`` uses every numeric feature, standardised
     inside the folds. Writes the test scores, the band summary and metrics.json.
     """
-    df = sc.remove_leakage(sc.clean_column_names(sc.nan_to_null(df)), spec)
+    df = sc.remove_leakage(sc.nan_to_null(sc.clean_column_names(df)), spec)
     df = stage(fe.ratio_features(df), "raw")
     df = fit_cuts(df, two_way(), spec).apply(df)
-    df = stage(spread(fit_imputer(df, spec, categorical=False).apply(df)), "imputed")
+    df = stage(spread(fit_imputer(df, spec, categorical=False).apply(df), spec.key), "imputed")
     train, test = (df.where(F.col("split") == s) for s in ("train", "test"))
 
     chosen = spec.numeric(df)[:max_features]
@@ -133,7 +134,7 @@ def evaluation_run(
     """
     forest = {"trees": 300, "depth": 6, "min_leaf": 20, **(forest or {})}
     boosting = {"trees": 300, "depth": 4, "rate": 0.05, **(boosting or {})}
-    df = stage(sc.remove_leakage(sc.clean_column_names(sc.nan_to_null(df)), spec), "raw")
+    df = stage(sc.remove_leakage(sc.nan_to_null(sc.clean_column_names(df)), spec), "raw")
     df = fit_cuts(df, shares_of_all(), spec).apply(df)
     df = fit_imputer(df, spec).apply(df)
     df = fit_onehot(df, spec).apply(df)
@@ -142,7 +143,7 @@ def evaluation_run(
     names = spec.numeric(plain)
     # a ratio over a zero denominator is the only NULL engineering can leave
     plain = fit_imputer(plain, spec, categorical=False).apply(plain)
-    scaled = stage(spread(fit_scaler(plain, spec, columns=names).apply(plain)), "scaled")
+    scaled = stage(spread(fit_scaler(plain, spec, columns=names).apply(plain), spec.key), "scaled")
     train, val, test = (scaled.where(F.col("split") == s) for s in ("train", "val", "test"))
 
     logistic = fit_logistic(train, names, spec.target, max_iter=2000)

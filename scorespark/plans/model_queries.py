@@ -102,7 +102,7 @@ def rf_metrics(spark, d):
 def gbt_metrics(spark, d):
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
-    model = bm.fit_boosting(train, names, trees=20)
+    model = bm.fit_boosting(train, names)
     return discrimination(bm.predict_pd(model, test, names, "bad"))
 
 
@@ -118,7 +118,7 @@ def mlp_metrics(spark, d):
 def model_compare(spark, d):
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
-    return bm.compare_models(train, test, names, forest={"trees": 30}, boosting={"trees": 10})
+    return bm.compare_models(train, test, names)
 
 
 @query()
@@ -127,7 +127,7 @@ def evaluate_all_variants(spark, d):
     df, names = prepared(spark, d, shares_of_all(), scaled=True, engineered=True)
     train, val, test = _parts(df, "train", "val", "test")
     scorers = bm.fit_scorers(
-        train, names, forest={"trees": 30, "depth": 6, "min_leaf": 20}, boosting={"trees": 10, "rate": 0.05}
+        train, names, forest={"trees": 300, "depth": 6, "min_leaf": 20}, boosting={"trees": 300, "depth": 4, "rate": 0.05}
     )
     return bm.evaluate_all(scorers, val, test)
 
@@ -137,7 +137,7 @@ def shap_tree(spark, d):
     """Mean absolute attribution per feature of a forest, over all test rows."""
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
-    model = bm.fit_forest(train, names, trees=20)
+    model = bm.fit_forest(train, names)
     return importance_of(tree_shap(model, test, names))
 
 
@@ -146,7 +146,7 @@ def shap_tree_values(spark, d):
     """Attributions of boosted trees, long form."""
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
-    model = bm.fit_boosting(train, names, trees=10, depth=4)
+    model = bm.fit_boosting(train, names)
     return tree_shap(model, test, names)
 
 

@@ -17,6 +17,7 @@ from scorespark.operators.splitting import two_way
 from scorespark.plans.frozen import MODEL_INPUTS, base, frozen_scores, frozen_scores_all, split_base
 from scorespark.plans.registry import query, r6, rounded
 from scorespark.plans.sql import (
+    NUMERIC,
     banded_cte,
     bin_of,
     cumulative_cte,
@@ -33,7 +34,7 @@ from scorespark.streaming import runs
 
 # --- population stability ---------------------------------------------------------
 
-PSI_COLUMNS = ["risk_drivers", "risk_mitigators", "dim_judgement", "dim_core_traits", "age_oldest_assess"]
+PSI_COLUMNS = list(NUMERIC)
 
 
 def _psi_sql(edge_source: str, sides: str, columns: list[str]) -> str:
@@ -359,14 +360,47 @@ def audit_append(spark, d):
 _CLOSED = "WHERE DATE_TRUNC('week', ts) + INTERVAL 7 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY"
 
 
+_WINDOW_SUMMARY = """COUNT(*) AS n, ROUND(AVG(value), 6) AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value,
+  ROUND(QUANTILE_CONT(value, 0.5e0), 6) AS p50, ROUND(QUANTILE_CONT(value, 95e-2), 6) AS p95, ROUND(QUANTILE_CONT(value, 99e-2), 6) AS p99"""
+_DAY_SQL = "STRFTIME(ts, '%Y-%m-%d')"
+_CLOSED_DAYS = "WHERE DATE_TRUNC('day', ts) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY"
+_HISTOGRAM = tuple(float(20 * k) for k in range(16))
+
+
+def _two_drains(spark, d, days):
+    """Closed windows of the request log, which arrives in two parts with a drain after each."""
+    arriving, out = scratch_path(spark, "requests"), scratch_path(spark, "windows")
+    log = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "value", "event_id")
+    middle = F.expr("timestamp '2024-01-15'")
+    for part in (F.col("ts") < middle, F.col("ts") >= middle):
+        log.where(part).write.mode("append").parquet(arriving)
+        stream = runs.file_stream(spark, arriving, log.schema)
+        runs.drain(runs.window_value_counts(stream, "value", days=days), out)
+    return spark.read.parquet(out)
+
+
+@query(f"SELECT {WEEK_SQL} AS period, {_WINDOW_SUMMARY} FROM events {_CLOSED} GROUP BY 1")
+def stream_weekly(spark, d):
+    _utc(spark)
+    summary = runs.window_summary(_two_drains(spark, d, 7))
+    return rounded(summary, "avg_value", "p50", "p95", "p99")
+
+
+@query(f"SELECT {_DAY_SQL} AS period, {_WINDOW_SUMMARY} FROM events {_CLOSED_DAYS} GROUP BY 1")
+def stream_daily(spark, d):
+    _utc(spark)
+    summary = runs.window_summary(_two_drains(spark, d, 1))
+    return rounded(summary, "avg_value", "p50", "p95", "p99")
+
+
 @query(
-    f"""SELECT {WEEK_SQL} AS week, COUNT(*) AS n, ROUND(AVG(value), 6) AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value,
-  QUANTILE_DISC(value, 0.5) AS p50, QUANTILE_DISC(value, 0.95) AS p95, QUANTILE_DISC(value, 0.99) AS p99 FROM events {_CLOSED} GROUP BY 1"""
+    f"""SELECT {_DAY_SQL} AS period, CAST(CASE WHEN value <= 20 THEN 1 ELSE LEAST(15, CEIL(value / 20)) END AS INTEGER) AS bin, COUNT(*) AS n FROM events
+WHERE {_DAY_SQL} = (SELECT MAX({_DAY_SQL}) FROM events {_CLOSED_DAYS}) GROUP BY 1, 2"""
 )
-def stream_weekly(spark, d):
-    out = scratch_path(spark, "weekly")
-    runs.drain(runs.weekly_windows(_event_stream(spark, d), "value"), out)
-    return rounded(spark.read.parquet(out), "avg_value")
+def last_day_histogram(spark, d):
+    """Values of the last closed day in bins of 20; the outer bins are open."""
+    _utc(spark)
+    return runs.last_histogram(_two_drains(spark, d, 1), _HISTOGRAM)
 
 
 @query(

@@ -288,7 +288,7 @@ def scale_features(spark, d):
     return rounded(fit_scaler(filled).apply(filled).drop("bad"), *NUMERIC)
 
 
-_FOLD_COLUMNS = ("dim_judgement", "dim_core_traits", "dim_principles")
+_FOLD_COLUMNS = tuple(NUMERIC)
 
 
 @query(
@@ -404,12 +404,19 @@ def saved_parameters(spark, d):
     return spark.read.parquet(path)
 
 
-_HASHED = "|| '|' || ".join(
-    f"COALESCE(CAST({c} AS VARCHAR), '~') "
-    if t in ("bigint", "int", "string")
-    else f"COALESCE(CAST(CAST(ROUND({c} * 10000) AS BIGINT) AS VARCHAR), '~') "
-    for c, t in applicant_columns().items()
-)
+def _double_text(c: str) -> str:
+    raw = f"(ABS({c}) * POW(2e0, FLOOR((52 - FLOOR(LOG2(ABS({c})))) / 2)) * POW(2e0, (52 - FLOOR(LOG2(ABS({c})))) - FLOOR((52 - FLOOR(LOG2(ABS({c})))) / 2)))"
+    mantissa = f"CAST(CASE WHEN {raw} >= POW(2e0, 53) THEN {raw} / 2 WHEN {raw} < POW(2e0, 52) THEN {raw} * 2 ELSE {raw} END AS BIGINT)"
+    power = f"CAST(FLOOR(LOG2(ABS({c}))) + CASE WHEN {raw} >= POW(2e0, 53) THEN 1 WHEN {raw} < POW(2e0, 52) THEN -1 ELSE 0 END AS BIGINT)"
+    return f"CASE WHEN {c} = 0 THEN '0' ELSE CASE WHEN {c} < 0 THEN '-' ELSE '' END || CAST({mantissa} AS VARCHAR) || 'p' || CAST({power} AS VARCHAR) END"
+
+
+def _field(c: str, kind: str) -> str:
+    text = f"CAST({c} AS VARCHAR)" if kind in ("bigint", "int", "string") else f"({_double_text(c)})"
+    return f"COALESCE(CAST(LENGTH({text}) AS VARCHAR) || ':' || {text}, 'n')"
+
+
+_HASHED = " || ".join(_field(c, t) for c, t in applicant_columns().items())
 
 
 @query(

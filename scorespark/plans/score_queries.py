@@ -80,12 +80,12 @@ def brier(spark, d):
 
 
 @query(
-    f"""{TEST_ROWS}, {cumulative_cte('x', 'pd')}
+    f"""{TEST_ROWS}, x9 AS (SELECT ROUND(pd, 9) AS pd, bad FROM x), {cumulative_cte('x9', 'pd')}
 SELECT ROUND(s, 6) AS threshold, ROUND((tg - cg + g) / tg, 6) AS fpr, ROUND((tb - cb + b) / tb, 6) AS tpr FROM cum
 UNION ALL SELECT NULL, 0e0, 0e0"""
 )
 def roc_points(spark, d):
-    return rounded(mt.roc_points(_test(spark, d)), "threshold", "fpr", "tpr")
+    return rounded(mt.roc_points(_test(spark, d), places=9), "threshold", "fpr", "tpr")
 
 
 @query(
@@ -155,11 +155,12 @@ def column_stats(spark, d):
 
 
 @query(
-    f"WITH {APPLICANTS} "
+    f"WITH {APPLICANTS}, q AS ("
     + " UNION ALL ".join(
         f"SELECT '{c}' AS feature, UNNEST([1, 5, 50, 95, 99]) AS percent, UNNEST(QUANTILE_CONT({c}, [1e-2, 5e-2, 5e-1, 95e-2, 99e-2])) AS value FROM a"
         for c in NUMERIC
     )
+    + ") SELECT feature, percent, ROUND(value, 6) AS value FROM q"
 )
 def column_quantiles(spark, d):
     from scorespark.operators.quantiles import exact_quantiles
@@ -167,7 +168,7 @@ def column_quantiles(spark, d):
     marks = [0.01, 0.05, 0.5, 0.95, 0.99]
     found = exact_quantiles(base(spark, d, NUMERIC), {c: marks for c in NUMERIC})
     rows = [(c, round(p * 100), v) for c in NUMERIC for p, v in zip(marks, found[c])]
-    return values_table(spark, rows, "feature string, percent int, value double")
+    return rounded(values_table(spark, rows, "feature string, percent int, value double"), "value")
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -43,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     if context.applicationId not in _local_dirs:
         _local_dirs[context.applicationId] = tempfile.TemporaryDirectory(prefix="scorespark-")
@@ -79,10 +80,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a small table before it is scanned again and again.
+#: Parts into which the rows of a fit are dealt, whatever the machine.
+FIT_PARTS = 32
 
-    ``df`` must be a plain scan. On tables of any size this leaves it alone.
+
+def spread(df: DataFrame, key: str = "dummy_id", parts: int = FIT_PARTS) -> DataFrame:
+    """Rows dealt by a hash of the key into a fixed number of parts, in key order.
+
+    Row samples of a fit then depend on the rows only, not on cores or file sizes.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(parts, key).sortWithinPartitions(key)

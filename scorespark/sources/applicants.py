@@ -80,11 +80,24 @@ def applicants(spark: SparkSession, folder: str) -> DataFrame:
 def applicant_columns() -> dict[str, str]:
     """Declared column types of :func:`applicants`."""
     names = (
-        "total_risk_score risk_drivers risk_mitigators dim_judgement dim_core_traits "
-        "dim_emotional_understanding dim_principles r_ho_em2_co r_ho_vi4_st num_accounts_assess "
-        "worst_arrears_assess age_oldest_assess income expenses num_accounts_perf "
-        "highest_arrears_perf age_oldest_perf"
-    ).split()
+        "total_risk_score",
+        "risk_drivers",
+        "risk_mitigators",
+        "dim_judgement",
+        "dim_core_traits",
+        "dim_emotional_understanding",
+        "dim_principles",
+        "r_ho_em2_co",
+        "r_ho_vi4_st",
+        "num_accounts_assess",
+        "worst_arrears_assess",
+        "age_oldest_assess",
+        "income",
+        "expenses",
+        "num_accounts_perf",
+        "highest_arrears_perf",
+        "age_oldest_perf",
+    )
     return {"dummy_id": "bigint", "product_type": "string", **{c: "double" for c in names}, "bad": "int"}
 
 

@@ -22,16 +22,49 @@ DIMENSIONS = (
     "dim_emotional_understanding",
     "dim_principles",
 )
-ITEMS_HO = tuple(
-    "r_ho_tc1_ag r_ho_em2_co r_ho_tc3_di r_ho_tc4_so r_ho_vi1_cn r_ho_vi5_ss r_ho_em3_sp "
-    "r_ho_vi3_ac r_ho_em1_es r_ho_tc2_oc r_ho_vi4_st r_ho_vi2_cv r_ho_jd_cm".split()
-)
-ITEMS_SF = tuple(
-    "r_sf_em1_ad r_sf_em2_af r_sf_tc1_al r_sf_tc11_as r_sf_em3_bo r_sf_tc2_cm r_sf_em6_cb "
-    "r_sf_em7_cp r_sf_tc4_du r_sf_tc3_ex r_sf_tc5_el r_sf_vi1_fv r_sf_vi7_he r_sf_em8_im "
-    "r_sf_vi5_ma r_sf_em4_mi r_sf_tc6_or r_sf_tc7_pe r_sf_vi6_po r_sf_dm1_ps r_sf_tc8_pr "
-    "r_sf_vi4_rn r_sf_tc12_re r_sf_em5_sc r_sf_tc9_sd r_sf_vi2_tv r_sf_tc10_wl r_sf_vi3_av "
-    "r_sf_dm2_cs".split()
+ITEMS = (
+    "r_ho_tc1_ag",
+    "r_ho_em2_co",
+    "r_ho_tc3_di",
+    "r_ho_tc4_so",
+    "r_ho_vi1_cn",
+    "r_ho_vi5_ss",
+    "r_ho_em3_sp",
+    "r_ho_vi3_ac",
+    "r_ho_em1_es",
+    "r_ho_tc2_oc",
+    "r_ho_vi4_st",
+    "r_ho_vi2_cv",
+    "r_ho_jd_cm",
+    "r_sf_em1_ad",
+    "r_sf_em2_af",
+    "r_sf_tc1_al",
+    "r_sf_tc11_as",
+    "r_sf_em3_bo",
+    "r_sf_tc2_cm",
+    "r_sf_em6_cb",
+    "r_sf_em7_cp",
+    "r_sf_tc4_du",
+    "r_sf_tc3_ex",
+    "r_sf_tc5_el",
+    "r_sf_vi1_fv",
+    "r_sf_vi7_he",
+    "r_sf_em8_im",
+    "r_sf_vi5_ma",
+    "r_sf_em4_mi",
+    "r_sf_tc6_or",
+    "r_sf_tc7_pe",
+    "r_sf_vi6_po",
+    "r_sf_dm1_ps",
+    "r_sf_tc8_pr",
+    "r_sf_vi4_rn",
+    "r_sf_tc12_re",
+    "r_sf_em5_sc",
+    "r_sf_tc9_sd",
+    "r_sf_vi2_tv",
+    "r_sf_tc10_wl",
+    "r_sf_vi3_av",
+    "r_sf_dm2_cs",
 )
 COMPOSITES = ("total_risk_score", "risk_mitigators", "risk_drivers")
 BUREAU_ASSESS = ("num_accounts_assess", "worst_arrears_assess", "age_oldest_assess")
@@ -39,7 +72,7 @@ CATEGORICAL = ("product_type",)
 RANDOM_STATE = 42
 # -----------------------------------------------------------------------------
 
-BASE_FEATURES = DIMENSIONS + ITEMS_HO + ITEMS_SF + COMPOSITES + BUREAU_ASSESS + CATEGORICAL
+BASE_FEATURES = DIMENSIONS + ITEMS + COMPOSITES + BUREAU_ASSESS + CATEGORICAL
 
 
 @dataclass(frozen=True)

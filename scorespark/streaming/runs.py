@@ -7,7 +7,7 @@ job - and the tests - run them. Checkpoints and outputs live on shared storage.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +17,8 @@ from scorespark.functions.intervals import right_closed_bin
 from scorespark.operators.bands import BinEdges, ScoreBands
 from scorespark.operators.monitoring import psi_from_period_counts
 from scorespark.operators.preparing import Imputer
+from scorespark.operators.quantiles import counted_quantiles
 from scorespark.operators.scorecard import score_population
-from scorespark.session import scratch_path
 
 WEEK = "7 days"
 MONDAY = "4 days"  # windows count from a Thursday, 1970-01-01
@@ -34,12 +34,21 @@ def file_stream(
     return reader.parquet(folder)
 
 
+def state_path(path: str) -> str:
+    """Where the progress and state of the stream into ``path`` are kept."""
+    return path.rstrip("/") + "-state"
+
+
 def drain(stream: DataFrame, path: str, mode: str = "append") -> None:
-    """Process everything available into parquet files under ``path``, exactly once."""
+    """Process everything available into parquet files under ``path``, exactly once.
+
+    The state of the stream is kept beside the output, so the next call into the
+    same folder goes on where this one stopped.
+    """
     query = (
         stream.writeStream.format("parquet")
         .option("path", path)
-        .option("checkpointLocation", scratch_path(stream.sparkSession, "stream-state"))
+        .option("checkpointLocation", state_path(path))
         .outputMode(mode)
         .trigger(availableNow=True)
         .start()
@@ -47,11 +56,16 @@ def drain(stream: DataFrame, path: str, mode: str = "append") -> None:
     query.awaitTermination()
 
 
-def drain_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    """Process everything available through ``handle(batch, batch_id)``."""
+def drain_batches(
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], path: str, mode: str = "append"
+) -> None:
+    """Process everything available through ``handle(batch, batch_id)``, which writes to ``path``.
+
+    Batch numbers go on from call to call, so what a batch wrote is its own.
+    """
     query = (
         stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", scratch_path(stream.sparkSession, "stream-state"))
+        .option("checkpointLocation", state_path(path))
         .outputMode(mode)
         .trigger(availableNow=True)
         .start()
@@ -85,28 +99,42 @@ def audit_rows(scored: DataFrame, key: str, inputs: list[str], received_at: Colu
     )
 
 
-def weekly_windows(requests: DataFrame, value: str, ts: str = "ts", lateness: str = "1 day") -> DataFrame:
-    """Volume, mean, range and percentiles per calendar week; closed weeks only in append mode."""
+def window_value_counts(
+    requests: DataFrame, value: str, ts: str = "ts", days: int = 7, lateness: str = "1 day"
+) -> DataFrame:
+    """Rows per calendar window (weeks from Monday, or days) and value; closed windows only in append mode.
+
+    The state is one counter per open window and distinct value, so exact
+    quantiles of a closed window can be read from its counts.
+    """
+    start = MONDAY if days == 7 else "0 days"
     return (
         requests.withWatermark(ts, lateness)
-        .groupBy(F.window(ts, WEEK, startTime=MONDAY).alias("w"))
-        .agg(
-            F.count("*").alias("n"),
-            F.avg(value).alias("avg_value"),
-            F.min(value).alias("min_value"),
-            F.max(value).alias("max_value"),
-            F.percentile_approx(value, [0.5, 0.95, 0.99], 10_000).alias("q"),
-        )
-        .select(
-            _week().alias("week"),
-            "n",
-            "avg_value",
-            "min_value",
-            "max_value",
-            F.col("q")[0].alias("p50"),
-            F.col("q")[1].alias("p95"),
-            F.col("q")[2].alias("p99"),
-        )
+        .where(F.col(value).isNotNull())
+        .groupBy(F.window(ts, f"{days} days", startTime=start).alias("w"), F.col(value).alias("value"))
+        .agg(F.count("*").alias("n"))
+        .select(_week().alias("period"), "value", "n")
+    )
+
+
+def window_summary(counts: DataFrame, probabilities: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """Volume, mean, range and exact percentiles per period of ``counts(period, value, n)``."""
+    totals = counts.groupBy("period").agg(
+        F.sum("n").alias("n"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("avg_value"),
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+    )
+    return totals.join(counted_quantiles(counts, ["period"], "value", "n", probabilities), "period")
+
+
+def last_histogram(counts: DataFrame, edges: Sequence[float]) -> DataFrame:
+    """Counts of the last closed period per bin of ``edges``: ``(period, bin, n)``."""
+    last = counts.agg(F.max("period").alias("period"))
+    return (
+        counts.join(last, "period")
+        .groupBy("period", right_closed_bin("value", list(edges)).alias("bin"))
+        .agg(F.sum("n").alias("n"))
     )
 
 
@@ -144,7 +172,7 @@ def stream_psi(
         flagged = psi.withColumn("alert", F.col("psi") > alert_above)
         flagged.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    drain_batches(weekly_bin_counts(requests, column, edges), handle)
+    drain_batches(weekly_bin_counts(requests, column, edges), handle, path)
 
 
 def outcome_join(

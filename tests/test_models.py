@@ -133,7 +133,7 @@ def test_tree_attributions_match_the_definition(data, kind):
             )
             assert mine[name] == pytest.approx(phi, abs=1e-9)
         assert mine.sum() + got.base.iloc[0] == pytest.approx(value({0, 1, 2}), abs=1e-9)
-    assert explain_leaves(model)[1] == pytest.approx(got.base.iloc[0])
+    assert explain_leaves(df.sparkSession, model)[1] == pytest.approx(got.base.iloc[0])
 
 
 def test_forest_beats_chance_and_compare_has_three_rows(data):
@@ -183,6 +183,6 @@ def test_late_rows_do_not_change_a_closed_week(spark):
         spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(folder)
     )
     out = scratch_path(spark, "late-out")
-    runs.drain(runs.weekly_windows(stream, "value"), out)
-    weeks = {r.week: (r.n, r.avg_value) for r in spark.read.parquet(out).collect()}
+    runs.drain(runs.window_value_counts(stream, "value"), out)
+    weeks = {r.period: (r.n, r.avg_value) for r in runs.window_summary(spark.read.parquet(out)).collect()}
     assert weeks["2024-01-01"] == (2, 2.0) and weeks["2024-01-15"] == (2, 5.5)

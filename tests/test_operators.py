@@ -393,3 +393,96 @@ def test_reindex(spark):
     df = spark.createDataFrame([(1, 2.0, "x")], "dummy_id long, a double, extra string")
     got = sc.reindex_columns(df, T.StructType.fromDDL("a double, b int"), keep=["dummy_id"]).first()
     assert got.asDict() == {"dummy_id": 1, "a": 2.0, "b": 0}
+
+
+def test_fingerprint_sees_every_bit_and_field_border(spark):
+    from scorespark.sources.sinks import dataset_hash
+
+    def digest(rows):
+        return tuple(dataset_hash(spark.createDataFrame(rows, "x double, a string, b string")).first())
+
+    pairs = [
+        ((1.00001, "a|b", "c"), (1.00004, "a", "b|c")),
+        ((1.0, "~", "c"), (1.0, None, "c")),
+        ((1.0, "a", "bc"), (1.0, "ab", "c")),
+        ((1e17, "a", "b"), (1e17 + 16, "a", "b")),
+        ((5e-324, "a", "b"), (1e-323, "a", "b")),
+        ((0.1, "a", "b"), (0.1 + 1.4e-17, "a", "b")),
+    ]
+    for one, other in pairs:
+        assert digest([one]) != digest([other])
+    assert digest([(0.0, "a", "b"), (2.0, None, "")]) == digest([(2.0, None, ""), (-0.0, "a", "b")])
+    assert digest([(float("inf"), "a", "b")]) != digest([(float("-inf"), "a", "b")]) != digest([(float("nan"), "a", "b")])
+
+
+def test_double_text_is_exact(spark):
+    import math
+
+    from scorespark.functions.hashing import double_text
+
+    values = [1.0, -1.5, 0.1, 2.0**53, 2.0**53 - 1, 1e308, 5e-324, 3.0, 1 / 3, 2.0**-1022, 8.0, 0.125, 1e17]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", double_text(F.col("x")).alias("t")).collect()
+    for r in rows:
+        mantissa, power = r.t.lstrip("-").split("p")
+        assert math.ldexp(int(mantissa), int(power) - 52) == abs(r.x) and r.t.startswith("-") == (r.x < 0)
+
+
+def test_rows_without_a_label_are_named(spark):
+    rows = [(k, None if k < 20 else k % 2) for k in range(200)]
+    df = spark.createDataFrame(rows, "dummy_id long, bad int")
+    with pytest.raises(ValueError, match="20 rows"):
+        sl.fit_cuts(df, sl.two_way())
+    left = sl.fit_cuts(df, sl.two_way(), unlabelled="leave").apply(df)
+    assert left.where("split is null").count() == 20
+
+
+def test_fold_scaling_of_large_means(spark):
+    from scorespark.operators.preparing import grouped_scaling
+
+    values = [(k % 3, 1e9 + (k * 37 % 101) / 30) for k in range(300)]
+    df = spark.createDataFrame(values, "fold int, x double")
+    for r in grouped_scaling(df, "fold", ["x"]).collect():
+        rest = [x for f, x in values if f != r.fold]
+        mean = sum(rest) / len(rest)
+        assert r["mean"] == pytest.approx(mean)
+        assert r["deviation"] == pytest.approx((sum((x - mean) ** 2 for x in rest) / len(rest)) ** 0.5, rel=1e-6)
+
+
+def test_many_requests_and_outcomes_of_one_applicant(spark):
+    from scorespark.operators.monitoring import retraining_rows
+
+    audit = spark.range(3000).selectExpr("1L AS applicant_id", "timestamp_seconds(id * 10) AS scored_at", "id AS request")
+    outcomes = spark.range(3000).selectExpr("1L AS applicant_id", "timestamp_seconds(id * 10 + 5) AS observed_at", "CAST(id % 2 AS int) AS bad")
+    found = retraining_rows(audit, outcomes, 1)
+    assert found.count() == 3000
+    assert found.where("unix_seconds(observed_at) <> request * 10 + 5 or bad <> request % 2").count() == 0
+    late = spark.sql("SELECT 1L AS applicant_id, timestamp'1969-12-31 00:00:00' AS observed_at, 1 AS bad")
+    assert retraining_rows(audit, late, 1).count() == 0
+
+
+def test_sigmoid_calibration_keeps_certain_rows(spark):
+    from scorespark.models.calibration import calibrate_model
+
+    rows = [(float(p), 1 if (k * 7 % 100) < bad else 0) for p, bad in ((0, 10), (1, 90)) for k in range(100)]
+    df = spark.createDataFrame(rows, "pd double, bad int")
+    got = {r.pd: r.pd_calibrated for r in calibrate_model(df, "sigmoid")(df).collect()}
+    assert got[0.0] == pytest.approx(0.10, abs=0.03) and got[1.0] == pytest.approx(0.90, abs=0.03)
+
+
+def test_prepare_run_on_the_full_width(spark, tmp_path):
+    from scorespark.plans import flows
+    from scorespark.spec import applicant_schema
+
+    fields = applicant_schema().fields
+    columns = []
+    for n, f in enumerate(fields):
+        kind = f.dataType.simpleString()
+        if kind == "double":
+            columns.append(f"CAST((id * {n + 3}) % {97 + n} AS double) / 7 AS `{f.name}`")
+        elif kind == "string":
+            columns.append(f"CASE WHEN id % 2 = 0 THEN 'Micro' ELSE 'Retail' END AS `{f.name}`")
+        else:
+            columns.append(f"CAST({'id' if f.name == 'dummy_id' else 'id % 4 = 0'} AS {kind}) AS `{f.name}`")
+    df = spark.range(600).selectExpr(*columns).withColumnRenamed("bad", " Bad ")
+    done = flows.prepare_run(df, str(tmp_path / "wide"))
+    assert done.rows.count() == 600 and len(done.features) >= 50
