@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,11 +93,27 @@ def fit_onehot(
     for c in names:
         found = rows.where(F.col(c).isNotNull()).select(c).distinct().limit(max_levels + 1).collect()
         if len(found) > max_levels:
-            raise ValueError(f"column '{c}' has more than {max_levels} levels; bin it first")
+            raise ValueError(f"column '{c}' has more than {max_levels} levels; use fit_sparse_onehot")
         levels[c] = tuple(sorted(r[0] for r in found)[1:])
     return OneHot(levels)
 
 
+def fit_sparse_onehot(
+    df: DataFrame, columns: Sequence[str], fit_on: str = "train", output: str = "onehot"
+) -> PipelineModel:
+    """One-hot encoding of columns with any number of levels, as one sparse vector.
+
+    Levels are put in lexicographic order and the first is left out; unseen levels
+    and NULL are zeros everywhere. No column per level is made.
+    """
+    at = [f"_{c}_at" for c in columns]
+    index = StringIndexer(inputCols=list(columns), outputCols=at, stringOrderType="alphabetDesc", handleInvalid="keep")
+    # in descending order the first level stands last of the known ones, before the place of unseen levels
+    encode = OneHotEncoder(inputCols=at, outputCols=[f"{a}_v" for a in at], dropLast=True)
+    join = VectorAssembler(inputCols=[f"{a}_v" for a in at], outputCol=output)
+    return Pipeline(stages=[index, encode, join]).fit(fit_rows(df, fit_on).select(*columns))
+
+
 @dataclass(frozen=True)
 class Scaler:
     means: Mapping[str, float]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scorespark.plans import flows
+from scorespark.plans.model_queries import measured, measured_sql
 from scorespark.plans.registry import query, rounded
 from scorespark.plans.sql import NUMERIC, imputed_cte, split_cte
 from scorespark.session import scratch_path
@@ -38,12 +39,13 @@ def prepare_run(spark, d):
     return rounded(found, *_ALL).withColumns({c: F.col(c) + 0.0 for c in _ALL})
 
 
-@query()
+@query(measured_sql("two", ("scorecard", "random_forest")))
 def scorecard_run(spark, d):
     metrics, _ = flows.scorecard_run(applicants(spark, d), scratch_path(spark, "scorecard-run"))
-    return metrics
+    return measured(metrics, "model")
 
 
-@query()
+@query(measured_sql("shares", tuple(f"{m}_{v}" for m in ("logistic", "forest", "boosting") for v in ("base", "calibrated"))))
 def evaluation_run(spark, d):
-    return flows.evaluation_run(applicants(spark, d), scratch_path(spark, "evaluation-run")).metrics
+    done = flows.evaluation_run(applicants(spark, d), scratch_path(spark, "evaluation-run"))
+    return measured(done.metrics, "model")

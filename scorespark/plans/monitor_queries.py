@@ -13,7 +13,7 @@ from scorespark.operators.metrics import discrimination
 from scorespark.operators.preparing import fit_imputer
 from scorespark.operators.quantiles import grouped_quantiles
 from scorespark.operators.scorecard import FROZEN_MODEL, LinearModel
-from scorespark.operators.splitting import two_way
+from scorespark.operators.splitting import fit_cuts, two_way
 from scorespark.plans.frozen import MODEL_INPUTS, base, frozen_scores, frozen_scores_all, split_base
 from scorespark.plans.registry import query, r6, rounded
 from scorespark.plans.sql import (
@@ -29,7 +29,10 @@ from scorespark.plans.sql import (
 from scorespark.session import scratch_path, stage
 from scorespark.sources import applicants as src
 from scorespark.sources.readers import table
+from scorespark.sources import registry
+from scorespark.sources.artefacts import Scorer, scored
 from scorespark.sources.registry import current_version
+from scorespark.sources.sinks import dataset_hash
 from scorespark.streaming import runs
 
 # --- population stability ---------------------------------------------------------
@@ -244,15 +247,39 @@ def pending_outcomes(spark, d):
     return rounded(waiting.select("applicant_id", "scored_at", "pd", "band"), "pd")
 
 
-@query()
+@query(
+    f"""{_AUDIT}, rt AS (SELECT au.applicant_id, oc.bad FROM au JOIN oc ON oc.applicant_id = au.applicant_id
+  WHERE observed_at >= scored_at AND observed_at < scored_at + INTERVAL 730 DAY)
+SELECT CAST(1 AS INTEGER) AS version, COUNT(*) AS n_rows, CAST(SUM(bad) AS BIGINT) AS n_bad, TRUE AS auc_ok, TRUE AS passed FROM rt"""
+)
 def retrained_model(spark, d):
-    """A model refitted on scored applications with their observed outcomes."""
+    """A scorecard refitted on applications with observed outcomes, tested, gated and registered.
+
+    Medians and coefficients come from the training rows, all figures from the test rows.
+    """
     rows = mo.retraining_rows(audit(spark, d).select("applicant_id", "scored_at"), src.outcomes(spark, d), 730)
     inputs = base(spark, d, ["dummy_id", *MODEL_INPUTS])
-    filled = fit_imputer(inputs, fit_on="all").apply(inputs)
-    train = stage(rows.join(filled, F.col("applicant_id") == F.col("dummy_id")), "retrain")
+    joined = stage(rows.join(inputs, F.col("applicant_id") == F.col("dummy_id")), "retrain")
+    split = stage(fit_cuts(joined, two_way()).apply(joined), "retrain")
+    imputer = fit_imputer(split, columns=MODEL_INPUTS, categorical=False)
+    filled = stage(imputer.apply(split), "retrain")
+    train, test = filled.where("split = 'train'"), filled.where("split = 'test'")
     model = fit_logistic(train, list(MODEL_INPUTS))
-    return discrimination(train.select("bad", model.pd().alias("pd")))
+    pd = train.select("bad", model.pd().alias("pd")).withColumn("score", pd_to_score(F.col("pd")))
+    scorer = Scorer(imputer, model, fit_bands(pd))
+    scored = stage(scorer.apply(test), "retrained")
+    metrics = stage(discrimination(scored), "retrained-metrics")
+    psi = mo.population_stability(pd, scored, fit_quantile_bins(pd, ["score"]))
+    gate = mo.validation_gate(metrics, bands_monotone(summarise(scored)), psi)
+    root = scratch_path(spark, "retrained-models")
+    figures = metrics.first()
+    digest = dataset_hash(split.select("dummy_id", "bad", *MODEL_INPUTS)).first()["sum_digest"]
+    version = registry.register_model(scorer, root, figures["auc"], figures["ks"], digest, gate=gate)
+    known = registry.versions(spark, root).where(F.col("version") == version)
+    counts = split.agg(F.count("*").alias("n_rows"), F.sum("bad").alias("n_bad"))
+    return counts.join(known).join(gate).select(
+        "version", "n_rows", "n_bad", "auc_ok", "passed"
+    )
 
 
 # --- champion and challenger --------------------------------------------------------
@@ -300,6 +327,25 @@ def shadow_agreement(spark, d):
     return rounded(found, "same_band_share", "mean_pd_change", "max_pd_change")
 
 
+@query(
+    _BOTH + " SELECT dummy_id, ROUND(pd2, 6) AS pd, 2 AS model_version FROM lab UNION ALL SELECT dummy_id, ROUND(pd, 6), 1 FROM lab"
+)
+def promoted_scores(spark, d):
+    """All applicants scored with the registry's current scorer, before and after a promotion."""
+    df = base(spark, d, ["dummy_id", *MODEL_INPUTS])
+    imputer = fit_imputer(df, fit_on="all", columns=MODEL_INPUTS, categorical=False)
+    root = scratch_path(spark, "scorers")
+    filled = imputer.apply(df)
+    out = None
+    for model in (FROZEN_MODEL, CHALLENGER):
+        bands = fit_bands(filled.select(pd_to_score(model.pd()).alias("score")))
+        registry.promote(spark, root, registry.register_model(Scorer(imputer, model, bands), root, 0.7, 0.3, "-"))
+        found = scored(df, registry.load_current(spark, root), registry.promoted_version(spark, root))
+        part = found.select("dummy_id", "pd", "model_version")
+        out = part if out is None else out.unionByName(part)
+    return rounded(out, "pd")
+
+
 # --- streams ------------------------------------------------------------------------
 
 

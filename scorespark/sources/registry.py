@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from scorespark.session import values_table
+from scorespark.sources.artefacts import load_artefact, save_artefact
 
 VERSIONS = (
     "version int, trained_at timestamp, code_revision string, data_hash string, auc double, ks double"
@@ -23,7 +24,9 @@ PROMOTIONS = "version int, promoted_at timestamp"
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return values_table(spark, [], schema)
 
 
@@ -35,19 +38,46 @@ def promotions(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, f"{root}/promotions", PROMOTIONS)
 
 
+def reserve_version(spark: SparkSession, root: str) -> int:
+    """The next version number nobody else has, taken by creating its folder.
+
+    A folder without a row in ``versions`` (a registration that broke off, or one
+    under way) keeps its number.
+    """
+    number = (versions(spark, root).agg(F.max("version")).first()[0] or 0) + 1
+    while True:
+        try:
+            spark.range(1).write.mode("error").parquet(f"{root}/v{number}/reserved")
+            return number
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            number += 1
+
+
 def register_model(
-    model: PipelineModel,
+    model,
     root: str,
     auc: float,
     ks: float,
     data_hash: str,
     code_revision: str = "",
+    gate: DataFrame | None = None,
 ) -> int:
-    """Save ``model`` under the next free version and record its figures."""
+    """Save ``model`` under the next free version and record its figures.
+
+    ``model`` is a :class:`PipelineModel` or any fitted part or scorer that
+    :mod:`scorespark.sources.artefacts` can save. With ``gate``, a one-row table with
+    ``passed``, a model that fails is refused and nothing is written.
+    """
     spark = SparkSession.active()
-    last = versions(spark, root).agg(F.max("version")).first()[0] or 0
-    number = last + 1
-    model.write().save(f"{root}/v{number}")
+    if gate is not None and not gate.first()["passed"]:
+        raise ValueError("the model does not pass the validation gate")
+    number = reserve_version(spark, root)
+    if isinstance(model, PipelineModel):
+        model.write().save(f"{root}/v{number}/pipeline")
+    else:
+        save_artefact(spark, model, f"{root}/v{number}/artefact")
     (
         spark.range(1)
         .select(
@@ -65,6 +95,9 @@ def register_model(
 
 
 def promote(spark: SparkSession, root: str, version: int) -> None:
+    """Make a registered version the current one."""
+    if versions(spark, root).where(F.col("version") == version).isEmpty():
+        raise LookupError(f"version {version} is not registered")
     (
         spark.range(1)
         .select(F.lit(version).alias("version"), F.current_timestamp().alias("promoted_at"))
@@ -81,8 +114,19 @@ def current_version(promoted: DataFrame) -> DataFrame:
     )
 
 
-def load_current(spark: SparkSession, root: str) -> PipelineModel:
+def promoted_version(spark: SparkSession, root: str) -> int:
     version = current_version(promotions(spark, root)).first()["version"]
     if version is None:
         raise LookupError("no model has been promoted")
-    return PipelineModel.load(f"{root}/v{version}")
+    return version
+
+
+def load_current(spark: SparkSession, root: str):
+    """The promoted model: a pipeline, or the fitted part or scorer that was registered."""
+    folder = f"{root}/v{promoted_version(spark, root)}"
+    try:
+        return load_artefact(spark, f"{folder}/artefact")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return PipelineModel.load(f"{folder}/pipeline")

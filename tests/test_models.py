@@ -186,3 +186,52 @@ def test_late_rows_do_not_change_a_closed_week(spark):
     runs.drain(runs.window_value_counts(stream, "value"), out)
     weeks = {r.period: (r.n, r.avg_value) for r in runs.window_summary(spark.read.parquet(out)).collect()}
     assert weeks["2024-01-01"] == (2, 2.0) and weeks["2024-01-15"] == (2, 5.5)
+
+
+def test_every_fitted_part_survives_saving(spark, tmp_path):
+    from scorespark.models.calibration import CalibratedEnsemble, Sigmoid
+    from scorespark.operators.bands import BinEdges, ScoreBands
+    from scorespark.operators.preparing import Imputer, OneHot, Scaler
+    from scorespark.operators.scorecard import FROZEN_MODEL, LinearModel
+    from scorespark.sources.artefacts import Scorer, load_artefact, load_isotonic, save_artefact
+
+    ensemble = CalibratedEnsemble(((LinearModel({"a": 0.1, "b": 1 / 3}, -2.0), Sigmoid(1.5, -0.2)), (FROZEN_MODEL, Sigmoid(1.0, 0.0))))
+    parts = [
+        Imputer({"a": 1.0, "b": None}, ("p",)), OneHot({"p": ("x", "y")}), Scaler({"a": 0.0}, {"a": 2.0}), FROZEN_MODEL, Sigmoid(0.1, 0.2),
+        ensemble, ScoreBands((1.0, 2.5, float("inf"))), BinEdges({"a": (0.0, 1.0)}), Scorer(Imputer({"a": 1.0}), ensemble, ScoreBands((0.0, 1.0))),
+    ]
+    for k, part in enumerate(parts):
+        save_artefact(spark, part, str(tmp_path / str(k)))
+        assert load_artefact(spark, str(tmp_path / str(k))) == part
+    points = spark.createDataFrame([(0.1, 0), (0.4, 1), (0.6, 0), (0.9, 1)], "pd double, bad int")
+    curve = fit_isotonic(points)
+    save_artefact(spark, curve, str(tmp_path / "curve"))
+    assert load_isotonic(str(tmp_path / "curve")).apply(points).collect() == curve.apply(points).collect()
+    with pytest.raises(TypeError):
+        save_artefact(spark, object(), str(tmp_path / "x"))
+
+
+def test_registration_is_gated_and_numbers_are_not_reused(spark, data, tmp_path):
+    from scorespark.operators.scorecard import FROZEN_MODEL
+
+    root = str(tmp_path / "models")
+    gate = spark.createDataFrame([(False,)], "passed boolean")
+    with pytest.raises(ValueError, match="gate"):
+        registry.register_model(FROZEN_MODEL, root, 0.5, 0.1, "h", gate=gate)
+    assert registry.versions(spark, root).count() == 0
+    assert registry.reserve_version(spark, root) == 1  # broken off before its row was written
+    assert registry.register_model(FROZEN_MODEL, root, 0.7, 0.3, "h") == 2
+    with pytest.raises(LookupError):
+        registry.promote(spark, root, 1)
+    registry.promote(spark, root, 2)
+    assert registry.load_current(spark, root) == FROZEN_MODEL
+
+
+def test_large_forests_are_prepared_quickly(spark, data):
+    import time
+
+    _, df = data
+    model = bm.fit_forest(df, list("abc"), trees=60, depth=6)
+    started = time.time()
+    leaves, _ = explain_leaves(spark, model)
+    assert len(leaves) > 500 and time.time() - started < 20

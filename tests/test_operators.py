@@ -486,3 +486,15 @@ def test_prepare_run_on_the_full_width(spark, tmp_path):
     df = spark.range(600).selectExpr(*columns).withColumnRenamed("bad", " Bad ")
     done = flows.prepare_run(df, str(tmp_path / "wide"))
     assert done.rows.count() == 600 and len(done.features) >= 50
+
+
+def test_sparse_onehot_of_many_levels(spark):
+    from scorespark.operators.preparing import fit_sparse_onehot
+
+    df = spark.range(3000).selectExpr("concat('l', lpad(id % 1500, 4, '0')) AS a", "id % 2 = 0 AS b0").selectExpr("a", "CAST(b0 AS string) AS b")
+    model = fit_sparse_onehot(df, ["a", "b"], fit_on="all")
+    rows = {(r.a, r.b): r.onehot for r in model.transform(df).distinct().collect()}
+    sizes = {v.size for v in rows.values()}
+    assert sizes == {1500 + 2}
+    seen = model.transform(spark.createDataFrame([("new", "true"), ("l0001", None)], "a string, b string")).collect()
+    assert [r.onehot.numNonzeros() for r in seen] == [1, 1]
