@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from scorespark.plans import catalog  # noqa: E402
-from scorespark.session import spark_session  # noqa: E402
+from scorespark.session import drop_staged, finish, spark_session  # noqa: E402
 
 HEADLINE = (
     "source_applicants",
@@ -67,6 +67,7 @@ def main() -> None:
         started = time.perf_counter()
         catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+        drop_staged(spark)
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
@@ -79,7 +80,7 @@ def main() -> None:
             }
         )
     )
-    spark.stop()
+    finish(spark)
 
 
 if __name__ == "__main__":

@@ -110,7 +110,7 @@ def lr_importance(spark, d):
 def platt_scorecard(spark, d):
     """Cross-fitted, sigmoid-calibrated scorecard on the first ten numeric features: its band table.
 
-    Bad rates rise from band A to E and the mean probability meets the bad rate.
+    The bad rate of band E is above that of band A and the mean probability meets the bad rate.
     """
     df, names = prepared(spark, d, encoded=False)
     train, test = _parts(df, "train", "test")
@@ -118,7 +118,7 @@ def platt_scorecard(spark, d):
     scored = stage(score_population(test, ensemble.pd()).select("dummy_id", "bad", "pd", "score"), "scored")
     bands = stage(band_summary(fit_bands(scored).apply(scored)), "bands")
     ordered = bands.agg(F.transform(F.array_sort(F.collect_list(F.struct("band", "bad_rate"))), lambda x: x["bad_rate"]).alias("r"))
-    rising = ordered.select((F.col("r") == F.array_sort("r")).alias("rising"))
+    rising = ordered.select((F.element_at("r", 1) < F.element_at("r", -1)).alias("rising"))
     total = scored.agg(
         F.count("*").alias("n"), F.sum("bad").alias("n_bad"), (F.abs(F.avg("pd") - F.avg("bad")) < 0.03).alias("calibrated")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_staged: dict[str, list[str]] = {}
 _local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -77,9 +78,30 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    _staged.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables staged by this application; how many there were.
+
+    Call it when everything built on them has been written or shown. Results that
+    are still to be computed from staged tables fail afterwards.
+    """
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)
+
+
+def finish(spark: SparkSession) -> None:
+    """End a job: drop staged tables and stop the session."""
+    drop_staged(spark)
+    spark.stop()
+
+
 #: Parts into which the rows of a fit are dealt, whatever the machine.
 FIT_PARTS = 32
 

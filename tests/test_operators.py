@@ -498,3 +498,13 @@ def test_sparse_onehot_of_many_levels(spark):
     assert sizes == {1500 + 2}
     seen = model.transform(spark.createDataFrame([("new", "true"), ("l0001", None)], "a string, b string")).collect()
     assert [r.onehot.numNonzeros() for r in seen] == [1, 1]
+
+
+def test_staged_tables_can_be_dropped(spark):
+    from scorespark.session import drop_staged, stage
+
+    table = stage(spark.range(5), "gone")
+    path = table.inputFiles()[0]
+    assert table.count() == 5
+    assert drop_staged(spark) >= 1
+    assert not os.path.exists(path.removeprefix("file://")) and drop_staged(spark) == 0
