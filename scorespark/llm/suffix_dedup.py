@@ -40,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,10 +50,12 @@ from scorespark.session import stage
 LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM
 #: Bytes of text whose anchors one task sorts at a time, and that one range of hashes stands for.
-RUN_BYTES = 24 << 20
+RUN_BYTES = 8 << 20
 RANGE_BYTES = 8 << 20
-_NO_ID = np.int64(2**63 - 1)
-_ENTRY = np.dtype([("gram", "<u8"), ("around", "<u8"), ("doc", "<i8"), ("tid", "<i8"), ("pos", "<i8"), ("text", "<u4")])
+#: Documents without id come after all others, in the order of their hashes.
+_NO_ID = 1 << 62
+#: An anchor: gram hash, hash of the surroundings, document (id and hash of the text), place.
+_ENTRY = np.dtype([("gram", "<u8"), ("around", "<u4"), ("around2", "<u2"), ("doc", "<i8"), ("text", "<i4"), ("pos", "<u4")])
 
 
 def _running_least(x: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
@@ -107,20 +110,21 @@ class _Hashes(Words):
 
 def earlier(entries: np.ndarray) -> np.ndarray:
     """Order of entries in the corpus."""
-    return np.lexsort((entries["pos"], entries["tid"], entries["doc"]))
+    return np.lexsort((entries["pos"], entries["text"], entries["doc"]))
 
 
-def _reach(pos: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Stretch that all windows through an anchor cover."""
-    return np.maximum(pos - REACH, 0), np.minimum(pos + LENGTH, size)
+def _reach(pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretch that all windows through an anchor cover, but for the end of the text."""
+    pos = pos.astype(np.int64)
+    return np.maximum(pos - REACH, 0), pos + LENGTH
 
 
 def settle(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Entries sorted by gram and surroundings, earliest first, and which are the earliest of theirs."""
     entries = entries[earlier(entries)]
-    entries = entries[np.lexsort((entries["around"], entries["gram"]))]
+    entries = entries[np.lexsort((entries["around2"], entries["around"], entries["gram"]))]
     first = np.ones(len(entries), dtype=bool)
-    first[1:] = (entries["gram"][1:] != entries["gram"][:-1]) | (entries["around"][1:] != entries["around"][:-1])
+    first[1:] = np.any([entries[c][1:] != entries[c][:-1] for c in ("gram", "around", "around2")], axis=0)
     return entries, first
 
 
@@ -140,7 +144,7 @@ def from_planes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(table.T).view(_ENTRY).ravel()
 
 
-_RUN = "range long, run binary, tid long, low long, high long"
+_RUN = "range long, run binary, doc long, text int, low long, high long"
 
 
 def _batch(schema: str, *columns) -> pa.RecordBatch:
@@ -149,39 +153,42 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
-def _spread(tid: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretches joined where they touch."""
-    order = np.lexsort((low, tid))
-    tid, low, high = tid[order], low[order], high[order]
-    if not len(tid):
-        return tid, low, high
-    fresh = np.ones(len(tid), dtype=bool)
-    step = np.concatenate([[0], np.cumsum(tid[1:] != tid[:-1])]) * (np.int64(1) << 40)
+def _spread(who: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of numbered documents joined where they touch."""
+    order = np.lexsort((low, who))
+    who, low, high = who[order], low[order], high[order]
+    if not len(who):
+        return who, low, high
+    step = who * (np.int64(1) << 40)
     reach = np.maximum.accumulate(high + step)
-    fresh[1:] = (low + step)[1:] > reach[:-1]
-    fresh[1:] |= tid[1:] != tid[:-1]
+    fresh = np.ones(len(who), dtype=bool)
+    fresh[1:] = ((low + step)[1:] > reach[:-1]) | (who[1:] != who[:-1])
     edge = np.flatnonzero(fresh)
-    return tid[edge], low[edge], reach[np.append(edge[1:], len(tid)) - 1] - step[edge]
+    return who[edge], low[edge], reach[np.append(edge[1:], len(who)) - 1] - step[edge]
+
+
+def _stretches(later: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, text, low, high) that repeated anchors cover."""
+    later = later[np.lexsort((later["text"], later["doc"]))]
+    fresh = np.ones(len(later), dtype=bool)
+    fresh[1:] = (later["doc"][1:] != later["doc"][:-1]) | (later["text"][1:] != later["text"][:-1])
+    number = np.cumsum(fresh) - 1
+    lead = later[fresh]
+    who, low, high = _spread(number, *_reach(later["pos"]))
+    return lead["doc"][who], lead["text"][who], low, high
 
 
 def _sorted_runs(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, held = [], 0
+        waiting: list[np.ndarray] = []
+        held = 0
 
         def packed() -> Iterator[pa.RecordBatch]:
-            entries = np.concatenate([e for e, _ in waiting])
-            sizes = np.concatenate([s for _, s in waiting])
-            by = np.lexsort((entries["pos"], entries["tid"]))
-            keyed, keyed_sizes = entries[by], sizes[by]
-            entries, first = settle(entries)
-            later = entries[_not_copies(entries, first)]
-            # sizes of the texts of later entries, found again by text and place
-            at = _find(keyed, later)
-            low, high = _reach(later["pos"], keyed_sizes[at])
-            tid, low, high = _spread(later["tid"].astype(np.int64), low, high)
-            if len(tid):
-                n = len(tid)
-                yield _batch(_RUN, tid % ranges, [None] * n, tid, low, high)
+            entries, first = settle(np.concatenate(waiting))
+            waiting.clear()
+            doc, text, low, high = _stretches(entries[_not_copies(entries, first)])
+            if len(doc):
+                yield _batch(_RUN, doc % ranges, [None] * len(doc), doc, text, low, high)
             kept = entries[first]
             of = np.minimum((kept["gram"] >> np.uint64(32)).astype(np.int64) * ranges >> 32, ranges - 1)
             edges = np.searchsorted(of, np.arange(ranges + 1))
@@ -189,7 +196,7 @@ def _sorted_runs(ranges: int):
             for part in np.array_split(used, max(1, len(used) // 64)):
                 if len(part):
                     none = [None] * len(part)
-                    yield _batch(_RUN, part, [planes(kept[edges[k] : edges[k + 1]]) for k in part], none, none, none)
+                    yield _batch(_RUN, part, [planes(kept[edges[k] : edges[k + 1]]) for k in part], none, none, none, none)
 
         for batch in batches:
             for piece in slices(batch):
@@ -197,34 +204,23 @@ def _sorted_runs(ranges: int):
                 place, gram, around = anchors(data, offsets)
                 owner = np.searchsorted(offsets, place, side="right") - 1
                 entries = np.zeros(len(place), dtype=_ENTRY)
-                entries["gram"], entries["around"] = gram, around
+                entries["gram"] = gram
+                entries["around"], entries["around2"] = around & np.uint64(0xFFFFFFFF), around >> np.uint64(48)
                 entries["doc"] = np.asarray(piece.column("doc"))[owner]
-                entries["tid"] = np.asarray(piece.column("tid"))[owner]
+                entries["text"] = np.asarray(piece.column("text_hash"))[owner]
                 entries["pos"] = place - offsets[owner]
-                entries["text"] = (np.asarray(piece.column("same"))[owner] & 0xFFFFFFFF).astype(np.uint32)
-                waiting.append((entries, np.diff(offsets)[owner]))
+                waiting.append(entries)
                 held += len(data)
-            if held > RUN_BYTES:
-                yield from packed()
-                waiting, held = [], 0
+                if held > RUN_BYTES:
+                    yield from packed()
+                    held = 0
         if waiting:
             yield from packed()
 
     return run
 
 
-def _find(keyed: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Places of (tid, pos) of ``wanted`` in entries sorted by these."""
-    joined = np.concatenate([keyed, wanted])
-    order = np.lexsort((np.arange(len(joined)), joined["pos"], joined["tid"]))
-    last = np.maximum.accumulate(np.where(order < len(keyed), order, -1))
-    out = np.empty(len(wanted), dtype=np.int64)
-    mine = order >= len(keyed)
-    out[order[mine] - len(keyed)] = last[mine]
-    return out
-
-
-_MET = "tid long, doc long, pos long, gram long, low long, high long"
+_MET = "doc long, text int, pos long, gram long, low long, high long"
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,9 +230,9 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not runs:
             return
         entries, first = settle(np.concatenate(runs))
-        later = entries[_not_copies(entries, first)]
-        # the text's size is not known here: stretches are cut to it where they are applied
-        yield _batch(_MET, later["tid"], later["doc"], later["pos"], [None] * len(later), np.maximum(later["pos"] - REACH, 0), later["pos"] + LENGTH)
+        doc, text, low, high = _stretches(entries[_not_copies(entries, first)])
+        none = [None] * len(doc)
+        yield _batch(_MET, doc, text, none, none, low, high)
         lead = entries[first]
         same = lead["gram"][1:] == lead["gram"][:-1]
         several = np.zeros(len(lead), dtype=bool)
@@ -244,14 +240,15 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several[:-1] |= same
         border = lead[several]
         none = [None] * len(border)
-        yield _batch(_MET, border["tid"], border["doc"], border["pos"], border["gram"].view(np.int64), none, none)
+        yield _batch(_MET, border["doc"], border["text"], border["pos"].astype(np.int64), border["gram"].view(np.int64), none, none)
 
     key, runs = None, []
     for batch in batches:
-        passed = batch.filter(pa.compute.is_valid(batch.column("tid")))
+        passed = batch.filter(pc.is_valid(batch.column("doc")))
         n = passed.num_rows
         if n:
-            yield _batch(_MET, passed.column("tid"), [None] * n, [None] * n, [None] * n, passed.column("low"), passed.column("high"))
+            none = [None] * n
+            yield _batch(_MET, passed.column("doc"), passed.column("text"), none, none, passed.column("low"), passed.column("high"))
         for new, raw in zip(batch.column("range").to_pylist(), batch.column("run")):
             if not raw.is_valid:
                 continue
@@ -264,7 +261,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # front-coded runs and their merge
 
-_CODED = "range long, n int, shared binary, sizes binary, rest binary, gram binary, tid binary, doc binary, pos binary, left binary"
+_CODED = "range long, n int, shared binary, sizes binary, rest binary, doc binary, text binary, pos binary, right binary"
 
 
 def front_coded(keys: list[bytes]) -> tuple[list[int], list[bytes]]:
@@ -358,7 +355,7 @@ class LoserTree:
 
 def _suffix_runs(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple[int, bytes, int, int, int, int, int]] = []
+        rows: list[tuple[int, bytes, int, int, int, int]] = []
         held = 0
 
         def packed() -> Iterator[pa.RecordBatch]:
@@ -370,7 +367,7 @@ def _suffix_runs(ranges: int):
                     stop += 1
                 part = rows[edge:stop]
                 shared, rest = front_coded([r[1] for r in part])
-                numbers = [np.array([r[k] for r in part], dtype=np.int64).tobytes() for k in (2, 3, 4, 5)]
+                numbers = [np.array([r[k] for r in part], dtype=np.int64).tobytes() for k in (2, 3, 4)]
                 yield _batch(
                     _CODED,
                     [number],
@@ -379,15 +376,15 @@ def _suffix_runs(ranges: int):
                     [np.array([len(r) for r in rest], dtype=np.uint8).tobytes()],
                     [b"".join(rest)],
                     *[[x] for x in numbers],
-                    [np.array([r[6] for r in part], dtype=np.uint8).tobytes()],
+                    [np.array([r[5] for r in part], dtype=np.uint8).tobytes()],
                 )
                 edge = stop
             rows.clear()
 
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
-            places = zip(batch.column("tid").to_pylist(), batch.column("doc").to_pylist(), batch.column("borders"), texts)
-            for tid, doc, borders, text in places:
+            places = zip(batch.column("doc").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("borders"), texts)
+            for doc, text_hash, borders, text in places:
                 raw = text.as_py()
                 for border in borders.as_py():
                     pos, gram = border["pos"], border["gram"]
@@ -396,7 +393,7 @@ def _suffix_runs(ranges: int):
                     number = (gram & 0xFFFFFFFFFFFFFFFF) * ranges >> 64
                     # where the text ends early, the key's right part is filled up so that the left part starts at one place
                     filled = key + b"\xff" * (LENGTH - len(key))
-                    rows.append((number, filled + left[::-1], gram, tid, doc, pos, len(key)))
+                    rows.append((number, filled + left[::-1], doc, text_hash, pos, len(key)))
                     held += 300
             if held > RUN_BYTES * 2:
                 yield from packed()
@@ -440,8 +437,11 @@ def equal_windows(keys: np.ndarray, lengths: np.ndarray, right: np.ndarray, shar
     return out
 
 
+_SPAN = "doc long, text int, low long, high long"
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches (tid, low, high) of repeats among the borders of each range; rows come sorted by range."""
+    """Stretches of repeats among the borders of each range; rows come sorted by range."""
     key, runs = None, []
     for batch in batches:
         for row in batch.to_pylist():
@@ -464,9 +464,9 @@ def _merged(runs: list[dict]) -> Iterator[pa.RecordBatch]:
         keys[k, : len(value)] = np.frombuffer(value, dtype=np.uint8)
         lengths[k], shared[k], source[k] = len(value), known, begin[run] + taken[run]
         taken[run] += 1
-    columns = {c: np.concatenate([np.frombuffer(r[c], dtype=np.int64) for r in runs])[source] for c in ("tid", "doc", "pos")}
-    right = np.concatenate([np.frombuffer(r["left"], dtype=np.uint8) for r in runs])[source].astype(np.int64)
-    by = np.lexsort((columns["pos"], columns["tid"], columns["doc"]))
+    columns = {c: np.concatenate([np.frombuffer(r[c], dtype=np.int64) for r in runs])[source] for c in ("doc", "text", "pos")}
+    right = np.concatenate([np.frombuffer(r["right"], dtype=np.uint8) for r in runs])[source].astype(np.int64)
+    by = np.lexsort((columns["pos"], columns["text"], columns["doc"]))
     fresh = np.any([np.diff(columns[c][by], prepend=-1) != 0 for c in columns], axis=0)  # repeated rows share a rank
     rank = np.empty(total, dtype=np.int64)
     rank[by] = np.cumsum(fresh)
@@ -478,14 +478,15 @@ def _merged(runs: list[dict]) -> Iterator[pa.RecordBatch]:
     _, high_o = np.nonzero(turn == -1)
     pos = columns["pos"][who]
     if len(who):
-        yield _batch("tid long, low long, high long", columns["tid"][who], pos - high_o + 1, pos - low_o + LENGTH)
+        yield _batch(_SPAN, columns["doc"][who], columns["text"][who], pos - high_o + 1, pos - low_o + LENGTH)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         texts = batch.column("text").cast(pa.binary())
-        for tid, text, spans in zip(batch.column("tid").to_pylist(), texts, batch.column("spans")):
+        keys = zip(batch.column("doc").to_pylist(), batch.column("text_hash").to_pylist())
+        for key, text, spans in zip(keys, texts, batch.column("spans")):
             raw = text.as_py()
             low = np.array([s["low"] for s in spans.as_py()], dtype=np.int64)
             high = np.minimum(np.array([s["high"] for s in spans.as_py()], dtype=np.int64), len(raw))
@@ -495,29 +496,32 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digest.update(raw[at:a])
                 at = b
             digest.update(raw[at:])
-            out.append((tid, int((high - low).sum()), len(low), digest.digest(), low, high))
-        columns = list(zip(*out)) or [()] * 6
+            out.append((*key, int((high - low).sum()), len(low), digest.digest(), low, high))
+        columns = list(zip(*out)) or [()] * 7
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(columns[0], pa.int64()),
-                pa.array(columns[1], pa.int64()),
+                pa.array(columns[1], pa.int32()),
                 pa.array(columns[2], pa.int64()),
-                pa.array(columns[3], pa.binary()),
-                pa.array(columns[4], pa.list_(pa.int64())),
+                pa.array(columns[3], pa.int64()),
+                pa.array(columns[4], pa.binary()),
                 pa.array(columns[5], pa.list_(pa.int64())),
+                pa.array(columns[6], pa.list_(pa.int64())),
             ],
-            names=["tid", "n_removed", "n_spans", "sha", "span_starts", "span_ends"],
+            names=["doc", "text_hash", "n_removed", "n_spans", "sha", "span_starts", "span_ends"],
         )
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc_id = F.col("doc_id").cast("long")
+    hashed = F.xxhash64(F.lit(5), text)
+    last = F.lit(_NO_ID) + F.shiftrightunsigned(F.xxhash64(F.lit(7), text), 3)
     return docs.select(
         doc_id.alias("doc_id"),
-        F.coalesce(doc_id, F.lit(int(_NO_ID))).alias("doc"),
-        F.xxhash64(doc_id, text).alias("tid"),
-        F.xxhash64(F.lit(5), text).alias("same"),
+        F.coalesce(doc_id, last).alias("doc"),
+        hashed.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("text_hash"),
+        hashed.alias("same"),
         text.alias("text"),
     )
 
@@ -527,37 +531,39 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     keyed = _keyed(docs)
     slim = stage(
-        keyed.select("doc_id", "doc", "tid", "same", F.octet_length("text").cast("long").alias("n_bytes"), F.xxhash64(F.lit(6), "text").alias("again"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")),
+        keyed.select("doc_id", "doc", "text_hash", "same", F.octet_length("text").cast("long").alias("n_bytes"), F.xxhash64(F.lit(6), "text").alias("again"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")),
         "suffix-slim",
     )
     size = slim.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     ranges = int(size // RANGE_BYTES) + 1
 
-    runs = keyed.mapInArrow(_sorted_runs(ranges), _RUN)
-    met = stage(runs.repartition("range").sortWithinPartitions("range").mapInArrow(_meet, _MET), "suffix-met")
+    runs = keyed.select("doc", "text_hash", "text").mapInArrow(_sorted_runs(ranges), _RUN)
+    met = runs.repartition("range").sortWithinPartitions("range").mapInArrow(_meet, _MET)
+    met = stage(met.withColumnRenamed("text", "text_hash"), "suffix-met")
 
     copies = slim.groupBy("same", "again", "n_bytes").agg(F.min("doc").alias("first_doc"))
     owners = slim.join(copies, ["same", "again", "n_bytes"])
-    later = owners.where("doc > first_doc").select("tid").distinct()
-    borders = met.where("gram is not null").join(later, "tid", "left_anti")
-    lists = borders.groupBy("tid").agg(F.collect_set(F.struct("pos", "gram")).alias("borders"))
-    texts = keyed.select("tid", "doc", "text")
-    suffixes = texts.join(lists.hint("shuffle_hash"), "tid").select("tid", "doc", "text", "borders").mapInArrow(_suffix_runs(ranges), _CODED)
-    merged = suffixes.repartition("range").sortWithinPartitions("range").mapInArrow(_merge, "tid long, low long, high long")
-
-    spans = met.where("gram is null").select("tid", "low", "high").unionByName(merged)
-    per_text = spans.groupBy("tid").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    key = ["doc", "text_hash"]
+    later = owners.where("doc > first_doc").select(*key).distinct()
+    borders = met.where("gram is not null").join(later, key, "left_anti")
+    lists = borders.groupBy(*key).agg(F.collect_set(F.struct("pos", "gram")).alias("borders"))
+    texts = keyed.select(*key, "text")
+    suffixes = texts.join(lists.hint("shuffle_hash"), key).select(*key, "text", "borders").mapInArrow(_suffix_runs(ranges), _CODED)
+    merged = suffixes.repartition("range").sortWithinPartitions("range").mapInArrow(_merge, _SPAN)
+
+    spans = met.where("gram is null").select(*key, "low", "high").unionByName(merged.withColumnRenamed("text", "text_hash"))
+    per_text = spans.groupBy(*key).agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     cut = stage(
-        texts.join(per_text.hint("shuffle_hash"), "tid")
-        .select("tid", "text", "spans")
-        .mapInArrow(_cut, "tid long, n_removed long, n_spans long, sha binary, span_starts array<long>, span_ends array<long>")
-        .dropDuplicates(["tid"]),
+        texts.join(per_text.hint("shuffle_hash"), key)
+        .select(*key, "text", "spans")
+        .mapInArrow(_cut, "doc long, text_hash int, n_removed long, n_spans long, sha binary, span_starts array<long>, span_ends array<long>")
+        .dropDuplicates(key),
         "suffix-cut",
     ).withColumnRenamed("sha", "cut_sha")
     copy = (F.col("doc") > F.col("first_doc")) & (F.col("n_bytes") >= LENGTH)
     zero = F.lit(0).cast("long")
     no_spans = F.array().cast("array<long>")
-    return owners.join(cut, "tid", "left").select(
+    return owners.join(cut, key, "left").select(
         "doc_id",
         "n_bytes",
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
