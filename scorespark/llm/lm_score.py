@@ -5,11 +5,10 @@ is coded by yes-no decisions along a Huffman code: the ``VOCABULARY`` most frequ
 training words that occur ``LEAST_COUNT`` times or more, the end and an escape share one tree; an escaped word is spelled in
 bytes along a second tree and closed by a blank, so every text has a probability.
 
-* Every decision is predicted by four bit predictors. Each looks up, under a hash
+* Every decision is predicted by three bit predictors. Each looks up, under a hash
   of its context and the tree node, how often training texts went either way: for
-  words the contexts are none, the last very frequent word (which tells the language),
-  the last word and the last two words, for bytes the last two, the last four, the
-  word so far and the word so far after that frequent word. Counts are gathered from all
+  words the contexts are none, the last very frequent word (which tells the language)
+  and the last two words, for bytes the last two, the last four and the word so far. Counts are gathered from all
   training documents and added up block by block.
 * Predictions (log odds) are combined by weights chosen by a gate: the tree and how
   sure the two longest predictors are. Gate weights are fitted on
@@ -52,7 +51,7 @@ MARKERS = 64
 BASE_WORDS = 1 << 20
 SLOTS_LOG = 21
 TABLE_BLOCK = 1 << 12
-PREDICTORS = 4
+PREDICTORS = 3
 GATES = 32
 STEP = 256
 ONLINE_RATE = 0.6
@@ -183,8 +182,7 @@ class Decisions:
         self.symbol[out] = symbol
         context[0, out] = 1
         context[1, out] = marker >> np.uint64(32)
-        context[2, out] = last1 >> np.uint64(32)
-        context[3, out] = mix(last1 * np.uint64(3) + last2) >> np.uint64(32)
+        context[2, out] = mix(last1 * np.uint64(3) + last2) >> np.uint64(32)
         if len(spelled):
             lengths = words.ends[spelled] - words.starts[spelled] + 1
             inside = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -201,9 +199,7 @@ class Decisions:
             two = before(1) | before(2) << np.uint32(8)
             context[0, to] = two + np.uint32(2)
             context[1, to] = (two | before(3) << np.uint32(16) | before(4) << np.uint32(24)) * np.uint32(0x85EBCA6B)
-            so_far = words.spans(begin, at) >> np.uint64(32)
-            context[2, to] = so_far
-            context[3, to] = so_far + np.repeat(marker[place[spelled]] >> np.uint64(33), lengths)
+            context[2, to] = words.spans(begin, at) >> np.uint64(32)
         self.context = context
         self.bits = code.length[self.symbol]
         ends_at = np.concatenate([[0], np.cumsum(self.bits)])
@@ -225,7 +221,7 @@ class Decisions:
 
 def gates(stretched: list[np.ndarray], spelling: np.ndarray) -> np.ndarray:
     out = spelling.astype(np.int64) * 16
-    for k, factor in ((2, 4), (3, 1)):
+    for k, factor in ((1, 4), (2, 1)):
         sure = np.abs(stretched[k])
         out += factor * ((sure > 0.05).astype(np.int8) + (sure > 1.5) + (sure > 3.5))
     return out
@@ -254,28 +250,32 @@ def score_batch(decisions: Decisions, model: Model) -> np.ndarray:
     real = at < decisions.offsets[owner + 1][:, None]
     at = np.minimum(at, max(len(decisions.node) - 1, 0))
     shape, flat = at.shape, at.ravel()
-    stretched = [model.tables[k][decisions.slots(k, flat)] for k in range(PREDICTORS)]
-    gate = gates(stretched, decisions.node[flat] >= 1 << 24)
-    mixed = sum(s * model.weights[:, k].astype(np.float32)[gate] for k, s in enumerate(stretched)).reshape(shape)
-    stretched = [s.reshape(shape) for s in stretched]
-    outcome = decisions.outcome[flat].reshape(shape)
+    stretched = np.empty((PREDICTORS, *shape), dtype=np.float32)
+    for k in range(PREDICTORS):
+        stretched[k] = model.tables[k][decisions.slots(k, flat)].reshape(shape)
+    gate = gates(stretched.reshape(PREDICTORS, -1), decisions.node[flat] >= 1 << 24)
+    weights = model.weights.astype(np.float32)
+    mixed = sum(stretched[k] * weights[gate, k].reshape(shape) for k in range(PREDICTORS))
+    sign = np.where(decisions.outcome[flat] > 0, np.float32(1), np.float32(-1)).reshape(shape)
+    sign[~real] = 0  # filling up: no cost, no push
+    filling = (STEP - real.sum(axis=1)) * np.log(2.0)
     own = np.zeros((len(counts), PREDICTORS), dtype=np.float32)
     out = np.zeros(len(counts))
     edges = np.concatenate([np.flatnonzero(np.diff(turn, prepend=-1)), [len(turn)]])
     for low, high in zip(edges[:-1], edges[1:]):
-        part = slice(low, high)
-        who = owner[part]
-        x = mixed[part].copy()
-        for k in range(PREDICTORS):
-            x += own[who, k, None] * stretched[k][part]
+        who = owner[low:high]
+        some = stretched[:, low:high]
+        x = mixed[low:high] + np.einsum("kdb,dk->db", some, own[who])
+        x *= sign[low:high]
         np.clip(x, -16, 16, out=x)
-        against = np.exp(np.where(outcome[part] > 0, -x, x))  # odds of the other outcome
-        against[~real[part]] = 0
-        out[who] -= np.log1p(against).sum(axis=1, dtype=np.float64)
-        wrong = against / (1 + against)
-        push = np.where(outcome[part] > 0, wrong, -wrong)
-        for k in range(PREDICTORS):
-            own[who, k] += ONLINE_RATE / STEP * np.einsum("ij,ij->i", push, stretched[k][part])
+        against = np.exp(-x)  # odds of the other outcome
+        total = against + np.float32(1)
+        # four factors of at most 1 + e**16 fit a float
+        four = total[:, 0::4] * total[:, 1::4] * total[:, 2::4] * total[:, 3::4]
+        out[who] -= np.log(four).sum(axis=1, dtype=np.float64) - filling[low:high]
+        against /= total
+        against *= sign[low:high]
+        own[who] += np.float32(ONLINE_RATE / STEP) * np.einsum("kdb,db->dk", some, against)
     return out
 
 
@@ -332,7 +332,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     counts[h] = [raw[a:b], c]
                 else:
                     row[1] += c
-        if len(counts) > 400_000:
+        if len(counts) > 200_000:
             yield packed()
     yield packed()
 
@@ -344,25 +344,11 @@ def _gather(shared):
         code = shared.value
         size = 2 << SLOTS_LOG
         counts = np.zeros((PREDICTORS, size), dtype=np.int32)
-        waiting: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
-        held = 0
-
-        def settle() -> None:
-            for k in range(PREDICTORS):
-                if waiting[k]:
-                    counts[k] += np.bincount(np.concatenate(waiting[k]), minlength=size).astype(np.int32)
-                    waiting[k].clear()
-
         for batch in batches:
             for piece in _pieces(batch):
                 decisions = Decisions(Words(*buffers(piece.column("text"))), code)
                 for k in range(PREDICTORS):
-                    waiting[k].append(decisions.slots(k) << np.uint32(1) | decisions.outcome.astype(np.uint32))
-                held += len(decisions.node)
-                if held > 8_000_000:
-                    settle()
-                    held = 0
-        settle()
+                    np.add.at(counts[k], (decisions.slots(k) << np.uint32(1) | decisions.outcome).astype(np.int64), np.int32(1))
         part = TaskContext.get().partitionId()
         width = 2 * TABLE_BLOCK
         for k in range(PREDICTORS):
