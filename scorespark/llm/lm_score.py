@@ -59,6 +59,8 @@ CALIBRATION_DOCS, CALIBRATION_BYTES = 256, 1 << 16
 #: Bytes of text that one training task gathers counts over before it hands on its tables.
 TRAIN_BYTES = 64 << 20
 PIECE_BYTES = 1 << 19
+#: Decisions a task counts in 32 bits before it hands on its tables; sums over tasks have 64 bits.
+COUNTED_AT_A_TIME = 1 << 30
 _END_HASH, _BEGIN_HASH = np.uint64(0x51ED270B35A1F3C5), np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -344,33 +346,48 @@ def _gather(shared):
         code = shared.value
         size = 2 << SLOTS_LOG
         counts = np.zeros((PREDICTORS, size), dtype=np.int32)
+        part = TaskContext.get().partitionId()
+        width = 2 * TABLE_BLOCK
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            for k in range(PREDICTORS):
+                rows = counts[k].reshape(-1, width)
+                used = np.flatnonzero(rows.any(axis=1))
+                for low in range(0, len(used), 64):
+                    some = used[low : low + 64]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(some), k, np.int32)),
+                            pa.array(some.astype(np.int32)),
+                            pa.array(np.full(len(some), part, np.int64)),
+                            pa.array([rows[b].tobytes() for b in some], pa.binary()),
+                        ],
+                        names=names,
+                    )
+
+        held = 0
         for batch in batches:
             for piece in _pieces(batch):
                 decisions = Decisions(Words(*buffers(piece.column("text"))), code)
+                if held + len(decisions.node) > COUNTED_AT_A_TIME:
+                    yield from packed()
+                    counts[:] = 0
+                    held = 0
+                held += len(decisions.node)
                 for k in range(PREDICTORS):
                     np.add.at(counts[k], (decisions.slots(k) << np.uint32(1) | decisions.outcome).astype(np.int64), np.int32(1))
-        part = TaskContext.get().partitionId()
-        width = 2 * TABLE_BLOCK
-        for k in range(PREDICTORS):
-            rows = counts[k].reshape(-1, width)
-            used = np.flatnonzero(rows.any(axis=1))
-            for low in range(0, len(used), 64):
-                some = used[low : low + 64]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(some), k, np.int32)),
-                        pa.array(some.astype(np.int32)),
-                        pa.array(np.full(len(some), part, np.int64)),
-                        pa.array([rows[b].tobytes() for b in some], pa.binary()),
-                    ],
-                    names=names,
-                )
+        yield from packed()
 
     return run
 
 
+def _counts(raw: bytes) -> np.ndarray:
+    """Counts of a block: 32 bits as a task gathers them, 64 bits once added up."""
+    return np.frombuffer(raw, dtype=np.int32 if len(raw) == 8 * TABLE_BLOCK else np.int64)
+
+
 def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the blocks of each key; rows come sorted by key."""
+    """Sums, in 64 bits, of the blocks of each key; rows come sorted by key."""
     names = ["predictor", "block", "part", "counts"]
     key, total = None, None
 
@@ -381,11 +398,11 @@ def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = zip(*[batch.column(c).to_pylist() for c in names[:3]])
         for new, raw in zip(keys, batch.column("counts")):
-            row = np.frombuffer(raw.as_py(), dtype=np.int32)
+            row = _counts(raw.as_py())
             if new != key:
                 if key is not None:
                     yield packed()
-                key, total = new, row.copy()
+                key, total = new, row.astype(np.int64)
             else:
                 total += row
     if key is not None:
@@ -411,7 +428,7 @@ def _odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         odds = []
         for raw in batch.column("counts"):
-            counts = np.frombuffer(raw.as_py(), dtype=np.int32).reshape(-1, 2)
+            counts = _counts(raw.as_py()).reshape(-1, 2)
             odds.append(np.log((counts[:, 1] + 0.4) / (counts[:, 0] + 0.4)).astype(np.float16).tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column("predictor"), batch.column("block"), pa.array(odds, pa.binary())], names=["predictor", "block", "odds"]

@@ -8,7 +8,10 @@ import pyarrow as pa
 import pytest
 
 from scorespark.llm.lm_score import (
+    TABLE_BLOCK,
     Decisions,
+    _add_blocks,
+    _odds,
     huffman,
     lm_scores,
     look_up,
@@ -104,3 +107,16 @@ def test_decisions_spell_out_the_text():
     alone = [Decisions(Words(*buffers(pa.array([t]))), code) for t in texts]
     for k in range(3):
         assert np.array_equal(np.concatenate([d.slots(k) for d in alone]), made.slots(k))
+
+
+def test_counts_beyond_32_bits_add_up():
+    block = np.full((TABLE_BLOCK, 2), 2**31 - 1, dtype=np.int32)
+    block[:, 0] = 5
+    rows = {"predictor": [0] * 3, "block": [0] * 3, "part": [0] * 3, "counts": [block.tobytes()] * 3}
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    batch = pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], names=list(rows))
+    once = list(_add_blocks(iter([batch])))
+    twice = list(_add_blocks(iter(once + once)))
+    (out,) = _odds(iter(twice))
+    odds = np.frombuffer(out.column("odds")[0].as_py(), dtype=np.float16)
+    assert odds == pytest.approx(np.full(len(odds), np.log((6 * (2**31 - 1) + 0.4) / 30.4)), rel=1e-3)
