@@ -120,3 +120,20 @@ def test_counts_beyond_32_bits_add_up():
     (out,) = _odds(iter(twice))
     odds = np.frombuffer(out.column("odds")[0].as_py(), dtype=np.float16)
     assert odds == pytest.approx(np.full(len(odds), np.log((6 * (2**31 - 1) + 0.4) / 30.4)), rel=1e-3)
+
+
+def test_last_word_and_word_so_far_after_the_marker_are_contexts():
+    known = ["the", "fox", "ran"]
+    code = make_code(Words(*buffers(pa.array([" ".join(known)]))).hashes(), [9, 4, 3], 3, 2)
+    made = Decisions(Words(*buffers(pa.array(["the fox ran xy", "ran fox ran xy", "the ran ran xy"]))), code)
+    ran = code.symbols[look_up(code.words, Words(*buffers(pa.array(["ran"]))).hashes())[0]]
+    after_the_fox, _, after_ran_fox = np.flatnonzero(made.symbol == ran)[:3]
+    assert made.context[2, after_the_fox] == made.context[2, after_ran_fox]
+    assert made.context[3, after_the_fox] != made.context[3, after_ran_fox]
+    y = np.flatnonzero(made.symbol == code.byte + ord("y"))
+    assert len(set(made.context[2, y])) == 1
+
+    marked = Decisions(Words(*buffers(pa.array(["the xy", "fox xy", "the the xy"]))), code)
+    y = np.flatnonzero(marked.symbol == code.byte + ord("y"))
+    assert len(set(marked.context[2, y])) == 1
+    assert marked.context[3, y[0]] == marked.context[3, y[2]] != marked.context[3, y[1]]
