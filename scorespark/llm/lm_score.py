@@ -12,9 +12,10 @@ bytes along a second tree and closed by a blank, so every text has a probability
   word so far and the word so far after that frequent word. Counts are gathered from all
   training documents and added up block by block.
 * Predictions (log odds) are combined by weights chosen by a gate: the tree and how
-  sure the two longest predictors are. Gate weights are fitted on
-  ``CALIBRATION_DOCS`` training documents that the counts leave out (those of at most
-  ``CALIBRATION_BYTES`` bytes with the smallest hash of doc_id).
+  sure the two longest predictors are. Gate weights are fitted on all training
+  documents in two folds: each half, by a hash of doc_id and text, is predicted from
+  the counts of the other half. The decisions are added up by cells of log odds
+  (outcomes and mean log odds of each cell), and the weights are fitted to the cells.
 * While a document is scored its weights are refined online, after every block of
   ``STEP`` decisions, by the gradient of its own coding cost. Documents of a batch
   advance side by side but never see each other.
@@ -37,6 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,7 +58,9 @@ PREDICTORS = 4
 GATES = 32
 STEP = 256
 ONLINE_RATE = 0.6
-CALIBRATION_DOCS, CALIBRATION_BYTES = 256, 1 << 16
+#: Cells of log odds by size, a sign bit beside it; where gates change, cells do.
+CELL_EDGES = np.array([0.05, 0.7, 1.5, 2.5, 3.5, 5.0, 7.0], dtype=np.float32)
+CELLS = 2 * (2 * len(CELL_EDGES) + 2) ** PREDICTORS
 #: Bytes of text that one training task gathers counts over before it hands on its tables.
 TRAIN_BYTES = 64 << 20
 PIECE_BYTES = 1 << 19
@@ -285,23 +289,45 @@ def score_batch(decisions: Decisions, model: Model) -> np.ndarray:
     return out
 
 
-def fit_gate_weights(decisions: Decisions, tables: np.ndarray, rounds: int = 12) -> np.ndarray:
-    """Logistic regression of outcomes on the log odds for each gate, by Newton steps."""
+def cell_marks(tables: np.ndarray) -> np.ndarray:
+    """For every log odds its cell along one predictor."""
+    out = np.empty(tables.shape, dtype=np.uint8)
+    for k in range(len(tables)):
+        row = tables[k].astype(np.float32)
+        out[k] = np.searchsorted(CELL_EDGES, np.abs(row)) * 2 + (row < 0)
+    return out
+
+
+def add_cells(cells: np.ndarray, decisions: Decisions, tables: np.ndarray, marks: np.ndarray) -> None:
+    """Add the decisions to ``cells``: rows of zeros, ones and the log odds of each predictor."""
+    cell = (decisions.node >= 1 << 24).astype(np.int64)
+    values = []
+    for k in range(PREDICTORS):
+        slots = decisions.slots(k)
+        cell = cell * (2 * len(CELL_EDGES) + 2) + marks[k][slots]
+        values.append(tables[k][slots])
+    unique, cell = np.unique(cell, return_inverse=True) if len(cell) < len(cells[0]) else (slice(None), cell)
+    n = len(cells[0][unique])
+    ones = np.bincount(cell, weights=decisions.outcome, minlength=n)
+    cells[0][unique] += np.bincount(cell, minlength=n) - ones
+    cells[1][unique] += ones
+    for k in range(PREDICTORS):
+        cells[2 + k][unique] += np.bincount(cell, weights=values[k], minlength=n)
+
+
+def fit_gate_weights(cells: np.ndarray, spelling: np.ndarray, rounds: int = 30) -> np.ndarray:
+    """Logistic regression of outcomes on the mean log odds of cells for each gate, by Newton steps."""
     weights = np.full((GATES, PREDICTORS), 0.4)
-    if not len(decisions.node):
-        return weights
-    stretched = [tables[k][decisions.slots(k)] for k in range(PREDICTORS)]
-    gate = gates(stretched, decisions.node >= 1 << 24)
-    rows = np.stack(stretched, axis=1).astype(np.float64)
-    order = np.argsort(gate, kind="stable")
-    edges = np.searchsorted(gate[order], np.arange(GATES + 1))
+    n = cells[0] + cells[1]
+    rows = (cells[2:] / n).T
+    gate = gates(list(rows.T), spelling)
     for g in range(GATES):
-        mine = order[edges[g] : edges[g + 1]]
-        x, y, w = rows[mine], decisions.outcome[mine], weights[g]
+        mine = np.flatnonzero(gate == g)
+        x, y, m, w = rows[mine], cells[1][mine], n[mine], weights[g]
         for _ in range(rounds if len(mine) else 0):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -20, 20)))
-            slope = x.T @ (y - p) - 2.0 * (w - 0.4)
-            curve = (x * (p * (1 - p))[:, None]).T @ x + 2.0 * np.eye(PREDICTORS)
+            slope = x.T @ (y - m * p) - 2.0 * (w - 0.4)
+            curve = (x * (m * p * (1 - p))[:, None]).T @ x + 2.0 * np.eye(PREDICTORS)
             w = w + np.clip(np.linalg.solve(curve, slope), -0.5, 0.5)
         weights[g] = np.clip(w, -0.5, 2.0)
     return weights
@@ -343,19 +369,26 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield packed()
 
 
+def _folds(piece: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    for fold in (0, 1):
+        part = piece.filter(pc.equal(piece.column("fold"), fold))
+        if part.num_rows:
+            yield fold, part
+
+
 def _gather(shared):
-    names = ["predictor", "block", "part", "counts"]
+    names = ["predictor", "block", "part", "fold", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = shared.value
         size = 2 << SLOTS_LOG
-        counts = np.zeros((PREDICTORS, size), dtype=np.int32)
+        counts = np.zeros((2, PREDICTORS, size), dtype=np.int32)
         part = TaskContext.get().partitionId()
         width = 2 * TABLE_BLOCK
 
         def packed() -> Iterator[pa.RecordBatch]:
-            for k in range(PREDICTORS):
-                rows = counts[k].reshape(-1, width)
+            for fold, k in np.ndindex(2, PREDICTORS):
+                rows = counts[fold, k].reshape(-1, width)
                 used = np.flatnonzero(rows.any(axis=1))
                 for low in range(0, len(used), 64):
                     some = used[low : low + 64]
@@ -364,6 +397,7 @@ def _gather(shared):
                             pa.array(np.full(len(some), k, np.int32)),
                             pa.array(some.astype(np.int32)),
                             pa.array(np.full(len(some), part, np.int64)),
+                            pa.array(np.full(len(some), fold, np.int32)),
                             pa.array([rows[b].tobytes() for b in some], pa.binary()),
                         ],
                         names=names,
@@ -371,7 +405,7 @@ def _gather(shared):
 
         held = 0
         for batch in batches:
-            for piece in _pieces(batch):
+            for fold, piece in (x for piece in _pieces(batch) for x in _folds(piece)):
                 decisions = Decisions(Words(*buffers(piece.column("text"))), code)
                 if held + len(decisions.node) > COUNTED_AT_A_TIME:
                     yield from packed()
@@ -379,7 +413,7 @@ def _gather(shared):
                     held = 0
                 held += len(decisions.node)
                 for k in range(PREDICTORS):
-                    np.add.at(counts[k], (decisions.slots(k) << np.uint32(1) | decisions.outcome).astype(np.int64), np.int32(1))
+                    np.add.at(counts[fold, k], (decisions.slots(k) << np.uint32(1) | decisions.outcome).astype(np.int64), np.int32(1))
         yield from packed()
 
     return run
@@ -392,15 +426,15 @@ def _counts(raw: bytes) -> np.ndarray:
 
 def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums, in 64 bits, of the blocks of each key; rows come sorted by key."""
-    names = ["predictor", "block", "part", "counts"]
+    names = ["predictor", "block", "part", "fold", "counts"]
     key, total = None, None
 
     def packed() -> pa.RecordBatch:
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((*key, total.tobytes()), kinds)], names=names)
 
     for batch in batches:
-        keys = zip(*[batch.column(c).to_pylist() for c in names[:3]])
+        keys = zip(*[batch.column(c).to_pylist() for c in names[:4]])
         for new, raw in zip(keys, batch.column("counts")):
             row = _counts(raw.as_py())
             if new != key:
@@ -414,30 +448,61 @@ def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _summed_tables(gathered: DataFrame, parts: int) -> np.ndarray:
-    """Log odds of every slot; tables of many tasks are added in rounds of at most 64."""
+    """Log odds of every slot by all counts and by those of each fold; tables of many tasks are added in rounds of at most 64."""
     while True:
         parts = -(-parts // 64)
         dealt = gathered.withColumn("part", F.floor(F.col("part") / 64)).repartition("predictor", "block", "part")
-        gathered = dealt.sortWithinPartitions("predictor", "block", "part").mapInArrow(_add_blocks, gathered.schema)
+        gathered = dealt.sortWithinPartitions("predictor", "block", "part", "fold").mapInArrow(_add_blocks, gathered.schema)
         if parts <= 1:
             break
-    out = np.zeros((PREDICTORS, 1 << SLOTS_LOG), dtype=np.float16)
-    per_block = gathered.select("predictor", "block", "counts").mapInArrow(_odds, "predictor int, block int, odds binary")
-    for row in per_block.toLocalIterator():
-        out[row.predictor, row.block * TABLE_BLOCK : (row.block + 1) * TABLE_BLOCK] = np.frombuffer(row.odds, dtype=np.float16)
+    out = np.zeros((3, PREDICTORS, 1 << SLOTS_LOG), dtype=np.float16)
+    for row in gathered.mapInArrow(_odds, "predictor int, block int, odds binary").toLocalIterator():
+        odds = np.frombuffer(row.odds, dtype=np.float16).reshape(3, TABLE_BLOCK)
+        out[:, row.predictor, row.block * TABLE_BLOCK : (row.block + 1) * TABLE_BLOCK] = odds
     return out
 
 
 def _odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        odds = []
-        for raw in batch.column("counts"):
-            counts = _counts(raw.as_py()).reshape(-1, 2)
-            odds.append(np.log((counts[:, 1] + 0.4) / (counts[:, 0] + 0.4)).astype(np.float16).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("predictor"), batch.column("block"), pa.array(odds, pa.binary())], names=["predictor", "block", "odds"]
+    """Log odds of the blocks by all counts, those of fold 0 and of fold 1; rows come sorted by predictor and block."""
+    key, folds = None, np.zeros((2, TABLE_BLOCK, 2), dtype=np.int64)
+
+    def packed() -> pa.RecordBatch:
+        counts = np.stack([folds[0] + folds[1], *folds])
+        odds = np.log((counts[..., 1] + 0.4) / (counts[..., 0] + 0.4)).astype(np.float16).tobytes()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([odds], pa.binary())],
+            names=["predictor", "block", "odds"],
         )
 
+    for batch in batches:
+        for *new, fold, raw in zip(*[batch.column(c).to_pylist() for c in ("predictor", "block", "fold", "counts")]):
+            if new != key:
+                if key is not None:
+                    yield packed()
+                key = new
+                folds[:] = 0
+            folds[fold] += _counts(raw).reshape(-1, 2)
+    if key is not None:
+        yield packed()
+
+
+_CELL = ["cell", "zeros", "ones", *[f"odds{k}" for k in range(PREDICTORS)]]
+
+
+def _calibrate(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, tables = shared.value
+        marks = [cell_marks(t) for t in tables]
+        cells = np.zeros((2 + PREDICTORS, CELLS))
+        for batch in batches:
+            for fold, piece in (x for piece in _pieces(batch) for x in _folds(piece)):
+                decisions = Decisions(Words(*buffers(piece.column("text"))), code)
+                add_cells(cells, decisions, tables[1 - fold], marks[1 - fold])
+        used = np.flatnonzero(cells[0] + cells[1])
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *[pa.array(c[used]) for c in cells]], names=_CELL)
+
+    return run
+
 
 _SCORED = "row_id long, doc_id long, n_tokens long, n_known long, base double, score double, n_bytes long, others array<binary>"
 
@@ -483,9 +548,7 @@ def fit_model(docs: DataFrame, vocabulary: int = VOCABULARY, base_words: int = B
     """The model, the table (word, n) of training words, and N and V of the training tokens."""
     spark = docs.sparkSession
     train = documents_view(docs).where(~held_out(F.col("doc_id")))
-    sample_key = F.xxhash64(F.lit(11), "doc_id", "text")
-    short = train.where(F.octet_length("text") <= CALIBRATION_BYTES)
-    sample = short.select(sample_key.alias("k"), "text").orderBy("k").limit(CALIBRATION_DOCS).toArrow()
+    folded = train.select("text", F.xxhash64(F.lit(11), "doc_id", "text").bitwiseAND(1).cast("int").alias("fold"))
     ends, size = train.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = int(size // TRAIN_BYTES) + 1
 
@@ -509,14 +572,16 @@ def fit_model(docs: DataFrame, vocabulary: int = VOCABULARY, base_words: int = B
     coded = n[:vocabulary]
     code = make_code(hashes[:vocabulary], coded.tolist(), int(total - ends - coded.sum()), ends)
 
-    skip = [k.as_py() for k in sample.column("k")]
-    rest = train.where(~sample_key.isin(skip)) if skip else train
-    gathered = rest.select("text").coalesce(parts).mapInArrow(
-        _gather(spark.sparkContext.broadcast(code)), "predictor int, block int, part long, counts binary"
+    gathered = folded.coalesce(parts).mapInArrow(
+        _gather(spark.sparkContext.broadcast(code)), "predictor int, block int, part long, fold int, counts binary"
+    )
+    tables, *fold_tables = _summed_tables(gathered, parts)
+    counted_cells = folded.mapInArrow(
+        _calibrate(spark.sparkContext.broadcast((code, fold_tables))), "cell int, " + ", ".join(f"{c} double" for c in _CELL[1:])
     )
-    tables = _summed_tables(gathered, parts)
-    sampled = Decisions(Words(*buffers(sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string()))), code)
-    weights = fit_gate_weights(sampled, tables.astype(np.float32))
+    summed = counted_cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in _CELL[1:]]).orderBy("cell").toArrow()
+    cells = np.stack([np.asarray(summed.column(c), dtype=np.float64) for c in _CELL[1:]])
+    weights = fit_gate_weights(cells, np.asarray(summed.column("cell")) >= CELLS // 2)
 
     order = np.argsort(hashes, kind="stable")
     scale = np.log10(total + distinct + 1)

@@ -12,6 +12,8 @@ from scorespark.llm.lm_score import (
     Decisions,
     _add_blocks,
     _odds,
+    fit_model,
+    held_out,
     huffman,
     lm_scores,
     look_up,
@@ -112,13 +114,13 @@ def test_decisions_spell_out_the_text():
 def test_counts_beyond_32_bits_add_up():
     block = np.full((TABLE_BLOCK, 2), 2**31 - 1, dtype=np.int32)
     block[:, 0] = 5
-    rows = {"predictor": [0] * 3, "block": [0] * 3, "part": [0] * 3, "counts": [block.tobytes()] * 3}
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    rows = {"predictor": [0] * 3, "block": [0] * 3, "part": [0] * 3, "fold": [0] * 3, "counts": [block.tobytes()] * 3}
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
     batch = pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], names=list(rows))
     once = list(_add_blocks(iter([batch])))
     twice = list(_add_blocks(iter(once + once)))
     (out,) = _odds(iter(twice))
-    odds = np.frombuffer(out.column("odds")[0].as_py(), dtype=np.float16)
+    odds = np.frombuffer(out.column("odds")[0].as_py(), dtype=np.float16)[:TABLE_BLOCK]
     assert odds == pytest.approx(np.full(len(odds), np.log((6 * (2**31 - 1) + 0.4) / 30.4)), rel=1e-3)
 
 
@@ -137,3 +139,17 @@ def test_last_word_and_word_so_far_after_the_marker_are_contexts():
     y = np.flatnonzero(marked.symbol == code.byte + ord("y"))
     assert len(set(marked.context[2, y])) == 1
     assert marked.context[3, y[0]] == marked.context[3, y[2]] != marked.context[3, y[1]]
+
+
+def test_small_tables_are_counted_whole_and_beat_the_base(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = fit_model(docs)[0]
+    texts = [r.text for r in docs.where(~held_out(docs.doc_id)).collect()]
+    made = Decisions(Words(*buffers(pa.array(texts, pa.string()))), model.code)
+    for k in range(len(model.tables)):
+        counts = np.zeros((model.tables.shape[1], 2), dtype=np.int64)
+        np.add.at(counts, (made.slots(k), made.outcome), 1)
+        assert np.allclose(model.tables[k], np.log((counts[:, 1] + 0.4) / (counts[:, 0] + 0.4)), atol=0.01)
+    # the base gives any unseen word one flat share, so texts full of them are not compared
+    held = [r for r in lm_scores(docs).collect() if r.held_out and r.n_known >= 0.9 * r.n_tokens]
+    assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
