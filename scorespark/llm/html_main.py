@@ -11,15 +11,16 @@ come from labelled pages, those that mark their main part with an ``article`` or
   menus, and such elements inside the stretch are left out.
 
 ``PRIOR_OUT`` and ``PRIOR_IN`` stand in for labels no page has given yet. Counts
-come from all labelled pages; the model keeps the ``MAX_KEYS`` most frequent
-class and id names.
+come from all labelled pages; the model keeps every tag and every class and id name
+that decides anything, that is whose weight is ``VETO`` or below or replaces a prior.
 
 Only the body counts; comments, scripts, styles and other raw elements hold no
 text. Character references are decoded, white space inside a block becomes one
 space, blocks are joined by one space. Null or empty html, and pages whose words
 all score negative, give an empty text. Ties go to the earlier, longer stretch.
-Unclosed elements end with their parent; an unclosed script takes the rest of the
-page. Every input row gives one row, repeated rows included; other columns are not
+Unclosed elements end with their parent. An unclosed script, style, title, textarea,
+iframe, noscript or template takes the rest of the page; of other unclosed raw elements
+(``svg``, ``video``, ``object`` ...) only the tag is passed over. Every input row gives one row, repeated rows included; other columns are not
 read.
 """
 
@@ -38,9 +39,7 @@ from pyspark.sql import functions as F
 
 from scorespark.llm.text import bounded_batches
 
-MAX_KEYS = 5_000
 VETO = -1.2
-MAX_DEPTH = 400
 
 # Element names of the HTML standard and customary class names.
 INLINE = frozenset(
@@ -48,6 +47,8 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math object select canvas video audio head".split())
+#: Raw elements whose text runs to the end of the page when they are not closed.
+SWALLOWING = frozenset("script style noscript template iframe textarea title".split())
 MAIN_TAGS = frozenset(("article", "main"))
 PRIOR_OUT = frozenset(
     "nav footer aside form button dialog menu menuitem fieldset dl.meta"
@@ -106,13 +107,28 @@ def element_keys(tag: str, attributes: str) -> list[str]:
     return keys
 
 
-def pieces(page: str) -> Iterator[tuple[str, str, tuple]]:
-    """("text", raw text, open elements) and ("tag", name, open elements) in page order.
+class Element:
+    """An open element with what holds below it: whether in a main element, and the keys of all elements around."""
 
-    An open element is (tag, keys). Raw elements, comments and the head give nothing.
+    __slots__ = ("tag", "keys", "parent", "marked", "around", "place")
+
+    def __init__(self, tag: str, keys: list[str], parent: Element | None):
+        self.tag, self.keys, self.parent = tag, keys, parent
+        self.marked = tag in MAIN_TAGS or parent is not None and parent.marked
+        above = parent.around if parent else frozenset()
+        self.around = above if above.issuperset(keys) else above.union(keys)
+        self.place: tuple[bool, float] | None = None
+
+
+def pieces(page: str) -> Iterator[tuple[str, str, Element | None]]:
+    """("text", raw text, innermost open element) and ("tag", name, innermost open element) in page order.
+
+    Raw elements, comments and the head give nothing.
     """
-    stack: list[tuple[str, list[str]]] = []
-    view: tuple = ()
+    stack: list[Element] = []
+    opened: Counter = Counter()
+    unclosed: set[str] = set()
+    view: Element | None = None
     at, n = 0, len(page)
     while at < n:
         found = _PIECE.search(page, at)
@@ -128,44 +144,56 @@ def pieces(page: str) -> Iterator[tuple[str, str, tuple]]:
         tag = name.lower()
         if tag in RAW and not closing:
             if not rest.endswith("/"):
-                ended = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+                ended = None
+                if tag not in unclosed:
+                    ended = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
                 if ended:
                     at = ended.end()
                 elif tag == "head":
                     body = re.compile(r"<body\b", re.I).search(page, at)
                     at = body.start() if body else at
-                else:
+                elif tag in SWALLOWING:
                     return
+                if not ended:
+                    unclosed.add(tag)
             continue
         yield "tag", tag, view
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            left = opened[tag] - 1
+            while left >= 0 and opened[tag] > left:
+                opened[stack.pop().tag] -= 1
         elif tag not in VOID and not rest.endswith("/"):
             if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
                 for k in range(len(stack) - 1, max(len(stack) - 4, -1), -1):
-                    if stack[k][0] == tag:
+                    if stack[k].tag == tag:
+                        opened.subtract(x.tag for x in stack[k:])
                         del stack[k:]
                         break
-                    if stack[k][0] not in INLINE:
+                    if stack[k].tag not in INLINE:
                         break
-            if len(stack) < MAX_DEPTH:
-                stack.append((tag, element_keys(tag, rest)))
-        view = tuple(stack)
+            stack.append(Element(tag, element_keys(tag, rest), stack[-1] if stack else None))
+            opened[tag] += 1
+        view = stack[-1] if stack else None
+
 
+def standing(view: Element | None, weights: Weights) -> tuple[bool, bool]:
+    """Whether a place is inside a main element, and whether below an element that holds other things.
 
-def standing(view: tuple, weights: Weights) -> tuple[bool, bool]:
-    """Whether a place is inside a main element, and whether below an element that holds other things."""
-    worst, main = 0.0, False
-    for tag, keys in view:
-        if tag in MAIN_TAGS:
+    Elements remember it, so one page goes with one ``weights``.
+    """
+    fresh = []
+    while view is not None and view.place is None:
+        fresh.append(view)
+        view = view.parent
+    main, worst = view.place if view is not None else (False, 0.0)
+    for element in reversed(fresh):
+        if element.tag in MAIN_TAGS:
             main = True
-        elif tag == "header" and not main:
-            worst = VETO
-        for key in keys:
+        elif element.tag == "header" and not main:
+            worst = min(worst, VETO)
+        for key in element.keys:
             worst = min(worst, weights.key(key))
+        element.place = main, worst
     return main, worst <= VETO
 
 
@@ -176,17 +204,13 @@ def scored_pieces(page: str, weights: Weights) -> list[tuple[float, str | None,
     What is left out inside a main element neither adds nor separates.
     """
     places: list[tuple[str, str, bool, bool]] = []
-    known: dict[int, tuple] = {}
     kept = {True: 0, False: 0}
     for kind, value, view in pieces(page):
-        cached = known.get(id(view))
-        if cached is None or cached[0] is not view:
-            cached = known[id(view)] = (view, *standing(view, weights))
-        _, main, other = cached
+        main, other = standing(view, weights)
         places.append((kind, value, main, other))
         if kind == "text" and not other:
             kept[main] += len(value.split())
-    outside = -1.0 if kept[True] and kept[True] >= kept[False] * 0.4 else 1.0
+    outside = -1.0 if kept[True] and kept[True] > kept[False] else 1.0
     out: list[tuple[float, str | None, bool]] = []
     for kind, value, main, other in places:
         if kind == "tag":
@@ -229,14 +253,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not text or not re.search(r"<(?:article|main)\b", text, re.I):
                 continue
             for kind, value, view in pieces(text):
-                marked = any(tag in MAIN_TAGS for tag, _ in view)
-                counts = inside if marked else outside
+                counts = inside if view and view.marked else outside
                 if kind == "tag":
                     counts["tag", value] += 1
                 else:
                     words = len(value.split())
-                    if words:
-                        for key in {k for _, keys in view for k in keys}:
+                    if words and view:
+                        for key in view.around:
                             counts["key", key] += words
     names = list(inside.keys() | outside.keys())
     yield pa.RecordBatch.from_arrays(
@@ -250,13 +273,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def fit_weights(pages: DataFrame, max_keys: int = MAX_KEYS) -> Weights:
+def fit_weights(pages: DataFrame) -> Weights:
     counted = pages.select("html").mapInArrow(_count, "kind string, name string, inside long, outside long")
+    decides = F.log((F.col("inside") + 1) / (F.col("outside") + 1)) <= VETO + 1e-9
     rows = (
         counted.groupBy("kind", "name")
         .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-        .orderBy((F.col("inside") + F.col("outside")).desc(), "kind", "name")
-        .limit(max_keys)
+        .where((F.col("kind") == "tag") | decides | F.col("name").isin(*sorted(PRIOR_OUT | PRIOR_IN)))
         .collect()
     )
     return weighted({(r.kind, r.name): (r.inside, r.outside) for r in rows})

@@ -1,7 +1,7 @@
 import html
 import re
 
-from scorespark.llm.html_main import Weights, extract_pages, main_text, weighted
+from scorespark.llm.html_main import Weights, extract_pages, fit_weights, main_text, weighted
 
 
 def text(page):
@@ -60,3 +60,32 @@ def test_edge_rows(spark):
     got = sorted((str(r.page_id), r.n_chars) for r in extract_pages(pages).collect())
     assert got == [("1", 0), ("1", 0), ("3", 0), ("4", 399999), ("None", 7)]
     assert extract_pages(pages.limit(0)).count() == 0
+
+
+def test_depth_is_not_limited():
+    deep = "<font>" * 600
+    first = ("first words " * 10).strip()
+    fourth = ("fourth words " * 10).strip()
+    page = f"<div><article><p>{first}</p>{deep}<div>second words</div><div>third words</div><p>{fourth}</p></article></div>"
+    assert text(page) == f"{first} second words third words {fourth}"
+    assert text(f"<article>{deep}<nav>menu words</nav>kept words</article>") == "kept words"
+    assert text("<div>" * 60000 + "deep words" + "</p>" * 60000) == "deep words"
+
+
+def test_unclosed_elements_that_are_not_raw_text_keep_the_rest():
+    for tag in ("svg", "video", "audio", "object", "select", "canvas", "math"):
+        assert text(f"<article><p>before</p><{tag} class=x><p>after it</p></article>") == "before after it"
+        assert text(f"<article><p>before</p><{tag}>inner</{tag}><p>after it</p></article>") == "before after it"
+
+
+def test_main_elements_need_most_words_to_shut_out_the_others():
+    body = "<div>" + "<p>words of the body text here</p>" * 10 + "</div>"
+    teaser = "<article>" + "a teaser card " * 9 + "</article>"
+    assert "words of the body text here" in text(body + teaser)
+    assert "words of the body" not in text(body + "<article>" + "main story " * 40 + "</article>")
+
+
+def test_all_names_are_learned(spark):
+    many = "".join(f"<p class=n{k}>five words stand right here</p>" for k in range(6000))
+    pages = spark.createDataFrame([(f"<article>main text</article>{many}<p class=rare>one two three four</p>",)], "html string")
+    assert all(fit_weights(pages).key(k) < -1.2 for k in (".rare", ".n0", ".n5999"))
