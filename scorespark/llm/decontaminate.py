@@ -5,15 +5,12 @@ other than letters and digits separate words. A document holds an item of n word
 if some stretch of it is within ``floor((1 - similarity) * n)`` word edits.
 
 * A stretch that close shares an unbroken run of words with the item
-  (pigeonhole), so windows of the item's size are laid where such a run lines up.
-* Windows and items are embedded by CGK random walks: in step t the current word
-  is written down and a random bit of (walk, t, word) says whether to go on to
-  the next. Few edits leave most written positions equal.
-* Each of ``walks`` x ``tables`` hash tables samples ``bits`` written positions;
-  windows and items that meet in one table are candidates. With the defaults,
-  recall at the largest distance is above 0.99 (tests measure it).
-* Candidates are confirmed by the exact edit distance to the best stretch around
-  the window; false candidates never come out.
+  (pigeonhole), so places are looked up where such a run lines up. Places of one
+  item that lie within its edit budget of each other make one region.
+* An edit destroys at most two of the item's word pairs, so a region that holds
+  fewer than ``n - 1 - 2 * edits`` of its pairs cannot hold the item.
+* What is left is decided by the exact edit distance to the best stretch of the
+  region. No step loses a match, whatever the length of the item.
 
 Null or empty texts and items hold and are held by nothing; items of fewer than
 ``MIN_WORDS`` words are too short to prove a leak and match nothing. Items go to
@@ -36,9 +33,9 @@ from scorespark.llm.text import LOWER, Words, bounded_batches, buffers, document
 SIMILARITY = 0.8
 MIN_WORDS = 5
 RUN = 4
-WALKS, TABLES, BITS = 6, 10, 2
 CHUNK_CHARS = 1 << 20
-WINDOWS_AT_A_TIME = 4096
+#: Words of regions compared at a time.
+CELLS_AT_A_TIME = 1 << 19
 MATCH = "doc_id long, item_id long, similarity double, distance int, start_word long, n_words int"
 
 _FOLD = LOWER.copy()
@@ -79,44 +76,24 @@ class Items:
     similarity: float
     runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # by width: sorted run hash, item, place in it
     filters: dict[int, np.ndarray]  # by width: which low 20 bits occur
-    keys: np.ndarray  # sorted table keys
-    key_items: np.ndarray
-    longest: int
-
-
-def _embedded(tokens: np.ndarray, sizes: np.ndarray, walk: int, steps: int) -> np.ndarray:
-    """CGK walks over padded rows of word hashes: what is written in each step."""
-    rows = np.arange(len(tokens))
-    at = np.zeros(len(tokens), dtype=np.int64)
-    written = np.zeros((steps, len(tokens)), dtype=np.uint64)
-    width = tokens.shape[1]
-    for t in range(steps):
-        inside = at < sizes
-        word = np.where(inside, tokens[rows, np.minimum(at, width - 1)], np.uint64(0))
-        written[t] = word
-        salt = np.uint64((walk * 1_000_003 + t * 7_919 + 1) * 0x9E3779B97F4A7C15 % 2**64)
-        at += ((word ^ salt) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(63)).astype(np.int64)
-    return written
-
-
-def table_keys(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Keys of rows (padded word hashes of ``sizes`` words) in each of the WALKS x TABLES tables."""
-    rng = np.random.default_rng(977)
-    places = rng.random((WALKS, TABLES, BITS))
-    out = np.zeros((WALKS * TABLES, len(tokens)), dtype=np.uint64)
-    if not len(tokens):
-        return out
-    steps = 2 * int(sizes.max())
-    columns = np.arange(len(tokens))
-    for walk in range(WALKS):
-        written = _embedded(tokens, sizes, walk, steps)
-        for table in range(TABLES):
-            key = sizes.astype(np.uint64) + np.uint64(((walk * TABLES + table) * 2 + 1) * 0x9E3779B97F4A7C15 % 2**64)
-            for place in places[walk, table]:
-                at = (place * 1.5 * sizes).astype(np.int64)
-                key = mix(key ^ written[at, columns]) * np.uint64(0xC2B2AE3D27D4EB4F)
-            out[walk * TABLES + table] = mix(key)
-    return out
+    sizes: np.ndarray
+    budgets: np.ndarray
+
+
+def _pairs(hashes: np.ndarray) -> np.ndarray:
+    """Hash of each two neighbours along the last axis."""
+    return mix(hashes[..., :-1] * _RUN_FACTORS[0] + mix(hashes[..., 1:] + np.uint64(1)))
+
+
+def may_hold(item: np.ndarray, regions: np.ndarray, budget: int) -> np.ndarray:
+    """Which rows hold as many of the item's word pairs as a stretch within ``budget`` edits must."""
+    pairs, times = np.unique(_pairs(item), return_counts=True)
+    own = _pairs(regions)
+    at = np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)
+    held = np.zeros((len(regions), len(pairs)), dtype=bool)
+    row, column = np.nonzero(pairs[at] == own)
+    held[row, at[row, column]] = True
+    return held @ times >= len(item) - 1 - 2 * budget
 
 
 def _padded(hashes: np.ndarray, low: np.ndarray, high: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
@@ -150,14 +127,8 @@ def prepare_items(ids: list[int], texts: list[str | None], similarity: float) ->
         filters[width] = np.zeros(1 << 20, dtype=bool)
         filters[width][(columns[0] & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
     sizes = np.array([len(r) for r in rows], dtype=np.int64)
-    longest = int(sizes.max()) if len(rows) else 0
-    tokens = np.zeros((len(rows), max(longest, 1)), dtype=np.uint64)
-    for k, own in enumerate(rows):
-        tokens[k, : len(own)] = own
-    keys = table_keys(tokens, sizes)
-    flat, owner = keys.ravel(), np.tile(np.arange(len(rows)), len(keys))
-    order = np.argsort(flat, kind="stable")
-    return Items(kept, rows, similarity, runs, filters, flat[order], owner[order], longest)
+    budgets = np.array([edit_budget(len(r), similarity) for r in rows], dtype=np.int64)
+    return Items(kept, rows, similarity, runs, filters, sizes, budgets)
 
 
 def _expanded(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,8 +140,8 @@ def _expanded(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray,
     return who, np.repeat(low, count) + inner
 
 
-def _windows(hashes: np.ndarray, words: Words, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, start and size of all windows laid where a run of an item lines up."""
+def _windows(hashes: np.ndarray, words: Words, items: Items) -> np.ndarray:
+    """Sorted, distinct (item, text, start) of all places where a run of an item lines up."""
     owners = words.owners()
     found = [np.zeros((0, 3), dtype=np.int64)]
     for width, (keys, item, place) in items.runs.items():
@@ -183,12 +154,30 @@ def _windows(hashes: np.ndarray, words: Words, items: Items) -> tuple[np.ndarray
         )
         who, hit = _expanded(keys, own[likely])
         at = likely[who]
-        sizes = np.array([len(w) for w in items.words], dtype=np.int64)
-        found.append(np.stack([owners[at], at - place[hit], sizes[item[hit]]], axis=1))
+        found.append(np.stack([item[hit], owners[at], at - place[hit]], axis=1))
     out = np.concatenate(found)
-    if len(out):
-        out = np.unique(out, axis=0)
-    return out[:, 0], out[:, 1], out[:, 2]
+    out = out[np.lexsort((out[:, 2], out[:, 1], out[:, 0]))]
+    return out[np.append(True, (out[1:] != out[:-1]).any(axis=1))] if len(out) else out
+
+
+def _regions(windows: np.ndarray, budgets: np.ndarray) -> np.ndarray:
+    """The first window of each region: windows of one item and text that start within its budget of the first."""
+    item, text, start = windows.T
+    fresh = np.ones(len(windows), dtype=bool)
+    fresh[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (start[1:] - start[:-1] > budgets[item[1:]])
+    firsts = np.flatnonzero(fresh)
+    ends = np.append(firsts[1:], len(windows))
+    kept = []
+    # all regions side by side: the next one of a chain begins at the first window out of reach
+    span = int(start.max() - start.min()) + int(budgets.max()) + 2
+    chain = np.repeat(np.arange(len(firsts)), ends - firsts)
+    place = chain * span + (start - start.min())
+    while len(firsts):
+        kept.append(firsts)
+        following = np.searchsorted(place, place[firsts] + budgets[item[firsts]], side="right")
+        on = following < ends
+        firsts, ends = following[on], ends[on]
+    return windows[np.sort(np.concatenate(kept))]
 
 
 def best_distance(item: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -213,32 +202,25 @@ def find_items(data: np.ndarray, offsets: np.ndarray, items: Items) -> list[tupl
         return []
     words = folded_words(data, offsets)
     hashes = words.hashes()
-    text, start, size = _windows(hashes, words, items)
-    pairs = []
-    for first in range(0, len(text), WINDOWS_AT_A_TIME):
-        part = slice(first, first + WINDOWS_AT_A_TIME)
-        low, high = words.first[text[part]], words.first[text[part] + 1]
-        tokens = _padded(hashes, low, high, start[part], int(size[part].max()))
-        keys = table_keys(tokens, size[part])
-        for row in keys:
-            who, hit = _expanded(items.keys, row)
-            pairs.append(np.stack([items.key_items[hit], who + first], axis=1))
-    if not pairs:
+    windows = _windows(hashes, words, items)
+    if not len(windows):
         return []
-    candidates = np.unique(np.concatenate(pairs), axis=0)
+    owner, text, start = _regions(windows, items.budgets).T
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    edges = np.searchsorted(candidates[:, 0], np.arange(len(items.ids) + 1))
-    for k in np.unique(candidates[:, 0]):
-        item = items.words[k]
-        budget = edit_budget(len(item), items.similarity)
-        every = candidates[edges[k] : edges[k + 1], 1]
-        for first in range(0, len(every), 512):
-            window = every[first : first + 512]
-            window = window[size[window] == len(item)]
+    edges = np.searchsorted(owner, np.arange(len(items.ids) + 1))
+    for k in np.unique(owner):
+        item, budget = items.words[k], int(items.budgets[k])
+        width = len(item) + 3 * budget
+        at_a_time = max(1, CELLS_AT_A_TIME // width)
+        for first in range(edges[k], edges[k + 1], at_a_time):
+            window = np.arange(first, min(first + at_a_time, edges[k + 1]))
             low, high = words.first[text[window]], words.first[text[window] + 1]
-            region = _padded(hashes, low, high, start[window] - budget, len(item) + 2 * budget)
-            distance, end = best_distance(item, region)
-            for w, d, e in zip(window, distance, end):
+            region = _padded(hashes, low, high, start[window] - budget, width)
+            likely = may_hold(item, region, budget)
+            if not likely.any():
+                continue
+            distance, end = best_distance(item, region[likely])
+            for w, d, e in zip(window[likely], distance, end):
                 if d <= budget:
                     key, value = (int(text[w]), int(k)), (int(d), int(start[w] - budget + e - len(item)))
                     best[key] = min(best.get(key, value), value)

@@ -93,3 +93,22 @@ def test_edge_rows(spark):
     assert contaminated(docs.limit(0), bench).count() == 0
     assert contaminated(docs, bench.limit(0)).count() == 0
     assert drop_contaminated(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_long_items_with_one_kind_of_edit_are_all_found():
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    for n in (100, 400, 1000):
+        items = [[rng.choice(vocabulary) for _ in range(n)] for _ in range(6)]
+        texts = []
+        for item in items:
+            places = set(rng.sample(range(n), edit_budget(n, 0.8)))
+            shorter = [w for k, w in enumerate(item) if k not in places]
+            longer = [x for k, w in enumerate(item) for x in ([rng.choice(vocabulary), w] if k in places else [w])]
+            changed = [rng.choice(vocabulary) if k in places else w for k, w in enumerate(item)]
+            around = [rng.choice(vocabulary) for _ in range(50)]
+            texts += [around + body + around for body in (shorter, longer, changed)]
+        found = find_items(*buffers(pa.array([" ".join(t) for t in texts])), prepare_items(list(range(6)), [" ".join(i) for i in items], 0.8))
+        true = {(3 * k + kind, k) for k in range(6) for kind in range(3)}
+        assert {(t, k) for t, k, *_ in found} >= true
+        assert all(d <= edit_budget(n, 0.8) for _, _, d, *_ in found)
