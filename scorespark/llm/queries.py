@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorespark.llm import decontaminate, exact_dedup, html_main, lm_score, mixing, near_dedup, pii, quality, suffix_dedup, token_counts
+from scorespark.llm import decontaminate, exact_dedup, html_main, lm_score, merkle, mixing, near_dedup, pii, quality, suffix_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stretches.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = merkle.verified(merkle.manifest(_table(spark, sf_dir, "documents"), claim=merkle.lower_cased()))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -70,9 +75,26 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_token_counts,
         op10_suffix_dedup,
+        op13_merkle_manifest,
     )
 }
 
+def crc32_sql(text: str) -> str:
+    """Unsigned crc32 of an ASCII string in the checking SQL."""
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: CAST(ord(substr({text}, i, 1)) AS BIGINT))"
+    bits = "list_concat([xor(c, b)], [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0])"
+    step = f"list_reduce({bits}, lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS BIGINT)) ELSE v >> 1 END)"
+    start = "[CAST(4294967295 AS BIGINT)]"
+    return f"xor(list_reduce(list_concat({start}, {codes}), lambda c, b: {step}), CAST(4294967295 AS BIGINT))"
+
+
+def _leaf_sql(text: str) -> str:
+    def field(value: str) -> str:
+        return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}) || ':' || {value} END"
+
+    return "sha256(" + " || ".join(field(f) for f in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)) + ")"
+
+
 SQL: dict[str, str] = {
     "op4_exact_dedup": r"""
 WITH d AS (
@@ -85,4 +107,49 @@ SELECT doc_id,
        row_number() OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) = 1 AS kept,
        text_sha256
 FROM d""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf_sql("text")} AS leaf,
+         CASE WHEN {crc32_sql("CAST(doc_id AS VARCHAR)")} % 5 = 0
+              THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+              ELSE {_leaf_sql("text")} END AS claim
+  FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS pos FROM leaves),
+nodes AS (
+  SELECT tree, 0 AS lvl, pos, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM placed
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), count(*) OVER (PARTITION BY tree)
+  FROM nodes WHERE n > 1 GROUP BY tree, lvl, pos // 16),
+tops AS (SELECT tree, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos FROM nodes WHERE n = 1),
+upper_nodes AS (
+  SELECT 0 AS lvl, pos, digest, count(*) OVER () AS n FROM tops
+  UNION ALL
+  SELECT lvl + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), count(*) OVER ()
+  FROM upper_nodes WHERE n > 1 GROUP BY lvl, pos // 16),
+kin AS (
+  SELECT a.tree, a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+  FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.lvl = b.lvl AND a.pos // 16 = b.pos // 16
+  WHERE a.n > 1 GROUP BY a.tree, a.lvl, a.pos
+  UNION ALL
+  SELECT NULL, a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), ''),
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '')
+  FROM upper_nodes a JOIN upper_nodes b ON a.lvl = b.lvl AND a.pos // 16 = b.pos // 16
+  WHERE a.n > 1 GROUP BY a.lvl, a.pos),
+path AS (
+  SELECT doc_id, tree, 0 AS lvl, pos, '' AS proof, claim AS folded FROM placed
+  UNION ALL
+  SELECT p.doc_id, p.tree, p.lvl + 1, p.pos // 16, proof || before || after, sha256(before || folded || after)
+  FROM path p JOIN kin k ON k.tree = p.tree AND k.lvl = p.lvl AND k.pos = p.pos),
+inner_end AS (SELECT doc_id, tree, arg_max(proof, lvl) AS proof, arg_max(folded, lvl) AS folded FROM path GROUP BY doc_id, tree),
+upper_path AS (
+  SELECT e.doc_id, e.tree, 0 AS lvl, t.pos, e.proof, e.folded FROM inner_end e JOIN tops t ON t.tree = e.tree
+  UNION ALL
+  SELECT p.doc_id, p.tree, p.lvl + 1, p.pos // 16, proof || before || after, sha256(before || folded || after)
+  FROM upper_path p JOIN kin k ON k.tree IS NULL AND k.lvl = p.lvl AND k.pos = p.pos),
+ends AS (SELECT doc_id, tree, arg_max(proof, lvl) AS proof, arg_max(folded, lvl) AS folded FROM upper_path GROUP BY doc_id, tree)
+SELECT l.doc_id, l.leaf, t.digest AS subroot, r.digest AS root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root,
+       e.folded = r.digest AS verified
+FROM leaves l JOIN ends e ON e.doc_id = l.doc_id AND e.tree = l.tree JOIN tops t ON t.tree = l.tree
+JOIN (SELECT digest FROM upper_nodes WHERE n = 1) r ON true""",
 }
