@@ -96,7 +96,7 @@ def _carry(placed: DataFrame, group: str, digest: str | None) -> dict[int, tuple
     return out
 
 
-def _finished(shared, names: Sequence[str], digest: bool):
+def _finished(shared, names: Sequence[str], digest: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carries = shared.value
         for batch in batches:
@@ -110,8 +110,10 @@ def _finished(shared, names: Sequence[str], digest: bool):
                     place[own] += rows
                     if digest:
                         sums[own] += np.frombuffer(total, dtype=">u8").astype(np.uint64)
-            columns = [batch.column(c) for c in names] + [pa.array(place)] + ([from_lanes(sums)] if digest else [])
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "place"] + ["sum"] * digest)
+            columns = [batch.column(c) for c in names] + [pa.array(place)] 
+            if digest:
+                columns += [from_lanes(sums), from_lanes(sums - as_lanes(batch.column(digest)))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "place"] + ["sum", "before"] * bool(digest))
 
     return run
 
@@ -119,8 +121,8 @@ def _finished(shared, names: Sequence[str], digest: bool):
 def placed_rows(rows: DataFrame, group: str, order: Sequence[str], label: str, digest: str | None = None) -> DataFrame:
     """``rows`` with ``place``, the number of rows before them in their group (no nulls there).
 
-    With ``digest``, a column of :data:`DIGEST` bytes, also ``sum``: the digests of the group
-    up to the row, lane by lane modulo 2**64. Rows equal in all of ``order`` are numbered
+    With ``digest``, a column of :data:`DIGEST` bytes, also ``sum`` and ``before``: the digests of the
+    group up to the row, with it and without, lane by lane modulo 2**64. Rows equal in all of ``order`` are numbered
     in any order. Columns of ``rows`` must not begin with an underscore.
     """
     spark = rows.sparkSession
@@ -130,5 +132,6 @@ def placed_rows(rows: DataFrame, group: str, order: Sequence[str], label: str, d
     sorted_rows = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
     placed = stage(sorted_rows.mapInArrow(_numbered(group, digest), T.StructType([*rows.schema.fields, *added])), label)
     carries = spark.sparkContext.broadcast(_carry(placed, group, digest))
-    schema = [*rows.schema.fields, T.StructField("place", T.LongType())] + [T.StructField("sum", T.BinaryType())] * bool(digest)
-    return placed.mapInArrow(_finished(carries, kept, bool(digest)), T.StructType(schema))
+    sums = [T.StructField(c, T.BinaryType()) for c in ("sum", "before")] if digest else []
+    schema = T.StructType([*rows.schema.fields, T.StructField("place", T.LongType()), *sums])
+    return placed.mapInArrow(_finished(carries, kept, digest), schema)

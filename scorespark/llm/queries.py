@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorespark.llm import decontaminate, exact_dedup, html_main, lm_score, merkle, mixing, near_dedup, pii, quality, suffix_dedup, token_counts
+from scorespark.llm import decontaminate, exact_dedup, html_main, lm_score, merkle, mixing, near_dedup, pii, prefix_trie, quality, suffix_dedup, token_counts, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stretches.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return vectors.top_k(rows, rows.where("vec_id % 50 = 0"), k=5)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = merkle.verified(merkle.manifest(_table(spark, sf_dir, "documents"), claim=merkle.lower_cased()))
     return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
@@ -75,6 +84,8 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_token_counts,
         op10_suffix_dedup,
+        op11_prefix_trie,
+        op12_vector_topk,
         op13_merkle_manifest,
     )
 }
@@ -107,6 +118,47 @@ SELECT doc_id,
        row_number() OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) = 1 AS kept,
        text_sha256
 FROM d""",
+    "op11_prefix_trie": f"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                            sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS base, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM own),
+joined AS (
+  SELECT c.conv_id, 0 AS part, o.place, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.base AND o.place < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.place, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.place >= c.h),
+turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth FROM joined),
+rows AS (
+  SELECT conv_id, depth, strlen(text) AS bytes,
+         string_agg(sha256(strlen(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM turns
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM convs),
+ends AS (SELECT conv_id, max(depth) AS length FROM rows GROUP BY conv_id),
+nodes AS (
+  SELECT r.depth, r.path, min(r.conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(r.bytes) AS own,
+         sha256(coalesce(string_agg(CAST(r.conv_id AS VARCHAR), ',' ORDER BY r.conv_id) FILTER (e.length = r.depth), '')) AS ends_sha256
+  FROM rows r JOIN ends e ON e.conv_id = r.conv_id GROUP BY r.depth, r.path),
+kids AS (SELECT p.path, count(*) AS n FROM nodes p JOIN nodes k ON k.depth = p.depth + 1 AND k.path[:64 * p.depth] = p.path GROUP BY p.path),
+below AS (SELECT DISTINCT a.path, b.path AS under FROM rows a JOIN rows b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+totals AS (
+  SELECT b.path, count(*) FILTER (k.n IS NULL) AS n_leaves, sum(n.own) AS saved
+  FROM below b JOIN nodes n ON n.path = b.under LEFT JOIN kids k ON k.path = b.under GROUP BY b.path)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+       t.n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON t.path = n.path LEFT JOIN kids k ON k.path = n.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[:64 * (n.depth - 1)] AND p.depth = n.depth - 1""",
+    "op12_vector_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op13_merkle_manifest": f"""
 WITH RECURSIVE leaves AS (
   SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf_sql("text")} AS leaf,
