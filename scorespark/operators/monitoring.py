@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorespark.functions.intervals import right_closed_bin
+from scorespark.operators.asof import asof_next
 from scorespark.operators.bands import BANDS, BinEdges, bin_columns
 from scorespark.session import values_table
 
@@ -137,23 +138,15 @@ def retraining_rows(
 ) -> DataFrame:
     """Scored requests with the first outcome observed in their performance window.
 
-    An applicant may have any number of requests and outcomes. Both are put on one
-    time line and every request looks ahead to the next outcome, so a request has
-    at most one row and rows are never multiplied. Of outcomes at the same time the
-    larger label counts.
+    An applicant may have any number of requests and outcomes, a third of all rows too:
+    the as-of join splits the time line inside an applicant. A request has at most one
+    row and rows are never multiplied. Of outcomes at the same time the larger label counts.
     """
     columns = [c for c in audit.columns if c != key]
-    asked = audit.select(key, F.col("scored_at").alias("_at"), F.lit(0).alias("_later"), F.struct(*columns).alias("_asked"))
-    seen = outcomes.groupBy(key, "observed_at").agg(F.max("bad").alias("bad")).select(
-        key, F.col("observed_at").alias("_at"), F.lit(1).alias("_later"), F.struct("observed_at", "bad").alias("_seen")
-    )
-    line = asked.unionByName(seen, allowMissingColumns=True)
-    # backwards in time, so the next outcome is the last one passed
-    back = Window.partitionBy(key).orderBy(F.col("_at").desc(), F.col("_later").desc())
-    passed = back.rowsBetween(Window.unboundedPreceding, -1)
-    found = line.withColumn("_next", F.last("_seen", ignorenulls=True).over(passed)).where("_later = 0")
-    until = F.col("_at") + F.make_dt_interval(F.lit(window_days))
-    return found.where(F.col("_next.observed_at") < until).select(key, "_asked.*", "_next.observed_at", "_next.bad")
+    found = asof_next(audit, outcomes, key, "scored_at", "observed_at", ["bad"])
+    until = F.col("scored_at") + F.make_dt_interval(F.lit(window_days))
+    matured = found.where(F.col("_found.observed_at") < until)
+    return matured.select(key, *columns, "_found.observed_at", "_found.bad")
 
 
 def realised_vs_predicted(audit: DataFrame, outcomes: DataFrame, key: str = "applicant_id") -> DataFrame:
