@@ -1,12 +1,19 @@
-"""Versioned models: a folder per version and two append-only tables.
-
-``versions`` records what was trained, ``promotions`` which version went live
-when. The current model is the version of the latest promotion, so promoting -
-or going back - only appends one row.
+"""Versioned models: a folder per attempt and append-only commit records.
+
+A number is claimed by creating its claim file, which only one process can. The model is
+saved into a folder of its own, and one commit record, again created once, makes the
+version known and names that folder. An attempt that breaks off leaves a claim and
+perhaps a folder, never a version. ``promotions`` are numbered records of the same kind;
+the current model is the version of the latest one, so promoting - or going back - only
+adds a record.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from datetime import datetime, timezone
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,16 +21,17 @@ from pyspark.sql.utils import AnalysisException
 
 from scorespark.session import values_table
 from scorespark.sources.artefacts import load_artefact, save_artefact
+from scorespark.sources.commits import create_once, names
 
 VERSIONS = (
-    "version int, trained_at timestamp, code_revision string, data_hash string, auc double, ks double"
+    "version int, trained_at timestamp, code_revision string, data_hash string, auc double, ks double, folder string"
 )
 PROMOTIONS = "version int, promoted_at timestamp"
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).json(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -38,21 +46,22 @@ def promotions(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, f"{root}/promotions", PROMOTIONS)
 
 
-def reserve_version(spark: SparkSession, root: str) -> int:
-    """The next version number nobody else has, taken by creating its folder.
+def _now() -> str:
+    return datetime.now(timezone.utc).isoformat()
 
-    A folder without a row in ``versions`` (a registration that broke off, or one
-    under way) keeps its number.
-    """
-    number = (versions(spark, root).agg(F.max("version")).first()[0] or 0) + 1
-    while True:
-        try:
-            spark.range(1).write.mode("error").parquet(f"{root}/v{number}/reserved")
-            return number
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            number += 1
+
+def _numbered(spark: SparkSession, folder: str, text: str, ending: str = "") -> int:
+    """Create the file of the next free number in ``folder``."""
+    taken = [int(n.removesuffix(ending)) for n in names(spark, folder)]
+    number = max(taken, default=0) + 1
+    while not create_once(spark, f"{folder}/{number}{ending}", text):
+        number += 1
+    return number
+
+
+def reserve_version(spark: SparkSession, root: str) -> int:
+    """A version number that nobody else has or will get, also not another process at the same time."""
+    return _numbered(spark, f"{root}/claims", _now())
 
 
 def register_model(
@@ -63,34 +72,35 @@ def register_model(
     data_hash: str,
     code_revision: str = "",
     gate: DataFrame | None = None,
+    number: int | None = None,
 ) -> int:
-    """Save ``model`` under the next free version and record its figures.
+    """Save ``model`` under a new version and record its figures.
 
     ``model`` is a :class:`PipelineModel` or any fitted part or scorer that
     :mod:`scorespark.sources.artefacts` can save. With ``gate``, a one-row table with
-    ``passed``, a model that fails is refused and nothing is written.
+    ``passed``, a model that fails is refused and nothing is written. ``number`` is a
+    version reserved before; if it has been committed meanwhile, that record stands.
     """
     spark = SparkSession.active()
     if gate is not None and not gate.first()["passed"]:
         raise ValueError("the model does not pass the validation gate")
-    number = reserve_version(spark, root)
-    if isinstance(model, PipelineModel):
-        model.write().save(f"{root}/v{number}/pipeline")
+    number = reserve_version(spark, root) if number is None else number
+    kind = "pipeline" if isinstance(model, PipelineModel) else "artefact"
+    folder = f"v{number}/{kind}-{uuid.uuid4().hex}"
+    if kind == "pipeline":
+        model.write().save(f"{root}/{folder}")
     else:
-        save_artefact(spark, model, f"{root}/v{number}/artefact")
-    (
-        spark.range(1)
-        .select(
-            F.lit(number).alias("version"),
-            F.current_timestamp().alias("trained_at"),
-            F.lit(code_revision).alias("code_revision"),
-            F.lit(data_hash).alias("data_hash"),
-            F.lit(float(auc)).alias("auc"),
-            F.lit(float(ks)).alias("ks"),
-        )
-        .write.mode("append")
-        .parquet(f"{root}/versions")
-    )
+        save_artefact(spark, model, f"{root}/{folder}")
+    record = {
+        "version": number,
+        "trained_at": _now(),
+        "code_revision": code_revision,
+        "data_hash": data_hash,
+        "auc": float(auc),
+        "ks": float(ks),
+        "folder": folder,
+    }
+    create_once(spark, f"{root}/versions/{number}.json", json.dumps(record))
     return number
 
 
@@ -98,12 +108,8 @@ def promote(spark: SparkSession, root: str, version: int) -> None:
     """Make a registered version the current one."""
     if versions(spark, root).where(F.col("version") == version).isEmpty():
         raise LookupError(f"version {version} is not registered")
-    (
-        spark.range(1)
-        .select(F.lit(version).alias("version"), F.current_timestamp().alias("promoted_at"))
-        .write.mode("append")
-        .parquet(f"{root}/promotions")
-    )
+    record = json.dumps({"version": version, "promoted_at": _now()})
+    _numbered(spark, f"{root}/promotions", record, ".json")
 
 
 def current_version(promoted: DataFrame) -> DataFrame:
@@ -121,12 +127,15 @@ def promoted_version(spark: SparkSession, root: str) -> int:
     return version
 
 
+def load_version(spark: SparkSession, root: str, version: int):
+    """A registered model: a pipeline, or the fitted part or scorer that was registered."""
+    found = versions(spark, root).where(F.col("version") == version).first()
+    if found is None:
+        raise LookupError(f"version {version} is not registered")
+    path = f"{root}/{found['folder']}"
+    return PipelineModel.load(path) if "/pipeline-" in path else load_artefact(spark, path)
+
+
 def load_current(spark: SparkSession, root: str):
-    """The promoted model: a pipeline, or the fitted part or scorer that was registered."""
-    folder = f"{root}/v{promoted_version(spark, root)}"
-    try:
-        return load_artefact(spark, f"{folder}/artefact")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return PipelineModel.load(f"{folder}/pipeline")
+    """The promoted model."""
+    return load_version(spark, root, promoted_version(spark, root))

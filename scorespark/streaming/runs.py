@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from scorespark.functions.intervals import right_closed_bin
 from scorespark.operators.bands import BinEdges, ScoreBands
@@ -19,6 +20,8 @@ from scorespark.operators.monitoring import psi_from_period_counts
 from scorespark.operators.preparing import Imputer
 from scorespark.operators.quantiles import counted_quantiles
 from scorespark.operators.scorecard import score_population
+from scorespark.sources.commits import create_once, read_once
+from scorespark.sources.registry import load_version, promoted_version
 
 WEEK = "7 days"
 MONDAY = "4 days"  # windows count from a Thursday, 1970-01-01
@@ -81,6 +84,60 @@ def score_stream(
     return scored.withColumn("model_version", F.lit(model_version))
 
 
+def follow_registry(
+    applicants: DataFrame, root: str, path: str, columns: Sequence[str], query_name: str | None = None, **trigger
+) -> StreamingQuery:
+    """Score arriving applicants with the model that is promoted when their micro-batch starts.
+
+    A batch's version is fixed by a record made once before anything is scored, so a
+    batch that is tried again is scored by the same version, and its folder is
+    written anew: every row bears the version that scored it, and none is there twice.
+    Promoting a version takes effect from the next batch on, without a restart.
+    Returns the running query; ``trigger`` goes to ``trigger()``.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        record = f"{state_path(path)}-versions/{batch_id}"
+        create_once(spark, record, str(promoted_version(spark, root)))
+        version = int(read_once(spark, record))
+        rows = load_version(spark, root, version).apply(batch).withColumn("model_version", F.lit(version))
+        rows.select(*columns, "model_version").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    writer = applicants.writeStream.foreachBatch(handle).option("checkpointLocation", state_path(path))
+    if query_name:
+        writer = writer.queryName(query_name)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def follow_both(
+    applicants: DataFrame, root: str, challenger: int, path: str, columns: Sequence[str], key: str, **trigger
+) -> StreamingQuery:
+    """Shadow scoring: the promoted model and ``challenger`` answer the same micro-batch side by side.
+
+    Rows have the key, ``columns`` of either model as ``champion_...`` and ``challenger_...``, and the champion's
+    version, fixed as in :func:`follow_registry`.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        record = f"{state_path(path)}-versions/{batch_id}"
+        create_once(spark, record, str(promoted_version(spark, root)))
+        version = int(read_once(spark, record))
+        inputs = batch.columns
+        rows = batch
+        for side, number in (("champion", version), ("challenger", challenger)):
+            found = load_version(spark, root, number).apply(rows.select(F.struct(*rows.columns).alias("_row"), *inputs))
+            kept = [F.col("_row").getField(c).alias(c) for c in rows.columns]
+            rows = found.select(*kept, *[F.col(c).alias(f"{side}_{c}") for c in columns])
+        answers = [f"{side}_{c}" for side in ("champion", "challenger") for c in columns]
+        out = rows.select(key, *answers).withColumn("model_version", F.lit(version))
+        out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    writer = applicants.writeStream.foreachBatch(handle).option("checkpointLocation", state_path(path))
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
 def audit_rows(scored: DataFrame, key: str, inputs: list[str], received_at: Column | None = None) -> DataFrame:
     """Audit-log rows: time, request and response as JSON, model version, latency.
 
@@ -117,6 +174,54 @@ def window_value_counts(
     )
 
 
+#: Size of a quantile sketch; its rank error is at most 1.65 % of the rows with 99 % confidence.
+SKETCH_K = 200
+SKETCH_ERROR = 0.0165
+
+
+def window_sketches(
+    requests: DataFrame, value: str, ts: str = "ts", days: int = 7, lateness: str = "1 day", k: int = SKETCH_K
+) -> DataFrame:
+    """Volume, mean, range and a mergeable quantile sketch per calendar window; closed windows only in append mode.
+
+    The state is one sketch of a few kilobytes per open window, however many rows or distinct
+    values there are. Its quantiles have a rank error (:data:`SKETCH_ERROR`);
+    :func:`window_value_counts` is the exact twin for values with few distinct levels.
+    """
+    start = MONDAY if days == 7 else "0 days"
+    number = F.col(value).cast("double")
+    return (
+        requests.withWatermark(ts, lateness)
+        .where(number.isNotNull() & ~F.isnan(number))
+        .groupBy(F.window(ts, f"{days} days", startTime=start).alias("w"))
+        .agg(
+            F.count("*").alias("n"),
+            F.avg(number).alias("avg_value"),
+            F.min(number).alias("min_value"),
+            F.max(number).alias("max_value"),
+            F.kll_sketch_agg_double(number, F.lit(k)).alias("sketch"),
+        )
+        .select(_week().alias("period"), "n", "avg_value", "min_value", "max_value", "sketch")
+    )
+
+
+def sketch_quantiles(sketches: DataFrame, probabilities: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """``sketches`` with p50, p95 ... in place of the sketch."""
+    wanted = {f"p{round(100 * p)}": F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))) for p in probabilities}
+    return sketches.withColumns(wanted).drop("sketch")
+
+
+def merged_sketches(sketches: DataFrame, period: Column) -> DataFrame:
+    """Windows put together to longer periods: volumes add up, sketches merge."""
+    return sketches.groupBy(period.alias("period")).agg(
+        F.sum("n").alias("n"),
+        (F.sum(F.col("avg_value") * F.col("n")) / F.sum("n")).alias("avg_value"),
+        F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"),
+        F.kll_merge_agg_double("sketch").alias("sketch"),
+    )
+
+
 def window_summary(counts: DataFrame, probabilities: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
     """Volume, mean, range and exact percentiles per period of ``counts(period, value, n)``."""
     totals = counts.groupBy("period").agg(
