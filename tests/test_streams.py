@@ -1,10 +1,20 @@
 """Streams that are drained again and again lose and repeat nothing."""
 
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
-from scorespark.operators.bands import BinEdges
+from scorespark.operators.bands import BinEdges, ScoreBands
+from scorespark.operators.monitoring import retraining_rows
+from scorespark.operators.preparing import Imputer
+from scorespark.operators.scorecard import LinearModel
 from scorespark.session import scratch_path
+from scorespark.sources import registry
+from scorespark.sources.artefacts import Scorer
 from scorespark.streaming import runs
+from scorespark.streaming.matching import match_outcomes
 
 
 def _arrive(spark, folder, rows, schema):
@@ -62,3 +72,107 @@ def test_latency_is_measured_from_arrival(spark):
     arrived = F.current_timestamp() - F.expr("INTERVAL 2 SECONDS")
     row = runs.audit_rows(scored, "id", ["pd"], arrived).first()
     assert 1990 < row.latency_ms < 2010
+
+
+def test_matching_equals_the_batch_join_over_three_drains(spark):
+    scores, seen, out = (scratch_path(spark, x) for x in ("s", "o", "matched"))
+    left, right = "applicant_id long, scored_at timestamp, n int", "applicant_id long, observed_at timestamp, bad int"
+    rng, start = random.Random(6), datetime(2024, 1, 1)
+    asked = [[], [], []]
+    told = [[], [], []]
+    for n in range(240):
+        who = 1 if n % 3 == 0 else rng.randint(2, 20)  # one applicant asks again and again
+        hour = rng.randint(0, 24 * 90)
+        # files come late and out of order, by less than the lateness
+        drain = min(2, (hour + rng.randint(0, 24 * 8)) // (24 * 33))
+        rows = told if n % 2 else asked
+        rows[drain].append((who, str(start + timedelta(hours=hour)), rng.randint(0, 1) if n % 2 else n))
+    asked[2].append((99, "2026-01-01", 999))  # moves the watermark beyond all others
+    told[2].append((99, "2026-01-01", 0))
+    for s, o in zip(asked, told):
+        _arrive(spark, scores, s, left)
+        _arrive(spark, seen, o, right)
+        streams = [runs.file_stream(spark, f, spark.read.parquet(f).schema) for f in (scores, seen)]
+        runs.drain(match_outcomes(*streams, 20, lateness="15 days"), out)
+    found = Counter(spark.read.schema(f"{left}, observed_at timestamp, bad int").parquet(out).collect())
+    requests, outcomes = spark.read.parquet(scores), spark.read.parquet(seen)
+    want = retraining_rows(requests.where("n < 999"), outcomes, 20).select("applicant_id", "scored_at", "n", "observed_at", "bad")
+    assert found == Counter(want.collect()) and len(found) > 50
+
+
+def _scorer(weight):
+    bands = ScoreBands((0.0, 500.0, 1000.0))
+    return Scorer(Imputer({"x": 0.0}, {}), LinearModel({"x": weight}, 0.0), bands)
+
+
+def test_a_running_query_follows_the_registry(spark):
+    arriving, out, root = (scratch_path(spark, x) for x in ("in", "scores", "models"))
+    for weight in (1.0, -1.0):
+        registry.register_model(_scorer(weight), root, 0.7, 0.3, "h")
+    registry.promote(spark, root, 1)
+    _arrive(spark, arriving, [(k, 2.0) for k in range(5)], "id long, x double")
+    stream = runs.file_stream(spark, arriving, spark.read.parquet(arriving).schema)
+    query = runs.follow_registry(stream, root, out, ["id", "pd"], processingTime="0 seconds")
+    try:
+        query.processAllAvailable()
+        registry.promote(spark, root, 2)
+        _arrive(spark, arriving, [(k, 2.0) for k in range(5, 9)], "id long, x double")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.id, r.model_version) for r in rows) == [(k, 1 if k < 5 else 2) for k in range(9)]
+    assert all((r.pd > 0.5) == (r.model_version == 1) for r in rows)
+
+
+def test_a_repeated_batch_keeps_its_version(spark):
+    from scorespark.sources.commits import create_once
+
+    arriving, out, root = (scratch_path(spark, x) for x in ("in", "scores", "models"))
+    for weight in (1.0, -1.0):
+        registry.register_model(_scorer(weight), root, 0.7, 0.3, "h")
+    registry.promote(spark, root, 2)
+    # batch 0 was begun with version 1, then its driver was lost
+    assert create_once(spark, f"{runs.state_path(out)}-versions/0", "1")
+    _arrive(spark, arriving, [(1, 2.0)], "id long, x double")
+    stream = runs.file_stream(spark, arriving, spark.read.parquet(arriving).schema)
+    runs.follow_registry(stream, root, out, ["id", "pd"], availableNow=True).awaitTermination()
+    assert [(r.id, r.model_version) for r in spark.read.parquet(out).collect()] == [(1, 1)]
+
+
+def test_champion_and_challenger_on_one_stream(spark):
+    arriving, out, root = (scratch_path(spark, x) for x in ("in", "shadow", "models"))
+    for weight in (1.0, -1.0):
+        registry.register_model(_scorer(weight), root, 0.7, 0.3, "h")
+    registry.promote(spark, root, 1)
+    _arrive(spark, arriving, [(k, float(k)) for k in range(5)], "id long, x double")
+    stream = runs.file_stream(spark, arriving, spark.read.parquet(arriving).schema)
+    runs.follow_both(stream, root, 2, out, ["pd", "band"], "id", availableNow=True).awaitTermination()
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r.id for r in rows) == list(range(5))
+    assert all(abs(r.champion_pd + r.challenger_pd - 1) < 1e-12 and r.model_version == 1 for r in rows)
+
+
+def test_sketches_stay_small_and_within_their_error(spark):
+    arriving, out = scratch_path(spark, "in"), scratch_path(spark, "sketches")
+    log = spark.range(200_000).select(
+        (F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod(F.xxhash64("id"), F.lit(14 * 86_400)))).alias("ts"),
+        F.exp(F.randn(7) * 2).alias("value"),
+    )
+    log.write.parquet(arriving)
+    log = spark.read.parquet(arriving)
+    runs.drain(runs.window_sketches(runs.file_stream(spark, arriving, log.schema), "value"), out)
+    sketches = spark.read.parquet(out)
+    shares = (0.05, 0.5, 0.95, 0.99)
+    found = {r.period: r for r in runs.sketch_quantiles(sketches, shares).collect()}
+    assert len(found) == 1  # the second week is still open
+    sizes = [len(r.sketch) for r in sketches.collect()]
+    assert max(sizes) < 8_000  # 100,000 distinct values a week
+    (period, row), = found.items()
+    values = sorted(r.value for r in log.where("date_trunc('week', ts) = timestamp '2024-01-01'").collect())
+    assert (row.n, row.min_value, row.max_value) == (len(values), values[0], values[-1])
+    for p in shares:
+        rank = sum(v <= row[f"p{round(100 * p)}"] for v in values) / len(values)
+        assert abs(rank - p) <= 2 * runs.SKETCH_ERROR
+    merged = runs.sketch_quantiles(runs.merged_sketches(sketches.unionByName(sketches), F.lit("all"))).first()
+    assert merged.n == 2 * row.n and abs(sum(v <= merged.p50 for v in values) / len(values) - 0.5) <= 2 * runs.SKETCH_ERROR
