@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,13 +110,69 @@ def fit_calibrated(
 
 @dataclass(frozen=True)
 class Isotonic:
-    model: IsotonicRegressionModel
+    """A rising curve through ``values`` at ``borders``, straight in between and level beyond."""
+
+    borders: tuple[float, ...]
+    values: tuple[float, ...]
+
+    def of(self, score: Column) -> Column:
+        """Calibrated value by binary search among the borders; expressions only, also on streams."""
+        # literals that the optimiser folds into one array each
+        borders, values = (F.from_json(F.lit(json.dumps(x)), "array<double>") for x in (self.borders, self.values))
+        n = len(self.borders)
+        # borders before low are <= x
+        start = F.struct(F.lit(0).alias("low"), F.lit(n).alias("high"), score.alias("x"))
+
+        def halve(at: Column, _: Column) -> Column:
+            middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+            beyond = F.get(borders, middle) <= at["x"]
+            going = at["low"] < at["high"]
+            return F.struct(
+                F.when(going & beyond, middle + 1).otherwise(at["low"]).alias("low"),
+                F.when(going & ~beyond, middle).otherwise(at["high"]).alias("high"),
+                at["x"].alias("x"),
+            )
+
+        steps = F.sequence(F.lit(0), F.lit(n.bit_length()))
+        place = F.aggregate(steps, start, halve, lambda at: at["low"])
+        low, high = F.get(borders, place - 1), F.get(borders, place)
+        below, above = F.get(values, place - 1), F.get(values, place)
+        between = F.when(low == score, below).otherwise(below + (above - below) * (score - low) / (high - low))
+        ends = F.when(place == 0, self.values[0]).when(place == n, self.values[-1])
+        return F.when(score.isNotNull(), ends.otherwise(between))
 
     def apply(self, df: DataFrame, score: str = "pd", column: str = "pd_calibrated") -> DataFrame:
         """Interpolated calibrated value; scores beyond the fitted range take the end values."""
-        renamed = df.withColumn("_score", F.col(score).cast("double"))
-        self.model.setFeaturesCol("_score").setPredictionCol(column)
-        return self.model.transform(renamed).drop("_score")
+        return df.withColumn(column, self.of(F.col(score).cast("double")))
+
+
+@dataclass(frozen=True)
+class OnLogOdds:
+    """A sigmoid over the log odds of finished probabilities, which are kept off 0 and 1."""
+
+    curve: Sigmoid
+
+    def of(self, score: Column) -> Column:
+        return self.curve.apply(_log_odds(score))
+
+    def apply(self, df: DataFrame, score: str = "pd", column: str = "pd_calibrated") -> DataFrame:
+        return df.withColumn(column, self.of(F.col(score)))
+
+
+def _log_odds(score: Column) -> Column:
+    near = F.least(F.greatest(score, F.lit(CLIP)), F.lit(1 - CLIP))
+    return F.ln(near / (1 - near))
+
+
+@dataclass(frozen=True)
+class Calibrated:
+    """A fitted model with a curve over its probabilities; saved and scored like any model."""
+
+    model: object
+    curve: Isotonic | OnLogOdds
+
+    def pd(self) -> Column:
+        return self.curve.of(self.model.pd())
 
 
 def fit_isotonic(df: DataFrame, score: str = "pd", label: str = "bad") -> Isotonic:
@@ -128,19 +185,22 @@ def fit_isotonic(df: DataFrame, score: str = "pd", label: str = "bad") -> Isoton
         F.avg(F.col(label).cast("double")).alias("y"), F.count("*").cast("double").alias("weight")
     )
     estimator = IsotonicRegression(featuresCol="_score", labelCol="y", weightCol="weight")
-    return Isotonic(estimator.fit(points))
+    fitted = estimator.fit(points)
+    return Isotonic(tuple(map(float, fitted.boundaries)), tuple(map(float, fitted.predictions)))
 
 
-def calibrate_model(df: DataFrame, method: str = "isotonic", score: str = "pd", label: str = "bad"):
-    """Calibrate already fitted probabilities on held-out rows: a function DataFrame -> DataFrame."""
+def fit_curve(df: DataFrame, method: str = "isotonic", score: str = "pd", label: str = "bad") -> Isotonic | OnLogOdds:
+    """A curve from probabilities to calibrated ones, learned on held-out rows."""
     if method == "isotonic":
-        fitted = fit_isotonic(df, score, label)
-        return lambda other: fitted.apply(other, score)
+        return fit_isotonic(df, score, label)
     if method == "sigmoid":
         # on the log odds for every model; probabilities of exactly 0 or 1 are moved off the
         # border, in the fit as in use, so no row is left out
-        near = F.least(F.greatest(F.col(score), F.lit(CLIP)), F.lit(1 - CLIP))
-        log_odds = F.ln(near / (1 - near))
-        curve = fit_sigmoid(df.select(label, log_odds.alias("margin")), "margin", label)
-        return lambda other: other.withColumn("pd_calibrated", curve.apply(log_odds))
+        return OnLogOdds(fit_sigmoid(df.select(label, _log_odds(F.col(score)).alias("margin")), "margin", label))
     raise ValueError(f"unknown calibration method '{method}'")
+
+
+def calibrate_model(df: DataFrame, method: str = "isotonic", score: str = "pd", label: str = "bad"):
+    """:func:`fit_curve` as a function DataFrame -> DataFrame that adds ``pd_calibrated``."""
+    curve = fit_curve(df, method, score, label)
+    return lambda other: curve.apply(other, score)

@@ -7,19 +7,23 @@ the healthy range, errors below chance, a gradient of zero, attributions that ad
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from scorespark.models import benchmarks as bm
-from scorespark.models.calibration import fit_calibrated
+from scorespark.functions.scoring import pd_to_score
+from scorespark.models.calibration import CLIP, Calibrated, fit_calibrated, fit_curve
 from scorespark.models.logistic import fit_logistic
 from scorespark.models.tree_shap import tree_shap
+from scorespark.models.trees import trees_of
 from scorespark.operators.bands import band_summary, fit_bands
 from scorespark.operators.explain import importance_of, top_coefficients
 from scorespark.operators.features import engineer_features
 from scorespark.operators.metrics import discrimination
-from scorespark.operators.preparing import fit_imputer, fit_onehot, fit_scaler
+from scorespark.operators.preparing import Imputer, fit_imputer, fit_onehot, fit_scaler
 from scorespark.operators.scorecard import score_population
 from scorespark.operators.splitting import fit_cuts, shares_of_all, two_way
 from scorespark.plans.frozen import base
@@ -27,8 +31,10 @@ from scorespark.plans.registry import query
 from scorespark.plans.sql import NUMERIC, split_cte
 from scorespark.session import scratch_path, spread, stage, values_table
 from scorespark.sources import registry
+from scorespark.sources.artefacts import Scorer
 from scorespark.sources.sinks import dataset_hash
 from scorespark.spec import DEFAULT_SPEC
+from scorespark.streaming import runs
 
 KEEP = ("dummy_id", "bad", "split")
 
@@ -189,13 +195,22 @@ def evaluate_all_variants(spark, d):
 
 @query(f"WITH {split_cte('two')} SELECT feature, TRUE AS counted FROM ({_NAMES_SQL})")
 def shap_tree(spark, d):
-    """Mean absolute attribution per feature of a forest, over all test rows."""
+    """Mean absolute attribution per feature of a forest, over all test rows.
+
+    ``counted``: the figure is the mean over the single attributions, whose number is that of the
+    test rows, and features that no split uses have none.
+    """
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
     model = bm.fit_forest(train, names)
-    found = importance_of(tree_shap(model, test, names))
+    values = stage(tree_shap(model, test, names), "attributions")
+    found = importance_of(values)
     value = next(c for c in found.columns if c != "feature")
-    return found.select("feature", (F.col(value) >= 0).alias("counted"))
+    used = {names[k] for k, weight in enumerate(model.featureImportances) if weight > 0}
+    single = values.groupBy("feature").agg(F.sum(F.abs("phi")).alias("total"), F.count_distinct("dummy_id").alias("rows"))
+    same = F.abs(F.col(value) - F.col("total") / test.count()) < 1e-9
+    nonzero = (F.col(value) > 0) == F.col("feature").isin(*used)
+    return found.join(single, "feature").select("feature", (same & nonzero & (F.col("rows") == test.count())).alias("counted"))
 
 
 @query(f"WITH {split_cte('two')} SELECT COUNT(*) AS n, COUNT(*) AS n_equal FROM s WHERE split = 'test'")
@@ -226,3 +241,37 @@ def model_registry(spark, d):
     current = registry.load_current(spark, root)
     scored = current.transform(test).select("bad", F.element_at(bm.vector_to_array("probability"), 2).alias("pd"))
     return measured(discrimination(scored)).withColumn("version", F.lit(version))
+
+
+@query(
+    f"""WITH {split_cte('shares')} SELECT COUNT(*) AS n, COUNT(*) AS n_equal, CAST(1 AS INTEGER) AS version, TRUE AS auc_ok, TRUE AS brier_ok
+FROM s WHERE split = 'test'"""
+)
+def tree_scorers(spark, d):
+    """A forest and its isotonic twin as saved scorers: registered, promoted and scored on a stream.
+
+    ``n_equal``: rows whose streamed probability is the curve over the fitted forest's own, interpolated in numpy.
+    """
+    df, names = prepared(spark, d, shares_of_all())
+    train, val, test = _parts(df, "train", "val", "test")
+    fitted = bm.fit_forest(train, names)
+    forest = trees_of(spark, fitted, names)
+    curve = fit_curve(bm.predict_pd(fitted, val, names, "bad"))
+    model = Calibrated(forest, curve)
+    bands = fit_bands(val.select(pd_to_score(F.greatest(F.least(model.pd(), F.lit(1 - CLIP)), F.lit(CLIP))).alias("score")))
+    root, arriving, out = (scratch_path(spark, x) for x in ("models", "arriving", "scores"))
+    registry.promote(spark, root, registry.register_model(Scorer(Imputer({}, ()), model, bands), root, 0.7, 0.3, "-"))
+    test.select("dummy_id", "bad", *names).write.parquet(arriving)
+    stream = runs.file_stream(spark, arriving, spark.read.parquet(arriving).schema)
+    runs.follow_registry(stream, root, out, ["dummy_id", "bad", "pd"], availableNow=True).awaitTermination()
+    scored = spark.read.parquet(out)
+    plain = bm.predict_pd(fitted, test, names, "dummy_id").withColumnRenamed("pd", "plain")
+    both = scored.join(plain, "dummy_id").select("pd", "plain", "model_version")
+
+    @F.pandas_udf("double")
+    def interpolated(plain: pd.Series) -> pd.Series:
+        return pd.Series(np.interp(plain, curve.borders, curve.values))
+
+    same = both.agg(F.count("*").alias("n"), F.count_if(F.abs(F.col("pd") - interpolated("plain")) < 1e-9).alias("n_equal"), F.max("model_version").alias("version"))
+    figures = measured(discrimination(scored.select("bad", "pd"))).select("auc_ok", "brier_ok")
+    return same.join(figures)

@@ -26,14 +26,16 @@ from scorespark.plans.sql import (
     scored_cte,
     split_cte,
 )
-from scorespark.session import scratch_path, stage
+from scorespark.session import scratch_path, stage, values_table
 from scorespark.sources import applicants as src
 from scorespark.sources.readers import table
 from scorespark.sources import registry
 from scorespark.sources.artefacts import Scorer, scored
 from scorespark.sources.registry import current_version
 from scorespark.sources.sinks import dataset_hash
+from scorespark.sources.triggers import Retrained, retrain_on, trigger_name, triggers
 from scorespark.streaming import runs
+from scorespark.streaming.matching import match_outcomes
 
 # --- population stability ---------------------------------------------------------
 
@@ -257,6 +259,18 @@ def retrained_model(spark, d):
 
     Medians and coefficients come from the training rows, all figures from the test rows.
     """
+    split, found = _retrain(spark, d)
+    root = scratch_path(spark, "retrained-models")
+    version = registry.register_model(found.model, root, found.auc, found.ks, found.data_hash, gate=found.gate)
+    known = registry.versions(spark, root).where(F.col("version") == version)
+    counts = split.agg(F.count("*").alias("n_rows"), F.sum("bad").alias("n_bad"))
+    return counts.join(known).join(found.gate).select(
+        "version", "n_rows", "n_bad", "auc_ok", "passed"
+    )
+
+
+def _retrain(spark, d):
+    """The split rows of a retrain and what it hands to the registry."""
     rows = mo.retraining_rows(audit(spark, d).select("applicant_id", "scored_at"), src.outcomes(spark, d), 730)
     inputs = base(spark, d, ["dummy_id", *MODEL_INPUTS])
     joined = stage(rows.join(inputs, F.col("applicant_id") == F.col("dummy_id")), "retrain")
@@ -271,15 +285,9 @@ def retrained_model(spark, d):
     metrics = stage(discrimination(scored), "retrained-metrics")
     psi = mo.population_stability(pd, scored, fit_quantile_bins(pd, ["score"]))
     gate = mo.validation_gate(metrics, bands_monotone(summarise(scored)), psi)
-    root = scratch_path(spark, "retrained-models")
     figures = metrics.first()
     digest = dataset_hash(split.select("dummy_id", "bad", *MODEL_INPUTS)).first()["sum_digest"]
-    version = registry.register_model(scorer, root, figures["auc"], figures["ks"], digest, gate=gate)
-    known = registry.versions(spark, root).where(F.col("version") == version)
-    counts = split.agg(F.count("*").alias("n_rows"), F.sum("bad").alias("n_bad"))
-    return counts.join(known).join(gate).select(
-        "version", "n_rows", "n_bad", "auc_ok", "passed"
-    )
+    return split, Retrained(scorer, figures["auc"], figures["ks"], digest, gate)
 
 
 # --- champion and challenger --------------------------------------------------------
@@ -383,23 +391,27 @@ def stream_scores(spark, d):
     f"""WITH {scored_cte(None)}, {banded_cte()} SELECT dummy_id, band, ROUND(pd, 6) AS pd, 1 AS model_version, TRUE AS timed FROM b"""
 )
 def audit_append(spark, d):
-    """The audit log written by the scoring stream, with request and response read back from JSON."""
+    """The audit log written by the scoring stream, with request and response read back from JSON.
+
+    A request has been received when its file was written; latency runs from then on.
+    """
     arriving = scratch_path(spark, "arriving")
     src.applicants(spark, d).select("dummy_id", *MODEL_INPUTS).write.parquet(arriving)
     known = spark.read.parquet(arriving)
     imputer = fit_imputer(known, fit_on="all", columns=MODEL_INPUTS, categorical=False)
     bands = fit_bands(imputer.apply(known).withColumn("score", pd_to_score(FROZEN_MODEL.pd())))
     stream = runs.file_stream(spark, arriving, known.schema)
+    stream = stream.select("*", F.col("_metadata.file_modification_time").alias("received_at"))
     scored = runs.score_stream(stream, imputer, FROZEN_MODEL.pd(), bands, 1)
     out = scratch_path(spark, "audit")
-    runs.drain(runs.audit_rows(scored, "dummy_id", list(MODEL_INPUTS)), out)
+    runs.drain(runs.audit_rows(scored, "dummy_id", list(MODEL_INPUTS), F.col("received_at")), out)
     log = spark.read.parquet(out)
     return log.select(
         F.get_json_object("request", "$.dummy_id").cast("bigint").alias("dummy_id"),
         F.get_json_object("response", "$.band").alias("band"),
         r6(F.get_json_object("response", "$.probability_of_default").cast("double")).alias("pd"),
         "model_version",
-        (F.col("ts").isNotNull() & (F.col("latency_ms") >= 0)).alias("timed"),
+        (F.col("ts").isNotNull() & (F.col("latency_ms") > 0)).alias("timed"),
     )
 
 
@@ -487,3 +499,137 @@ def stream_outcomes(spark, d):
         r6("pd").alias("pd"),
         "bad",
     )
+
+
+@query(
+    f"""{_AUDIT}, last_ AS (SELECT GREATEST((SELECT MAX(scored_at) FROM au), (SELECT MAX(observed_at) FROM oc)) - INTERVAL 1 DAY AS upto)
+SELECT au.applicant_id, STRFTIME(scored_at, '%Y-%m-%d') AS scored_on, STRFTIME(observed_at, '%Y-%m-%d') AS observed_on,
+  ROUND(pd, 6) AS pd, bad FROM au JOIN oc ON oc.applicant_id = au.applicant_id CROSS JOIN last_
+WHERE observed_at >= scored_at AND observed_at < scored_at + INTERVAL 365 DAY AND observed_at < upto"""
+)
+def stream_matured(spark, d):
+    """Requests whose outcome the watermark has passed, matched with own state over three drains."""
+    _utc(spark)
+    scores_in, outcomes_in, out = (scratch_path(spark, x) for x in ("scored-in", "outcomes-in", "matured"))
+    scored = audit(spark, d).select("applicant_id", F.col("scored_at").cast("timestamp").alias("scored_at"), "pd")
+    seen = src.outcomes(spark, d).withColumn("observed_at", F.col("observed_at").cast("timestamp"))
+    scored, seen = stage(scored, "scored"), stage(seen, "outcomes")
+    borders = [F.lit(t).cast("timestamp") for t in ("1994-01-01", "1997-01-01")]
+    for k in range(3):
+
+        def arrived(at):
+            now = F.lit(True) if k == 2 else at < borders[k]
+            return now & (at >= borders[k - 1]) if k else now
+
+        scored.where(arrived(F.col("scored_at"))).write.mode("append").parquet(scores_in)
+        seen.where(arrived(F.col("observed_at"))).write.mode("append").parquet(outcomes_in)
+        streams = [runs.file_stream(spark, f, t.schema) for f, t in ((scores_in, scored), (outcomes_in, seen))]
+        runs.drain(match_outcomes(*streams, 365), out)
+    return spark.read.parquet(out).select(
+        "applicant_id",
+        F.date_format("scored_at", "yyyy-MM-dd").alias("scored_on"),
+        F.date_format("observed_at", "yyyy-MM-dd").alias("observed_on"),
+        r6("pd").alias("pd"),
+        "bad",
+    )
+
+
+def _both_scorers(spark, df, root):
+    """The fixed scorecard and its challenger, registered as versions 1 and 2; both use the scorecard's bands."""
+    imputer = fit_imputer(df, fit_on="all", columns=MODEL_INPUTS, categorical=False)
+    bands = fit_bands(imputer.apply(df).select(pd_to_score(FROZEN_MODEL.pd()).alias("score")))
+    for model in (FROZEN_MODEL, CHALLENGER):
+        registry.register_model(Scorer(imputer, model, bands), root, 0.7, 0.3, "-")
+
+
+@query(
+    _BOTH
+    + """ SELECT dummy_id, ROUND(CASE WHEN dummy_id % 2 = 0 THEN pd ELSE pd2 END, 6) AS pd,
+  CASE WHEN dummy_id % 2 = 0 THEN b1 ELSE b2 END AS band, CAST(1 + dummy_id % 2 AS INTEGER) AS model_version FROM lab"""
+)
+def stream_registry(spark, d):
+    """A running stream scores with the promoted version; a promotion takes effect between two micro-batches."""
+    df = stage(src.applicants(spark, d).select("dummy_id", *MODEL_INPUTS), "applicants")
+    root, arriving, out = (scratch_path(spark, x) for x in ("scorers", "arriving", "scores"))
+    _both_scorers(spark, df, root)
+    df.where("false").write.parquet(arriving)
+    stream = runs.file_stream(spark, arriving, df.schema)
+    running = None
+    for version in (1, 2):
+        registry.promote(spark, root, version)
+        df.where(F.pmod("dummy_id", F.lit(2)) == version - 1).write.mode("append").parquet(arriving)
+        if running is None:
+            running = runs.follow_registry(stream, root, out, ["dummy_id", "pd", "band"], processingTime="0 seconds")
+        running.processAllAvailable()
+    running.stop()
+    return rounded(spark.read.parquet(out).drop("batch"), "pd")
+
+
+@query(_BOTH + " SELECT dummy_id, ROUND(pd, 6) AS champion_pd, b1 AS champion_band, ROUND(pd2, 6) AS challenger_pd, b2 AS challenger_band, 1 AS model_version FROM lab")
+def stream_shadow(spark, d):
+    """Champion and challenger answer the same stream side by side."""
+    df = stage(src.applicants(spark, d).select("dummy_id", *MODEL_INPUTS), "applicants")
+    root, arriving, out = (scratch_path(spark, x) for x in ("scorers", "arriving", "shadow"))
+    _both_scorers(spark, df, root)
+    registry.promote(spark, root, 1)
+    df.write.parquet(arriving)
+    stream = runs.file_stream(spark, arriving, df.schema)
+    runs.follow_both(stream, root, 2, out, ["pd", "band"], "dummy_id", availableNow=True).awaitTermination()
+    return rounded(spark.read.parquet(out).drop("batch"), "champion_pd", "challenger_pd")
+
+
+@query(
+    f"""SELECT {WEEK_SQL} AS period, COUNT(*) AS n, ROUND(AVG(value), 6) AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value,
+  TRUE AS p50_ok, TRUE AS p95_ok, TRUE AS p99_ok FROM events {_CLOSED} GROUP BY 1"""
+)
+def stream_weekly_sketch(spark, d):
+    """Closed weeks from sketches; whether the quantiles' true ranks are within twice the stated error."""
+    _utc(spark)
+    arriving, out = scratch_path(spark, "requests"), scratch_path(spark, "sketches")
+    log = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "value")
+    middle = F.expr("timestamp '2024-01-15'")
+    for part in (F.col("ts") < middle, F.col("ts") >= middle):
+        log.where(part).write.mode("append").parquet(arriving)
+        runs.drain(runs.window_sketches(runs.file_stream(spark, arriving, log.schema), "value"), out)
+    shares = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    found = stage(runs.sketch_quantiles(spark.read.parquet(out), list(shares.values())), "sketched")
+    values = log.select(_week().alias("period"), "value").join(found.select("period", *shares), "period")
+    ranks = values.groupBy("period").agg(
+        *[
+            # equal values span a stretch of ranks; the share must lie within it, give or take the error
+            (
+                (F.avg((F.col("value") < F.col(c)).cast("int")) <= p + 2 * runs.SKETCH_ERROR)
+                & (F.avg((F.col("value") <= F.col(c)).cast("int")) >= p - 2 * runs.SKETCH_ERROR)
+            ).alias(f"{c}_ok")
+            for c, p in shares.items()
+        ]
+    )
+    return rounded(found.drop(*shares).join(ranks, "period"), "avg_value")
+
+
+@query(
+    f"""WITH {_WEEKLY}, cl AS (SELECT DISTINCT {WEEK_SQL} AS period FROM events {_CLOSED}),
+al AS (SELECT psi.period FROM psi JOIN cl ON cl.period = psi.period WHERE psi > 0.0005)
+SELECT period, 'value' AS "column", TRUE AS registered, COUNT(*) OVER () AS n_versions, COUNT(*) OVER () AS n_first, CAST(0 AS BIGINT) AS n_again FROM al"""
+)
+def drift_retrain(spark, d):
+    """Every alert of a closed week leads to one new version; seeing the alerts again leads to none."""
+    _utc(spark)
+    _, edges, baseline = _weekly(spark, d)
+    out, root = scratch_path(spark, "psi"), scratch_path(spark, "retrained")
+    runs.stream_psi(_event_stream(spark, d), "value", edges, stage(baseline, "baseline"), out, 0.0005)
+    alerts = spark.read.parquet(out).where("alert").select("period", F.lit("value").alias("column"))
+    _, retrained = _retrain(spark, d)
+    news = [len(retrain_on(spark, root, alerts, lambda period, column: retrained)) for _ in range(2)]
+    known = registry.versions(spark, root).select("version", F.col("code_revision").alias("name"))
+    started = triggers(spark, root).join(known, ["name", "version"], "left_semi")
+    names = [(p, trigger_name(p, "value")) for (p,) in alerts.select("period").distinct().collect()]
+    by_name = values_table(spark, names, "period string, name string").join(started, "name", "left")
+    return by_name.select(
+        "period",
+        F.lit("value").alias("column"),
+        F.col("version").isNotNull().alias("registered"),
+        F.lit(known.count()).cast("long").alias("n_versions"),
+        F.lit(news[0]).cast("long").alias("n_first"),
+        F.lit(news[1]).cast("long").alias("n_again"),
+    )

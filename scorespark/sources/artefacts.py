@@ -6,11 +6,11 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass, fields, is_dataclass
 
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorespark.models.calibration import CalibratedEnsemble, Isotonic, Sigmoid
+from scorespark.models.calibration import Calibrated, CalibratedEnsemble, Isotonic, OnLogOdds, Sigmoid
+from scorespark.models.trees import Trees
 from scorespark.operators.bands import BinEdges, ScoreBands
 from scorespark.operators.preparing import Imputer, OneHot, Scaler
 from scorespark.operators.scorecard import LinearModel, score_population
@@ -22,7 +22,7 @@ class Scorer:
     """Everything from a raw applicant row to probability, score and band."""
 
     imputer: Imputer
-    model: LinearModel | CalibratedEnsemble
+    model: LinearModel | CalibratedEnsemble | Trees | Calibrated
     bands: ScoreBands
     encoder: OneHot | None = None
     scaler: Scaler | None = None
@@ -37,7 +37,9 @@ class Scorer:
 
 _KINDS = {
     c.__name__: c
-    for c in (Imputer, OneHot, Scaler, LinearModel, Sigmoid, CalibratedEnsemble, BinEdges, ScoreBands, Scorer)
+    for c in (
+        Imputer, OneHot, Scaler, LinearModel, Sigmoid, CalibratedEnsemble, Isotonic, OnLogOdds, Calibrated, Trees, BinEdges, ScoreBands, Scorer
+    )
 }
 
 
@@ -63,21 +65,19 @@ def _fitted(value):
 
 def save_artefact(spark: SparkSession, fitted, path: str) -> None:
     """Write a fitted part; an existing folder is an error."""
-    if isinstance(fitted, Isotonic):
-        fitted.model.write().save(path)
-        return
     if type(fitted).__name__ not in _KINDS:
         raise TypeError(f"cannot save a {type(fitted).__name__}")
     values_table(spark, [(json.dumps(_plain(fitted)),)], "value string").coalesce(1).write.text(path)
 
 
 def load_artefact(spark: SparkSession, path: str):
-    """Inverse of :func:`save_artefact` for everything but isotonic curves."""
+    """Inverse of :func:`save_artefact`."""
     return _fitted(json.loads("\n".join(r[0] for r in spark.read.text(path).collect())))
 
 
 def load_isotonic(path: str) -> Isotonic:
-    return Isotonic(IsotonicRegressionModel.load(path))
+    """A saved isotonic curve."""
+    return load_artefact(SparkSession.active(), path)
 
 
 def scored(df: DataFrame, scorer: Scorer, version: int) -> DataFrame:
