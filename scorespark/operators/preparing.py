@@ -10,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorespark.functions.intervals import double_literal, quoted
 from scorespark.operators.quantiles import exact_medians
+from scorespark.operators.running import running_totals
+from scorespark.session import stage, values_table
 from scorespark.spec import DEFAULT_SPEC, FeatureSpec
 
 MISSING = "missing"
@@ -98,20 +99,59 @@ def fit_onehot(
     return OneHot(levels)
 
 
+@dataclass(frozen=True)
+class SparseOneHot:
+    """Level numbers as a table ``(column, level, number)``; number 0 is the level left out."""
+
+    columns: tuple[str, ...]
+    sizes: tuple[int, ...]
+    dictionary: DataFrame
+    output: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with all columns' levels side by side in one sparse vector.
+
+        Each column is joined with its part of the dictionary, which the optimiser broadcasts only
+        while it is small; a level with most of the rows is split like any skewed join.
+        """
+        names, encoded, out = df.columns, [], df
+        for k, (c, size) in enumerate(zip(self.columns, self.sizes)):
+            if not size:
+                continue
+            own = self.dictionary.where(F.col("column") == k).select(F.col("level").alias(f"_{k}_level"), F.col("number").alias(f"_{k}_number"))
+            out = out.join(own, out[c].cast("string") == own[f"_{k}_level"], "left")
+            # the place behind the last one stands for unseen levels, NULL and the level left out
+            place = F.when(F.col(f"_{k}_number") > 0, F.col(f"_{k}_number")).otherwise(size).cast("double")
+            out = out.withColumn(f"_{k}_at", place).drop(f"_{k}_level", f"_{k}_number")
+            encoded.append((k, size))
+        if not encoded:
+            return out.withColumn(self.output, F.lit(None))
+        # the encoder learns the width of a column from one row that holds its last place
+        widths = values_table(df.sparkSession, [[float(n) for _, n in encoded]], ", ".join(f"_{k}_at double" for k, _ in encoded))
+        at, vectors = [f"_{k}_at" for k, _ in encoded], [f"_{k}_vector" for k, _ in encoded]
+        encoder = OneHotEncoder(inputCols=at, outputCols=vectors, dropLast=True).fit(widths)
+        joined = VectorAssembler(inputCols=vectors, outputCol=self.output).transform(encoder.transform(out))
+        return joined.select(*names, self.output)
+
+
 def fit_sparse_onehot(
     df: DataFrame, columns: Sequence[str], fit_on: str = "train", output: str = "onehot"
-) -> PipelineModel:
+) -> SparseOneHot:
     """One-hot encoding of columns with any number of levels, as one sparse vector.
 
-    Levels are put in lexicographic order and the first is left out; unseen levels
-    and NULL are zeros everywhere. No column per level is made.
+    Levels are numbered in lexicographic order; a level's number is its place in its column's part
+    of the vector. The first one is left out (place 0 is always 0); unseen levels and NULL
+    are zeros everywhere. The numbers come from range partitions of the
+    distinct levels and the offsets of the partitions; no list of levels is on the
+    driver and no column per level is made.
     """
-    at = [f"_{c}_at" for c in columns]
-    index = StringIndexer(inputCols=list(columns), outputCols=at, stringOrderType="alphabetDesc", handleInvalid="keep")
-    # in descending order the first level stands last of the known ones, before the place of unseen levels
-    encode = OneHotEncoder(inputCols=at, outputCols=[f"{a}_v" for a in at], dropLast=True)
-    join = VectorAssembler(inputCols=[f"{a}_v" for a in at], outputCol=output)
-    return Pipeline(stages=[index, encode, join]).fit(fit_rows(df, fit_on).select(*columns))
+    parts = [F.struct(F.lit(k).alias("column"), F.col(c).cast("string").alias("level")) for k, c in enumerate(columns)]
+    levels = fit_rows(df, fit_on).select(F.inline(F.array(*parts))).where(F.col("level").isNotNull()).distinct()
+    placed = running_totals(levels.withColumn("one", F.lit(1).cast("long")), ["column"], "level", ["one"])
+    numbered = placed.select("column", "level", (F.col("one_upto") - 1).alias("number"), F.col("one_total").alias("size"))
+    dictionary = stage(numbered, "levels")
+    sizes = {r["column"]: r["size"] for r in dictionary.groupBy("column").agg(F.max("size").alias("size")).collect()}
+    return SparseOneHot(tuple(columns), tuple(sizes.get(k, 0) for k in range(len(columns))), dictionary, output)
 
 
 @dataclass(frozen=True)
