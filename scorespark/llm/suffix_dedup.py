@@ -178,6 +178,12 @@ def _stretches(later: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return lead["doc"][who], lead["text"][who], low, high
 
 
+def range_of(gram: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of a gram, from a second mix: anchors are the smallest hashes of their windows, so
+    the top bits of the hash itself would crowd them into the first ranges."""
+    return ((mix(gram) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+
+
 def _sorted_runs(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
@@ -190,7 +196,9 @@ def _sorted_runs(ranges: int):
             if len(doc):
                 yield _batch(_RUN, doc % ranges, [None] * len(doc), doc, text, low, high)
             kept = entries[first]
-            of = np.minimum((kept["gram"] >> np.uint64(32)).astype(np.int64) * ranges >> 32, ranges - 1)
+            of = range_of(kept["gram"], ranges)
+            by = np.argsort(of, kind="stable")  # within a range still by gram
+            kept, of = kept[by], of[by]
             edges = np.searchsorted(of, np.arange(ranges + 1))
             used = np.flatnonzero(np.diff(edges))
             for part in np.array_split(used, max(1, len(used) // 64)):
@@ -386,11 +394,12 @@ def _suffix_runs(ranges: int):
             places = zip(batch.column("doc").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("borders"), texts)
             for doc, text_hash, borders, text in places:
                 raw = text.as_py()
-                for border in borders.as_py():
-                    pos, gram = border["pos"], border["gram"]
+                listed = borders.as_py()
+                grams = np.array([b["gram"] for b in listed], dtype=np.int64).view(np.uint64)
+                for border, number in zip(listed, range_of(grams, ranges).tolist()):
+                    pos = border["pos"]
                     left = raw[max(0, pos - REACH) : pos]
                     key = raw[pos : pos + LENGTH]
-                    number = (gram & 0xFFFFFFFFFFFFFFFF) * ranges >> 64
                     # where the text ends early, the key's right part is filled up so that the left part starts at one place
                     filled = key + b"\xff" * (LENGTH - len(key))
                     rows.append((number, filled + left[::-1], doc, text_hash, pos, len(key)))
