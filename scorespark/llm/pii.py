@@ -15,6 +15,12 @@ their own row and only entities are shuffled.
   surrogate is an entity of the corpus. Those that do are drawn again
   (next attempt), all but the smallest of each clash. Only entities beyond the
   first attempt are looked up when texts are rewritten.
+* Short formats have few surrogates, and a mention may hold no letter or digit that
+  could be drawn. From attempt ``PLAIN`` on surrogates are therefore longer than the
+  mention, by one keyed letter (e-mail) or digit more with each attempt, so
+  every clash ends, whatever the corpus holds.
+
+Mentions are found by one pass over the texts, which are written down with the mentions marked.
 
 Null text stays null and has no entities; empty texts stay empty. Repeated rows are
 treated alike. Other columns pass through; ``n_entities`` replaces a column of that name.
@@ -28,7 +34,10 @@ from pyspark.sql import functions as F
 from scorespark.session import stage
 
 KEY = "change-me"
-MAX_ATTEMPTS = 24
+#: Attempts that keep the length of the mention.
+PLAIN = 4
+#: Marks mentions in a text; texts that hold it themselves are taken apart by the pattern instead.
+MARK = "\u0001"
 #: Rows (of a few dozen bytes) up to which the table of repeated draws is broadcast.
 BROADCAST_ROWS = 4_000
 
@@ -56,6 +65,19 @@ _ALPHABETS = (
     (r"[àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœß]", "àáâäçèéêëìíîïñòóôöùúûü"),
     (r"[α-ω]", "αβγδεζηθικλμνξοπρστυφχψω"),
     (r"[а-яё]", "абвгдежзийклмнопрстуфхцчшщыьэюя"),
+    (r"\p{IsArmenian}", "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփքօֆ"),
+    (r"\p{IsGeorgian}", "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ"),
+    (r"\p{IsHebrew}", "אבגדהוזחטיכלמנסעפצקרשת"),
+    (r"\p{IsArabic}", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"),
+    (r"\p{IsDevanagari}", "कखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह"),
+    (r"\p{IsBengali}", "কখগঘচছজঝটঠডঢণতথদধনপফবভমযরলশষসহ"),
+    (r"\p{IsTamil}", "கஙசஞடணதநபமயரலவழளறன"),
+    (r"\p{IsThai}", "กขคงจฉชซญฐฒณดตถทธนบปผฝพฟภมยรลวศษสหอฮ"),
+    (r"\p{IsHiragana}", "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわ"),
+    (r"\p{IsKatakana}", "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ"),
+    (r"\p{IsHangul}", "가나다라마바사아자차카타파하거너더러머버서어저처커터퍼허고노도로모보소오조초코토포호"),
+    (r"\p{IsHan}", "一三上下中人今你元光入全公出力北千午南友古右名后向品四土坐城大天太女好子安家富小山左平年心手文日明春星月木本正水江河火父生白百目石社秋空立竹米花草行西言車金長門雨青風高"),
+    (r"\p{L}", "abcdefghijklmnopqrstuvwxyz"),  # letters of all other scripts
 )
 _GIVEN = {
     ("latin", "male"): ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Henry", "Ivan", "Jonas", "Karl", "Louis", "Martin", "Noel", "Oscar", "Peter"),
@@ -141,6 +163,42 @@ def _with_check_digit(card: Column, mention: Column) -> Column:
     return F.when(valid, fixed).otherwise(card)
 
 
+def _modulo_97(text: Column) -> Column:
+    """Digits and capitals (A is 10, Z is 35) read as one number, modulo 97."""
+
+    def step(rest: Column, ch: Column) -> Column:
+        value = F.when(ch.rlike("^[0-9]$"), ch.cast("int")).otherwise(F.ascii(ch) - 55)
+        return F.when(value < 10, (rest * 10 + value) % 97).otherwise((rest * 100 + value) % 97)
+
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), step)
+
+
+def _with_check_digits(iban: Column, mention: Column) -> Column:
+    """``iban`` with the check digits of its letters and digits, if those of ``mention`` are right."""
+
+    def turned(text: Column, digits: Column) -> Column:
+        compact = F.regexp_replace(text, " ", "")
+        return F.concat(F.substr(compact, F.lit(5)), F.left(compact, F.lit(2)), digits)
+
+    right = _modulo_97(turned(mention, F.substr(mention, F.lit(3), F.lit(2)))) == 1
+    check = F.lpad((98 - _modulo_97(turned(iban, F.lit("00")))).cast("string"), 2, "0")
+    return F.when(right, F.concat(F.left(iban, F.lit(2)), check, F.substr(iban, F.lit(5)))).otherwise(iban)
+
+
+def _lengthened(drawn: Column, mention: Column, kind: Column, seed: Column, attempt: Column) -> Column:
+    """From attempt PLAIN on, one keyed letter or digit more with each attempt: no format is too short for long."""
+    more = F.greatest(F.lit(0), attempt - (PLAIN - 1))
+    places = F.when(more > 0, F.sequence(F.lit(1), F.greatest(more, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+
+    def keyed(options: str) -> Column:
+        pick = lambda k: F.substr(F.lit(options), (F.pmod(F.xxhash64(seed, F.lit("more"), k), F.lit(len(options))) + 1).cast("int"), F.lit(1))
+        return F.array_join(F.transform(places, pick), "")
+
+    letters = keyed("abcdefghijklmnopqrstuvwxyz")
+    cased = F.when((mention == F.upper(mention)) & (mention != F.lower(mention)), F.upper(letters)).otherwise(letters)
+    return F.when(kind == "email", F.concat(cased, drawn)).when(kind.isin("ip", "person"), drawn).otherwise(F.concat(drawn, keyed("0123456789")))
+
+
 def _person(mention: Column, seed_base: Column, attempt: Column) -> Column:
     """Title as it stands, keyed given name of its gender, keyed surname; surnames alone agree with full names."""
     title = F.regexp_extract(mention, r"^\S+", 0)
@@ -164,23 +222,58 @@ def _person(mention: Column, seed_base: Column, attempt: Column) -> Column:
 
 def surrogate(mention: Column, kind: Column, attempt: Column, key: str = KEY) -> Column:
     """Replacement of a mention; the same function of its canonical form for all mentions of an entity."""
-    base = F.sha2(F.concat(F.lit(key + "\u0000"), kind).cast("binary"), 256)
-    seed = F.sha2(F.concat_ws("\u0000", F.lit(key), kind, canonical(mention, kind), attempt.cast("string")).cast("binary"), 256)
+    given = F.struct(mention.alias("m"), kind.alias("k"), attempt.cast("int").alias("a"))
+    parts = lambda e: [F.lit(key), e["k"], canonical(e["m"], e["k"]), e["a"].cast("string")]
+    seeded = lambda e: F.sha2(F.concat_ws("\u0000", *parts(e)).cast("binary"), 256)
+    return _let(given, lambda e: _let(seeded(e), lambda seed: _let(_drawn(e, seed), lambda drawn: _formed(e, seed, drawn, key))))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _drawn(e: Column, seed: Column) -> Column:
+    mention, kind = e["m"], e["k"]
     country = F.length(F.regexp_extract(mention, r"^\+([0-9]{1,3})(?=[ .(-])", 1))
     keep = F.when(kind == "phone", country).when(kind == "card", F.lit(1)).when(kind == "iban", F.lit(2)).otherwise(F.lit(0))
     until = F.when(kind == "email", F.length(mention) - F.length(F.regexp_extract(mention, r"\.[^.]*$", 0))).otherwise(F.length(mention))
-    drawn = _redrawn(mention, seed, keep, (kind == "secret") & mention.rlike("^[0-9A-Fa-f]+$"), until)
+    return _redrawn(mention, seed, keep, (kind == "secret") & mention.rlike("^[0-9A-Fa-f]+$"), until)
+
+
+def _formed(e: Column, seed: Column, drawn: Column, key: str) -> Column:
+    mention, kind, attempt = e["m"], e["k"], e["a"]
     octets = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda k: (F.pmod(F.xxhash64(seed, k), F.lit(223)) + 1).cast("string"))
+    of_kind = F.sha2(F.concat(F.lit(key + "\u0000"), kind).cast("binary"), 256)
     return (
         F.when(kind == "ip", F.array_join(octets, "."))
-        .when(kind == "person", _person(mention, base, attempt))
+        .when(kind == "person", _let(of_kind, lambda base: _person(mention, base, attempt)))
+        .when(attempt >= PLAIN, _lengthened(drawn, mention, kind, seed, attempt))
         .when(kind == "card", _with_check_digit(drawn, mention))
+        .when(kind == "iban", _with_check_digits(drawn, mention))
         .otherwise(drawn)
     )
 
 
-def _mentions(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
+def _taken_apart(text: Column) -> Column:
+    """Text and mentions in turn, text first and last; null for null."""
+    marked = F.split(F.regexp_replace(text, f"(?:{ENTITY})", f"{MARK}$0{MARK}"), MARK, -1)
+    mentions = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
+    pieces = F.zip_with(F.split(text, ENTITY, -1), mentions, lambda p, m: F.array(p, m))
+    slowly = F.flatten(pieces)
+    slowly = F.slice(slowly, F.lit(1), F.size(slowly) - 1)  # the last piece has no mention behind it
+    return F.when(F.contains(text, F.lit(MARK)), slowly).otherwise(marked)
+
+
+def _mentions_of(parts: Column) -> Column:
+    return F.coalesce(F.filter(parts, lambda p, k: k % 2 == 1), F.array().cast("array<string>"))
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """The rows without their text, written with the parts of the text."""
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others, F.lit(True).alias("_")).alias("_doc"), _taken_apart(F.col("text")).alias("_parts"))
+    return stage(rows, "pii-marked")
 
 
 def _identity(mention: Column, kind: Column) -> Column:
@@ -194,13 +287,21 @@ def entity_table(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     ``form`` is a mention in canonical form, for persons the smallest title and name.
     """
-    found = docs.select(F.explode(_mentions(F.col("text"))).alias("mention")).distinct()
+    return _entities(_marked(docs), key)
+
+
+def _entities(marked: DataFrame, key: str) -> DataFrame:
+    spark = marked.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = marked.select(F.explode(_mentions_of(F.col("_parts"))).alias("mention")).distinct()
     kinds = found.withColumn("kind", kind_of(F.col("mention")))
     forms = kinds.select("kind", canonical(F.col("mention"), F.col("kind")).alias("form"), F.lit(0).alias("attempt")).distinct()
     forms = stage(forms, "pii-forms")
-    for _ in range(MAX_ATTEMPTS):
+    while True:
+        # surrogates are drawn in many tasks, however small the written table of forms is
+        dealt = forms.repartition(tasks, "kind", "form")
         drawn = stage(
-            forms.withColumn("replacement", surrogate(F.col("form"), F.col("kind"), F.col("attempt"), key)).withColumns(
+            dealt.withColumn("replacement", surrogate(F.col("form"), F.col("kind"), F.col("attempt"), key)).withColumns(
                 {"identity": _identity(F.col("form"), F.col("kind")), "new_identity": _identity(F.col("replacement"), F.col("kind"))}
             ),
             "pii-drawn",
@@ -216,22 +317,18 @@ def entity_table(docs: DataFrame, key: str = KEY) -> DataFrame:
         if forms.where("again").isEmpty():
             return drawn.select("kind", "form", "attempt", "replacement")
         forms = forms.drop("again")
-    raise RuntimeError(f"entities still clash after {MAX_ATTEMPTS} draws")
 
 
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with entities replaced in ``text``, and ``n_entities``."""
-    table = entity_table(docs, key)
-    redrawn = table.where("attempt > 0").select("kind", "form", "attempt")
-    text = F.col("_doc.text")
-    rows = docs.select(F.struct("*").alias("_doc")).withColumns(
-        {"_mentions": F.coalesce(_mentions(text), F.array().cast("array<string>")), "_pieces": F.split(text, ENTITY, -1)}
-    )
+    marked = _marked(docs)
+    table = _entities(marked, key)
+    redrawn = stage(table.where("attempt > 0").select("kind", "form", "attempt"), "pii-redrawn")
+    rows = marked.withColumn("_mentions", _mentions_of(F.col("_parts")))
     attempts = F.transform("_mentions", lambda m: F.lit(0))
     repeats = redrawn.count()
     if repeats:
-        row_key = F.xxhash64(F.col("_doc.doc_id").cast("string"), text)
-        rows = rows.withColumn("_row", row_key)
+        rows = rows.withColumn("_row", F.xxhash64("_mentions"))  # rows with the same mentions get the same surrogates
         small = F.broadcast(redrawn) if repeats <= BROADCAST_ROWS else redrawn
         every = rows.where(F.size("_mentions") > 0).select("_row", F.posexplode("_mentions").alias("place", "mention"))
         every = every.withColumn("kind", kind_of(F.col("mention")))
@@ -246,7 +343,9 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     replaced = F.transform(
         F.arrays_zip(F.col("_mentions").alias("m"), attempts.alias("a")), lambda x: surrogate(x["m"], kind_of(x["m"]), x["a"], key)
     )
-    joined = F.array_join(F.flatten(F.transform(F.arrays_zip(F.col("_pieces").alias("p"), F.concat(replaced, F.array(F.lit(""))).alias("r")), lambda x: F.array(x["p"], x["r"]))), "")
-    new_text = F.when(F.size("_mentions") > 0, joined).otherwise(text)
+    plain = F.filter("_parts", lambda p, k: k % 2 == 0)  # one more than there are mentions
+    pairs = F.arrays_zip(plain.alias("p"), F.concat(replaced, F.array(F.lit(""))).alias("r"))
+    joined = F.array_join(F.flatten(F.transform(pairs, lambda x: F.array(x["p"], x["r"]))), "")
+    new_text = F.when(F.size("_mentions") > 0, joined).otherwise(F.get("_parts", F.lit(0)))
     kept = [new_text.alias(c) if c == "text" else F.col("_doc").getField(c).alias(c) for c in docs.columns if c != "n_entities"]
     return rows.select(*kept, F.size("_mentions").cast("long").alias("n_entities"))

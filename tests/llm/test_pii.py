@@ -108,3 +108,59 @@ def test_another_key_gives_other_surrogates(spark):
     docs = frame(spark, [(1, "a.long.name@host.example.com")])
     texts = {replace_entities(docs, key).first().text for key in ("one", "two")} | {replace_entities(docs, "one").first().text}
     assert len(texts) == 2
+
+
+@pytest.fixture
+def odd(spark):
+    rows = {
+        1: "محمد@مثال.com", 2: "例え@例え.jp", 3: "_@-.x", 4: "a@b.co c@d.co and a@b.co", 5: "ვანო@ტესტი.ge שלום@דוגמה.il", 6: "%%@--.-",
+        7: f"marked {pii.MARK} text mail x.y@z.org and {pii.MARK} end", 8: "IBAN DE89 3704 0044 0532 0130 00 or GB82WEST12345698765432 or DE00 3704 0044 0532 0130 00",
+    }
+    return rows, {r.doc_id: r for r in replace_entities(frame(spark, rows.items())).collect()}
+
+
+def test_every_script_and_short_addresses(spark, odd):
+    rows, got = odd
+    mail = lambda text: re.findall(r"[^\s@]+@[^\s@]+", text)
+    for i in (1, 2, 3, 4, 5, 6):
+        assert len(mail(rows[i])) == len(mail(got[i].text)) == got[i].n_entities
+        assert not set(mail(rows[i])) & set(mail(got[i].text))
+    assert re.match("[\u0600-\u06ff]+@[\u0600-\u06ff]+\\.com$", got[1].text)
+    assert mail(got[4].text)[0] == mail(got[4].text)[2] != mail(got[4].text)[1]
+    assert got[7].text.startswith(f"marked {pii.MARK} text mail ") and got[7].text.endswith(f" and {pii.MARK} end") and got[7].n_entities == 1
+
+
+def test_a_format_with_few_surrogates_never_ends_the_job(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(k, f"{a}@{b}.co") for k, (a, b) in enumerate((a, b) for a in letters for b in letters)]  # all there are
+    out = {r.doc_id: r.text for r in replace_entities(frame(spark, rows)).collect()}
+    assert len(set(out.values())) == len(rows) and not set(out.values()) & {t for _, t in rows}
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.co", t) for t in out.values())
+
+
+def modulo_97(iban):
+    compact = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97
+
+
+def test_check_digits_of_accounts(odd):
+    found = re.findall(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4})+(?: ?[A-Z0-9]{1,3})?(?= or|$)", odd[1][8].text)
+    assert [f[:2] for f in found] == ["DE", "GB", "DE"] and [modulo_97(f) == 1 for f in found[:2]] == [True, True]
+    assert all(len(f) == len(o) for f, o in zip(found, re.split(" or ", odd[0][8].removeprefix("IBAN "))))
+
+
+def test_equals_a_plain_rewriting_of_every_text(spark, folder):
+    """The texts taken apart by Python's pattern, mentions looked up in the table of surrogates."""
+    import regex
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    pattern = regex.compile(pii.ENTITY)
+    mentions = {m[0] for r in docs.select("text").collect() for m in pattern.finditer(r.text or "")}
+    table = spark.createDataFrame([(m,) for m in mentions], "mention string")
+    table = table.withColumn("kind", pii.kind_of(F.col("mention"))).withColumn("form", pii.canonical(F.col("mention"), F.col("kind")))
+    attempts = entity_table(docs).select("kind", "form", "attempt")
+    known = table.join(attempts, ["kind", "form"]).select("mention", pii.surrogate(F.col("mention"), F.col("kind"), F.col("attempt")).alias("new"))
+    lookup = {r.mention: r.new for r in known.collect()}
+    assert lookup.keys() == mentions and len(mentions) > 10
+    want = {r.doc_id: pattern.sub(lambda m: lookup[m[0]], r.text) for r in docs.collect()}
+    assert {r.doc_id: r.text for r in replace_entities(docs).collect()} == want
