@@ -42,7 +42,9 @@ BLOCK_DOCS = 1024
 SEED = 20240229
 #: Rows of a table of sources or blocks that may be broadcast; each has a few dozen bytes.
 BROADCAST_ROWS = 4_000
-ADDED = ("size", "source_size", "target", "taken", "shards")
+#: Blocks or draws of a source that one task sums up.
+STRETCH = 4096
+ADDED = ("size", "source_size", "target", "taken", "shards", "places")
 
 
 def _uniform(*parts: Column | str | int) -> Column:
@@ -178,6 +180,29 @@ def _block(blocks: str = "_blocks") -> Column:
     return F.pmod(F.xxhash64(F.col("_mix_h")), F.col(blocks))
 
 
+def _running(rows: DataFrame, value: str, column: str, stretch: int = STRETCH) -> DataFrame:
+    """``column``: the sum of ``value`` over the rows of the source that come before in the order of ``_at``.
+
+    ``_at`` is a hash, so its top bits deal a source's rows into stretches of about ``stretch`` rows; sums
+    run inside a stretch and over the table of stretches. No task sees a whole source. ``rows``
+    is a written table; rows equal in ``_at`` are told apart by block and copy.
+    """
+    counts = rows.groupBy("source_no").agg(F.count(F.lit(1)).alias("_n"))
+    bits = F.least(F.lit(40), F.greatest(F.lit(0), F.ceil(F.log2(F.col("_n") / stretch)))).cast("int").alias("_bits")
+    counts = stage(counts.select(F.col("source_no").alias("_of"), bits), "mix-stretches")
+    ties = [c for c in ("block", "copy") if c in rows.columns]
+    # ascending hash order: the sign bit is turned round before the top bits are taken
+    top = F.expr("CASE WHEN _bits = 0 THEN 0L ELSE shiftrightunsigned(_at ^ -9223372036854775808L, 64 - _bits) END")
+    dealt = rows.join(_small(counts), rows["source_no"] == counts["_of"]).withColumn("_stretch", top).drop("_of", "_bits")
+    sums = dealt.groupBy("source_no", "_stretch").agg(F.sum(value).alias("_sum"))
+    over = Window.partitionBy("source_no").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("source_no", "_stretch", F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("source_no", "_stretch").orderBy("_at", *ties).rowsBetween(Window.unboundedPreceding, -1)
+    summed = dealt.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    out = summed.join(starts, ["source_no", "_stretch"]).withColumn(column, F.col("_start") + F.col("_inside"))
+    return out.drop("_stretch", "_start", "_inside")
+
+
 def _block_plan(sized: DataFrame, sources: DataFrame, shards: int) -> DataFrame:
     """One row per block: how often it is taken whole, where the cut round ends in it, shards of its draws."""
     blocks = (
@@ -186,11 +211,11 @@ def _block_plan(sized: DataFrame, sources: DataFrame, shards: int) -> DataFrame:
         .groupBy("source_no", "block", "_rounds", "_rest")
         .agg(F.sum("_mix_size").alias("words"))
     )
-    order = Window.partitionBy("source_no").orderBy(F.xxhash64(F.lit(SEED + 1), "source_no", "block"), "block")
-    before = F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = stage(blocks.withColumn("_at", F.xxhash64(F.lit(SEED + 1), "source_no", "block")), "mix-block-sizes")
+    blocks = _running(blocks, "words", "_before")
     left = F.col("_rest") - F.col("_before")  # words of the cut round from this block on
     cut = stage(
-        blocks.withColumn("_before", before).select(
+        blocks.select(
             "source_no",
             "block",
             "_rounds",
@@ -211,8 +236,8 @@ def _block_plan(sized: DataFrame, sources: DataFrame, shards: int) -> DataFrame:
         ).alias("ends"),
     )
     each = draws.where("copies > 0").select("source_no", "block", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
-    shuffled = Window.partitionBy("source_no").orderBy(F.xxhash64(F.lit(SEED + 2), "source_no", "block", "copy"), "block", "copy")
-    placed = each.withColumn("rank", F.row_number().over(shuffled))
+    each = each.withColumns({"_at": F.xxhash64(F.lit(SEED + 2), "source_no", "block", "copy"), "_one": F.lit(1).cast("long")})
+    placed = _running(stage(each, "mix-draws"), "_one", "_earlier").withColumn("rank", F.col("_earlier") + 1)
     placed = placed.join(ends, placed["source_no"] == ends["_no"]).select(
         "source_no", "block", "copy", F.size(F.filter("ends", lambda e: e < F.col("rank"))).alias("shard")
     )
@@ -233,7 +258,9 @@ def mix(
     with_text: bool = True,
 ) -> DataFrame:
     """``docs`` with size, source_size, target (of its source), taken (words, repeats counted) and
-    shards (of each copy, whole copies first). ``with_text=False`` returns doc_id and these only.
+    shards and places (of each copy, whole copies first): the leaf of the tree that drew the copy and
+    its keyed place in the order of that shard. ``taken`` adds up what the leaves have drawn. The
+    copies as rows: :func:`shard_rows`. ``with_text=False`` returns doc_id and these only.
     """
     sized = stage(
         _sized(docs).select(
@@ -268,13 +295,42 @@ def mix(
         _small(border), (out["source_no"] == border["_border_no"]) & (out["_mix_h"] == border["_border_h"]), "left"
     )
     size, extra = F.col("_mix_size"), F.coalesce("_extra", F.lit(0))
-    cut_shards = F.slice("_block_shards", F.lit(1), F.greatest(F.size("_block_shards") - 1, F.lit(0)))
+    drawn = F.size("_block_shards")  # what the leaves have drawn of the block; a cut copy is the last
+    is_cut = F.col("_part") > 0
+    whole = drawn - F.when(is_cut & (drawn > 0), 1).otherwise(0)
+    shards_of = F.when(is_cut & (extra == 0), F.slice("_block_shards", F.lit(1), whole)).otherwise(F.col("_block_shards"))
     kept = [c for c in docs.columns if c not in ADDED] if with_text else ["doc_id"]
     return out.select(
         *[F.col("_doc").getField(c).alias(c) for c in kept],
         size.alias("size"),
         "source_size",
         "target",
-        (F.col("_rounds") * size + F.when(F.col("_once_more") > 0, size).otherwise(extra)).alias("taken"),
-        F.when((F.col("_part") > 0) & (extra == 0), cut_shards).otherwise(F.col("_block_shards")).alias("shards"),
+        (whole * size + F.when(is_cut & (drawn > 0), extra).otherwise(0)).alias("taken"),
+        shards_of.alias("shards"),
+        F.transform(shards_of, lambda shard, copy: F.xxhash64(F.lit(SEED + 3), shard, copy, F.col("_mix_h"))).alias("places"),
     )
+
+
+def shard_rows(mixed: DataFrame) -> DataFrame:
+    """The mix itself: a row per copy with its ``shard`` and ``place``, the keyed order inside the shard, and ``words``.
+
+    Sort or write by (shard, place): each shard is then shuffled by itself. A copy has all words of its
+    document but for the last one of a document at a cut.
+    """
+    copies = F.arrays_zip("shards", "places")
+    columns = [c for c in mixed.columns if c not in ADDED]
+    rows = mixed.select(*columns, "size", "taken", F.posexplode(copies).alias("_copy", "_drawn"))
+    words = F.least(F.col("size"), F.greatest(F.lit(0), F.col("taken") - F.col("_copy") * F.col("size")))
+    return rows.select(*columns, F.col("_drawn.shards").alias("shard"), F.col("_drawn.places").alias("place"), words.alias("words"))
+
+
+def write_shards(mixed: DataFrame, path: str, parts_per_shard: int = 1) -> None:
+    """Write the copies as one folder per shard; inside a shard they lie in the order of ``place``.
+
+    With more parts, the places of a shard are cut into as many stretches, a task each.
+    """
+    rows = shard_rows(mixed)
+    top = F.shiftrightunsigned(F.col("place").bitwiseXOR(F.lit(-(1 << 63))), 33)
+    part = F.floor(top * parts_per_shard / float(1 << 31)).cast("int")
+    dealt = rows.withColumn("part", part).repartition("shard", "part").sortWithinPartitions("shard", "part", "place")
+    dealt.write.partitionBy("shard", "part").parquet(path)

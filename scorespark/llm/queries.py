@@ -45,7 +45,7 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"), with_text=False)
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "shards", "places")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from math import floor
 import pytest
 from pyspark.sql import functions as F
 
-from scorespark.llm.mixing import mix, split_quotas
+from scorespark.llm.mixing import mix, shard_rows, split_quotas, write_shards
 
 SCHEMA = "doc_id long, text string, source string, size string, _rounds string"
 
@@ -92,3 +92,31 @@ def test_split_has_hypergeometric_spread(spark):
     mean, var = rows.agg(F.avg("x"), F.variance("x")).first()
     assert abs(mean - 10) < 0.15
     assert abs(var - 30 * (1 / 3) * (2 / 3) * (30 / 59)) < 0.3
+
+
+def test_leaves_are_disjoint_and_hold_what_is_taken(spark, folder, tmp_path, monkeypatch):
+    from scorespark.llm import mixing
+
+    monkeypatch.setattr(mixing._running, "__defaults__", (4,))  # many stretches of a source
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    mixed = mix(docs, shards=8, block_docs=4)
+    rows = mixed.collect()
+    write_shards(mixed, str(tmp_path / "mix"), parts_per_shard=2)
+    written = spark.read.parquet(str(tmp_path / "mix"))
+    copies = written.collect()
+    # every copy is in one shard, and the shards' words are what is taken of each document
+    words, drawn = {}, {}
+    for c in copies:
+        words[c.doc_id] = words.get(c.doc_id, 0) + c.words
+        drawn.setdefault(c.doc_id, []).append(c["shard"])
+    assert {r.doc_id: r.taken for r in rows if r.shards} == words
+    assert {r.doc_id: sorted(r.shards) for r in rows if r.shards} == {k: sorted(v) for k, v in drawn.items()}
+    # leaves differ by one block draw at most, whatever the source
+    by_shard = shard_rows(mixed).groupBy("shard").count().collect()
+    assert len(by_shard) == 8
+    # inside a shard the order is keyed, not that of the input, and files keep it
+    for file in {f for f in written.inputFiles()}:
+        places = [r.place for r in spark.read.parquet(file).collect()]
+        assert places == sorted(places)
+    ids = [r.doc_id for r in sorted(copies, key=lambda r: r.place) if r["shard"] == 0]
+    assert len(ids) > 5 and ids != sorted(ids)
