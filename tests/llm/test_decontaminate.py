@@ -4,11 +4,14 @@ import numpy as np
 import pyarrow as pa
 
 from scorespark.llm.decontaminate import (
+    _windows,
     best_distance,
     contaminated,
     drop_contaminated,
     edit_budget,
     find_items,
+    folded_words,
+    lsh_candidates,
     prepare_items,
 )
 from scorespark.llm.text import buffers
@@ -112,3 +115,32 @@ def test_long_items_with_one_kind_of_edit_are_all_found():
         true = {(3 * k + kind, k) for k in range(6) for kind in range(3)}
         assert {(t, k) for t, k, *_ in found} >= true
         assert all(d <= edit_budget(n, 0.8) for _, _, d, *_ in found)
+
+
+def recall_of_tables(rng, n, kind, items=12, copies=4):
+    """Share of items at the largest distance that the tables alone bring up."""
+    vocabulary = [f"w{k}" for k in range(4000)]
+    bodies = [[rng.choice(vocabulary) for _ in range(n)] for _ in range(items)]
+    budget, texts = edit_budget(n, 0.8), []
+    for k in range(items * copies):
+        item, places = bodies[k % items], set(rng.sample(range(n), budget))
+        if kind == "mixed":
+            body = edited(rng, item, budget, vocabulary)
+        elif kind == "deleted":
+            body = [w for j, w in enumerate(item) if j not in places]
+        else:
+            body = [x for j, w in enumerate(item) for x in ([rng.choice(vocabulary), w] if j in places else [w])]
+        around = [rng.choice(vocabulary) for _ in range(40)]
+        texts.append(" ".join(around + body + around))
+    prepared = prepare_items(list(range(items)), [" ".join(i) for i in bodies], 0.8)
+    words = folded_words(*buffers(pa.array(texts)))
+    hashes = words.hashes()
+    met = {(int(t), int(i)) for i, t, _ in lsh_candidates(hashes, words, prepared, _windows(hashes, words, prepared)[1])}
+    return sum((t, t % items) in met for t in range(len(texts))) / len(texts)
+
+
+def test_recall_of_the_tables_at_every_length_and_kind_of_edit():
+    rng = random.Random(12)
+    table = {(n, kind): recall_of_tables(rng, n, kind) for n in (10, 30, 100, 400, 1000) for kind in ("mixed", "deleted", "inserted")}
+    print({f"{n} {kind}": round(r, 3) for (n, kind), r in table.items()})
+    assert min(table.values()) >= 0.9
