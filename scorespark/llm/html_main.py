@@ -7,8 +7,15 @@ come from labelled pages, those that mark their main part with an ``article`` or
 
 * a tag costs the more, the more of its uses lie outside the marked part;
 * words below an element that is known or has been learned to hold other things
-  (by tag, class or id) score negative, so the stretch does not run through
-  menus, and such elements inside the stretch are left out.
+  (by tag, class or id) are left out. Passing over such a run costs its words and
+  tags, ``GAP_COST`` at most, so stray words behind a menu are not picked up, while
+  a long aside does not cut an article in two.
+
+Names can mislead. An element that holds more than half of a page's words and the body, a
+main element or an ``h1`` is not left out by its names when what would stay outside has
+less than a tenth of its words (a form around the page, a body of class ``search``);
+names of reader comments are always believed. Where more than half of the words lie in main elements and all of
+these would be left out by their own names, those names are passed over.
 
 ``PRIOR_OUT`` and ``PRIOR_IN`` stand in for labels no page has given yet. Counts
 come from all labelled pages; the model keeps every tag and every class and id name
@@ -40,6 +47,8 @@ from pyspark.sql import functions as F
 from scorespark.llm.text import bounded_batches
 
 VETO = -1.2
+#: Highest cost of a run of pieces that are left out.
+GAP_COST = 20.0
 
 # Element names of the HTML standard and customary class names.
 INLINE = frozenset(
@@ -50,6 +59,7 @@ RAW = frozenset("script style noscript template iframe textarea title svg math o
 #: Raw elements whose text runs to the end of the page when they are not closed.
 SWALLOWING = frozenset("script style noscript template iframe textarea title".split())
 MAIN_TAGS = frozenset(("article", "main"))
+HEADS = frozenset(("html", "body", "h1", *MAIN_TAGS))
 PRIOR_OUT = frozenset(
     "nav footer aside form button dialog menu menuitem fieldset dl.meta"
     " .ad .ads .advert .adverts .advertisement .advertising .banner .sponsor .sponsored .promo .promotion"
@@ -59,6 +69,7 @@ PRIOR_OUT = frozenset(
     " .cookie .cookies .cookie-notice .cookie-banner .consent .gdpr .notice .alert .popup .modal .overlay"
     " .newsletter .subscribe .subscription .signup .login .search .share .sharing .social .tags .skip-link .hidden".split()
 )
+COMMENTS = frozenset(".comment .comments .comment-list .respond .replies .disqus".split())
 PRIOR_IN = frozenset(".article .article-body .article-content .post .post-body .post-content .entry-content .story .content .main".split())
 
 _PIECE = re.compile(
@@ -110,7 +121,7 @@ def element_keys(tag: str, attributes: str) -> list[str]:
 class Element:
     """An open element with what holds below it: whether in a main element, and the keys of all elements around."""
 
-    __slots__ = ("tag", "keys", "parent", "marked", "around", "place")
+    __slots__ = ("tag", "keys", "parent", "marked", "around", "place", "trusted", "words", "kept", "heads")
 
     def __init__(self, tag: str, keys: list[str], parent: Element | None):
         self.tag, self.keys, self.parent = tag, keys, parent
@@ -118,12 +129,15 @@ class Element:
         above = parent.around if parent else frozenset()
         self.around = above if above.issuperset(keys) else above.union(keys)
         self.place: tuple[bool, float] | None = None
+        self.trusted = False  # names of its own do not count
+        self.words = self.kept = 0
+        self.heads = tag in HEADS  # is, or holds, the body, a main element or the page's heading
 
 
-def pieces(page: str) -> Iterator[tuple[str, str, Element | None]]:
+def pieces(page: str, made: list[Element] | None = None) -> Iterator[tuple[str, str, Element | None]]:
     """("text", raw text, innermost open element) and ("tag", name, innermost open element) in page order.
 
-    Raw elements, comments and the head give nothing.
+    Raw elements, comments and the head give nothing. ``made`` collects the elements, outer ones first.
     """
     stack: list[Element] = []
     opened: Counter = Counter()
@@ -173,9 +187,49 @@ def pieces(page: str) -> Iterator[tuple[str, str, Element | None]]:
                         break
             stack.append(Element(tag, element_keys(tag, rest), stack[-1] if stack else None))
             opened[tag] += 1
+            if made is not None:
+                made.append(stack[-1])
         view = stack[-1] if stack else None
 
 
+def shut_out(element: Element, weights: Weights) -> bool:
+    """Whether the element's own names say that it holds other things."""
+    if element.trusted:
+        return False
+    if element.tag == "header" and not element.marked:
+        return True
+    return any(weights.key(key) <= VETO for key in element.keys)
+
+
+def trust(made: list[Element], texts: list[tuple[int, Element | None]], weights: Weights) -> None:
+    """Mark the elements whose names are passed over, from the words of each element."""
+    for words, view in texts:
+        if view is not None:
+            view.words += words
+            view.kept += words
+    total = sum(words for words, _ in texts)
+    outside = sum(words for words, view in texts if view is None)
+    out = [shut_out(element, weights) for element in made]
+    for element, other in zip(reversed(made), reversed(out)):
+        above = element.parent
+        if above is not None:
+            above.words += element.words
+            above.kept += 0 if other else element.kept
+            above.heads = above.heads or element.heads
+        elif not other:
+            outside += element.kept
+    for element, other in zip(made, out):
+        if other and element.words * 2 > total:
+            if outside * 10 >= element.words or not element.heads or not COMMENTS.isdisjoint(element.keys):
+                return
+            element.trusted = True
+            outside += element.kept
+    outer = [e for e in made if e.tag in MAIN_TAGS and not (e.parent is not None and e.parent.marked)]
+    if sum(e.words for e in outer) * 2 > total and all(shut_out(e, weights) for e in outer if e.words):
+        for element in outer:
+            element.trusted = COMMENTS.isdisjoint(element.keys)
+
+
 def standing(view: Element | None, weights: Weights) -> tuple[bool, bool]:
     """Whether a place is inside a main element, and whether below an element that holds other things.
 
@@ -185,42 +239,47 @@ def standing(view: Element | None, weights: Weights) -> tuple[bool, bool]:
     while view is not None and view.place is None:
         fresh.append(view)
         view = view.parent
-    main, worst = view.place if view is not None else (False, 0.0)
+    main, other = view.place if view is not None else (False, False)
     for element in reversed(fresh):
-        if element.tag in MAIN_TAGS:
-            main = True
-        elif element.tag == "header" and not main:
-            worst = min(worst, VETO)
-        for key in element.keys:
-            worst = min(worst, weights.key(key))
-        element.place = main, worst
-    return main, worst <= VETO
+        main = element.marked
+        other = other or shut_out(element, weights)
+        element.place = main, other
+    return main, other
 
 
 def scored_pieces(page: str, weights: Weights) -> list[tuple[float, str | None, bool]]:
     """(score, text to keep, breaks the block) of every piece of a page.
 
-    Where most text lies in main elements, words outside them score negative.
-    What is left out inside a main element neither adds nor separates.
+    Where most text lies in main elements, words outside them are left out.
+    What is left out inside a main element costs nothing; neighbouring pieces left out
+    elsewhere are one piece, which costs ``GAP_COST`` at most.
     """
-    places: list[tuple[str, str, bool, bool]] = []
+    made: list[Element] = []
+    found = [(kind, value, view, len(value.split()) if kind == "text" else 0) for kind, value, view in pieces(page, made)]
+    trust(made, [(words, view) for kind, _, view, words in found if kind == "text"], weights)
     kept = {True: 0, False: 0}
-    for kind, value, view in pieces(page):
-        main, other = standing(view, weights)
-        places.append((kind, value, main, other))
-        if kind == "text" and not other:
-            kept[main] += len(value.split())
-    outside = -1.0 if kept[True] and kept[True] > kept[False] else 1.0
+    for kind, _, view, words in found:
+        if words:
+            main, other = standing(view, weights)
+            if not other:
+                kept[main] += words
+    only_main = kept[True] > kept[False]
     out: list[tuple[float, str | None, bool]] = []
-    for kind, value, main, other in places:
-        if kind == "tag":
-            cost = 0.0 if main and other else 0.02 if main else weights.cost(value)
-            out.append((-cost, None, value not in INLINE))
-        elif other:
-            out.append((0.0 if main else -1.0 * len(value.split()), None, True))
+    gap = None
+    for kind, value, view, words in found:
+        main, other = standing(view, weights)
+        if main and other:
+            out.append((0.0, None, kind == "text" or value not in INLINE))
+        elif other or only_main and not main:
+            gap = (gap or 0.0) + (weights.cost(value) if kind == "tag" else words)
+            continue
+        elif kind == "tag":
+            out.append((-0.02 if main else -weights.cost(value), None, value not in INLINE))
         else:
-            score = 1.0 if main else outside
-            out.append((score * len(value.split()), html.unescape(value) if score > 0 else None, False))
+            out.append((float(words), html.unescape(value), False))
+        if gap is not None:
+            out.insert(-1, (-min(gap, GAP_COST), None, True))
+            gap = None
     return out
 
 

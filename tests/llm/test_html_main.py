@@ -1,5 +1,6 @@
 import html
 import re
+from collections import Counter
 
 from scorespark.llm.html_main import Weights, extract_pages, fit_weights, main_text, weighted
 
@@ -89,3 +90,48 @@ def test_all_names_are_learned(spark):
     many = "".join(f"<p class=n{k}>five words stand right here</p>" for k in range(6000))
     pages = spark.createDataFrame([(f"<article>main text</article>{many}<p class=rare>one two three four</p>",)], "html string")
     assert all(fit_weights(pages).key(k) < -1.2 for k in (".rare", ".n0", ".n5999"))
+
+
+def words(name, n):
+    return " ".join(f"{name}{k}" for k in range(n))
+
+
+def test_misleading_names_do_not_lose_the_article():
+    story, menu = words("a", 200), "<nav><a>home</a> <a>news</a></nav>"
+    for page in (
+        f"<body><form method=post>{menu}<article><p>{story}</p></article><input></form></body>",
+        f"<body class='page search'>{menu}<p>{story}</p></body>",
+        f"{menu}<article class='post popular'><p>{story}</p></article>",
+        f"<body class=search><form>{menu}<main class=popular><p>{story}</p></main></form><footer>the end</footer></body>",
+    ):
+        assert text(page) == story
+    thirds = "".join(f"<article class=popular><p>{words(x, 70)}</p></article>" for x in "abc")
+    assert text(thirds) == " ".join(words(x, 70) for x in "abc")
+
+
+def test_left_out_stretches_do_not_cut_the_article():
+    first, second, aside = words("a", 200), words("b", 200), words("x", 300)
+    assert text(f"<div><p>{first}</p><aside><p>{aside}</p></aside><p>{second}</p></div>") == f"{first} {second}"
+    first, second = words("a", 100), words("b", 60)
+    assert text(f"<article>{first}</article><div>{words('x', 150)}</div><article>{second}</article>") == f"{first} {second}"
+    menu = "<nav>" + "<a>menu entry</a>" * 30 + "</nav>"
+    assert text(f"<div>some stray words</div>{menu}<p>{first}</p>") == first
+
+
+def test_reader_comments_are_left_out_however_long():
+    story, talk = words("a", 30), words("x", 2000)
+    for page in (f"<div><p>{story}</p><section class=comments><p>{talk}</p></section></div>", f"<section class=comments><article>{talk}</article></section><article>{story}</article>"):
+        assert text(page) == story
+    assert text(f"<form>{talk}</form>") == text(f"<body><div class=menu>{talk}</div></body>") == ""
+    assert text(f"<body><p>{story}</p><div class=widget>{words('x', 200)}</div></body>") == story
+
+
+def test_table_with_main_elements_renamed(spark, folder):
+    """Without main elements no page is labelled: at least 95 % of the words, and as few others."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    renamed = pages.selectExpr("page_id", "url", "regexp_replace(html, '<(/?)(article|main)', '<$1div') AS html")
+    expected = {r.page_id: r.text.split() for r in extract_pages(pages).collect()}
+    got = {r.page_id: r.text.split() for r in extract_pages(renamed).collect()}
+    for page, wanted in expected.items():
+        both = sum((Counter(wanted) & Counter(got[page])).values())
+        assert both >= 0.95 * len(wanted) and both >= 0.95 * len(got[page]), page
