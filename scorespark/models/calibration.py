@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from scorespark.functions.scoring import sigmoid
 from scorespark.models.logistic import fit_logistic
-from scorespark.operators.preparing import fit_scaler
+from scorespark.operators.preparing import Scaler, grouped_scaling
 from scorespark.operators.scorecard import LinearModel
 from scorespark.operators.splitting import equal_folds, fit_cuts
 from scorespark.session import stage
@@ -73,6 +73,16 @@ class CalibratedEnsemble:
         return total / F.lit(float(len(self.members)))
 
 
+def _scalers(folded: DataFrame, features: Sequence[str]) -> dict[int, Scaler]:
+    """The scaler of the rows outside each fold, all from one pass."""
+    found: dict[int, tuple[dict, dict]] = {}
+    for row in grouped_scaling(folded, "fold", features).collect():
+        means, deviations = found.setdefault(int(row["fold"]), ({}, {}))
+        means[row["feature"]] = 0.0 if row["mean"] is None else row["mean"]
+        deviations[row["feature"]] = row["deviation"] or 1.0
+    return {k: Scaler(*both) for k, both in found.items()}
+
+
 def fit_calibrated(
     train: DataFrame,
     features: Sequence[str],
@@ -90,11 +100,12 @@ def fit_calibrated(
     columns = [spec.key, spec.target, *features]
     assigned = fit_cuts(train, equal_folds(folds), spec).apply(train.select(*columns), "fold")
     folded = stage(assigned, "folds")
+    scalers = _scalers(folded, features) if scale else {}
     members = []
     for k in range(folds):
         rest = folded.where(F.col("fold") != k)
         if scale:
-            scaler = fit_scaler(rest, columns=features, fit_on="all")
+            scaler = scalers[k]
             inner = fit_logistic(scaler.apply(rest), features, spec.target, c)
             slopes = {f: w / scaler.deviations[f] for f, w in inner.coefficients.items()}
             shift = sum(slopes[f] * scaler.means[f] for f in features)

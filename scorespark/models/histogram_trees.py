@@ -34,6 +34,8 @@ from scorespark.spec import RANDOM_STATE
 
 BINS = 32
 SCALE = 1 << 20
+#: Rows a task counts at least, so that small tables are not cut into many small tasks.
+ROWS_A_TASK = 20_000
 #: Trees after which the margins of the rows are written down.
 MARGINS_EVERY = 10
 #: Bagged trees that grow side by side.
@@ -252,7 +254,8 @@ def _table(df: DataFrame, features: Sequence[str], label: str, key: str) -> tupl
     places = [k / BINS for k in range(1, BINS)]
     found = exact_quantiles(plain, {f"f{k}": places for k in range(len(features))})
     edges = [np.unique([e for e in found[f"f{k}"] if e is not None]) for k in range(len(features))]
-    return stage(plain.mapInArrow(_binned(edges), "h long, y double, margin double, bins binary"), "binned"), edges
+    binned = stage(plain.mapInArrow(_binned(edges), "h long, y double, margin double, bins binary"), "binned")
+    return binned.coalesce(max(1, binned.count() // ROWS_A_TASK)), edges
 
 
 def _with_margins(later: Sequence[Growing]):

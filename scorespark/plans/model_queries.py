@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from scorespark.models import benchmarks as bm
 from scorespark.functions.scoring import pd_to_score
 from scorespark.models.calibration import CLIP, Calibrated, fit_calibrated, fit_curve
+from scorespark.models.histogram_trees import fit_bagged_trees, fit_boosted_trees
 from scorespark.models.logistic import fit_logistic
 from scorespark.models.tree_shap import tree_shap
 from scorespark.models.trees import trees_of
@@ -163,8 +164,20 @@ def rf_metrics(spark, d):
 def gbt_metrics(spark, d):
     df, names = prepared(spark, d)
     train, test = _parts(df, "train", "test")
-    model = bm.fit_boosting(train, names)
-    return measured(discrimination(bm.predict_pd(model, test, names, "bad")))
+    model = fit_boosted_trees(train, names)
+    return measured(discrimination(test.select("bad", model.pd().alias("pd"))))
+
+
+@query(measured_sql("two").replace("SELECT n,", "SELECT TRUE AS repeatable, n,"))
+def bagged_metrics(spark, d):
+    """A forest on rows drawn by hashes; ``repeatable``: its first trees are those of other partitions and row orders."""
+    df, names = prepared(spark, d)
+    train, test = _parts(df, "train", "test")
+    model = fit_bagged_trees(train, names)
+    again = fit_bagged_trees(train.repartition(13, "dim_core_traits"), names, trees=10)
+    nodes = len(again.at)
+    same = model.features == again.features and all(getattr(model, x)[:nodes] == getattr(again, x) for x in ("at", "threshold", "left", "right"))
+    return measured(discrimination(test.select("bad", model.pd().alias("pd")))).withColumn("repeatable", F.lit(same))
 
 
 @query(measured_sql("two"))

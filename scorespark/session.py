@@ -102,13 +102,16 @@ def finish(spark: SparkSession) -> None:
     spark.stop()
 
 
-#: Parts into which the rows of a fit are dealt, whatever the machine.
+#: Rows a part of a fit holds at most, and the parts that smaller tables are dealt into.
+FIT_ROWS = 1_000_000
 FIT_PARTS = 32
 
 
-def spread(df: DataFrame, key: str = "dummy_id", parts: int = FIT_PARTS) -> DataFrame:
-    """Rows dealt by a hash of the key into a fixed number of parts, in key order.
+def spread(df: DataFrame, key: str = "dummy_id") -> DataFrame:
+    """Rows dealt by a hash of the key, in key order, into parts that follow from the number of rows.
 
-    Row samples of a fit then depend on the rows only, not on cores or file sizes.
+    Row samples of a fit then depend on the rows only, not on cores or file sizes, and
+    no part grows with the table.
     """
+    parts = max(FIT_PARTS, -(-df.count() // FIT_ROWS))
     return df.repartition(parts, key).sortWithinPartitions(key)
