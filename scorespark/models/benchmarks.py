@@ -13,12 +13,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorespark.models.calibration import calibrate_model
+from scorespark.models.calibration import Isotonic, OnLogOdds, fit_curve
 from scorespark.models.logistic import assemble, fit_logistic
 from scorespark.operators.metrics import discrimination
 from scorespark.spec import RANDOM_STATE
 
 Scorer = Callable[[DataFrame], DataFrame]
+Curve = Isotonic | OnLogOdds
 _VARIANTS = "_base", "_calibrated"
 
 
@@ -123,10 +124,19 @@ def evaluate_all(
     label: str = "bad",
 ) -> DataFrame:
     """Measures of every model as fitted and after calibration on held-out rows."""
+    return evaluate_curves(scorers, fit_curves(scorers, calibration_rows, method, label), test, label)
+
+
+def fit_curves(scorers: dict[str, Scorer], rows: DataFrame, method: str = "isotonic", label: str = "bad") -> dict[str, Curve]:
+    """The calibration curve of each model, learned on rows it was not fitted on."""
+    return {name: fit_curve(scorer(rows), method, label=label) for name, scorer in scorers.items()}
+
+
+def evaluate_curves(scorers: dict[str, Scorer], curves: dict[str, Curve], test: DataFrame, label: str = "bad") -> DataFrame:
+    """Measures of every model as fitted and under its curve; all scored rows are measured in one job."""
     everything = None
     for name, scorer in scorers.items():
-        calibrated = calibrate_model(scorer(calibration_rows), method, label=label)
-        both = calibrated(scorer(test)).select(
+        both = curves[name].apply(scorer(test)).select(
             label,
             F.inline(
                 F.array(

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorespark.models import benchmarks as bm
-from scorespark.models.calibration import fit_calibrated
+from scorespark.models.calibration import Calibrated, fit_calibrated
 from scorespark.models.logistic import fit_logistic
 from scorespark.models.tree_shap import tree_shap
+from scorespark.models.trees import trees_of
 from scorespark.operators import bands as bn
 from scorespark.operators import features as fe
 from scorespark.operators import metrics as mt
@@ -25,6 +26,7 @@ from scorespark.operators.preparing import fit_imputer, fit_onehot, fit_scaler
 from scorespark.operators.splitting import fit_cuts, holdout_then_test, shares_of_all, two_way
 from scorespark.session import spread, stage
 from scorespark.sources import sinks
+from scorespark.sources.artefacts import Scorer, save_artefact
 from scorespark.spec import DEFAULT_SPEC, FeatureSpec
 
 
@@ -79,12 +81,14 @@ def scorecard_run(
     """Calibrated scorecard and forest benchmark on a 70/30 split: (metrics, band summary).
 
     ``max_features=None, scale=True`` uses every numeric feature, standardised
-    inside the folds. Writes the test scores, the band summary and metrics.json.
+    inside the folds. Writes the test scores, the band summary, metrics.json and, below
+    ``models``, the scorecard (from rows with ratios to bands) and the forest as artefacts.
     """
     df = sc.remove_leakage(sc.nan_to_null(sc.clean_column_names(df)), spec)
     df = stage(fe.ratio_features(df), "raw")
     df = fit_cuts(df, two_way(), spec).apply(df)
-    df = stage(spread(fit_imputer(df, spec, categorical=False).apply(df), spec.key), "imputed")
+    imputer = fit_imputer(df, spec, categorical=False)
+    df = stage(spread(imputer.apply(df), spec.key), "imputed")
     train, test = (df.where(F.col("split") == s) for s in ("train", "test"))
 
     chosen = spec.numeric(df)[:max_features]
@@ -93,7 +97,8 @@ def scorecard_run(
     ensemble = fit_calibrated(train, chosen, spec, scale=scale)
     scored = sd.score_population(test, ensemble.pd()).select(spec.key, spec.target, "pd", "score")
     scored = stage(scored, "scored")
-    banded = bn.fit_bands(scored).apply(scored)
+    bands = bn.fit_bands(scored)
+    banded = bands.apply(scored)
     summary = bn.band_summary(banded, label=spec.target)
     sinks.write_report(banded, f"{out}/scorecard_test_scores")
     sinks.write_report(summary, f"{out}/scorecard_band_summary")
@@ -107,9 +112,15 @@ def scorecard_run(
     )
     metrics = stage(mt.discrimination(both, label=spec.target, keys=["model"]), "metrics")
     sinks.write_metrics_json(metrics, f"{out}/metrics.json")
+    _save(df, out, {"scorecard": Scorer(imputer, ensemble, bands), "encoder": encoder, "forest": trees_of(df.sparkSession, trees, names)})
     return metrics, summary
 
 
+def _save(df: DataFrame, out: str, parts: dict) -> None:
+    for name, part in parts.items():
+        save_artefact(df.sparkSession, part, f"{out}/models/{name}")
+
+
 @dataclass(frozen=True)
 class Evaluation:
     metrics: DataFrame
@@ -130,7 +141,8 @@ def evaluation_run(
 ) -> Evaluation:
     """Every model with and without calibration, the points scorecard and tree attributions.
 
-    Split first (70/10/20), then everything learned comes from the training rows.
+    Split first (70/10/20), then everything learned comes from the training rows. Below
+    ``models`` stand the scaler, each model and, as ``<model>_calibrated``, each with its curve.
     """
     forest = {"trees": 300, "depth": 6, "min_leaf": 20, **(forest or {})}
     boosting = {"trees": 300, "depth": 4, "rate": 0.05, **(boosting or {})}
@@ -143,7 +155,8 @@ def evaluation_run(
     names = spec.numeric(plain)
     # a ratio over a zero denominator is the only NULL engineering can leave
     plain = fit_imputer(plain, spec, categorical=False).apply(plain)
-    scaled = stage(spread(fit_scaler(plain, spec, columns=names).apply(plain), spec.key), "scaled")
+    scaler = fit_scaler(plain, spec, columns=names)
+    scaled = stage(spread(scaler.apply(plain), spec.key), "scaled")
     train, val, test = (scaled.where(F.col("split") == s) for s in ("train", "val", "test"))
 
     logistic = fit_logistic(train, names, spec.target, max_iter=2000)
@@ -155,7 +168,12 @@ def evaluation_run(
         "forest": lambda part: bm.predict_pd(trees, part, names, *keep),
         "boosting": lambda part: bm.predict_pd(boosted, part, names, *keep),
     }
-    metrics = stage(bm.evaluate_all(scorers, val, test, method, spec.target), "metrics")
+    curves = bm.fit_curves(scorers, val, method, spec.target)
+    metrics = stage(bm.evaluate_curves(scorers, curves, test, spec.target), "metrics")
+    session = df.sparkSession
+    models = {"logistic": logistic, "forest": trees_of(session, trees, names), "boosting": trees_of(session, boosted, names)}
+    calibrated = {f"{name}_calibrated": Calibrated(model, curves[name]) for name, model in models.items()}
+    _save(df, out, {"scaler": scaler, **models, **calibrated})
     iv = bn.compute_iv_all(plain.where(F.col("split") == "train"), names, label=spec.target)
     points = sd.build_scorecard(logistic.table(df.sparkSession))
     scored = sd.scoring_report(test, logistic, spec.key, spec.target)
