@@ -64,10 +64,10 @@ TABLE_BLOCK = 1 << 12
 #: Hashed predictors of words, and of bytes.
 WORD_TABLES, SPELL_TABLES = 3, 5
 #: Weights of the word predictors a document starts with: node alone, marker, last word, last two words.
-START = np.array([0.3, 0.45, 0.45, 0.35], dtype=np.float32)
+START = np.array([0.3, 0.6, 0.35, 0.25], dtype=np.float32)
 GATES = 16
 STEP = 256
-ONLINE_RATE = 0.6
+ONLINE_RATE = 1.0
 #: Cells of log odds by size, a sign bit beside it; where gates change, cells do.
 CELL_EDGES = np.array([0.05, 0.7, 1.5, 2.5, 3.5, 5.0, 7.0], dtype=np.float32)
 MARKS = 2 * (len(CELL_EDGES) + 1)
@@ -262,6 +262,13 @@ def gates(longer: np.ndarray, longest: np.ndarray) -> np.ndarray:
     return out
 
 
+def start_weights() -> np.ndarray:
+    """Weights of a document's first decisions: where the longer contexts are unsure, shorter ones weigh more."""
+    gate = np.arange(GATES)[:, None]
+    short = 1 + 0.1 * ((gate % 4 == 0) + 0.5 * (gate < 4))
+    return (START * np.where(np.arange(len(START)) < 2, short, 1 / short)).astype(np.float32)
+
+
 @dataclass
 class Model:
     code: Code
@@ -284,11 +291,11 @@ def score_batch(decisions: Decisions, model: Model) -> np.ndarray:
     odds[0] = model.code.odds[decisions.path]
     for k in range(WORD_TABLES):
         odds[k + 1] = model.tables[k][decisions.slots(k, log)]
-    start = START * (0.9 + 0.1 * np.arange(4, dtype=np.float32)[:, None])  # sureness of the longest x predictors
-    sure = gates(odds[-2], odds[-1]) & 3
-    mixed = odds[0] * start[sure, 0]
+    start = start_weights()
+    gate = gates(odds[-2], odds[-1])
+    mixed = odds[0] * start[gate, 0]
     for k in range(1, WORD_TABLES + 1):
-        mixed += odds[k] * start[sure, k]
+        mixed += odds[k] * start[gate, k]
     sign = decisions.outcome.astype(np.float32) * 2 - 1
     for values, to in zip((*odds, mixed, sign), flat):
         for text, (low, high) in enumerate(zip(decisions.offsets[:-1].tolist(), decisions.offsets[1:].tolist())):

@@ -8,16 +8,28 @@ import pyarrow as pa
 import pytest
 
 from scorespark.llm.lm_score import (
+    ESCAPES,
+    ONLINE_RATE,
+    REPEATS,
+    STEP,
     TABLE_BLOCK,
     Decisions,
+    Model,
+    Spelling,
     _add_blocks,
     _odds,
     fit_model,
+    gates,
     held_out,
     huffman,
     lm_scores,
     look_up,
     make_code,
+    repeats,
+    score_batch,
+    spell_batch,
+    spelling_code,
+    start_weights,
 )
 from scorespark.llm.text import Words, buffers
 
@@ -83,32 +95,29 @@ def test_huffman_is_a_complete_prefix_code():
     assert length[4] == min(length)
 
 
-def test_decisions_spell_out_the_text():
+def read_back(symbols, code, words):
+    names = {int(code.symbols[look_up(code.words, Words(*buffers(pa.array([w]))).hashes())[0]]): w for w in words}
+    return ["|" if s == code.end else "?" if s == code.escape else names[s] for s in symbols]
+
+
+def test_decisions_and_spellings_give_the_text():
     known = ["the", "fox"]
-    hashes = Words(*buffers(pa.array(["the fox"]))).hashes()
-    code = make_code(hashes, [9, 4], 3, 2)
+    code = make_code(Words(*buffers(pa.array(["the fox"]))).hashes(), [9, 4], 3, 2)
     texts = ["The fox x1 the", "", "é", "fox"]
-    words = Words(*buffers(pa.array(texts)))
-    made = Decisions(words, code)
-    got, symbol = [], made.symbol.tolist()
-    names = {int(code.symbols[k]): w for h, w in zip(hashes, known) for k in [look_up(code.words, np.array([h]))[0]]}
-    spelled = b""
-    for s in symbol:
-        if s == code.end:
-            got.append("|")
-        elif s == code.escape:
-            spelled = b""
-        elif s >= code.byte:
-            if s - code.byte == 32:
-                got.append(spelled.decode())
-            spelled += bytes([s - code.byte])
-        else:
-            got.append(names[s])
-    assert got == ["the", "fox", "x1", "the", "|", "|", "é", "|", "fox", "|"]
-    assert made.offsets[-1] == len(made.node) == len(made.outcome) == made.bits.sum()
+    made = Decisions(Words(*buffers(pa.array(texts))), code)
+    assert read_back(made.symbol.tolist(), code, known) == ["the", "fox", "?", "the", "|", "|", "?", "|", "fox", "|"]
+    assert made.escaped.tolist() == [2, 4]
+    assert made.offsets[-1] == len(made.path) == len(made.outcome) == made.bits.sum()
     alone = [Decisions(Words(*buffers(pa.array([t]))), code) for t in texts]
     for k in range(3):
-        assert np.array_equal(np.concatenate([d.slots(k) for d in alone]), made.slots(k))
+        assert np.array_equal(np.concatenate([d.slots(k, 16) for d in alone]), made.slots(k, 16))
+
+    spelled = [w.encode() for w in ("x1", "é", "fox", "z" * 5000)]
+    steps = Spelling(Words(*buffers(pa.array(spelled, pa.binary())), lower=False), spelling_code())
+    assert bytes(steps.symbol.astype(np.uint8)) == b"".join(w + b" " for w in spelled)
+    alone = [Spelling(Words(*buffers(pa.array([w], pa.binary())), lower=False), spelling_code()) for w in spelled]
+    for k in range(5):
+        assert np.array_equal(np.concatenate([s.slots(k, 18) for s in alone]), steps.slots(k, 18))
 
 
 def test_counts_beyond_32_bits_add_up():
@@ -124,32 +133,85 @@ def test_counts_beyond_32_bits_add_up():
     assert odds == pytest.approx(np.full(len(odds), np.log((6 * (2**31 - 1) + 0.4) / 30.4)), rel=1e-3)
 
 
-def test_last_word_and_word_so_far_after_the_marker_are_contexts():
+def test_last_word_and_marker_are_contexts():
     known = ["the", "fox", "ran"]
     code = make_code(Words(*buffers(pa.array([" ".join(known)]))).hashes(), [9, 4, 3], 3, 2)
     made = Decisions(Words(*buffers(pa.array(["the fox ran xy", "ran fox ran xy", "the ran ran xy"]))), code)
     ran = code.symbols[look_up(code.words, Words(*buffers(pa.array(["ran"]))).hashes())[0]]
     after_the_fox, _, after_ran_fox = np.flatnonzero(made.symbol == ran)[:3]
-    assert made.context[2, after_the_fox] == made.context[2, after_ran_fox]
-    assert made.context[3, after_the_fox] != made.context[3, after_ran_fox]
-    y = np.flatnonzero(made.symbol == code.byte + ord("y"))
-    assert len(set(made.context[2, y])) == 1
-
-    marked = Decisions(Words(*buffers(pa.array(["the xy", "fox xy", "the the xy"]))), code)
-    y = np.flatnonzero(marked.symbol == code.byte + ord("y"))
-    assert len(set(marked.context[2, y])) == 1
-    assert marked.context[3, y[0]] == marked.context[3, y[2]] != marked.context[3, y[1]]
+    assert made.context[1, after_the_fox] == made.context[1, after_ran_fox]
+    assert made.context[2, after_the_fox] != made.context[2, after_ran_fox]
+    unknown = np.flatnonzero(made.symbol == code.escape)
+    assert len(set(made.context[0, unknown])) == 1
+
+
+def test_repeated_escaped_words_follow_the_counts_of_their_text():
+    words = [(0, 5), (0, 5), (0, 7), (0, 5), (2, 5), (2, 6), (2, 6)]
+    fresh, cost = repeats(np.array([o for o, _ in words]), np.array([h for _, h in words]))
+    for at, (owner, h) in enumerate(words):
+        earlier = [x for o, x in words[:at] if o == owner]
+        different = len(set(earlier))
+        again = (len(earlier) - different + REPEATS) / (len(earlier) + ESCAPES) if earlier else 0
+        assert fresh[at] == (h not in earlier)
+        assert cost[at] == pytest.approx(np.log(1 - again) if fresh[at] else np.log(again / different))
+
+
+def brute_mix(tables, code, decisions):
+    """Each text by itself, block after block, one decision at a time."""
+    start = start_weights()
+    log = int(tables.shape[1]).bit_length() - 1
+    slots = [decisions.slots(k, log) for k in range(3)]
+    out = []
+    for low, high in zip(decisions.offsets[:-1], decisions.offsets[1:]):
+        own, total, push = np.zeros(4), 0.0, np.zeros(4)
+        for i, at in enumerate(range(low, high)):
+            if i and i % STEP == 0:
+                own, push = own + push * ONLINE_RATE / STEP, np.zeros(4)
+            odds = np.array([code.odds[decisions.path[at]], *(tables[k][slots[k][at]] for k in range(3))], dtype=np.float32)
+            gate = gates(odds[2:3], odds[3:4])[0]
+            p = 1 / (1 + np.exp(-np.clip(odds @ (start[gate] + own), -16, 16)))
+            total += np.log(p if decisions.outcome[at] else 1 - p)
+            push += odds * (decisions.outcome[at] - p)
+        out.append(total)
+    return out
 
 
-def test_small_tables_are_counted_whole_and_beat_the_base(spark):
+def test_scores_equal_a_brute_force_mixer(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = fit_model(docs)[0]
+    rows = docs.orderBy("doc_id").limit(12).collect()
+    made = Decisions(Words(*buffers(pa.array(["", *[r.text or "" for r in rows]], pa.string()))), model.code)
+    assert score_batch(made, model) == pytest.approx(brute_mix(model.tables.astype(np.float32), model.code, made), rel=1e-3)
+
+
+def test_tables_are_counted_whole_and_words_are_a_distribution(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model, words, _, _ = fit_model(docs)
     texts = [r.text for r in docs.where(~held_out(docs.doc_id)).collect()]
     made = Decisions(Words(*buffers(pa.array(texts, pa.string()))), model.code)
+    log = int(model.tables.shape[1]).bit_length() - 1
     for k in range(len(model.tables)):
         counts = np.zeros((model.tables.shape[1], 2), dtype=np.int64)
-        np.add.at(counts, (made.slots(k), made.outcome), 1)
+        np.add.at(counts, (made.slots(k, log), made.outcome), 1)
         assert np.allclose(model.tables[k], np.log((counts[:, 1] + 0.4) / (counts[:, 0] + 0.4)), atol=0.01)
-    # the base gives any unseen word one flat share, so texts full of them are not compared
-    held = [r for r in lm_scores(docs).collect() if r.held_out and r.n_known >= 0.9 * r.n_tokens]
+    seen = Counter(t for text in texts for t in tokens(text)[:-1])
+    rows = words.collect()
+    assert {r.word.decode(): r.n for r in rows if r.n} == seen
+    coded = {r.word.decode() for r in rows if r.spelled == 0}
+    assert coded == {w for w, n in seen.items() if n >= 3}
+    assert sum(np.exp(r.spelled) for r in rows if r.spelled < 0) < 1
+
+
+def test_spelling_is_a_distribution_over_bytes():
+    tables = np.random.default_rng(3).normal(size=(5, 1 << 16)).astype(np.float16)
+    weights = np.full((16, 5), 0.3)
+    nothing = [b"ab" + bytes([c]) for c in range(256) if c != 32]
+    longer = [spell_batch(Spelling(Words(*buffers(pa.array([w], pa.binary())), lower=False), spelling_code()), tables, weights)[0] for w in nothing]
+    closed = [spell_batch(Spelling(Words(*buffers(pa.array([w], pa.binary())), lower=False), spelling_code()), tables, weights)[0] for w in (b"ab",)]
+    assert sum(np.exp(longer)) + np.exp(closed[0]) < 1
+
+
+def test_all_held_out_rows_together_beat_the_base(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = [r for r in lm_scores(docs).collect() if r.held_out]
     assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
