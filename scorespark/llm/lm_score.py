@@ -29,7 +29,8 @@ of the text. Beside it stands the base: add-one unigrams over the same tokens,
 frequent words travel to the tasks, other words are joined.
 
 Tables of the word predictors have a slot per ``BYTES_A_SLOT`` bytes of training text,
-between 2^``SLOTS_LOG[0]`` and 2^``SLOTS_LOG[1]`` of them, since every task holds them.
+between 2^``SLOTS_LOG[0]`` and 2^``SLOTS_LOG[1]`` of them, and those of the spelling
+2^``SPELL_SLOTS_LOG``, since every task holds them.
 
 Null and empty texts have one token, the end. Rows without doc_id are training
 rows; repeated rows count and are scored each time. Without training rows all
@@ -58,8 +59,9 @@ LEAST_COUNT = 3
 #: Words that serve as the context "last very frequent word".
 MARKERS = 64
 BASE_WORDS = 1 << 20
-SLOTS_LOG = (16, 22)
-BYTES_A_SLOT = 8
+SLOTS_LOG = (19, 22)
+BYTES_A_SLOT = 128
+SPELL_SLOTS_LOG = 20
 TABLE_BLOCK = 1 << 12
 #: Hashed predictors of words, and of bytes.
 WORD_TABLES, SPELL_TABLES = 3, 5
@@ -359,7 +361,7 @@ def add_cells(cells: np.ndarray, steps: Spelling, tables: np.ndarray, marks: np.
         slots = steps.slots(k, log)
         cell = cell * MARKS + marks[k][slots]
         values.append(tables[k][slots])
-    unique, cell = np.unique(cell, return_inverse=True) if len(cell) < len(cells[0]) else (slice(None), cell)
+    unique, cell = np.unique(cell, return_inverse=True) if 16 * len(cell) < len(cells[0]) else (slice(None), cell)
     n = len(cells[0][unique])
     ones = np.bincount(cell, weights=steps.outcome, minlength=n)
     cells[0][unique] += np.bincount(cell, minlength=n) - ones
@@ -421,9 +423,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in texts.slices(batch):
             words = Words(*buffers(piece.column("text")))
-            unique, first = np.unique(words.hashes(), return_index=True)
-            learned = np.asarray(piece.column("learned"))[words.owners()]
-            n = np.bincount(np.searchsorted(unique, words.hashes()[learned]), minlength=len(unique))
+            unique, first, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
+            learned = piece.column("learned").to_numpy(zero_copy_only=False).astype(bool)[words.owners()]
+            n = np.bincount(inverse[learned], minlength=len(unique))
             raw = words.data.tobytes()
             starts, ends = words.starts[first].tolist(), words.ends[first].tolist()
             for h, a, b, c in zip(unique.tolist(), starts, ends, n.tolist()):
@@ -667,15 +669,15 @@ def fit_spelling(words: DataFrame, distinct: int) -> tuple[Code, np.ndarray, np.
     """Tree, tables and gate weights of the spelling, counted over the distinct training words."""
     context = words.sparkSession.sparkContext
     code = spelling_code()
-    log = _slots_log(distinct * 64)
+    log = SPELL_SLOTS_LOG
     folded = words.where("n > 0").select("word", F.xxhash64(F.lit(11), "word").bitwiseAND(1).cast("int").alias("fold"))
     parts = distinct // TRAIN_WORDS + 1
     gathered = folded.coalesce(parts).mapInArrow(_gather(context.broadcast(code), "word", log), _GATHERED)
     tables, *fold_tables = _summed_tables(gathered, parts, SPELL_TABLES, log)
-    counted = folded.mapInArrow(
-        _calibrate(context.broadcast((code, fold_tables))), "cell int, " + ", ".join(f"{c} double" for c in _CELL[1:])
-    )
+    shared = context.broadcast((code, fold_tables))
+    counted = folded.mapInArrow(_calibrate(shared), "cell int, " + ", ".join(f"{c} double" for c in _CELL[1:]))
     summed = counted.groupBy("cell").agg(*[F.sum(c).alias(c) for c in _CELL[1:]]).orderBy("cell").toArrow()
+    shared.unpersist()
     return code, tables, fit_gate_weights(np.stack([np.asarray(summed.column(c), dtype=np.float64) for c in _CELL[1:]]))
 
 
@@ -703,8 +705,10 @@ def fit_model(docs: DataFrame, vocabulary: int = VOCABULARY, base_words: int = B
 
     spelling = fit_spelling(words, distinct)
     new = (once + 0.5) / (escaped + 0.5)
-    spell = _spell(context.broadcast((*spelling, code.words)), escaped, min(new, 0.98) if escaped else 1.0)
+    shared = context.broadcast((*spelling, code.words))
+    spell = _spell(shared, escaped, min(new, 0.98) if escaped else 1.0)
     words = stage(words.mapInArrow(spell, "word binary, n long, spelled double"), "lm-spelled")
+    shared.unpersist()
 
     log, parts = _slots_log(size), int(size // TRAIN_BYTES) + 1
     gather = _gather(context.broadcast(code), "text", log)
@@ -721,7 +725,7 @@ def fit_model(docs: DataFrame, vocabulary: int = VOCABULARY, base_words: int = B
         tables,
         hashes[order],
         np.log10(np.asarray(table.column("n"), dtype=np.int64)[order] + 1) - scale,
-        np.asarray(table.column("spelled"), dtype=np.float64)[order],
+        np.asarray(table.column("spelled"), dtype=np.float32)[order],
         float(np.log10(ends + 1) - scale),
         bool(ends),
     )
