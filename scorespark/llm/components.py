@@ -27,8 +27,9 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in a link (a, b); root is the smallest node reachable.
 
     Nodes without links have no row. Each round is written, so lineage does not
-    grow; both steps aggregate before they join, so a node with very many links
-    is one row of minima.
+    grow. Minima are aggregated map-side; the join that hands them to a node's links
+    is by node, so the links of a node with very many are joined in one task unless
+    the adaptive skew join splits them.
     """
     a, b = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     edges = stage(links.where("a <> b").select(a, b).distinct(), "cc")
