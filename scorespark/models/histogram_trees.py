@@ -1,9 +1,11 @@
 """Boosted and bagged trees whose fit does not depend on how the rows are partitioned.
 
-Features are cut at exact quantiles, so a row is a byte per feature. Each level of a tree is
+Features are cut at exact quantiles, so a row is a byte per feature; some thousand rows
+are one row of the binned table, a line of bytes per feature. Each level of a tree is
 one pass: every task adds up the gradients of its rows by (tree, node, feature, bin),
-one aggregation sums the tasks' cells, and the driver, which sees cells only, picks
-the splits. Gradients are whole multiples of ``1 / SCALE``, so the sums are exact in
+the tasks' cells are summed, and the driver, which sees cells only, picks the splits. Of two
+siblings that may split on the same features only the smaller is counted; the other is the
+rest of the parent. Gradients are whole multiples of ``1 / SCALE``, so the sums are exact in
 any order, and row samples come from a hash of (key, tree): the same rows give the
 same trees on any number of partitions, cores or files.
 
@@ -29,17 +31,25 @@ from pyspark.sql import functions as F
 
 from scorespark.models.trees import Trees
 from scorespark.operators.quantiles import exact_quantiles
-from scorespark.session import stage
+from scorespark.session import drop_table, stage, stage_at
 from scorespark.spec import RANDOM_STATE
 
 BINS = 32
 SCALE = 1 << 20
 #: Rows a task counts at least, so that small tables are not cut into many small tasks.
 ROWS_A_TASK = 20_000
+#: Rows a task counts at most; in between there is a task per core.
+MOST_A_TASK = 2_000_000
+#: Tasks whose cells the driver adds up; those of more tasks meet in an aggregation.
+TASKS = 64
 #: Trees after which the margins of the rows are written down.
-MARGINS_EVERY = 10
+MARGINS_EVERY = 5
 #: Bagged trees that grow side by side.
 TREES_AT_ONCE = 10
+#: Rows whose cells are added up as one piece at most; a sum of so many packed weights is exact as a double.
+PIECE = 1 << 14
+#: Place of the counts in a packed weight.
+PACK = float(1 << 37)
 
 
 @dataclass
@@ -52,10 +62,15 @@ class Growing:
     left: list[int] = field(default_factory=lambda: [-1])
     right: list[int] = field(default_factory=lambda: [-1])
     value: list[float] = field(default_factory=lambda: [0.0])
+    sums: list[tuple[float, float]] = field(default_factory=lambda: [(0.0, 0.0)])
+    weight: float = 1.0
 
-    def split(self, node: int, feature: int, cut: int, values: tuple[float, float]) -> tuple[int, int]:
+    def split(
+        self, node: int, feature: int, cut: int, values: tuple[float, float], sums: Sequence[tuple[float, float]]
+    ) -> tuple[int, int]:
         self.at[node], self.cut[node] = feature, cut
         self.left[node], self.right[node] = len(self.at), len(self.at) + 1
+        self.sums += [(float(g), float(h)) for g, h in sums]
         for value in values:
             self.at.append(-1)
             self.cut.append(0)
@@ -65,16 +80,16 @@ class Growing:
         return self.left[node], self.right[node]
 
     def leaves(self, bins: np.ndarray) -> np.ndarray:
-        """The leaf of each row."""
-        at, cut, left, right = (np.array(x) for x in (self.at, self.cut, self.left, self.right))
-        every, node = np.arange(len(bins)), np.zeros(len(bins), dtype=np.int64)
-        while True:
-            feature = at[node]
-            inner = feature >= 0
-            if not inner.any():
-                return node
-            goes_left = bins[every, np.maximum(feature, 0)] <= cut[node]
-            node = np.where(inner, np.where(goes_left, left[node], right[node]), node)
+        """The leaf of each row; ``bins`` has a line per feature."""
+        at, cut, left, right = (np.array(x, dtype=np.int32) for x in (self.at, self.cut, self.left, self.right))
+        node = np.zeros(bins.shape[1], dtype=np.int32)
+        inner = np.arange(len(node)) if at[0] >= 0 else np.zeros(0, dtype=np.int64)
+        while len(inner):
+            here = node[inner]
+            here = np.where(bins[at[here], inner] <= cut[here], left[here], right[here])
+            node[inner] = here
+            inner = inner[at[here] >= 0]
+        return node
 
 
 def uniform(keys: np.ndarray, number: int, seed: int) -> np.ndarray:
@@ -102,6 +117,12 @@ class Boosting:
     lam: float
     least: float
     seed: int
+    #: Whole steps of a gradient when curvatures are counts; None when they are not.
+    unit = None
+
+    def step(self, number: int) -> float:
+        """Weight of a tree in the margin."""
+        return 1.0
 
     def weights(self, keys: np.ndarray, y: np.ndarray, margin: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(-margin))
@@ -115,12 +136,45 @@ class Boosting:
         return -self.rate * float(np.sign(g) * max(abs(g) - self.alpha, 0.0) / (h + self.lam)) if h + self.lam else 0.0
 
 
+@dataclass(frozen=True)
+class Residuals:
+    """Means of what the logistic loss still asks of the margin (half the log odds), on a sample of the rows.
+
+    The first tree is fitted on the labels -1 and 1 and counts whole, the others count ``rate``.
+    """
+
+    rate: float
+    rows: float
+    least: float
+    seed: int
+    unit = 1
+
+    def step(self, number: int) -> float:
+        return self.rate if number else 1.0
+
+    def weights(self, keys: np.ndarray, y: np.ndarray, margin: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
+        label = 2 * y - 1
+        rest = 4 * label / (1 + np.exp(np.minimum(2 * label * margin, 700.0))) if number else label
+        taken = uniform(keys, number, self.seed) < self.rows
+        return np.rint(rest * SCALE) * taken, taken * float(SCALE)
+
+    def gain(self, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+        return g**2 / np.where(h > 0, h, 1.0)
+
+    def leaf(self, g: float, h: float) -> float:
+        return float(g / h) if h else 0.0
+
+
 @dataclass(frozen=True)
 class Bagging:
     """Labels and counts of rows drawn with replacement; gains are those of the Gini index."""
 
     least: float
     seed: int
+    unit = SCALE
+
+    def step(self, number: int) -> float:
+        return 1.0
 
     def weights(self, keys: np.ndarray, y: np.ndarray, margin: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
         n = poisson_counts(uniform(keys, number, self.seed)) * float(SCALE)
@@ -133,69 +187,86 @@ class Bagging:
         return float(g / h) if h else 0.0
 
 
-Loss = Boosting | Bagging
+Loss = Boosting | Residuals | Bagging
 #: Open nodes of a growing tree and the features each may split.
 Open = dict[int, np.ndarray]
 
 
+PIECES = "h binary, y binary, margin binary, bins binary"
+
+
+def _piece(keys: np.ndarray, y: np.ndarray, margin: np.ndarray, bins: np.ndarray) -> pa.RecordBatch:
+    parts = [pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in (keys, y, margin, bins)]
+    return pa.RecordBatch.from_arrays(parts, names=["h", "y", "margin", "bins"])
+
+
 def _binned(edges: list[np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            bins = np.empty((n, len(edges)), dtype=np.uint8)
-            for k, e in enumerate(edges):
-                bins[:, k] = np.searchsorted(e, np.asarray(batch.column(f"f{k}")), side="left")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("h"), batch.column("y"), pa.array(np.zeros(n)), pa.array([r.tobytes() for r in bins], pa.binary())],
-                names=["h", "y", "margin", "bins"],
-            )
+        for whole in batches:
+            for first in range(0, whole.num_rows, PIECE):
+                batch = whole.slice(first, PIECE)
+                bins = np.empty((len(edges), batch.num_rows), dtype=np.uint8)
+                for k, e in enumerate(edges):
+                    bins[k] = np.searchsorted(e, np.asarray(batch.column(f"f{k}")), side="left")
+                yield _piece(np.asarray(batch.column("h")), np.asarray(batch.column("y")), np.zeros(batch.num_rows), bins)
 
     return run
 
 
-def _arrays(batch: pa.RecordBatch, later: Sequence[Growing]) -> tuple[np.ndarray, ...]:
-    """Key hashes, labels, margins after the ``later`` trees, and bins of a batch."""
-    n = batch.num_rows
-    column = batch.column("bins")
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + n + 1]
-    bins = np.frombuffer(column.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].reshape(n, -1)
-    margin = np.array(batch.column("margin"))
-    for tree in later:
-        margin += np.array(tree.value)[tree.leaves(bins)]
-    return np.asarray(batch.column("h")), np.asarray(batch.column("y")), margin, bins
+def _pieces(batches: Iterator[pa.RecordBatch], later: Sequence[Growing]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Key hashes, labels, margins after the ``later`` trees, and bins of each piece."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            keys, y, margin, bins = (batch.column(c)[k].as_buffer() for c in ("h", "y", "margin", "bins"))
+            keys, y = np.frombuffer(keys, dtype=np.int64), np.frombuffer(y)
+            margin, bins = np.frombuffer(margin).copy(), np.frombuffer(bins, dtype=np.uint8).reshape(-1, len(y))
+            for tree in later:
+                margin += tree.weight * np.array(tree.value)[tree.leaves(bins)]
+            yield keys, y, margin, bins
+
+
+def _sums(loss: Loss, weights: list[np.ndarray], node: np.ndarray, counted: Open, nodes: int, bins: np.ndarray) -> np.ndarray:
+    """Sums by (node, tried feature, bin) of the nodes ``counted``, from the rows of a piece."""
+    width = len(next(iter(counted.values())))
+    places = np.full(nodes, -1)
+    places[list(counted)] = np.arange(len(counted))
+    mine = np.flatnonzero((places[node] >= 0) & (weights[-1] != 0))
+    place, weights = places[node[mine]], [w[mine] for w in weights]
+    size = len(counted) * BINS
+    same = {tuple(features) for features in counted.values()}
+    if len(same) == 1:
+        found = np.empty((len(weights), width, size))
+        first = place * BINS
+        for j, f in enumerate(next(iter(same))):
+            cell = first + bins[f][mine]
+            for k, w in enumerate(weights):
+                found[k, j] = np.bincount(cell, weights=w, minlength=size)
+        found = found.reshape(len(weights), width, -1, BINS).swapaxes(1, 2)
+    else:
+        tried = np.array(list(counted.values()))[place]
+        cell = ((place[:, None] * width + np.arange(width)) * BINS + bins[tried, mine[:, None]]).ravel()
+        found = np.array([np.bincount(cell, weights=np.repeat(w, width), minlength=size * width) for w in weights])
+        found = found.reshape(len(weights), -1, width, BINS)
+    if loss.unit is None:
+        return found.astype(np.int64)
+    n = np.rint(found[0] / PACK)
+    return np.array([(found[0] - n * PACK) * loss.unit, n * SCALE]).astype(np.int64)
 
 
 def _cells(loss: Loss, later: Sequence[Growing], growing: Sequence[tuple[Growing, Open]], width: int):
     """Sums of a task's gradients and curvatures by cell; cells of a node are ``width`` features of ``BINS`` bins."""
-    slots = [(tree, opened, np.full(len(tree.at), -1)) for tree, opened in growing]
-    first = 0
-    for _, opened, places in slots:
-        places[list(opened)] = np.arange(first, first + len(opened))
-        first += len(opened)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, first * width * BINS), dtype=np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys, y, margin, bins = _arrays(batch, later)
-            for tree, opened, places in slots:
-                if not opened:
-                    continue
-                g, h = loss.weights(keys, y, margin, tree.number)
-                node = tree.leaves(bins)
-                mine = np.flatnonzero((places[node] >= 0) & (h > 0))
-                tried = np.zeros((len(tree.at), width), dtype=np.int64)
-                for k, features in opened.items():
-                    tried[k] = features
-                node = node[mine]
-                cell = (places[node][:, None] * width + np.arange(width)) * BINS + bins[mine[:, None], tried[node]]
-                for k, weight in enumerate((g, h)):
-                    # a batch's sums stay far below 2 ** 53, so they are exact as doubles
-                    found = np.bincount(cell.ravel(), weights=np.repeat(weight[mine], width), minlength=sums.shape[1])
-                    sums[k] += found.astype(np.int64)
-        used = np.flatnonzero(sums[1])
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[0][used]), pa.array(sums[1][used])], names=["cell", "g", "h"])
+        sums = [np.zeros((2, len(counted), width, BINS), dtype=np.int64) for _, counted in growing]
+        for keys, y, margin, bins in _pieces(batches, later):
+            for (tree, counted), total in zip(growing, sums):
+                if counted:
+                    g, h = loss.weights(keys, y, margin, tree.number)
+                    weights = [g, h] if loss.unit is None else [h / SCALE * PACK + g / loss.unit]
+                    total += _sums(loss, weights, tree.leaves(bins), counted, len(tree.at), bins)
+        both = np.concatenate(sums, axis=1).reshape(2, -1)
+        used = np.flatnonzero(both[1])
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(both[0][used]), pa.array(both[1][used])], names=["cell", "g", "h"])
 
     return run
 
@@ -214,57 +285,115 @@ def _best(loss: Loss, g: np.ndarray, h: np.ndarray) -> tuple[int, int, np.ndarra
     return int(k), int(cut), np.array([left_g[k, cut], right_g[k, cut]]), np.array([left_h[k, cut], right_h[k, cut]])
 
 
-def _grow(table: DataFrame, loss: Loss, later: Sequence[Growing], numbers: Sequence[int], depth: int, width: int, tried) -> list[Growing]:
-    """Trees grown side by side, one pass over the rows a level; ``tried(tree, node)`` are the features a node may split."""
-    trees = [Growing(k) for k in numbers]
+def _split(loss: Loss, tree: Growing, node: int, features: np.ndarray, sums: np.ndarray) -> tuple[int, ...]:
+    """Split a node by the sums of its cells; its children, or none."""
+    g, h = sums
+    if node == 0:
+        tree.sums[0] = (float(g[0].sum()), float(h[0].sum()))
+        tree.value[0] = loss.leaf(*tree.sums[0])
+    found = _best(loss, g, h)
+    if found is None:
+        return ()
+    place, cut, both_g, both_h = found
+    values = tuple(loss.leaf(a, b) for a, b in zip(both_g, both_h))
+    return tree.split(node, int(features[place]), cut, values, list(zip(both_g, both_h)))
+
+
+def _grow(table: DataFrame, loss: Loss, later: Sequence[Growing], numbers: Sequence[int], depth: int, tried, many: bool) -> list[Growing]:
+    """Trees grown side by side, one pass over the rows a level; ``tried(tree, node)`` are the features a node may split.
+
+    With ``many`` tasks their cells meet in an aggregation before the driver sees them.
+    """
+    trees = [Growing(k, weight=loss.step(k)) for k in numbers]
     opened: list[Open] = [{0: tried(tree.number, 0)} for tree in trees]
+    width = len(opened[0][0])
+    rest: list[dict[int, tuple[int, int]]] = [{} for _ in trees]  # node -> (parent, counted sibling)
+    known: list[dict[int, np.ndarray]] = [{} for _ in trees]
     for _ in range(depth):
-        nodes = sum(map(len, opened))
+        counted = [{k: f for k, f in mine.items() if k not in others} for mine, others in zip(opened, rest)]
+        nodes = sum(map(len, counted))
         if not nodes:
             break
-        cells = table.mapInArrow(_cells(loss, later, list(zip(trees, opened)), width), "cell long, g long, h long")
-        summed = cells.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
-        sums = np.zeros((2, nodes * width * BINS))
+        cells = table.mapInArrow(_cells(loss, later, list(zip(trees, counted)), width), "cell long, g long, h long")
+        if many:
+            cells = cells.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+        found = cells.toArrow()
+        sums = np.zeros((2, nodes * width * BINS), dtype=np.int64)
         for k, name in enumerate("gh"):
-            sums[k][np.asarray(summed.column("cell"))] = np.asarray(summed.column(name)) / SCALE
+            np.add.at(sums[k], np.asarray(found.column("cell")), np.asarray(found.column(name)))
         sums = sums.reshape(2, nodes, width, BINS)
-        at, coming = 0, []
-        for tree, mine in zip(trees, opened):
+        at = 0
+        for t, tree in enumerate(trees):
+            cells_of = {k: sums[:, at + place] for place, k in enumerate(counted[t])}
+            at += len(counted[t])
+            cells_of |= {k: known[t][parent] - cells_of[sibling] for k, (parent, sibling) in rest[t].items()}
             children: Open = {}
-            for node, features in mine.items():
-                g, h = sums[:, at]
-                at += 1
-                if node == 0:
-                    tree.value[0] = loss.leaf(g[0].sum(), h[0].sum())
-                found = _best(loss, g, h)
-                if found:
-                    place, cut, both_g, both_h = found
-                    values = tuple(loss.leaf(a, b) for a, b in zip(both_g, both_h))
-                    for child in tree.split(node, int(features[place]), cut, values):
-                        children[child] = tried(tree.number, child)
-            coming.append(children)
-        opened = coming
+            rest[t], known[t] = {}, cells_of
+            for node, features in opened[t].items():
+                both = _split(loss, tree, node, features, cells_of[node] / SCALE)
+                for child in both:
+                    children[child] = tried(tree.number, child)
+                if both and all(np.array_equal(children[child], features) for child in both):
+                    less, more = sorted(both, key=lambda k: tree.sums[k][1])
+                    rest[t][more] = (node, less)
+            opened[t] = children
     return trees
 
 
-def _table(df: DataFrame, features: Sequence[str], label: str, key: str) -> tuple[DataFrame, list[np.ndarray]]:
+def _grown(
+    table: DataFrame, loss: Loss, start: Sequence[Growing], trees: int, at_once: int, depth: int, tried, adds_up: bool
+) -> list[Growing]:
+    """All trees of a fit; with ``adds_up`` each works on the margins the earlier ones leave."""
+    grown, later, path = [], list(start), None
+    many = table.rdd.getNumPartitions() > TASKS
+    for first in range(0, trees, at_once):
+        some = _grow(table, loss, later, range(first, min(trees, first + at_once)), depth, tried, many)
+        grown += some
+        if adds_up:
+            later += some
+            if len(later) > MARGINS_EVERY and first + at_once < trees:
+                before = path
+                table, path = stage_at(table.mapInArrow(_with_margins(later), PIECES), "margins")
+                later = []
+                if before:
+                    drop_table(table.sparkSession, before)
+    return grown
+
+
+def _table(df: DataFrame, features: Sequence[str], label: str, key: str | Sequence[str]) -> tuple[DataFrame, list[np.ndarray]]:
     """The rows as (key hash, label, margin, bins), written once, and the cuts of each feature."""
+    key = [key] if isinstance(key, str) else key
     values = [F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"f{k}") for k, c in enumerate(features)]
-    plain = df.select(F.xxhash64(key).alias("h"), F.col(label).cast("double").alias("y"), *values).na.drop()
+    plain = df.select(F.xxhash64(*key).alias("h"), F.col(label).cast("double").alias("y"), *values).na.drop()
     places = [k / BINS for k in range(1, BINS)]
     found = exact_quantiles(plain, {f"f{k}": places for k in range(len(features))})
     edges = [np.unique([e for e in found[f"f{k}"] if e is not None]) for k in range(len(features))]
-    binned = stage(plain.mapInArrow(_binned(edges), "h long, y double, margin double, bins binary"), "binned")
-    return binned.coalesce(max(1, binned.count() // ROWS_A_TASK)), edges
+    return _dealt(stage(plain.mapInArrow(_binned(edges), PIECES), "binned")), edges
+
+
+def _counted(table: DataFrame) -> tuple[int, int]:
+    """Rows and rows with label 1 of a binned table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(len(y), int(y.sum())) for _, y, _, _ in _pieces(batches, [])]
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["n", "bad"])
+
+    n, bad = table.select("h", "y", "margin", "bins").mapInArrow(run, "n long, bad long").agg(F.sum("n"), F.sum("bad")).first()
+    return n or 0, bad or 0
+
+
+def _dealt(table: DataFrame) -> DataFrame:
+    """The pieces in a task per core, with bounds on a task's rows."""
+    n, _ = _counted(table)
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(n // ROWS_A_TASK, cores), -(-n // MOST_A_TASK))
+    return stage(table.repartition(parts), "dealt")
 
 
 def _with_margins(later: Sequence[Growing]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("h"), batch.column("y"), pa.array(_arrays(batch, later)[2]), batch.column("bins")], names=["h", "y", "margin", "bins"]
-                )
+        for piece in _pieces(batches, later):
+            yield _piece(*piece)
 
     return run
 
@@ -302,20 +431,17 @@ def fit_boosted_trees(
     ``rows`` and ``columns`` are the parts sampled for each tree, ``least`` the least curvature of a child.
     """
     table, edges = _table(df, features, label, key)
-    n, bad = table.agg(F.count(F.lit(1)), F.sum("y")).first()
+    n, bad = _counted(table)
     start = Growing(-1)
     start.value[0] = log(bad / (n - bad)) if n and 0 < bad < n else 0.0 if not n else (-16.0, 16.0)[bad > 0]
     grown = [start]
     if n and 0 < bad < n:
         width = ceil(columns * len(features))
-        loss, later = Boosting(rate, rows, alpha, lam, least, seed), [start]
-        for number in range(trees):
-            chosen = np.sort(np.random.default_rng([seed, number]).permutation(len(features))[:width])
-            tree = _grow(table, loss, later, [number], depth, width, lambda *_: chosen)[0]
-            grown.append(tree)
-            later.append(tree)
-            if len(later) > MARGINS_EVERY and number + 1 < trees:
-                table, later = stage(table.mapInArrow(_with_margins(later), table.schema), "margins"), []
+
+        def tried(number: int, _: int) -> np.ndarray:
+            return np.sort(np.random.default_rng([seed, number]).permutation(len(features))[:width])
+
+        grown += _grown(table, Boosting(rate, rows, alpha, lam, least, seed), [start], trees, 1, depth, tried, True)
     return _as_trees(grown, edges, features, 0.5, True)
 
 
@@ -336,8 +462,17 @@ def fit_bagged_trees(
     def tried(number: int, node: int) -> np.ndarray:
         return np.sort(np.random.default_rng([seed, number, node]).permutation(len(features))[:width])
 
-    grown: list[Growing] = []
-    for first in range(0, trees, TREES_AT_ONCE):
-        numbers = range(first, min(trees, first + TREES_AT_ONCE))
-        grown += _grow(table, Bagging(float(min_leaf), seed), [], numbers, depth, width, tried)
+    grown = _grown(table, Bagging(float(min_leaf), seed), [], trees, TREES_AT_ONCE, depth, tried, False)
     return _as_trees(grown, edges, features, 1 / max(1, trees), False)
+
+
+def fit_residual_trees(
+    df: DataFrame, features: Sequence[str], label: str, key: str | Sequence[str], trees: int, depth: int, rate: float, rows: float, seed: int
+) -> tuple[list[Growing], list[np.ndarray]]:
+    """Trees on :class:`Residuals` over bins, and the cuts of each feature; a missing feature or label is an error."""
+    table, edges = _table(df, features, label, key)
+    n, _ = _counted(table)
+    if n == 0 or n < df.count():
+        raise ValueError("boosting needs rows, each with all features and a label")
+    every = np.arange(len(features))
+    return _grown(table, Residuals(rate, rows, 1.0, seed), [], trees, 1, depth, lambda *_: every, True), edges

@@ -76,10 +76,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     only the columns they need, and losing executors cannot bring back the
     lineage behind the table.
     """
+    return stage_at(df, label)[0]
+
+
+def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As :func:`stage`, with the path, for :func:`drop_table`."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     _staged.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete one staged table that nothing reads any more."""
+    _staged[spark.sparkContext.applicationId].remove(path)
+    _delete(spark, [path])
 
 
 def drop_staged(spark: SparkSession) -> int:
@@ -89,11 +100,15 @@ def drop_staged(spark: SparkSession) -> int:
     are still to be computed from staged tables fail afterwards.
     """
     paths = _staged.pop(spark.sparkContext.applicationId, [])
+    _delete(spark, paths)
+    return len(paths)
+
+
+def _delete(spark: SparkSession, paths: Sequence[str]) -> None:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for path in paths:
         place = jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(conf).delete(place, True)
-    return len(paths)
 
 
 def finish(spark: SparkSession) -> None:

@@ -118,3 +118,14 @@ def test_edge_tables(spark, rows):
             assert isinstance(fitted, Trees) and all(at == -1 for at in fitted.at)
     holes = spark.createDataFrame([(900, None, 1.0, 1.0, 1.0, 1), (901, float("nan"), 1.0, 1.0, 1.0, 0), (902, 1.0, 1.0, 1.0, 1.0, None)], SCHEMA)
     assert ht.fit_boosted_trees(rows.unionByName(holes), NAMES, trees=2, depth=2) == ht.fit_boosted_trees(rows, NAMES, trees=2, depth=2)
+
+
+def test_tasks_follow_the_cores_not_the_rows(spark, rows, monkeypatch):
+    seen, grow = [], ht._grow
+    monkeypatch.setattr(ht, "ROWS_A_TASK", 10)
+    monkeypatch.setattr(ht, "_grow", lambda table, *more: (seen.append(table.rdd.getNumPartitions()), grow(table, *more))[1])
+    spread = ht.fit_boosted_trees(rows.repartition(32, "a"), NAMES, trees=2, depth=3)
+    assert max(seen) <= spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(ht, "ROWS_A_TASK", 20_000)
+    monkeypatch.setattr(ht, "TASKS", 0)  # cells meet in an aggregation
+    assert ht.fit_boosted_trees(rows, NAMES, trees=2, depth=3) == spread
