@@ -1,10 +1,11 @@
 """Exact tree attributions for forests and boosted trees.
 
 A leaf depends on a row only through which of its path's features satisfy all
-their tests. For every such pattern that occurs in a batch the attributions come
-from one polynomial per feature, whose coefficients group the feature subsets by
-size; no table over all patterns is built, so any depth works. The driver only
-reads the fitted trees.
+their tests. For every such pattern the attributions come from one polynomial per
+feature, whose coefficients group the feature subsets by size. Where a path has fewer
+patterns than the batch has rows, all of them are worked out and rows look theirs up;
+longer paths take only the patterns that occur, so any depth works. The driver
+only reads the fitted trees.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 
 from scorespark.session import scratch_path
 
+#: Features of a path up to which the attributions of all patterns are listed.
+TABLE = 8
+
 
 @dataclass(frozen=True)
 class Leaf:
@@ -103,6 +107,12 @@ def attributions(values: np.ndarray, leaves: Sequence[Leaf]) -> np.ndarray:
             continue
         x = values[:, leaf.features]
         holds = (x > leaf.low) & (x <= leaf.high)
+        m = len(leaf.features)
+        if m <= TABLE and 2**m <= len(values):
+            every = (np.arange(2**m)[:, None] >> np.arange(m)) & 1
+            found = pattern_attributions(every.astype(float), leaf.cover, leaf.value)
+            out[:, leaf.features] += found[holds @ (1 << np.arange(m))]
+            continue
         code = np.packbits(holds, axis=1).astype(np.int64)
         key = code @ (256 ** np.arange(code.shape[1]))
         _, first, which = np.unique(key, return_index=True, return_inverse=True)

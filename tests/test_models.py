@@ -235,3 +235,14 @@ def test_large_forests_are_prepared_quickly(spark, data):
     started = time.time()
     leaves, _ = explain_leaves(spark, model)
     assert len(leaves) > 500 and time.time() - started < 20
+
+
+def test_listed_patterns_are_those_that_occur(monkeypatch):
+    from scorespark.models import tree_shap as ts
+
+    rng = np.random.default_rng(5)
+    leaves = [ts.Leaf(np.arange(m), np.full(m, -0.5), np.full(m, 0.7), rng.uniform(0.1, 0.9, m), 0.3) for m in range(1, 7)]
+    values = rng.normal(size=(500, 6))
+    listed = ts.attributions(values, leaves)
+    monkeypatch.setattr(ts, "TABLE", 0)
+    np.testing.assert_allclose(listed, ts.attributions(values, leaves), atol=1e-14)
