@@ -176,3 +176,59 @@ def test_sketches_stay_small_and_within_their_error(spark):
         assert abs(rank - p) <= 2 * runs.SKETCH_ERROR
     merged = runs.sketch_quantiles(runs.merged_sketches(sketches.unionByName(sketches), F.lit("all"))).first()
     assert merged.n == 2 * row.n and abs(sum(v <= merged.p50 for v in values) / len(values) - 0.5) <= 2 * runs.SKETCH_ERROR
+
+
+def test_a_shard_of_applicants_takes_few_state_calls():
+    from scorespark.streaming.matching import DAY_MICROS, OutcomeMatcher
+
+    calls = []
+
+    class State:
+        def __init__(self):
+            self.held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, value):
+            calls.append("update")
+            self.held = value
+
+        def appendValue(self, value):
+            calls.append("append")
+            self.held = [*(self.held or []), value]
+
+        put = update
+
+        def clear(self):
+            self.held = None
+
+    class Handle:
+        def getListState(self, *_):
+            return State()
+
+        getValueState = getListState
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    class Times:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):
+            return self.ms
+
+    matcher = OutcomeMatcher(10 * DAY_MICROS, 1, ["who", "n", "at", "bad"])
+    matcher.init(Handle())
+    requests = [{"key": k, "at_micros": k, "later": False, "asked0": -k, "bad": None} for k in range(5000)]
+    outcomes = [{"key": k, "at_micros": 2 * DAY_MICROS + k, "later": True, "bad": k % 2} for k in range(0, 5000, 2)]
+    list(matcher.handleInputRows((7,), iter(requests + outcomes), Times(0)))
+    found = list(matcher.handleExpiredTimer((7,), Times(3 * 86_400_000), None))
+    assert sorted(map(tuple, found)) == [(k, -k, 2 * DAY_MICROS + k, 0) for k in range(0, 5000, 2)]
+    assert len(list(matcher.handleExpiredTimer((7,), Times(20 * 86_400_000), None))) == 0 and matcher.pieces.held is None
+    assert len(calls) < 40
