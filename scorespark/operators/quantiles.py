@@ -1,84 +1,77 @@
 """Exact linear-interpolation quantiles without a per-column value map in one task.
 
 Spark's ``percentile`` keeps every distinct value of a group in one reducer.
-Here one pass sketches where each wanted order statistic lies, and a second pass
-counts the rows at and between the sketched values. The counts prove where the
-order statistic is; values in a short stretch are counted one by one. A stretch
-that is still too long is sketched again, each time shrinking by a factor of
-thousands. Columns with few distinct values are answered from their value
-counts. The sketch only proposes where to look, so the result is exact for any
-data, and what reaches the driver is bounded by ``limit`` values.
+Here doubles become whole numbers of the same order, and each pass counts the rows in
+cells of the stretches where wanted order statistics lie, with the least and the greatest
+value of each cell. A cell with one value answers its ranks; any other one that holds a
+wanted rank is the next pass's stretch, between its least and greatest value. Every pass
+reads all rows of the columns that are still open, so the result is exact for any data;
+a stretch shrinks by the number of its cells each time, and what reaches the driver is
+bounded by about ``limit`` cells a pass.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorespark.functions.intervals import double_literal, place_text, quoted
 from scorespark.operators.running import running_totals
 
-ACCURACY = 10_000
-FEW_VALUES = 2_000
 LIMIT = 100_000
-#: Columns whose places are worked out by one piece of generated code.
-COLUMNS_AT_A_TIME = 6
-
-
-@dataclass
-class _Search:
-    """One column: the ranks still wanted, sorted edges, and the stretches to list.
-
-    Stretch ``i`` lies strictly between edges ``i - 1`` and ``i``. Rows in a listed
-    stretch are counted per value, others only as a whole.
-    """
-
-    ranks: list[int]
-    edges: list[float]
-    listed: set[int] = field(default_factory=set)
+#: Cells a task holds before equal ones are added up.
+HELD = 1 << 20
+_SIGN = np.uint64(1 << 63)
+_CELLS = "c int, s int, cell long, n long, low long, high long"
 
 
 def exact_quantiles(
     df: DataFrame,
     probabilities: Mapping[str, Sequence[float]],
-    accuracy: int = ACCURACY,
-    limit: int = LIMIT,
-    few_values: int = FEW_VALUES,
+    accuracy: int | None = None,
+    limit: float = LIMIT,
+    few_values: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Quantiles of several columns at once, NULLs ignored; an empty column gives None.
 
-    ``df`` is scanned twice, or a few times more if it is very large, so stage it
-    first if it is costly.
+    ``df`` is scanned a few times, from the second time on only the columns that are
+    still open, so stage it first if it is costly. ``accuracy`` and ``few_values`` belonged to
+    an earlier search by sketches; they are still taken and change nothing.
     """
     columns = [c for c in probabilities if probabilities[c]]
     df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    found = _sketch(df, {c: probabilities[c] for c in columns}, accuracy)
-    wanted: dict[str, dict[float, tuple[int, int, float]]] = {c: {} for c in columns}
-    searches = {}
-    for c in columns:
-        rows, distinct, brackets = found[c]
-        for p in probabilities[c] if rows else ():
-            position = p * (rows - 1)
-            k = math.floor(position)
-            wanted[c][p] = (k, k + 1 if position > k else k, position - k)
-        ranks = sorted({r for k, last, _ in wanted[c].values() for r in (k, last)})
-        if not ranks:
-            continue
-        if distinct <= few_values:
-            searches[c] = _Search(ranks, [], {0})
-        else:
-            searches[c] = _search(ranks, brackets, rows, accuracy, limit / len(columns))
+    wanted: dict[str, dict[float, tuple[int, int, float]]] = {}
+    values: dict[tuple[str, int], float] = {}
+    stretches = {c: [(-(1 << 63), (1 << 63) - 1, 0)] for c in columns}
+    ranks: dict[str, list[int]] = {}
+    while stretches:
+        narrower: dict[str, list] = {}
+        for c, cells in _count(df, stretches, limit).items():
+            if c not in wanted:
+                rows = sum(n for _, n, _, _ in cells)
+                wanted[c] = _wanted(probabilities[c], rows)
+                ranks[c] = sorted({r for k, last, _ in wanted[c].values() for r in (k, last)})
+            seen, current = 0, None
+            for s, n, low, high in cells:
+                if s != current:
+                    seen, current = stretches[c][s][2], s
+                hit = [r for r in ranks[c] if seen <= r < seen + n and (c, r) not in values]
+                if hit and low == high:
+                    values.update({(c, r): _value(low) for r in hit})
+                elif hit:
+                    narrower.setdefault(c, []).append((low, high, seen))
+                seen += n
+        stretches = narrower
 
-    values = _find(df, searches, accuracy, limit)
     result: dict[str, list[float | None]] = {}
     for c in probabilities:
         result[c] = []
         for p in probabilities[c]:
-            if p not in wanted[c]:
+            if p not in wanted.get(c, ()):
                 result[c].append(None)
                 continue
             k, last, share = wanted[c][p]
@@ -87,146 +80,88 @@ def exact_quantiles(
     return result
 
 
+def _wanted(probabilities: Sequence[float], rows: int) -> dict[float, tuple[int, int, float]]:
+    """Per probability the ranks next to its place, and how far it is between them."""
+    found = {}
+    for p in probabilities if rows else ():
+        position = p * (rows - 1)
+        k = math.floor(position)
+        found[p] = (k, k + 1 if position > k else k, position - k)
+    return found
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str], **options) -> dict[str, float | None]:
     found = exact_quantiles(df, {c: [0.5] for c in columns}, **options) if columns else {}
     return {c: v[0] for c, v in found.items()}
 
 
-def _shares(shares, accuracy):
-    """A SQL array of the wanted shares, each widened a little to both sides."""
-    margin = 2.0 / accuracy
-    wide = [x for p in shares for x in (max(0.0, p - margin), min(1.0, p + margin))]
-    return "array(" + ", ".join(double_literal(x) for x in wide) + ")"
-
+def _value(code: int) -> float:
+    """The double of an ordered code."""
+    bits = np.int64(code)
+    return float((bits ^ ((bits >> np.int64(63)) & np.int64((1 << 63) - 1))).view(np.float64))
 
-def _sketch(df, probabilities, accuracy):
-    """Per column: rows, about how many distinct values, and a bracket per quantile.
-
-    The brackets at both ends reach to the extremes.
-    """
-    aggregates = []
-    for c, ps in probabilities.items():
-        name = quoted(c)
-        aggregates += [
-            f"count({name})",
-            f"approx_count_distinct({name})",
-            f"min({name})",
-            f"max({name})",
-            f"percentile_approx({name}, {_shares(ps, accuracy)}, {accuracy})",
-        ]
-    row = df.agg(*[F.expr(a) for a in aggregates]).first()
-    found = {}
-    for i, c in enumerate(probabilities):
-        rows, distinct, low, high, marks = row[5 * i : 5 * i + 5]
-        brackets = list(zip(marks[::2], marks[1::2])) if rows else []
-        found[c] = (rows, distinct, [(low, low), *brackets, (high, high)])
-    return found
-
-
-def _search(ranks, brackets, rows, accuracy, limit):
-    """Edges at the bracket ends; a bracket is listed if it must be short (a sketch is
-    off by at most 1 / accuracy of the rows, so a bracket spans at most 6 / accuracy)."""
-    edges = sorted({v for b in brackets for v in b})
-    listed = set()
-    if 6 * rows / accuracy * len(ranks) <= limit:
-        listed = {
-            i
-            for i in range(1, len(edges))
-            if any(low <= edges[i - 1] and edges[i] <= high for low, high in brackets)
-        }
-    return _Search(ranks, edges, listed)
 
+def _codes(values: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of the doubles; zeros are one value, NaN is one and the greatest."""
+    bits = np.where(np.isnan(values), np.nan, values + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64((1 << 63) - 1))
 
-def _find(df, searches, accuracy, limit):
-    """Value of every wanted ``(column, rank)``."""
-    values: dict[tuple[str, int], float] = {}
-    while searches:
-        counted = _count(df, searches)
-        stretches = []
-        for c, search in searches.items():
-            seen = 0
-            for place, value, rows in counted[c]:
-                hit = [r for r in search.ranks if seen <= r < seen + rows]
-                if hit and place % 2 == 0 and value is None:
-                    i = place // 2
-                    stretches.append((c, search.edges[i - 1], search.edges[i], seen, rows, hit))
-                elif hit:
-                    at = search.edges[place // 2] if place % 2 else value
-                    values.update({(c, r): at for r in hit})
-                seen += rows
-        searches = _narrow(df, stretches, accuracy, limit)
-    return values
 
+def _added(parts: list[np.ndarray]) -> np.ndarray:
+    """Lines (column, stretch, cell, rows, least, greatest) with equal cells added up."""
+    lines = np.concatenate(parts, axis=1)
+    lines = lines[:, np.lexsort((lines[2], lines[1], lines[0]))]
+    first = np.flatnonzero(np.r_[True, np.any(lines[:3, 1:] != lines[:3, :-1], axis=0)][: lines.shape[1]])
+    if not len(first):
+        return lines
+    return np.stack(
+        [*lines[:3, first], np.add.reduceat(lines[3], first), np.minimum.reduceat(lines[4], first), np.maximum.reduceat(lines[5], first)]
+    )
 
-def _count(df, searches):
-    """Rows at and between the edges of all columns, in one pass, in ascending order.
 
-    Each row of a column becomes its place among the edges, with the value itself in
-    a listed stretch; these are counted before the shuffle. A few columns at a time
-    make a branch of the plan with its own scan of just these columns, so generated
-    code does not grow with the width of the table.
-    """
-    spots = []
-    for n, (c, search) in enumerate(searches.items()):
-        spot = f"named_struct('c', {n}, 'p', {{p}}, 'v', {{v}})"
-        spots.append(
-            place_text(
-                c,
-                search.edges,
-                lambda p, c=c, s=search, spot=spot: spot.format(
-                    p=p,
-                    v=quoted(c) if p % 2 == 0 and p // 2 in s.listed else "CAST(NULL AS DOUBLE)",
-                ),
-            )
-        )
-    long = None
-    for first in range(0, len(spots), COLUMNS_AT_A_TIME):
-        some = ", ".join(spots[first : first + COLUMNS_AT_A_TIME])
-        part = df.selectExpr(f"inline(array({some}))").where("c IS NOT NULL").groupBy("c", "p", "v").count()
-        long = part if long is None else long.unionAll(part)
-    rows = long.collect()
-    names = list(searches)
+def _cells(plan: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+    """Counts of a task's rows by cell; ``plan`` has starts, ends and widths (as shifts) of each column's stretches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [np.zeros((6, 0), dtype=np.int64)], 0
+        for batch in batches:
+            for c, (lows, highs, shifts) in enumerate(plan):
+                codes = np.sort(_codes(np.asarray(batch.column(c).drop_null(), dtype=float)))
+                at = np.searchsorted(lows, codes, side="right") - 1
+                inside = (at >= 0) & (codes <= highs[at])
+                codes, at = codes[inside], at[inside]
+                if not len(codes):
+                    continue
+                cell = ((codes.view(np.uint64) ^ _SIGN) - (lows[at].view(np.uint64) ^ _SIGN)) >> shifts[at]
+                first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (cell[1:] != cell[:-1])])
+                last = np.r_[first[1:], len(codes)]
+                parts.append(np.stack([np.full(len(first), c), at[first], cell[first].astype(np.int64), last - first, codes[first], codes[last - 1]]))
+                held += len(first)
+            if held > HELD:
+                parts = [_added(parts)]
+                held = 0
+        lines = _added(parts)
+        arrays = [pa.array(x.astype(np.int32) if k < 2 else x) for k, x in enumerate(lines)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["c", "s", "cell", "n", "low", "high"])
+
+    return run
+
+
+def _count(df: DataFrame, stretches: Mapping[str, list], limit: float) -> dict[str, list[tuple[int, int, int, int]]]:
+    """Per open column (stretch, rows, least, greatest) of its cells, in ascending order."""
+    room = max(2, int(limit // sum(map(len, stretches.values()))))
+    plan = []
+    for open_ in stretches.values():
+        shifts = [max(0, (high - low).bit_length() - (room.bit_length() - 1)) for low, high, _ in open_]
+        lows, highs = ([s[k] for s in open_] for k in (0, 1))
+        plan.append((np.array(lows, dtype=np.int64), np.array(highs, dtype=np.int64), np.array(shifts, dtype=np.uint64)))
+    cells = df.select(*[F.col(c) for c in stretches]).mapInArrow(_cells(plan), _CELLS)
+    added = cells.groupBy("c", "s", "cell").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    names = list(stretches)
     counted: dict[str, list] = {c: [] for c in names}
-    for r in rows:
-        counted[names[r["c"]]].append((r["p"], r["v"], r["count"]))
-    return {c: sorted(found, key=lambda t: (t[0], t[1] or 0.0)) for c, found in counted.items()}
-
-
-def _narrow(df, stretches, accuracy, limit):
-    """Next searches: stretches that are short by count are listed, others sketched again."""
-    if not stretches:
-        return {}
-    room = limit / len(stretches)
-    brackets: dict[str, list] = {}
-    listed: dict[str, set] = {}
-    ranks: dict[str, list] = {}
-    long = []
-    for s in stretches:
-        c, low, high, _, rows, hit = s
-        ranks.setdefault(c, []).extend(hit)
-        brackets.setdefault(c, []).extend([(low, low), (high, high)])
-        if rows <= room:
-            listed.setdefault(c, set()).add((low, high))
-        else:
-            long.append(s)
-    if long:
-        aggregates = []
-        for c, low, high, before, rows, hit in long:
-            name = quoted(c)
-            inside = f"CASE WHEN {name} > {double_literal(low)} AND {name} < {double_literal(high)} THEN {name} END"
-            shares = _shares([(r - before + 1) / rows for r in hit], accuracy)
-            aggregates.append(F.expr(f"percentile_approx({inside}, {shares}, {accuracy})"))
-        marks = df.agg(*aggregates).first()
-        for (c, *_rest), found in zip(long, marks):
-            brackets[c] += list(zip(found[::2], found[1::2]))
-    searches = {}
-    for c, pairs in brackets.items():
-        edges = sorted({v for b in pairs for v in b})
-        short = {
-            i for i in range(1, len(edges)) if (edges[i - 1], edges[i]) in listed.get(c, set())
-        }
-        searches[c] = _Search(sorted(ranks[c]), edges, short)
-    return searches
+    for r in added.collect():
+        counted[names[r["c"]]].append((r["s"], r["n"], r["low"], r["high"]))
+    return {c: sorted(found, key=lambda t: t[2]) for c, found in counted.items()}
 
 
 def grouped_quantiles(

@@ -508,3 +508,22 @@ def test_staged_tables_can_be_dropped(spark):
     assert table.count() == 5
     assert drop_staged(spark) >= 1
     assert not os.path.exists(path.removeprefix("file://")) and drop_staged(spark) == 0
+
+
+def test_quantiles_take_few_passes_and_read_only_open_columns(spark, monkeypatch):
+    from scorespark.operators import quantiles
+
+    passes, count = [], quantiles._count
+    monkeypatch.setattr(quantiles, "_count", lambda df, open_, limit: passes.append(set(open_)) or count(df, open_, limit))
+    df = spark.range(60_000).select(
+        F.exp(F.col("id") / 100).alias("wide"),
+        F.pmod("id", F.lit(3)).cast("double").alias("few"),
+        F.when(F.pmod("id", F.lit(4)) == 0, F.lit(-0.0)).when(F.col("id") < 7, float("nan")).alias("odd"),
+        F.lit(None).cast("double").alias("none"),
+    )
+    found = exact_quantiles(df, {c: [0.0, 0.5, 1.0] for c in df.columns}, limit=4000)
+    exact = sorted(r[0] for r in df.select("wide").collect())
+    assert found["wide"] == [exact[0], exact[29_999] + (exact[30_000] - exact[29_999]) * 0.5, exact[-1]]
+    assert found["few"] == [0.0, 1.0, 2.0] and found["none"] == [None] * 3
+    assert found["odd"][:2] == [0.0, 0.0] and found["odd"][2] != found["odd"][2]
+    assert passes[0] == set(df.columns) and all(p == {"wide"} for p in passes[1:]) and len(passes) <= 5
