@@ -20,28 +20,6 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def place_text(column: str, edges: Sequence[float], leaf: Callable[[int], str]) -> str:
-    """SQL for ``leaf(place)`` of a value among sorted distinct edges.
-
-    Place 0 is below the first edge, 1 at it, 2 above it, and so on. The tests are
-    nested two ways, so a row takes about log2(edges) comparisons. NULL stays NULL.
-    """
-    name = quoted(column)
-
-    def between(low: int, high: int) -> str:
-        # the value is known to lie above edge low - 1 and below edge high
-        if low == high:
-            return leaf(2 * low)
-        middle = (low + high) // 2
-        edge = double_literal(edges[middle])
-        return (
-            f"CASE WHEN {name} < {edge} THEN {between(low, middle)} "
-            f"WHEN {name} = {edge} THEN {leaf(2 * middle + 1)} ELSE {between(middle + 1, high)} END"
-        )
-
-    return f"CASE WHEN {name} IS NOT NULL THEN {between(0, len(edges))} END"
-
-
 def bin_text(column: str, edges: Sequence[float], leaf: Callable[[int], str]) -> str:
     """SQL for ``leaf(bin)`` of a value in the intervals ``(edge[i], edge[i+1]]``, bins from 1.
 
