@@ -6,14 +6,12 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorespark.functions.scoring import sigmoid
-from scorespark.models.logistic import fit_logistic
+from scorespark.models.logistic import NEWTON_WIDTH, fit_logistic, newton_fits
 from scorespark.operators.preparing import Scaler, grouped_scaling
 from scorespark.operators.scorecard import LinearModel
 from scorespark.operators.splitting import equal_folds, fit_cuts
@@ -37,26 +35,27 @@ class Sigmoid:
 def fit_sigmoid(df: DataFrame, margin: str = "margin", label: str = "bad") -> Sigmoid:
     """Platt's fit: logistic regression of smoothed targets on the margin.
 
-    Each row stands for a weighted positive and a weighted negative; emitting the
-    two is a narrow step, so the fit needs no shuffle.
+    A smoothed target is one number between 0 and 1 per row, which the fit takes as it is.
     """
-    n_bad, n_good = df.agg(F.sum(label), F.sum(1 - F.col(label))).first()
-    high, low = (n_bad + 1.0) / (n_bad + 2.0), 1.0 / (n_good + 2.0)
-    target = F.when(F.col(label) == 1, high).otherwise(low)
-    weighted = df.select(
-        F.col(margin).cast("double").alias("margin"),
-        F.inline(
-            F.array(
-                F.struct(F.lit(1.0).alias("y"), target.alias("weight")),
-                F.struct(F.lit(0.0).alias("y"), (1 - target).alias("weight")),
-            )
-        ),
-    )
-    vectors = VectorAssembler(inputCols=["margin"], outputCol="x").transform(weighted)
-    fitted = LogisticRegression(
-        featuresCol="x", labelCol="y", weightCol="weight", regParam=0.0, maxIter=200, tol=1e-10
-    ).fit(vectors.select("x", "y", "weight"))
-    return Sigmoid(float(fitted.coefficients[0]), float(fitted.intercept))
+    sizes = df.agg(F.sum(label), F.sum(1 - F.col(label))).first()
+    fitted = newton_fits(df, [margin], [_smoothed(label, *sizes)], [[0.0]], max_iter=200)[0]
+    return Sigmoid(fitted.coefficients[margin], fitted.intercept)
+
+
+def _smoothed(label: str, n_bad: int, n_good: int) -> Column:
+    return F.when(F.col(label) == 1, (n_bad + 1.0) / (n_bad + 2.0)).otherwise(1.0 / (n_good + 2.0))
+
+
+def _fold_sigmoids(folded: DataFrame, models: Sequence[LinearModel], label: str) -> list[Sigmoid]:
+    """:func:`fit_sigmoid` of each fold under its own model, side by side."""
+    margin = F.lit(None).cast("double")
+    for k, model in enumerate(models):
+        margin = F.when(F.col("fold") == k, model.margin()).otherwise(margin)
+    rows = folded.select("fold", label, margin.alias("margin"))
+    sizes = {r[0]: r[1:] for r in folded.groupBy("fold").agg(F.sum(label), F.sum(1 - F.col(label))).collect()}
+    targets = [F.when(F.col("fold") == k, _smoothed(label, *sizes[k])) for k in range(len(models))]
+    fitted = newton_fits(rows, ["margin"], targets, [[0.0]] * len(models), max_iter=200)
+    return [Sigmoid(f.coefficients["margin"], f.intercept) for f in fitted]
 
 
 @dataclass(frozen=True)
@@ -95,28 +94,37 @@ def fit_calibrated(
 
     Each member is fitted on the other folds and calibrated on its own fold. With
     ``scale`` the features are standardised inside the fit, per fold; the scaling
-    is folded into the coefficients, so scoring reads raw columns either way.
+    is folded into the coefficients, so scoring reads raw columns either way. The fits
+    of all folds take their steps in the same passes over the rows.
     """
     columns = [spec.key, spec.target, *features]
     assigned = fit_cuts(train, equal_folds(folds), spec).apply(train.select(*columns), "fold")
     folded = stage(assigned, "folds")
     scalers = _scalers(folded, features) if scale else {}
-    members = []
+    models = _fold_models(folded, features, spec, folds, c, scalers)
+    return CalibratedEnsemble(tuple(zip(models, _fold_sigmoids(folded, models, spec.target))))
+
+
+def _fold_models(
+    folded: DataFrame, features: Sequence[str], spec: FeatureSpec, folds: int, c: float, scalers: dict[int, Scaler]
+) -> list[LinearModel]:
+    """The logistic model of the rows outside each fold; penalties are those of scaled features where there are scalers."""
+    if len(features) <= NEWTON_WIDTH:
+        targets = [F.when(F.col("fold") != k, F.col(spec.target)) for k in range(folds)]
+        penalties = [[scalers[k].deviations[f] ** 2 / c if scalers else 1 / c for f in features] for k in range(folds)]
+        return newton_fits(folded, features, targets, penalties)
+    models = []
     for k in range(folds):
         rest = folded.where(F.col("fold") != k)
-        if scale:
+        if scalers:
             scaler = scalers[k]
             inner = fit_logistic(scaler.apply(rest), features, spec.target, c)
             slopes = {f: w / scaler.deviations[f] for f, w in inner.coefficients.items()}
             shift = sum(slopes[f] * scaler.means[f] for f in features)
-            model = LinearModel(slopes, inner.intercept - shift)
+            models.append(LinearModel(slopes, inner.intercept - shift))
         else:
-            model = fit_logistic(rest, features, spec.target, c)
-        held_out = folded.where(F.col("fold") == k).select(
-            spec.target, model.margin().alias("margin")
-        )
-        members.append((model, fit_sigmoid(held_out, "margin", spec.target)))
-    return CalibratedEnsemble(tuple(members))
+            models.append(fit_logistic(rest, features, spec.target, c))
+    return models
 
 
 @dataclass(frozen=True)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from scorespark.models import benchmarks as bm
 from scorespark.models.calibration import fit_calibrated, fit_isotonic, fit_sigmoid
-from scorespark.models.logistic import fit_logistic
+from scorespark.models.logistic import fit_logistic, newton_fits
 from scorespark.models.tree_shap import explain_leaves, tree_shap
 from scorespark.plans import flows
 from scorespark.session import scratch_path
@@ -52,6 +52,47 @@ def test_logistic_matches_newton(data):
     np.testing.assert_allclose([*model.coefficients.values(), model.intercept], w, atol=1e-4)
 
 
+def test_fits_side_by_side_match_newton_on_their_own_rows(data):
+    pdf, df = data
+    df = df.withColumn("a", F.col("a") * 1000 + 5e4).withColumn("same", F.col("a") * 1).withColumn("fixed", F.lit(2))
+    names = ["a", "b", "c", "same", "fixed"]
+    targets = [F.when(F.col("dummy_id") % 3 != k, F.col("bad")) for k in range(2)]
+    for k, model in enumerate(newton_fits(df, names, targets, [[1e6, 1.0, 1.0, 1e6, 1.0]] * 2)):
+        own = pdf[pdf.dummy_id % 3 != k]
+        # two equal columns with the penalty of one share its slope; twice the curvature is half the penalty
+        x = np.c_[own.a, own.b, own.c] * [1, 1, 1]
+        design = np.c_[x, np.ones(len(x))]
+        w = np.zeros(4)
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-design @ w))
+            ridge = np.diag([0.5, 1.0, 1.0, 0.0])
+            w -= np.linalg.solve(design.T * (p * (1 - p)) @ design + ridge, design.T @ (p - own.bad) + ridge @ w)
+        found = model.coefficients
+        np.testing.assert_allclose([2000 * found["a"], found["b"], found["c"]], w[:3], rtol=1e-6)
+        np.testing.assert_allclose(model.intercept, w[3] - w[0] * 50, rtol=1e-6)
+        assert found["same"] == pytest.approx(found["a"]) and found["fixed"] == 0.0
+
+
+def test_fits_side_by_side_refuse_and_mark_odd_rows(spark):
+    rows = spark.createDataFrame([(1, 0.5), (1, 1.5), (0, None)], "bad int, a double")
+    (one,) = newton_fits(rows.na.drop(), ["a"], [F.col("bad")], [[1.0]])
+    assert one.coefficients == {"a": 0.0} and one.intercept == float("inf")
+    with pytest.raises(ValueError, match="missing"):
+        newton_fits(rows, ["a"], [F.col("bad")], [[1.0]])
+    with pytest.raises(ValueError, match="no rows"):
+        newton_fits(rows.na.drop(), ["a"], [F.when(F.col("bad") == 0, 1)], [[1.0]])
+
+
+def test_cross_fitting_passes_do_not_grow_with_the_folds(data, monkeypatch):
+    from scorespark.models import calibration, logistic
+
+    passes, plain = [], logistic._curvature
+    monkeypatch.setattr(logistic, "_curvature", lambda places, *rest: passes.append(len(places)) or plain(places, *rest))
+    calibration.fit_calibrated(data[1], list("abc"), folds=5, scale=True)
+    # about five steps of the models and five of the sigmoids, each for all folds at once
+    assert passes[0] == 5 and len(passes) <= 20
+
+
 def test_sigmoid_matches_newton(data):
     pdf, df = data
     curve = fit_sigmoid(df.select("bad", F.col("a").alias("margin")))
