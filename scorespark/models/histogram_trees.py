@@ -90,6 +90,18 @@ class Growing:
             inner = inner[at[here] >= 0]
         return node
 
+    def members(self, bins: np.ndarray, rows: np.ndarray) -> dict[int, np.ndarray]:
+        """The given rows by the leaf each is in."""
+        found, ahead = {}, [(0, rows)]
+        while ahead:
+            node, mine = ahead.pop()
+            if self.at[node] < 0:
+                found[node] = mine
+                continue
+            goes_left = bins[self.at[node]][mine] <= self.cut[node]
+            ahead += [(self.left[node], mine[goes_left]), (self.right[node], mine[~goes_left])]
+        return found
+
 
 def uniform(keys: np.ndarray, number: int, seed: int) -> np.ndarray:
     """A number in [0, 1) for each key hash and tree."""
@@ -103,7 +115,10 @@ def uniform(keys: np.ndarray, number: int, seed: int) -> np.ndarray:
 def poisson_counts(u: np.ndarray) -> np.ndarray:
     """Counts of mean 1 from uniform numbers; nine and more are nine."""
     chances = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, k + 1, dtype=float)) for k in range(9)])
-    return np.searchsorted(chances, u, side="right")
+    found = np.zeros(len(u), dtype=np.int8)
+    for chance in chances:
+        found += u >= chance
+    return found.astype(np.int64)
 
 
 @dataclass(frozen=True)
@@ -188,28 +203,38 @@ def _pieces(batches: Iterator[pa.RecordBatch], later: Sequence[Growing]) -> Iter
             yield keys, y, margin, bins
 
 
-def _sums(loss: Loss, weights: list[np.ndarray], node: np.ndarray, counted: Open, nodes: int, bins: np.ndarray) -> np.ndarray:
-    """Sums by (node, tried feature, bin) of the nodes ``counted``, from the rows of a piece."""
+def _sums(loss: Loss, weights: list[np.ndarray], tree: Growing, counted: Open, bins: np.ndarray) -> np.ndarray:
+    """Sums by (node, tried feature, bin) of the nodes ``counted``, from the rows of a piece.
+
+    Nodes that share their features are counted side by side, others one by one from the rows in them.
+    """
     width = len(next(iter(counted.values())))
-    places = np.full(nodes, -1)
-    places[list(counted)] = np.arange(len(counted))
-    mine = np.flatnonzero((places[node] >= 0) & (weights[-1] != 0))
-    place, weights = places[node[mine]], [w[mine] for w in weights]
-    size = len(counted) * BINS
+    weighed = weights[-1] != 0
     same = {tuple(features) for features in counted.values()}
-    if len(same) == 1:
+    if len(same) == 1 and len(counted) > 1:
+        node = tree.leaves(bins)
+        places = np.full(len(tree.at), -1)
+        places[list(counted)] = np.arange(len(counted))
+        mine = np.flatnonzero((places[node] >= 0) & weighed)
+        weights = [w[mine] for w in weights]
+        size = len(counted) * BINS
         found = np.empty((len(weights), width, size))
-        first = place * BINS
+        first = places[node[mine]] * BINS
         for j, f in enumerate(next(iter(same))):
             cell = first + bins[f][mine]
             for k, w in enumerate(weights):
                 found[k, j] = np.bincount(cell, weights=w, minlength=size)
         found = found.reshape(len(weights), width, -1, BINS).swapaxes(1, 2)
     else:
-        tried = np.array(list(counted.values()))[place]
-        cell = ((place[:, None] * width + np.arange(width)) * BINS + bins[tried, mine[:, None]]).ravel()
-        found = np.array([np.bincount(cell, weights=np.repeat(w, width), minlength=size * width) for w in weights])
-        found = found.reshape(len(weights), -1, width, BINS)
+        rows = tree.members(bins, np.flatnonzero(weighed))
+        found = np.empty((len(weights), len(counted), width, BINS))
+        for place, (node, features) in enumerate(counted.items()):
+            mine = rows[node]
+            own = [w[mine] for w in weights]
+            for j, f in enumerate(features):
+                line = bins[f][mine]
+                for k, w in enumerate(own):
+                    found[k, place, j] = np.bincount(line, weights=w, minlength=BINS)
     if loss.unit is None:
         return found.astype(np.int64)
     n = np.rint(found[0] / PACK)
@@ -226,7 +251,7 @@ def _cells(loss: Loss, later: Sequence[Growing], growing: Sequence[tuple[Growing
                 if counted:
                     g, h = loss.weights(keys, y, margin, tree.number)
                     weights = [g, h] if loss.unit is None else [h / SCALE * PACK + g / loss.unit]
-                    total += _sums(loss, weights, tree.leaves(bins), counted, len(tree.at), bins)
+                    total += _sums(loss, weights, tree, counted, bins)
         both = np.concatenate(sums, axis=1).reshape(2, -1)
         used = np.flatnonzero(both[1])
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(both[0][used]), pa.array(both[1][used])], names=["cell", "g", "h"])

@@ -129,3 +129,28 @@ def test_tasks_follow_the_cores_not_the_rows(spark, rows, monkeypatch):
     monkeypatch.setattr(ht, "ROWS_A_TASK", 20_000)
     monkeypatch.setattr(ht, "TASKS", 0)  # cells meet in an aggregation
     assert ht.fit_boosted_trees(rows, NAMES, trees=2, depth=3) == spread
+
+
+def test_nodes_on_features_of_their_own_are_counted_from_their_rows():
+    rng = np.random.default_rng(8)
+    bins = rng.integers(0, ht.BINS, (4, 500)).astype(np.uint8)
+    loss, tree = ht.Bagging(1.0, 3), ht.Growing(0)
+    tree.split(0, 1, 12, (0.0, 0.0), [(0.0, 0.0)] * 2)
+    tree.split(2, 3, 20, (0.0, 0.0), [(0.0, 0.0)] * 2)
+    y = (rng.random(500) < 0.4).astype(float)
+    g, h = loss.weights(rng.integers(-(2**62), 2**62, 500), y, np.zeros(500), 0)
+    counted = {1: np.array([0, 2]), 4: np.array([1, 3])}
+    found = ht._sums(loss, [h / ht.SCALE * ht.PACK + g / loss.unit], tree, counted, bins)
+    leaf = tree.leaves(bins)
+    assert {k: rows.tolist() for k, rows in tree.members(bins, np.arange(500)).items()} == {k: np.flatnonzero(leaf == k).tolist() for k in (1, 3, 4)}
+    for place, (node, features) in enumerate(counted.items()):
+        for j, f in enumerate(features):
+            for b in range(ht.BINS):
+                mine = (leaf == node) & (bins[f] == b)
+                assert found[:, place, j, b].tolist() == [int(g[mine].sum()), int(h[mine].sum())]
+
+
+def test_poisson_counts_are_places_among_the_cumulated_chances():
+    u = np.r_[np.random.default_rng(1).random(1000), 0.0, math.exp(-1.0), np.nextafter(1.0, 0.0)]
+    chances = np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(9)])
+    assert ht.poisson_counts(u).tolist() == [int(np.sum(chances <= x)) for x in u]
