@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorespark.models.calibration import Isotonic, OnLogOdds, fit_curve
+from scorespark.models.forests import fit_trees
 from scorespark.models.logistic import assemble, fit_logistic
 from scorespark.operators.metrics import discrimination
 from scorespark.spec import RANDOM_STATE
@@ -31,8 +32,9 @@ def fit_forest(
     depth: int = 5,
     min_leaf: int = 1,
     seed: int = RANDOM_STATE,
+    key: str = "dummy_id",
 ):
-    """Random forest that tries sqrt(features) columns per split."""
+    """Random forest that tries sqrt(features) columns per split; rows are drawn by a hash of key and features."""
     estimator = RandomForestClassifier(
         featuresCol="x",
         labelCol=label,
@@ -42,7 +44,7 @@ def fit_forest(
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
-    return estimator.fit(assemble(df, features, label))
+    return fit_trees(df, features, estimator, key)
 
 
 def fit_boosting(
@@ -97,7 +99,7 @@ def fit_scorers(
 ) -> dict[str, Scorer]:
     """Fit the three benchmark models; each becomes a function adding ``pd``."""
     logistic = fit_logistic(train, features, label)
-    trees = fit_forest(train, features, label, **(forest or {}))
+    trees = fit_forest(train, features, label, **{"key": key, **(forest or {})})
     boosted = fit_boosting(train, features, label, **(boosting or {}))
     return {
         "logistic": lambda df: df.select(key, label, logistic.pd().alias("pd")),

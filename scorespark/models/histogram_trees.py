@@ -103,13 +103,18 @@ class Growing:
         return found
 
 
-def uniform(keys: np.ndarray, number: int, seed: int) -> np.ndarray:
-    """A number in [0, 1) for each key hash and tree."""
+def row_words(keys: np.ndarray, number: int, seed: int) -> np.ndarray:
+    """64 even bits for each key hash and number."""
     salt = (seed * 0x9E3779B97F4A7C15 + number * 0xD1B54A32D192ED03) % (1 << 64)
     x = keys.view(np.uint64) ^ np.uint64(salt)
     for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
         x = (x ^ (x >> np.uint64(30))) * np.uint64(factor)
-    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
+    return x ^ (x >> np.uint64(31))
+
+
+def uniform(keys: np.ndarray, number: int, seed: int) -> np.ndarray:
+    """A number in [0, 1) for each key hash and tree."""
+    return (row_words(keys, number, seed) >> np.uint64(11)) / float(1 << 53)
 
 
 def poisson_counts(u: np.ndarray) -> np.ndarray:
@@ -273,7 +278,7 @@ def _best(loss: Loss, g: np.ndarray, h: np.ndarray) -> tuple[int, int, np.ndarra
     return int(k), int(cut), np.array([left_g[k, cut], right_g[k, cut]]), np.array([left_h[k, cut], right_h[k, cut]])
 
 
-def _split(loss: Loss, tree: Growing, node: int, features: np.ndarray, sums: np.ndarray) -> tuple[int, ...]:
+def split_node(loss: Loss, tree: Growing, node: int, features: np.ndarray, sums: np.ndarray) -> tuple[int, ...]:
     """Split a node by the sums of its cells; its children, or none."""
     g, h = sums
     if node == 0:
@@ -318,7 +323,7 @@ def _grow(table: DataFrame, loss: Loss, later: Sequence[Growing], numbers: Seque
             children: Open = {}
             rest[t], known[t] = {}, cells_of
             for node, features in opened[t].items():
-                both = _split(loss, tree, node, features, cells_of[node] / SCALE)
+                both = split_node(loss, tree, node, features, cells_of[node] / SCALE)
                 for child in both:
                     children[child] = tried(tree.number, child)
                 if both and all(np.array_equal(children[child], features) for child in both):

@@ -23,9 +23,6 @@ from pyspark.sql import functions as F
 from scorespark.operators.running import running_totals
 
 LIMIT = 100_000
-#: Cells a task holds before equal ones are added up.
-HELD = 1 << 20
-_SIGN = np.uint64(1 << 63)
 _CELLS = "c int, s int, cell long, n long, low long, high long"
 
 
@@ -107,42 +104,38 @@ def _codes(values: np.ndarray) -> np.ndarray:
     return bits ^ ((bits >> 63) & np.int64((1 << 63) - 1))
 
 
-def _added(parts: list[np.ndarray]) -> np.ndarray:
-    """Lines (column, stretch, cell, rows, least, greatest) with equal cells added up."""
-    lines = np.concatenate(parts, axis=1)
-    lines = lines[:, np.lexsort((lines[2], lines[1], lines[0]))]
-    first = np.flatnonzero(np.r_[True, np.any(lines[:3, 1:] != lines[:3, :-1], axis=0)][: lines.shape[1]])
-    if not len(first):
-        return lines
-    return np.stack(
-        [*lines[:3, first], np.add.reduceat(lines[3], first), np.minimum.reduceat(lines[4], first), np.maximum.reduceat(lines[5], first)]
-    )
-
-
 def _cells(plan: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
-    """Counts of a task's rows by cell; ``plan`` has starts, ends and widths (as shifts) of each column's stretches."""
+    """Counts of a task's rows by cell; ``plan`` has starts, ends and widths (as shifts) of each column's stretches.
+
+    The cells of all stretches of a column stand in one line, so a batch adds to its cells in place.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [np.zeros((6, 0), dtype=np.int64)], 0
+        firsts, lines = [], []
+        for lows, highs, shifts in plan:
+            sizes = ((highs.view(np.uint64) - lows.view(np.uint64)) >> shifts).astype(np.int64) + 1
+            firsts.append(np.r_[0, np.cumsum(sizes)])
+            size = firsts[-1][-1]
+            lines.append((np.zeros(size, dtype=np.int64), np.full(size, np.iinfo(np.int64).max), np.full(size, np.iinfo(np.int64).min)))
         for batch in batches:
             for c, (lows, highs, shifts) in enumerate(plan):
                 codes = np.sort(_codes(np.asarray(batch.column(c).drop_null(), dtype=float)))
-                at = np.searchsorted(lows, codes, side="right") - 1
-                inside = (at >= 0) & (codes <= highs[at])
-                codes, at = codes[inside], at[inside]
-                if not len(codes):
-                    continue
-                cell = ((codes.view(np.uint64) ^ _SIGN) - (lows[at].view(np.uint64) ^ _SIGN)) >> shifts[at]
-                first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (cell[1:] != cell[:-1])])
-                last = np.r_[first[1:], len(codes)]
-                parts.append(np.stack([np.full(len(first), c), at[first], cell[first].astype(np.int64), last - first, codes[first], codes[last - 1]]))
-                held += len(first)
-            if held > HELD:
-                parts = [_added(parts)]
-                held = 0
-        lines = _added(parts)
-        arrays = [pa.array(x.astype(np.int32) if k < 2 else x) for k, x in enumerate(lines)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["c", "s", "cell", "n", "low", "high"])
+                # sorted codes reach the stretches one after the other
+                begins, ends = np.searchsorted(codes, lows, side="left"), np.searchsorted(codes, highs, side="right")
+                counts, least, greatest = lines[c]
+                for s in np.flatnonzero(ends > begins):
+                    mine = codes[begins[s] : ends[s]]
+                    cell = ((mine.view(np.uint64) - lows[s : s + 1].view(np.uint64)) >> shifts[s]).astype(np.int64) + firsts[c][s]
+                    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+                    last, at = np.r_[first[1:], len(mine)], cell[first]
+                    counts[at] += last - first
+                    least[at] = np.minimum(least[at], mine[first])
+                    greatest[at] = np.maximum(greatest[at], mine[last - 1])
+        for c, (counts, least, greatest) in enumerate(lines):
+            used = np.flatnonzero(counts)
+            s = np.searchsorted(firsts[c], used, side="right") - 1
+            arrays = [np.full(len(used), c, dtype=np.int32), s.astype(np.int32), used - firsts[c][s], counts[used], least[used], greatest[used]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["c", "s", "cell", "n", "low", "high"])
 
     return run
 
