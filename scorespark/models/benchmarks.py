@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorespark.models.boosted import fit_boosted
 from scorespark.models.calibration import Isotonic, OnLogOdds, fit_curve
 from scorespark.models.forests import fit_trees
 from scorespark.models.logistic import assemble, fit_logistic
@@ -55,8 +56,9 @@ def fit_boosting(
     depth: int = 4,
     rate: float = 0.1,
     seed: int = RANDOM_STATE,
+    key: str = "dummy_id",
 ):
-    """Gradient-boosted trees on 80 % row samples (no leaf penalties, no column sampling per tree)."""
+    """Gradient-boosted trees on 80 % row samples, by a hash of key and features (no leaf penalties, no column sampling per tree)."""
     estimator = GBTClassifier(
         featuresCol="x",
         labelCol=label,
@@ -66,7 +68,7 @@ def fit_boosting(
         subsamplingRate=0.8,
         seed=seed,
     )
-    return estimator.fit(assemble(df, features, label))
+    return fit_boosted(df, features, estimator, key)
 
 
 def fit_network(
@@ -100,7 +102,7 @@ def fit_scorers(
     """Fit the three benchmark models; each becomes a function adding ``pd``."""
     logistic = fit_logistic(train, features, label)
     trees = fit_forest(train, features, label, **{"key": key, **(forest or {})})
-    boosted = fit_boosting(train, features, label, **(boosting or {}))
+    boosted = fit_boosting(train, features, label, **{"key": key, **(boosting or {})})
     return {
         "logistic": lambda df: df.select(key, label, logistic.pd().alias("pd")),
         "forest": lambda df: predict_pd(trees, df, features, key, label),

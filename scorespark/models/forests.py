@@ -19,7 +19,12 @@ from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +44,12 @@ CELLS = 1 << 20
 COLLECTED = 1 << 22
 #: Poisson counts of a 16-bit part of a hash; four trees share one hash of a row.
 _DRAWS = poisson_counts((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.int8)
+#: Parameters of an ensemble that its single trees do not have.
+_OF_ENSEMBLES = (
+    "bootstrap", "featureSubsetStrategy", "numTrees", "subsamplingRate", "lossType", "maxIter", "stepSize", "validationTol",
+)
+#: Those of classes that a regression tree does not have.
+_OF_CLASSES = ("rawPredictionCol", "probabilityCol")
 _PIECES = "h binary, y binary, bins binary"
 _NODES = (
     "treeID int, nodeData struct<id int, prediction double, impurity double, impurityStats array<double>, rawCount bigint, "
@@ -50,7 +61,7 @@ def fit_trees(df: DataFrame, features: Sequence[str], estimator: RandomForestCla
     """The forest of ``estimator``: its label, numbers of trees, depth, least rows of a leaf and seed; sqrt(features) a node."""
     spark = df.sparkSession
     trees, depth, seed = estimator.getNumTrees(), estimator.getMaxDepth(), estimator.getSeed()
-    table, path, edges, n, bad = _table(df, features, estimator.getLabelCol(), key)
+    table, path, edges, n, bad = binned_table(df, features, estimator.getLabelCol(), key)
     if not n:
         raise ValueError("no rows to fit")
     width = ceil(sqrt(len(features)))
@@ -63,10 +74,10 @@ def fit_trees(df: DataFrame, features: Sequence[str], estimator: RandomForestCla
     for tree in grown:
         if not tree.sums[0][1]:  # a tree that drew no row of a very small table
             tree.sums[0] = (float(bad), float(n))
-    return _as_model(spark, grown, edges, len(features), estimator)
+    return saved_model(spark, grown, edges, len(features), estimator)
 
 
-def _table(df: DataFrame, features: Sequence[str], label: str, key: str):
+def binned_table(df: DataFrame, features: Sequence[str], label: str, key: str):
     """The rows as (key hash, label, bins) in pieces and its path, the cuts of each feature, rows and rows of class 1."""
     names = [f"f{k}" for k in range(len(features))]
     # rows without a key of their own are told apart by their place
@@ -256,19 +267,23 @@ def _gini(bad: float, n: float) -> float:
     return 2 * (bad / n) * (1 - bad / n)
 
 
-def _node(tree: Growing, node: int, edges: list[np.ndarray]) -> dict:
-    """A node as Spark's models save it."""
-    bad, n = tree.sums[node]
+def _node(tree: Growing, node: int, edges: list[np.ndarray], boosted: bool) -> dict:
+    """A node as Spark's models save it: with rows by class, or with rows, sum and sum of squares.
+
+    The squares of residuals are not counted; those of the mean stand in their place, so impurities of boosted nodes are 0.
+    """
+    g, n = tree.sums[node]
     gain, feature, cuts = -1.0, tree.at[node], []
     if feature >= 0:
         cuts = [float(edges[feature][tree.cut[node]])]
         parts = [tree.sums[child] for child in (tree.left[node], tree.right[node])]
-        gain = _gini(bad, n) - sum(m / n * _gini(b, m) for b, m in parts)
+        # the fall of the variance; a class has twice that of its share
+        gain = (1 if boosted else 2) * (sum(a * a / m for a, m in parts) - g * g / n) / n
     return {
         "id": node,
-        "prediction": float(2 * bad > n),
-        "impurity": _gini(bad, n),
-        "impurityStats": [n - bad, bad],
+        "prediction": tree.value[node] if boosted else float(2 * g > n),
+        "impurity": 0.0 if boosted else _gini(g, n),
+        "impurityStats": [n, g, g * g / n if n else 0.0] if boosted else [n - g, g],
         "rawCount": int(n),
         "gain": gain,
         "leftChild": tree.left[node],
@@ -292,21 +307,25 @@ def _preorder(tree: Growing) -> Growing:
     return out
 
 
-def _as_model(spark, grown: Sequence[Growing], edges: list[np.ndarray], features: int, estimator: RandomForestClassifier):
+def saved_model(spark, grown: Sequence[Growing], edges: list[np.ndarray], features: int, estimator):
     """Spark's model of the trees, by way of its saved form."""
     set_, defaults = ({p.name: v for p, v in x.items()} for x in (estimator._paramMap, estimator._defaultParamMap))
+    boosted = isinstance(estimator, GBTClassifier)
+    kind = GBTClassificationModel if boosted else RandomForestClassificationModel
 
     def described(name: str, uid: str, left_out: Sequence[str] = (), **more) -> str:
         own = [{k: v for k, v in x.items() if k not in left_out} for x in (set_, defaults)]
-        about = {"class": f"org.apache.spark.ml.classification.{name}", "timestamp": int(time.time() * 1000), "sparkVersion": spark.version}
+        about = {"class": f"org.apache.spark.ml.{name}", "timestamp": int(time.time() * 1000), "sparkVersion": spark.version}
         return json.dumps(about | {"uid": uid, "paramMap": own[0], "defaultParamMap": own[1]} | more)
 
     path, trees = scratch_path(spark, "forest"), [_preorder(tree) for tree in grown]
-    whole = described(RandomForestClassificationModel.__name__, estimator.uid, numFeatures=features, numClasses=2, numTrees=len(trees))
-    of_trees = ("bootstrap", "featureSubsetStrategy", "numTrees", "subsamplingRate")
-    single = [(k, described("DecisionTreeClassificationModel", f"{estimator.uid}_{k}", of_trees), 1.0) for k in range(len(trees))]
-    nodes = [(k, _node(tree, node, edges)) for k, tree in enumerate(trees) for node in range(len(tree.at))]
+    sizes = {"numFeatures": features, "numTrees": len(trees)} | ({} if boosted else {"numClasses": 2})
+    whole = described(f"classification.{kind.__name__}", estimator.uid, **sizes)
+    single = "regression.DecisionTreeRegressionModel" if boosted else "classification.DecisionTreeClassificationModel"
+    without = _OF_ENSEMBLES + (_OF_CLASSES if boosted else ())
+    described_trees = [(k, described(single, f"{estimator.uid}_{k}", without), 1.0) for k in range(len(trees))]
+    nodes = [(k, _node(tree, node, edges, boosted)) for k, tree in enumerate(trees) for node in range(len(tree.at))]
     values_table(spark, [(whole,)], "value string").coalesce(1).write.text(f"{path}/metadata")
-    values_table(spark, single, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
+    values_table(spark, described_trees, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
     values_table(spark, nodes, _NODES).coalesce(1).write.parquet(f"{path}/data")
-    return RandomForestClassificationModel.load(path)
+    return kind.load(path)

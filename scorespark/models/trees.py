@@ -55,11 +55,12 @@ class Trees:
         @F.pandas_udf("double")
         def score(*columns: pd.Series) -> pd.Series:
             rows = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            total = trees.total(rows)
-            found = 1 / (1 + np.exp(-2 * total)) if trees.logit else total
+            found = trees.total(rows)
             return pd.Series(np.where(np.isnan(rows).any(axis=1), np.nan, found)).where(lambda x: x.notna(), None)
 
-        return score(*[F.col(c).cast("double") for c in self.features])
+        total = score(*[F.col(c).cast("double") for c in self.features])
+        # worked out as Spark's boosted model does, to the last digit: steps of a curve stand at its values
+        return 1 - 1 / (1 + F.exp(2 * total)) if self.logit else total
 
 
 def trees_of(spark: SparkSession, model, features: Sequence[str]) -> Trees:

@@ -105,7 +105,7 @@ def scorecard_run(
 
     encoder = fit_onehot(df, spec)
     names = [*spec.numeric(df), *encoder.names()]
-    trees = bm.fit_forest(encoder.apply(train), names, spec.target, **(forest or {}))
+    trees = bm.fit_forest(encoder.apply(train), names, spec.target, **{"key": spec.key, **(forest or {})})
     benchmark = bm.predict_pd(trees, encoder.apply(test), names, spec.key, spec.target)
     both = scored.select(F.lit("scorecard").alias("model"), "pd", spec.target).unionByName(
         benchmark.select(F.lit("random_forest").alias("model"), "pd", spec.target)
@@ -160,8 +160,8 @@ def evaluation_run(
     train, val, test = (scaled.where(F.col("split") == s) for s in ("train", "val", "test"))
 
     logistic = fit_logistic(train, names, spec.target, max_iter=2000)
-    trees = bm.fit_forest(train, names, spec.target, **forest)
-    boosted = bm.fit_boosting(train, names, spec.target, **boosting)
+    trees = bm.fit_forest(train, names, spec.target, **{"key": spec.key, **forest})
+    boosted = bm.fit_boosting(train, names, spec.target, **{"key": spec.key, **boosting})
     keep = (spec.key, spec.target)
     scorers = {
         "logistic": lambda part: part.select(*keep, logistic.pd().alias("pd")),
