@@ -332,10 +332,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, cells: int = CELLS) ->
     query_lanes = -(-q // QUERY_GROUPS_PER_LANE) or 1
 
     def met(of: DataFrame, asking: DataFrame) -> DataFrame:
-        """Every group beside every query group; groups repeat once a query lane and query groups once a lane."""
+        """Every group beside every query group; groups repeat once a query lane and query groups once a lane.
+
+        The optimiser knows the size of neither side after it is repeated, so it must not send one through the driver.
+        """
         left = of.withColumns({"lane": F.pmod(F.xxhash64("grp"), F.lit(lanes)), "qlane": F.explode(F.sequence(F.lit(0), F.lit(query_lanes - 1)))})
         right = asking.withColumns({"lane": F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))), "qlane": F.pmod(F.xxhash64("qgrp"), F.lit(query_lanes))})
-        return left.join(right.withColumn("lane", F.col("lane").cast("long")), ["lane", "qlane"]).drop("lane", "qlane")
+        return left.join(right.withColumn("lane", F.col("lane").cast("long")).hint("merge"), ["lane", "qlane"]).drop("lane", "qlane")
 
     lows = met(groups.where("not wide").select("grp", "ids", "cells"), query_groups.where("not qwide").select("qgrp", "qids", "qvectors"))
     lows = lows.mapInArrow(_scan_low(fitted, k), "qno long, low double")

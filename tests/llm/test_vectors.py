@@ -45,6 +45,20 @@ def test_many_groups_ties_and_copies(spark, monkeypatch):
     assert found(spark, rows) == brute(rows)
 
 
+def test_repeated_groups_do_not_pass_through_the_driver(spark, monkeypatch):
+    plans, stage = [], vectors.stage
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, label)
+
+    monkeypatch.setattr(vectors, "stage", seen)
+    table = spark.createDataFrame([(k, [k * 0.01, 1.0]) for k in range(200)], SCHEMA)
+    found = top_k(table, table.where("vec_id % 50 = 0"), 5)
+    joins = [x for plan in [*plans, found._jdf.queryExecution().executedPlan().toString()] for x in plan.splitlines() if "Join [lane" in x]
+    assert len(joins) == 2 and all("SortMergeJoin" in x for x in joins)
+
+
 def test_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
