@@ -2,10 +2,13 @@
 
 The method is that of Spark's boosted trees: labels are -1 and 1, the first tree is fitted to the labels, each later one
 to the residuals of the margin so far on a sample of the rows and counts by the step size; a tree splits
-where the variance falls most. Here rows are bytes of bins in pieces (``forests``), a level is one pass in
-which the tasks add up residuals and rows by (node, feature, bin), and of two siblings only the smaller is counted. Residuals
+where the variance falls most. Here rows are bytes of bins in pieces (``forests``); at each level the tasks add up
+residuals and rows by (node, feature, bin), and of two siblings only the smaller is counted. Residuals
 are whole multiples of ``1 / UNIT`` and samples follow a hash of the row, so any partitioning gives the same trees.
 The step is part of the leaves' values, which are whole multiples of ``1 / FINE``: a margin is the same in any order of the sum.
+
+Where the binned rows fit beside each other in the tasks that run at once (``together``), these hold them for the whole fit
+and pass their sums to one another, a level a time, in one barrier stage; otherwise a level is one pass over the table.
 """
 
 from __future__ import annotations
@@ -18,9 +21,10 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorespark.models.forests import _members, binned_table, saved_model
+from scorespark.models.forests import _members, _pieces, binned_table, saved_model
 from scorespark.models.histogram_trees import BINS, TASKS, Bagging, Growing, row_words, split_node
-from scorespark.session import drop_table, stage_at
+from scorespark.models.together import Exchange, together
+from scorespark.session import drop_table, scratch_folder, stage_at
 
 #: Steps of a residual, which lies between -4 and 4.
 UNIT = 1 << 16
@@ -31,6 +35,7 @@ PACK = float(1 << 36)
 #: Trees after which the margins of the rows are written down.
 MARGINS_EVERY = 8
 _PIECES = "h binary, y binary, bins binary, margin binary"
+_GROWN = "number int, at array<int>, cut array<int>, left array<int>, right array<int>, value array<double>, g array<double>, n array<double>"
 
 
 def fit_boosted(df: DataFrame, features: Sequence[str], estimator: GBTClassifier, key: str = "dummy_id") -> GBTClassificationModel:
@@ -43,14 +48,22 @@ def fit_boosted(df: DataFrame, features: Sequence[str], estimator: GBTClassifier
     # a row is in a tree's sample if its hash is below this
     below = min(int(estimator.getSubsamplingRate() * float(1 << 64)), (1 << 64) - 1)
     loss = Bagging(float(estimator.getMinInstancesPerNode()), seed)
+    # a row has a key hash, a label, its margin and residual, and a byte a bin
+    tasks = together(spark, n, len(features) + 26, (1 << max(0, depth - 2)) * len(features) * BINS * 16)
+    if tasks:
+        folder = scratch_folder(spark, "sums")
+        run = _held(loss, trees, depth, estimator.getStepSize(), len(features), below, folder)
+        found = table.repartition(tasks).mapInArrow(run, _GROWN, barrier=True).collect()
+        drop_table(spark, folder)
+        drop_table(spark, path)
+        return saved_model(spark, [_tree(*r) for r in found], edges, len(features), estimator)
     many = table.rdd.getNumPartitions() > TASKS
     grown: list[Growing] = []
     later: list[Growing] = []
     for k in range(trees):
         tree = _grow(table, loss, later, k, depth, len(features), below, many)
         grown.append(tree)
-        step = estimator.getStepSize() if k else 1.0
-        tree.value = [round(g / h * step * FINE) / FINE if h else 0.0 for g, h in tree.sums]
+        tree.value = _values(tree, estimator.getStepSize())
         later.append(tree)
         if len(later) == MARGINS_EVERY and k + 1 < trees:
             before = path
@@ -61,6 +74,89 @@ def fit_boosted(df: DataFrame, features: Sequence[str], estimator: GBTClassifier
     return saved_model(spark, grown, edges, len(features), estimator)
 
 
+def _values(tree: Growing, step: float) -> list[float]:
+    """The nodes' means, by the step but in the first tree."""
+    return [round(g / h * (step if tree.number else 1.0) * FINE) / FINE if h else 0.0 for g, h in tree.sums]
+
+
+class _Piece:
+    """Rows of a task with the margin so far, and during a tree the rows by node."""
+
+    def __init__(self, h: np.ndarray, y: np.ndarray, bins: np.ndarray):
+        self.h, self.y, self.margin = h.copy(), y.copy(), None
+        # the bins of two features are one number, so that one count serves both
+        pairs = bins[::2].astype(np.uint16) * BINS
+        pairs[: len(bins) // 2] += bins[1::2]
+        self.pairs = pairs
+
+    def begin(self, number: int, seed: int, below: int) -> None:
+        self.mass = _residuals(self.y, self.margin) + PACK
+        # rows outside the sample are nothing to the sums
+        self.mass[row_words(self.h, number, seed) > np.uint64(below)] = 0.0
+        self.rows = {0: np.arange(len(self.y))}
+
+    def sums(self, node: int, features: int) -> np.ndarray:
+        mine = self.rows[node]
+        own, out = self.mass.take(mine), np.empty((2 * len(self.pairs), BINS))
+        for k, pair in enumerate(self.pairs):
+            both = np.bincount(pair.take(mine), weights=own, minlength=BINS * BINS).reshape(BINS, BINS)
+            out[2 * k], out[2 * k + 1] = both.sum(axis=1), both.sum(axis=0)
+        return out[:features]
+
+    def part(self, tree: Growing, node: int) -> None:
+        mine = self.rows.pop(node)
+        pair = self.pairs[tree.at[node] // 2].take(mine)
+        goes_left = (pair & BINS - 1 if tree.at[node] % 2 else pair // BINS) <= tree.cut[node]
+        self.rows[tree.left[node]], self.rows[tree.right[node]] = mine.compress(goes_left), mine.compress(~goes_left)
+
+    def end(self, tree: Growing) -> None:
+        if self.margin is None:
+            self.margin = np.zeros(len(self.y))
+        for node, mine in self.rows.items():
+            self.margin[mine] += tree.value[node]
+
+
+def _held(loss: Bagging, trees: int, depth: int, step: float, features: int, below: int, folder: str):
+    """All trees, grown alike by every task from the sums of all; the first task gives them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        exchange = Exchange(folder)
+        pieces = [_Piece(*x) for x in _pieces(batches)]
+
+        def added(counted: Sequence[int]) -> np.ndarray:
+            sums = np.zeros((2, len(counted), features, BINS), dtype=np.int64)
+            for piece in pieces:
+                for place, node in enumerate(counted):
+                    packed = piece.sums(node, features)
+                    n = np.rint(packed / PACK)
+                    sums[0, place] += (packed - n * PACK).astype(np.int64)
+                    sums[1, place] += n.astype(np.int64)
+            return exchange.added(sums)
+
+        grown = []
+        for number in range(trees):
+            for piece in pieces:
+                piece.begin(number, loss.seed, below)
+            tree = Growing(number)
+            _grown(loss, tree, depth, features, added, lambda node: [p.part(tree, node) for p in pieces])
+            tree.value = _values(tree, step)
+            for piece in pieces:
+                piece.end(tree)
+            grown.append(tree)
+        if exchange.me == 0:
+            for tree in grown:
+                g, n = zip(*tree.sums)
+                values = [tree.number, tree.at, tree.cut, tree.left, tree.right, tree.value, g, n]
+                kinds = [pa.int32(), *[pa.list_(pa.int32())] * 4, *[pa.list_(pa.float64())] * 3]
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=[c.split()[0] for c in _GROWN.split(", ")])
+
+    return run
+
+
+def _tree(number: int, at, cut, left, right, value, g, n) -> Growing:
+    return Growing(number, *map(list, (at, cut, left, right, value)), list(zip(g, n)))
+
+
 def _margins(batches: Iterator[pa.RecordBatch], later: Sequence[Growing]):
     """Key hashes, labels, bins and the margin after the ``later`` trees of each piece; no margin before the first tree."""
     leaves = [[k for k, at in enumerate(tree.at) if at < 0] for tree in later]
@@ -120,12 +216,8 @@ def _sums(later, tree: Growing, counted: Sequence[int], features: int, seed: int
 
 def _grow(table: DataFrame, loss: Bagging, later, number: int, depth: int, features: int, below: int, many: bool) -> Growing:
     """One tree, one pass over the rows a level."""
-    tree, every = Growing(number), np.arange(features)
-    opened, rest, known = [0], {}, {}
-    for _ in range(max(1, depth)):
-        counted = [k for k in opened if k not in rest]
-        if not counted:
-            break
+
+    def added(counted: Sequence[int]) -> np.ndarray:
         cells = table.mapInArrow(_sums(later, tree, counted, features, loss.seed, below), "cell long, g long, n long")
         if many:
             cells = cells.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
@@ -133,7 +225,21 @@ def _grow(table: DataFrame, loss: Bagging, later, number: int, depth: int, featu
         sums = np.zeros((2, len(counted) * features * BINS), dtype=np.int64)
         for k, name in enumerate(("g", "n")):
             np.add.at(sums[k], np.asarray(found.column("cell")), np.asarray(found.column(name)))
-        sums = sums.reshape(2, len(counted), features, BINS)
+        return sums.reshape(2, len(counted), features, BINS)
+
+    tree = Growing(number)
+    return _grown(loss, tree, depth, features, added)
+
+
+def _grown(loss: Bagging, tree: Growing, depth: int, features: int, added, parted=None) -> Growing:
+    """The tree by ``added(nodes)``, the sums of those nodes over all rows; ``parted(node)`` is told of each split."""
+    every = np.arange(features)
+    opened, rest, known = [0], {}, {}
+    for _ in range(max(1, depth)):
+        counted = [k for k in opened if k not in rest]
+        if not counted:
+            break
+        sums = added(counted)
         cells_of = {k: sums[:, place] for place, k in enumerate(counted)}
         cells_of |= {k: known[parent] - cells_of[sibling] for k, (parent, sibling) in rest.items()}
         children, rest, known = [], {}, cells_of
@@ -147,5 +253,7 @@ def _grow(table: DataFrame, loss: Bagging, later, number: int, depth: int, featu
             if both:
                 less, more = sorted(both, key=lambda k: tree.sums[k][1])
                 rest[more] = (node, less)
+                if parted:
+                    parted(node)
         opened = children
     return tree

@@ -87,6 +87,13 @@ def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new path as :func:`scratch_path`, deleted with the staged tables or by :func:`drop_table`."""
+    path = scratch_path(spark, label)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """Delete one staged table that nothing reads any more."""
     _staged[spark.sparkContext.applicationId].remove(path)

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from scorespark.models import benchmarks as bm
 from scorespark.models import boosted as bo
+from scorespark.models import forests
+from scorespark.models import together as tg
 from scorespark.models.logistic import assemble
 from scorespark.models.trees import trees_of
+from scorespark.session import scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +46,34 @@ def test_trees_do_not_depend_on_partitions_or_margins(spark, rows, monkeypatch):
     assert some == other
 
 
+def test_tasks_that_hold_the_rows_grow_the_trees_of_passes(spark, rows, monkeypatch):
+    _, df = rows
+    fit = lambda: trees_of(spark, bm.fit_boosting(df.repartition(5), list("abc"), trees=4, depth=3), list("abc"))
+    passes, made = bo._grow, []
+    monkeypatch.setattr(bo, "_grow", lambda *x: made.append(1) or passes(*x))
+    monkeypatch.setattr(forests, "PIECE", 256)
+    monkeypatch.setattr(tg, "ROWS_A_TASK", 1000)
+    held = fit()
+    assert not made  # all trees in one job
+    monkeypatch.setattr(tg, "HELD_BYTES", 1 << 10)
+    assert fit() == held and len(made) == 4
+
+
+def test_sums_go_by_the_driver_where_tasks_do_not_see_files(spark):
+    def run(folder):
+        def inner(batches):
+            own = sum(np.asarray(b.column("id")).sum() for b in batches)
+            exchange = tg.Exchange(folder)
+            totals = [int(exchange.added(np.array([own, k]))[0]) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (totals, exchange.by_files)], names=["totals", "files"])
+
+        return inner
+
+    for folder, files in ((f"file://{scratch_path(spark, 'sums')}", True), ("hdfs://nowhere/sums", False)):
+        found = spark.range(100).repartition(3).mapInArrow(run(folder), "totals array<long>, files boolean", barrier=True).collect()
+        assert [tuple(r) for r in found] == [([4950, 4950], files)] * 3
+
+
 def test_saved_model_scores_like_its_trees(spark, rows):
     pdf, df = rows
     model = bm.fit_boosting(df, list("abc"), trees=4, depth=3)
