@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from scorespark.models.boosted import fit_boosted
 from scorespark.models.calibration import Isotonic, OnLogOdds, fit_curve
-from scorespark.models.forests import fit_trees
+from scorespark.models.forests import binned_table, fit_trees
 from scorespark.models.logistic import assemble, fit_logistic
 from scorespark.operators.metrics import discrimination
+from scorespark.session import drop_table
 from scorespark.spec import RANDOM_STATE
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -34,6 +35,7 @@ def fit_forest(
     min_leaf: int = 1,
     seed: int = RANDOM_STATE,
     key: str = "dummy_id",
+    binned: tuple | None = None,
 ):
     """Random forest that tries sqrt(features) columns per split; rows are drawn by a hash of key and features."""
     estimator = RandomForestClassifier(
@@ -45,7 +47,7 @@ def fit_forest(
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
-    return fit_trees(df, features, estimator, key)
+    return fit_trees(df, features, estimator, key, binned)
 
 
 def fit_boosting(
@@ -57,6 +59,7 @@ def fit_boosting(
     rate: float = 0.1,
     seed: int = RANDOM_STATE,
     key: str = "dummy_id",
+    binned: tuple | None = None,
 ):
     """Gradient-boosted trees on 80 % row samples, by a hash of key and features (no leaf penalties, no column sampling per tree)."""
     estimator = GBTClassifier(
@@ -68,7 +71,7 @@ def fit_boosting(
         subsamplingRate=0.8,
         seed=seed,
     )
-    return fit_boosted(df, features, estimator, key)
+    return fit_boosted(df, features, estimator, key, binned)
 
 
 def fit_network(
@@ -91,6 +94,18 @@ def predict_pd(model, df: DataFrame, features: Sequence[str], *keep: str) -> Dat
     return scored.select(*keep, vector_to_array("probability")[1].alias("pd"))
 
 
+def fit_both(train: DataFrame, features: Sequence[str], label: str, key: str, forest: dict, boosting: dict):
+    """The forest and the boosted trees of the same rows, which are binned once."""
+    binned = binned_table(train, features, label, key)
+    # a fit with a key of its own bins its rows by that
+    fitted = [
+        fit(train, features, label, **{"key": key, "binned": None if options.get("key", key) != key else binned, **options})
+        for fit, options in ((fit_forest, forest), (fit_boosting, boosting))
+    ]
+    drop_table(train.sparkSession, binned[1])
+    return fitted
+
+
 def fit_scorers(
     train: DataFrame,
     features: Sequence[str],
@@ -101,8 +116,7 @@ def fit_scorers(
 ) -> dict[str, Scorer]:
     """Fit the three benchmark models; each becomes a function adding ``pd``."""
     logistic = fit_logistic(train, features, label)
-    trees = fit_forest(train, features, label, **{"key": key, **(forest or {})})
-    boosted = fit_boosting(train, features, label, **{"key": key, **(boosting or {})})
+    trees, boosted = fit_both(train, features, label, key, forest or {}, boosting or {})
     return {
         "logistic": lambda df: df.select(key, label, logistic.pd().alias("pd")),
         "forest": lambda df: predict_pd(trees, df, features, key, label),

@@ -21,7 +21,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorespark.models.forests import _members, _pieces, binned_table, saved_model
+from scorespark.models.forests import GROWN, _members, _pieces, binned_table, grown_rows, grown_tree, saved_model
 from scorespark.models.histogram_trees import BINS, TASKS, Bagging, Growing, row_words, split_node
 from scorespark.models.together import Exchange, together
 from scorespark.session import drop_table, scratch_folder, stage_at
@@ -35,14 +35,19 @@ PACK = float(1 << 36)
 #: Trees after which the margins of the rows are written down.
 MARGINS_EVERY = 8
 _PIECES = "h binary, y binary, bins binary, margin binary"
-_GROWN = "number int, at array<int>, cut array<int>, left array<int>, right array<int>, value array<double>, g array<double>, n array<double>"
 
 
-def fit_boosted(df: DataFrame, features: Sequence[str], estimator: GBTClassifier, key: str = "dummy_id") -> GBTClassificationModel:
-    """The boosted trees of ``estimator``: its label, number of trees, depth, step, part of the rows a tree sees and seed."""
+def fit_boosted(
+    df: DataFrame, features: Sequence[str], estimator: GBTClassifier, key: str = "dummy_id", binned: tuple | None = None
+) -> GBTClassificationModel:
+    """The boosted trees of ``estimator``: its label, number of trees, depth, step, part of the rows a tree sees and seed.
+
+    ``binned`` is as in ``forests.fit_trees``.
+    """
     spark = df.sparkSession
     trees, depth, seed = estimator.getMaxIter(), estimator.getMaxDepth(), estimator.getSeed()
-    table, path, edges, n, _ = binned_table(df, features, estimator.getLabelCol(), key)
+    table, path, edges, n, _ = binned or binned_table(df, features, estimator.getLabelCol(), key)
+    kept = binned and path
     if not n:
         raise ValueError("no rows to fit")
     # a row is in a tree's sample if its hash is below this
@@ -53,10 +58,11 @@ def fit_boosted(df: DataFrame, features: Sequence[str], estimator: GBTClassifier
     if tasks:
         folder = scratch_folder(spark, "sums")
         run = _held(loss, trees, depth, estimator.getStepSize(), len(features), below, folder)
-        found = table.repartition(tasks).mapInArrow(run, _GROWN, barrier=True).collect()
+        found = table.repartition(tasks).mapInArrow(run, GROWN, barrier=True).collect()
         drop_table(spark, folder)
-        drop_table(spark, path)
-        return saved_model(spark, [_tree(*r) for r in found], edges, len(features), estimator)
+        if path != kept:
+            drop_table(spark, path)
+        return saved_model(spark, [grown_tree(*r) for r in found], edges, len(features), estimator)
     many = table.rdd.getNumPartitions() > TASKS
     grown: list[Growing] = []
     later: list[Growing] = []
@@ -68,9 +74,11 @@ def fit_boosted(df: DataFrame, features: Sequence[str], estimator: GBTClassifier
         if len(later) == MARGINS_EVERY and k + 1 < trees:
             before = path
             table, path = stage_at(table.mapInArrow(_with_margins(later), _PIECES), "margins")
-            drop_table(spark, before)
+            if before != kept:
+                drop_table(spark, before)
             later = []
-    drop_table(spark, path)
+    if path != kept:
+        drop_table(spark, path)
     return saved_model(spark, grown, edges, len(features), estimator)
 
 
@@ -144,19 +152,11 @@ def _held(loss: Bagging, trees: int, depth: int, step: float, features: int, bel
                 piece.end(tree)
             grown.append(tree)
         if exchange.me == 0:
-            for tree in grown:
-                g, n = zip(*tree.sums)
-                values = [tree.number, tree.at, tree.cut, tree.left, tree.right, tree.value, g, n]
-                kinds = [pa.int32(), *[pa.list_(pa.int32())] * 4, *[pa.list_(pa.float64())] * 3]
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=[c.split()[0] for c in _GROWN.split(", ")])
+            yield from grown_rows(grown)
 
     return run
 
 
-def _tree(number: int, at, cut, left, right, value, g, n) -> Growing:
-    return Growing(number, *map(list, (at, cut, left, right, value)), list(zip(g, n)))
-
-
 def _margins(batches: Iterator[pa.RecordBatch], later: Sequence[Growing]):
     """Key hashes, labels, bins and the margin after the ``later`` trees of each piece; no margin before the first tree."""
     leaves = [[k for k, at in enumerate(tree.at) if at < 0] for tree in later]

@@ -6,6 +6,9 @@ tree of a group, the drawn rows and those of class 1 by (tried feature, bin) in
 sees sums only and picks the splits by the Gini index. Every tree weighs each row by a Poisson count of
 mean 1, which follows from a hash of the row's key and features, so any partitioning gives the same trees.
 
+Where the binned rows fit beside each other in the tasks that run at once, these hold them for the whole fit, grow a few
+trees at a time and remember which rows a node has (``together``); otherwise a level is one pass over the table.
+
 A feature of up to 32 values is cut between any two of them, others at their least value and 30 exact quantiles.
 The result is Spark's own model class: it is scored, saved, loaded and explained like one that Spark has fitted.
 """
@@ -29,8 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorespark.models.histogram_trees import BINS, MOST_A_TASK, ROWS_A_TASK, Bagging, Growing, poisson_counts, row_words, split_node
+from scorespark.models.together import Exchange, together
 from scorespark.operators.quantiles import exact_quantiles
-from scorespark.session import drop_table, scratch_path, stage, stage_at, values_table
+from scorespark.session import drop_table, scratch_folder, scratch_path, stage, stage_at, values_table
 
 #: Rows of a piece at most.
 PIECE = 1 << 16
@@ -40,6 +44,8 @@ PACK = float(1 << 26)
 HELD = 64
 #: Cells of a pass at most: trees beyond grow in a later group.
 CELLS = 1 << 20
+#: Trees that grow at a time where tasks hold the rows.
+AT_ONCE = 4
 #: Cells of all tasks that reach the driver one by one; more meet in an aggregation.
 COLLECTED = 1 << 22
 #: Poisson counts of a 16-bit part of a hash; four trees share one hash of a row.
@@ -51,26 +57,41 @@ _OF_ENSEMBLES = (
 #: Those of classes that a regression tree does not have.
 _OF_CLASSES = ("rawPredictionCol", "probabilityCol")
 _PIECES = "h binary, y binary, bins binary"
+GROWN = "number int, at array<int>, cut array<int>, left array<int>, right array<int>, value array<double>, g array<double>, n array<double>"
 _NODES = (
     "treeID int, nodeData struct<id int, prediction double, impurity double, impurityStats array<double>, rawCount bigint, "
     "gain double, leftChild int, rightChild int, split struct<featureIndex int, leftCategoriesOrThreshold array<double>, numCategories int>>"
 )
 
 
-def fit_trees(df: DataFrame, features: Sequence[str], estimator: RandomForestClassifier, key: str = "dummy_id") -> RandomForestClassificationModel:
-    """The forest of ``estimator``: its label, numbers of trees, depth, least rows of a leaf and seed; sqrt(features) a node."""
+def fit_trees(
+    df: DataFrame, features: Sequence[str], estimator: RandomForestClassifier, key: str = "dummy_id", binned: tuple | None = None
+) -> RandomForestClassificationModel:
+    """The forest of ``estimator``: its label, numbers of trees, depth, least rows of a leaf and seed; sqrt(features) a node.
+
+    ``binned`` is the :func:`binned_table` of the same rows, features, label and key, where several fits share it; it is kept.
+    """
     spark = df.sparkSession
     trees, depth, seed = estimator.getNumTrees(), estimator.getMaxDepth(), estimator.getSeed()
-    table, path, edges, n, bad = binned_table(df, features, estimator.getLabelCol(), key)
+    table, path, edges, n, bad = binned or binned_table(df, features, estimator.getLabelCol(), key)
     if not n:
         raise ValueError("no rows to fit")
     width = ceil(sqrt(len(features)))
-    at_once = max(1, CELLS // (width * BINS << max(0, depth - 1)))
-    grown = []
-    for first in range(0, trees, at_once):
-        numbers = range(first, min(trees, first + at_once))
-        grown += _grow(table, numbers, depth, len(features), width, float(estimator.getMinInstancesPerNode()), seed)
-    drop_table(spark, path)
+    cells = width * BINS << max(0, depth - 1)
+    least = float(estimator.getMinInstancesPerNode())
+    # a row has a key hash, a weight, a byte a bin, and its place and weight in the growing trees
+    tasks = together(spark, n, len(features) + 16 + 16 * AT_ONCE, cells * 16 * AT_ONCE)
+    if tasks:
+        folder = scratch_folder(spark, "sums")
+        run = _held(trees, depth, len(features), width, least, seed, folder)
+        grown = [grown_tree(*r) for r in table.repartition(tasks).mapInArrow(run, GROWN, barrier=True).collect()]
+        drop_table(spark, folder)
+    else:
+        at_once, grown = max(1, CELLS // cells), []
+        for first in range(0, trees, at_once):
+            grown += _grow(table, range(first, min(trees, first + at_once)), depth, len(features), width, least, seed)
+    if not binned:
+        drop_table(spark, path)
     for tree in grown:
         if not tree.sums[0][1]:  # a tree that drew no row of a very small table
             tree.sums[0] = (float(bad), float(n))
@@ -230,32 +251,44 @@ def _sums(growing: Sequence[tuple[Growing, dict[int, np.ndarray]]], width: int,
 
 def _grow(table: DataFrame, numbers: Sequence[int], depth: int, features: int, width: int, least: float, seed: int) -> list[Growing]:
     """Trees grown side by side, one pass over the rows a level."""
+    parts = table.rdd.getNumPartitions()
 
-    def tried(number: int, node: int) -> np.ndarray:
-        return np.sort(np.random.default_rng([seed, number, node]).permutation(features)[:width])
-
-    loss, parts = Bagging(least, seed), table.rdd.getNumPartitions()
-    trees = [Growing(k) for k in numbers]
-    opened = [{0: tried(tree.number, 0)} for tree in trees]
-    for level in range(max(1, depth)):
-        nodes = sum(map(len, opened))
-        if not nodes:
-            break
-        cells = table.mapInArrow(_sums(list(zip(trees, opened)), width, seed), "cell long, bad long, n long")
+    def added(growing: Sequence[tuple[Growing, dict[int, np.ndarray]]]) -> np.ndarray:
+        nodes = sum(len(opened) for _, opened in growing)
+        cells = table.mapInArrow(_sums(growing, width, seed), "cell long, bad long, n long")
         if parts * nodes * width * BINS > COLLECTED:
             cells = cells.groupBy("cell").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
         found = cells.toArrow()
         sums = np.zeros((2, nodes * width * BINS))
         for k, name in enumerate(("bad", "n")):
             np.add.at(sums[k], np.asarray(found.column("cell")), np.asarray(found.column(name)))
-        sums = sums.reshape(2, nodes, width, BINS)
+        return sums.reshape(2, nodes, width, BINS)
+
+    return _grown([Growing(k) for k in numbers], depth, features, width, least, seed, added)
+
+
+def _grown(trees: list[Growing], depth: int, features: int, width: int, least: float, seed: int, added, parted=None) -> list[Growing]:
+    """The trees by ``added(growing)``, the sums of all open nodes over all rows; ``parted(tree, node)`` is told of each split."""
+
+    def tried(number: int, node: int) -> np.ndarray:
+        return np.sort(np.random.default_rng([seed, number, node]).permutation(features)[:width])
+
+    loss = Bagging(least, seed)
+    opened = [{0: tried(tree.number, 0)} for tree in trees]
+    for level in range(max(1, depth)):
+        if not any(opened):
+            break
+        sums = added(list(zip(trees, opened)))
         at = 0
         for t, tree in enumerate(trees):
             children = {}
             for node, some in opened[t].items():
                 if depth:
-                    for child in split_node(loss, tree, node, some, sums[:, at]):
+                    both = split_node(loss, tree, node, some, sums[:, at])
+                    for child in both:
                         children[child] = tried(tree.number, child)
+                    if both and parted and level + 1 < depth:
+                        parted(t, node)
                 else:
                     tree.sums[0] = tuple(float(x) for x in sums[:, at, 0].sum(axis=1))
                 at += 1
@@ -263,6 +296,79 @@ def _grow(table: DataFrame, numbers: Sequence[int], depth: int, features: int, w
     return trees
 
 
+def _held(trees: int, depth: int, features: int, width: int, least: float, seed: int, folder: str):
+    """All trees, grown alike by every task from the sums of all; the first task gives them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        exchange = Exchange(folder)
+        pieces = [(h.copy(), PACK + y, bins.copy()) for h, y, bins in _pieces(batches)]
+        # of each piece and tree, the drawn rows of a node and their weights
+        rows: list[list[dict[int, tuple[np.ndarray, np.ndarray]]]] = []
+        group: list[Growing] = []
+
+        def added(growing: Sequence[tuple[Growing, dict[int, np.ndarray]]]) -> np.ndarray:
+            nodes = sum(len(opened) for _, opened in growing)
+            sums, packed = np.zeros((2, nodes * width, BINS), dtype=np.int64), np.zeros((nodes * width, BINS))
+            for place, (_, _, bins) in enumerate(pieces):
+                at = 0
+                for t, (_, opened) in enumerate(growing):
+                    for node, some in opened.items():
+                        mine, own = rows[place][t][node]
+                        for f in some:
+                            packed[at] += np.bincount(bins[f].take(mine), weights=own, minlength=BINS)
+                            at += 1
+                if place % HELD == HELD - 1 or place == len(pieces) - 1:
+                    n = np.floor(packed / PACK)
+                    sums[0] += (packed - n * PACK).astype(np.int64)
+                    sums[1] += n.astype(np.int64)
+                    packed[:] = 0
+            return exchange.added(sums).reshape(2, nodes, width, BINS).astype(float)
+
+        def parted(t: int, node: int) -> None:
+            tree = group[t]
+            for (_, _, bins), some in zip(pieces, rows):
+                mine, own = some[t].pop(node)
+                left = bins[tree.at[node]].take(mine) <= tree.cut[node]
+                right = ~left
+                some[t][tree.left[node]] = mine.compress(left), own.compress(left)
+                some[t][tree.right[node]] = mine.compress(right), own.compress(right)
+
+        grown = []
+        for first in range(0, trees, AT_ONCE):
+            group[:] = [Growing(k) for k in range(first, min(trees, first + AT_ONCE))]
+            rows[:] = [_drawn(h, weight, group, seed) for h, weight, _ in pieces]
+            grown += _grown(group, depth, features, width, least, seed, added, parted)
+        if exchange.me == 0:
+            yield from grown_rows(grown)
+
+    return run
+
+
+def _drawn(h: np.ndarray, weight: np.ndarray, group: Sequence[Growing], seed: int) -> list[dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """For each tree the rows that it draws, all in its root, and their packed weights."""
+    found, shared = [], None
+    for tree in group:
+        if shared != tree.number // 4:
+            shared = tree.number // 4
+            words = row_words(h, shared, seed).view(np.uint16).reshape(-1, 4)
+        drawn = _DRAWS.take(words[:, tree.number % 4])
+        mine = np.flatnonzero(drawn)
+        found.append({0: (mine, weight.take(mine) * drawn.take(mine))})
+    return found
+
+
+def grown_rows(grown: Sequence[Growing]) -> Iterator[pa.RecordBatch]:
+    """The trees as rows of ``GROWN``."""
+    kinds = [pa.int32(), *[pa.list_(pa.int32())] * 4, *[pa.list_(pa.float64())] * 3]
+    for tree in grown:
+        values = [tree.number, tree.at, tree.cut, tree.left, tree.right, tree.value, *zip(*tree.sums)]
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=[c.split()[0] for c in GROWN.split(", ")])
+
+
+def grown_tree(number: int, at, cut, left, right, value, g, n) -> Growing:
+    return Growing(number, *map(list, (at, cut, left, right, value)), list(zip(g, n)))
+
+
 def _gini(bad: float, n: float) -> float:
     return 2 * (bad / n) * (1 - bad / n)
 

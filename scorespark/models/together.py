@@ -6,6 +6,7 @@ import base64
 import os
 import time
 import uuid
+from math import isqrt
 from urllib.parse import urlparse
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import SparkSession
 from scorespark.models.histogram_trees import ROWS_A_TASK
 
 #: Bytes of rows that a task holds at most, and bytes that all tasks together get of one another's sums at a time.
-HELD_BYTES, SENT_BYTES = 1 << 28, 1 << 28
+HELD_BYTES, SENT_BYTES = 1 << 29, 1 << 28
 #: Seconds until files of the others count as out of reach, and until a task that waits for them gives up.
 SEEN_WITHIN, WAIT = 20, 1800
 
@@ -27,7 +28,7 @@ def together(spark: SparkSession, rows: int, row_bytes: int, sums_bytes: int) ->
     context = spark.sparkContext._jsc.sc()
     slots = context.maxNumConcurrentTasks(context.resourceProfileManager().defaultResourceProfile())
     most = max(1, HELD_BYTES // row_bytes)
-    tasks = max(1, min(rows // ROWS_A_TASK, slots), -(-rows // most))
+    tasks = max(1, min(rows // ROWS_A_TASK, slots, isqrt(SENT_BYTES // sums_bytes)), -(-rows // most))
     return tasks if tasks <= slots and tasks * tasks * sums_bytes <= SENT_BYTES else 0
 
 

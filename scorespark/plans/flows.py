@@ -160,8 +160,7 @@ def evaluation_run(
     train, val, test = (scaled.where(F.col("split") == s) for s in ("train", "val", "test"))
 
     logistic = fit_logistic(train, names, spec.target, max_iter=2000)
-    trees = bm.fit_forest(train, names, spec.target, **{"key": spec.key, **forest})
-    boosted = bm.fit_boosting(train, names, spec.target, **{"key": spec.key, **boosting})
+    trees, boosted = bm.fit_both(train, names, spec.target, spec.key, forest, boosting)
     keep = (spec.key, spec.target)
     scorers = {
         "logistic": lambda part: part.select(*keep, logistic.pd().alias("pd")),

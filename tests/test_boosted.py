@@ -59,6 +59,21 @@ def test_tasks_that_hold_the_rows_grow_the_trees_of_passes(spark, rows, monkeypa
     assert fit() == held and len(made) == 4
 
 
+def test_rows_are_binned_once_for_forest_and_boosting(spark, rows, monkeypatch):
+    _, df = rows
+    small = ({"trees": 3, "depth": 3}, {"trees": 3, "depth": 2})
+    alone = bm.fit_forest(df, list("abc"), **small[0]), bm.fit_boosting(df, list("abc"), **small[1])
+    binned, made = bm.binned_table, []
+    for module in (bm, bo, forests):
+        monkeypatch.setattr(module, "binned_table", lambda *x: made.append(1) or binned(*x))
+    for bytes_held in (tg.HELD_BYTES, 1 << 10):
+        monkeypatch.setattr(tg, "HELD_BYTES", bytes_held)
+        monkeypatch.setattr(bo, "MARGINS_EVERY", 2)
+        both = bm.fit_both(df, list("abc"), "bad", "dummy_id", *small)
+        assert [trees_of(spark, m, list("abc")) for m in both] == [trees_of(spark, m, list("abc")) for m in alone]
+    assert len(made) == 2
+
+
 def test_sums_go_by_the_driver_where_tasks_do_not_see_files(spark):
     def run(folder):
         def inner(batches):

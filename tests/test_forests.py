@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scorespark.models import benchmarks as bm
 from scorespark.models import forests as fo
+from scorespark.models import together as tg
 from scorespark.models.trees import trees_of
 from scorespark.operators.quantiles import exact_quantiles
 
@@ -38,6 +39,19 @@ def test_a_group_of_trees_is_that_of_all_trees(spark, rows, monkeypatch):
     assert trees_of(spark, bm.fit_forest(df, list("abc"), trees=5, depth=3), list("abc")) == together
 
 
+def test_tasks_that_hold_the_rows_grow_the_trees_of_passes(spark, rows, monkeypatch):
+    _, df = rows
+    fit = lambda: trees_of(spark, bm.fit_forest(df.repartition(5), list("abc"), trees=6, depth=4, min_leaf=3), list("abc"))
+    passes, made = fo._grow, []
+    monkeypatch.setattr(fo, "_grow", lambda *x: made.append(1) or passes(*x))
+    monkeypatch.setattr(fo, "PIECE", 256)
+    monkeypatch.setattr(tg, "ROWS_A_TASK", 1000)
+    held = fit()
+    assert not made  # all trees in one job
+    monkeypatch.setattr(tg, "HELD_BYTES", 1 << 10)
+    assert fit() == held and made == [1]
+
+
 def test_nodes_hold_the_drawn_rows(spark, rows):
     """Every node's counts are those of the rows that a plain walk brings there, weighed by their draws."""
     pdf, df = rows
